@@ -2,7 +2,7 @@
 
 from tidemark.operators.aggregates import closed_windows, keyed, tumble
 from tidemark.operators.asof import asof_join
-from tidemark.operators.asof_stream import asof_join_stream
+from tidemark.operators.asof_stream import AsofStream
 from tidemark.operators.joins import interval_join
 from tidemark.operators.topk import RunningTopK, top_k
 from tidemark.plans.admission import AdmissionError, check_stream_plan
@@ -17,8 +17,8 @@ from tidemark.streaming.listener import Delivery, Listener, per_batch
 from tidemark.streaming.run import Runner, current_watermark, drain, replay, start
 
 __all__ = [
-    "AdmissionError", "Catalog", "Delivery", "EventError", "Field", "Journal", "KeyedTable", "LateSplit", "Listener",
+    "AdmissionError", "AsofStream", "Catalog", "Delivery", "EventError", "Field", "Journal", "KeyedTable", "LateSplit", "Listener",
     "RunningTopK", "Runner", "Sink", "Source", "Stream", "Subscription", "Table", "Writer", "asof_join",
-    "asof_join_stream", "check_stream_plan", "closed_windows", "conform_or_fail", "conform_rows", "current_watermark",
+    "check_stream_plan", "closed_windows", "conform_or_fail", "conform_rows", "current_watermark",
     "drain", "interval_join", "keyed", "per_batch", "replay", "start", "top_k", "tumble", "upsert", "values",
 ]

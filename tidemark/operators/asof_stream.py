@@ -1,133 +1,161 @@
 """As-of join of two streams.
 
-Spark has no such operator, so the matching runs in ``applyInPandasWithState``: whole Arrow batches
-per group, state handed over with them, one event-time timer per group. A left row is final, and
-appears, once the watermark has passed its event time.
-
-Retention bounds the history, and with it the work of a hot key: time is cut into slots as long as
-the retention, a right row serves its own slot and the next, and each (key, slot) is a group of its own.
+Spark has no such streaming operator. Each micro-batch is an ordinary as-of join on Spark: the left rows
+that the watermark has made final, against the new right rows and the history kept from before. What
+crosses batches, the left rows still open and the recent right rows, is a table per epoch in a shared
+folder; running an epoch again rewrites the same files. All of it is sorts and windows inside the JVM,
+so a whole history replayed in one batch costs one as-of join, and hot keys are split as there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.functions.event_time import seconds_of
+from tidemark.functions.event_time import as_wall_clock, interval
+from tidemark.operators.asof import asof_join
 from tidemark.operators.joins import check_distinct_names, check_join_keys
+from tidemark.plans.admission import WATERMARK_KEY, AdmissionError
+from tidemark.session import committed_numbers, remove
+from tidemark.sources.definitions import HEARTBEAT
+from tidemark.sources.tables import latest_per_key
+
+LEDGER = "left_max timestamp_ntz, right_max timestamp_ntz, mark timestamp_ntz, late_rows bigint"
+
 
-MICROS = 1_000_000
+@dataclass(frozen=True)
+class Progress:
+    """Greatest event times of both sides, the watermark they imply, and the late rows of one epoch."""
 
+    left_max: datetime | None = None
+    right_max: datetime | None = None
+    mark: datetime | None = None
+    late_rows: int = 0
 
-def asof_join_stream(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
-                     tie: str, retention: str, salts: int = 1) -> DataFrame:
-    """Left outer as-of join; both streams need a watermark, ``tie`` is a never-null BIGINT column of the right.
 
-    A right row older than ``retention`` before the left row is not seen. ``salts`` spreads the left
-    rows of each (key, slot) over that many groups, at the price of as many copies of the right rows;
-    raise it where one key's current traffic is too much for one task. NULL keys match nothing and are
-    final at once.
+class AsofStream:
+    """``drain(asof.frame, asof, checkpoint)`` runs it; ``asof.read()`` is the output.
+
+    A left row appears once the smaller of the two watermarks has passed it, with the latest right row
+    of its key at or before it that is no older than ``retention``; among equal times the greatest
+    ``tie`` wins. NULL keys match nothing. Rows that arrive behind the watermark, or
+    without an event time, are dropped and counted.
     """
-    check_join_keys(left, right, on)
-    check_distinct_names(left, right)
-    if not isinstance(right.schema[tie].dataType, T.LongType):
-        raise ValueError(f"the tie-break column {tie!r} must be BIGINT")
-    reach = seconds_of(retention)
-    keyless = F.lit(False)
-    for l_key, _ in on:
-        keyless = keyless | F.col(l_key).isNull()
-    slot_of = lambda ts: F.floor(F.unix_seconds(F.col(ts)) / F.lit(reach)).cast("bigint")
-    probes = left.filter(~keyless).select(
-        *[F.col(l).cast("string").alias(f"_key{i}") for i, (l, _) in enumerate(on)],
-        slot_of(left_ts).alias("_slot"),
-        F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int").alias("_salt"),
-        F.col(left_ts).alias("_ts"), F.unix_micros(left_ts).alias("_micros"),
-        F.lit(1).alias("_side"), F.lit(0).cast("bigint").alias("_tie"), _packed(left).alias("_row"))
-    slots = F.explode(F.array(slot_of(right_ts), slot_of(right_ts) + 1))
-    history = right.select("*", slots.alias("_slot"))
-    history = history.select("*", F.explode(F.array(*[F.lit(s) for s in range(salts)])).alias("_salt")).select(
-        *[F.col(r).cast("string").alias(f"_key{i}") for i, (_, r) in enumerate(on)], "_slot", "_salt",
-        F.col(right_ts).alias("_ts"), F.unix_micros(right_ts).alias("_micros"),
-        F.lit(0).alias("_side"), F.col(tie).alias("_tie"), _packed(right).alias("_row"))
-    for _, r in on:
-        history = history.filter(F.col(f"_key{[k for _, k in on].index(r)}").isNotNull())
-    keys = [*[f"_key{i}" for i in range(len(on))], "_slot", "_salt"]
-    matched = probes.unionByName(history).groupBy(*keys).applyInPandasWithState(
-        _matcher(reach, keys.index("_slot")), "found_left string, found_right string", STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
-    matched = matched.select(*_unpacked("found_left", left), *_unpacked("found_right", right))
-    lonely = left.filter(keyless).select(
-        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema])
-    return matched.unionByName(lonely.select(*[F.col(c).alias(c) for c in matched.columns]))
-
-
-STATE = "p_ts array<bigint>, p_row array<string>, q_ts array<bigint>, q_tie array<bigint>, q_row array<string>"
-
-
-def _matcher(reach: int, slot_at: int):
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        mark = state.getCurrentWatermarkMs() * 1000
-        held = state.get if state.exists else ([], [], [], [], [])
-        new = pd.concat(list(frames), ignore_index=True) if not state.hasTimedOut else None
-        p_ts, q_ts, q_tie = (np.asarray(held[i], dtype=np.int64) for i in (0, 2, 3))
-        p_row, q_row = (np.asarray(held[i], dtype=object) for i in (1, 4))
-        if new is not None:
-            is_probe = (new["_side"] == 1).to_numpy()
-            micros, ties, rows = new["_micros"].to_numpy(np.int64), new["_tie"].to_numpy(np.int64), new["_row"].to_numpy(object)
-            p_ts, p_row = np.concatenate([p_ts, micros[is_probe]]), np.concatenate([p_row, rows[is_probe]])
-            q_ts, q_tie = np.concatenate([q_ts, micros[~is_probe]]), np.concatenate([q_tie, ties[~is_probe]])
-            q_row = np.concatenate([q_row, rows[~is_probe]])
-            order = np.lexsort((q_tie, q_ts))
-            q_ts, q_tie, q_row = q_ts[order], q_tie[order], q_row[order]
-        due = p_ts < mark
-        if due.any():
-            at = np.searchsorted(q_ts, p_ts[due], side="right") - 1
-            seen = at >= 0
-            seen[seen] = q_ts[at[seen]] >= p_ts[due][seen] - reach * MICROS
-            found = np.full(len(at), None, dtype=object)
-            found[seen] = q_row[at[seen]]
-            yield pd.DataFrame({"found_left": p_row[due], "found_right": found})
-        p_ts, p_row = p_ts[~due], p_row[~due]
-        slot_end = (int(key[slot_at]) + 1) * reach * MICROS
-        if len(p_ts) == 0 and mark >= slot_end:
-            state.remove()
-            return
-        first = max(int(np.searchsorted(q_ts, mark, side="right")) - 1, 0)
-        state.update((p_ts.tolist(), p_row.tolist(), q_ts[first:].tolist(), q_tie[first:].tolist(), q_row[first:].tolist()))
-        wake = int(p_ts.min()) if len(p_ts) else slot_end
-        state.setTimeoutTimestamp(max(wake // 1000, mark // 1000 + 1))
-    return step
-
-
-def _packed(frame: DataFrame) -> Column:
-    """A row as JSON text of exact values, so that Python hands it on untouched."""
-    return F.to_json(F.struct(*[_text(f).alias(f.name) for f in frame.schema]))
-
-
-def _text(f: T.StructField) -> Column:
-    column = F.col(f.name)
-    if isinstance(f.dataType, T.TimestampType):
-        return F.unix_micros(column).cast("string")
-    if isinstance(f.dataType, T.BinaryType):
-        return F.base64(column)
-    return column.cast("string")
-
-
-def _unpacked(packed: str, frame: DataFrame) -> list[Column]:
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in frame.schema])
-    row = F.from_json(F.col(packed), texts)
-    columns = []
-    for f in frame.schema:
-        text = row[f.name]
-        if isinstance(f.dataType, T.TimestampType):
-            value = F.timestamp_micros(text.cast("bigint"))
-        elif isinstance(f.dataType, T.BinaryType):
-            value = F.unbase64(text)
-        else:
-            value = text.cast(f.dataType)
-        columns.append(value.alias(f.name))
-    return columns
+
+    def __init__(self, left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
+                 tie: str, retention: str, path: str):
+        self.delays = _delay(left, left_ts), _delay(right, right_ts)
+        left, right = (as_wall_clock(side.withColumnsRenamed({HEARTBEAT: f"_{name}{HEARTBEAT}"}))
+                       for side, name in ((left, "left"), (right, "right")))
+        check_join_keys(left, right, on)
+        check_distinct_names(left, right)
+        self.on, self.left_ts, self.right_ts, self.tie = on, left_ts, right_ts, tie
+        self.retention, self.path = retention, path
+        self.left_type, self.right_type = left.schema, right.schema
+        nothing = lambda schema: F.lit(None).cast(schema)
+        self.frame = left.select(F.struct(*left.columns).alias("_l"), nothing(right.schema).alias("_r"), F.lit("left").alias("_side")).unionByName(
+            right.select(nothing(left.schema).alias("_l"), F.struct(*right.columns).alias("_r"), F.lit("right").alias("_side")))
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        before = self._before(spark, epoch)
+        now = self._stage(batch, epoch, before)
+        left, right = self._side(spark, epoch, "left", before), self._side(spark, epoch, "right", before)
+        if before is not None:
+            left = left.unionByName(self._kept(spark, "open", before[0], self.left_type))
+            right = right.unionByName(self._kept(spark, "history", before[0], self.right_type))
+        mark = F.lit(now.mark).cast("timestamp_ntz")
+        final = F.coalesce(F.col(self.left_ts) < mark, F.lit(False))
+        matched = asof_join(left.filter(final), right.filter(F.col(self.right_ts) < mark), self.on, self.left_ts,
+                            self.right_ts, self.tie, self.retention)
+        self._write(matched.drop(*_beats(matched)), "out", epoch)
+        self._write(left.filter(~final), "open", epoch)
+        self._write(self._history(right, now.mark), "history", epoch)
+        ledger = spark.createDataFrame([(now.left_max, now.right_max, now.mark, now.late_rows)], LEDGER)
+        ledger.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/ledger/n={epoch}")
+        remove(spark, f"{self.path}/staged/epoch={epoch}")
+        if before is not None:
+            for older in [n for n in committed_numbers(spark, f"{self.path}/open", "epoch=") if n < before[0]]:
+                remove(spark, f"{self.path}/open/epoch={older}")
+                remove(spark, f"{self.path}/history/epoch={older}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The left rows final so far, with their right rows."""
+        epochs = committed_numbers(spark, f"{self.path}/ledger", "n=")
+        out = T.StructType([f for f in self.left_type.fields + self.right_type.fields if not f.name.endswith(HEARTBEAT)]
+                           + [T.StructField("epoch", T.IntegerType())])
+        rows = spark.read.schema(out).parquet(f"{self.path}/out")
+        return rows.filter(F.col("epoch") <= (epochs[-1] if epochs else -1)).drop("epoch")
+
+    def progress(self, spark: SparkSession) -> DataFrame:
+        """Per epoch: greatest event times, watermark, late rows."""
+        return spark.read.schema(LEDGER + ", n int").parquet(f"{self.path}/ledger")
+
+    def _before(self, spark: SparkSession, epoch: int) -> tuple[int, Progress] | None:
+        earlier = [n for n in committed_numbers(spark, f"{self.path}/ledger", "n=") if n < epoch]
+        if not earlier:
+            return None
+        row = spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/n={earlier[-1]}").head()
+        return earlier[-1], Progress(*row)
+
+    def _stage(self, batch: DataFrame, epoch: int, before) -> Progress:
+        """Write the batch down once, so that later passes read only the columns and rows they need."""
+        old = before[1] if before is not None else Progress()
+        at = F.coalesce(F.col(f"_l.{self.left_ts}"), F.col(f"_r.{self.right_ts}"))
+        late = F.count_if(at.isNull() | F.coalesce(at < F.lit(old.mark).cast("timestamp_ntz"), F.lit(False)))
+        seen = Observation()
+        batch.observe(seen, F.max(f"_l.{self.left_ts}").alias("left_max"), F.max(f"_r.{self.right_ts}").alias("right_max"),
+                      late.alias("late")).write.mode("overwrite").partitionBy("_side").parquet(
+                          f"{self.path}/staged/epoch={epoch}")
+        left_max = _greatest(old.left_max, seen.get["left_max"])
+        right_max = _greatest(old.right_max, seen.get["right_max"])
+        mark = None
+        if left_max is not None and right_max is not None:
+            mark = min(left_max - timedelta(seconds=self.delays[0]), right_max - timedelta(seconds=self.delays[1]))
+            mark = _greatest(old.mark, mark.replace(microsecond=mark.microsecond // 1000 * 1000))
+        return Progress(left_max, right_max, mark, int(seen.get["late"]))
+
+    def _side(self, spark: SparkSession, epoch: int, side: str, before) -> DataFrame:
+        column, schema, ts = ("_l", self.left_type, self.left_ts) if side == "left" else ("_r", self.right_type, self.right_ts)
+        staged = spark.read.schema(T.StructType([T.StructField(column, schema), T.StructField("_side", T.StringType())]))
+        rows = staged.parquet(f"{self.path}/staged/epoch={epoch}").filter(F.col("_side") == side).select(f"{column}.*")
+        for beat in _beats(rows):
+            rows = rows.filter(F.col(beat).isNull())
+        rows = rows.filter(F.col(ts).isNotNull())
+        if before is not None and before[1].mark is not None:
+            rows = rows.filter(F.col(ts) >= F.lit(before[1].mark).cast("timestamp_ntz"))
+        return rows
+
+    def _kept(self, spark: SparkSession, what: str, epoch: int, schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{self.path}/{what}/epoch={epoch}")
+
+    def _history(self, right: DataFrame, mark: datetime | None) -> DataFrame:
+        """What later left rows may need: right rows from the watermark on and, per key, the last one before it."""
+        if mark is None:
+            return right
+        at = F.lit(mark).cast("timestamp_ntz")
+        ahead = right.filter(F.col(self.right_ts) >= at)
+        recent = right.filter((F.col(self.right_ts) < at) & (F.col(self.right_ts) >= at - interval(self.retention)))
+        newest = [F.col(self.right_ts).desc(), F.col(self.tie).desc()]
+        return ahead.unionByName(latest_per_key(recent, [r for _, r in self.on], newest))
+
+    def _write(self, rows: DataFrame, what: str, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{what}/epoch={epoch}")
+
+
+def _delay(side: DataFrame, ts: str) -> float:
+    """The declared delay of a stream's watermark, in seconds."""
+    declared = side.schema[ts].metadata.get(WATERMARK_KEY)
+    if declared is None:
+        raise AdmissionError(f"an as-of join of streams needs a watermark on {ts}")
+    return declared / 1000
+
+
+def _beats(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c.endswith(HEARTBEAT)]
+
+
+def _greatest(*moments: datetime | None) -> datetime | None:
+    return max((m for m in moments if m is not None), default=None)

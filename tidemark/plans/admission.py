@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 WATERMARK_KEY = "spark.watermarkDelayMs"
-RANGE_NODES = {"GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual"}
+# Comparison node -> what it says about its first operand.
+BOUNDS = {"GreaterThan": "from", "GreaterThanOrEqual": "from", "LessThan": "to", "LessThanOrEqual": "to"}
 
 
 class AdmissionError(ValueError):
@@ -21,7 +22,9 @@ class AdmissionError(ValueError):
 def check_stream_plan(frame: DataFrame) -> DataFrame:
     """Returns ``frame`` if every part of it can run with bounded state."""
     if frame.isStreaming:
-        _check(frame._jdf.queryExecution().analyzed())
+        # Optimized, because that is where BETWEEN and filters over a join become join conditions.
+        optimizer = frame.sparkSession._jsparkSession.sessionState().optimizer()
+        _check(optimizer.execute(frame._jdf.queryExecution().analyzed()))
     return frame
 
 
@@ -48,17 +51,21 @@ def _check_join(join, left, right) -> None:
     l_times, r_times = _event_times(left.output()), _event_times(right.output())
     if not l_times or not r_times:
         raise AdmissionError("both sides of a stream-stream join need a watermark")
-    conjuncts = _conjuncts(join.condition().get())
-    equal = ranged = False
-    for c in conjuncts:
-        used = _ids(_items(c.references().toSeq()), listed=True)
-        both = bool(used & l_ids) and bool(used & r_ids)
-        equal |= both and c.nodeName() == "EqualTo"
-        ranged |= c.nodeName() in RANGE_NODES and bool(used & l_times) and bool(used & r_times)
+    equal, bounds = False, set()
+    for c in _conjuncts(join.condition().get()):
+        if c.nodeName() != "EqualTo" and c.nodeName() not in BOUNDS:
+            continue
+        one, two = (_ids(side.references().toSeq()) for side in _items(c.children()))
+        if c.nodeName() == "EqualTo":
+            equal |= bool(one & l_ids and two & r_ids) or bool(one & r_ids and two & l_ids)
+        elif one & l_times and two & r_times:
+            bounds.add(BOUNDS[c.nodeName()])
+        elif one & r_times and two & l_times:
+            bounds.add("to" if BOUNDS[c.nodeName()] == "from" else "from")
     if not equal:
         raise AdmissionError("a stream-stream join needs an equality key")
-    if not ranged:
-        raise AdmissionError("a stream-stream join needs a time range between the two event times")
+    if len(bounds) < 2:
+        raise AdmissionError("a stream-stream join needs a time range between the two event times, closed at both ends")
 
 
 def _conjuncts(expression) -> list:
@@ -67,8 +74,8 @@ def _conjuncts(expression) -> list:
     return [expression]
 
 
-def _ids(attributes, listed: bool = False) -> set[int]:
-    return {a.exprId().id() for a in (attributes if listed else _items(attributes))}
+def _ids(attributes) -> set[int]:
+    return {a.exprId().id() for a in _items(attributes)}
 
 
 def _event_times(attributes) -> set[int]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.aggregates import keyed
 from tidemark.operators.asof import asof_join
-from tidemark.operators.asof_stream import asof_join_stream
+from tidemark.operators.asof_stream import AsofStream
 from tidemark.operators.joins import interval_join
 from tidemark.registry.base import event_catalog, query, role
 from tidemark.session import workspace
@@ -189,10 +189,13 @@ def asof_left_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "quote_id", retention="6 hours")
 
 
-def _asof_stream(spark: SparkSession, sf_dir: str, retention: str, label: str, salts: int = 1) -> DataFrame:
-    catalog = event_catalog(spark, sf_dir).add(Stream("valued", ["trades", "quotes"], lambda t, q: asof_join_stream(
-        t, q, [("t_user", "q_user")], "t_ts", "q_ts", "quote_id", retention, salts)))
-    return replay(catalog.live("valued"), workspace(spark, label))
+def _asof_stream(spark: SparkSession, sf_dir: str, retention: str, label: str) -> DataFrame:
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, label)
+    valued = AsofStream(catalog.live("trades"), catalog.live("quotes"), [("t_user", "q_user")], "t_ts", "q_ts", "quote_id",
+                        retention, root)
+    drain(valued.frame, valued, f"{root}/checkpoint")
+    return valued.read(catalog.spark)
 
 
 @query(_asof_sql("10 DAY", final=True))
@@ -203,5 +206,5 @@ def asof_left_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_asof_sql("12 HOUR", final=True))
 def state_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History is kept for twelve hours only, and trades are salted over two groups."""
-    return _asof_stream(spark, sf_dir, "12 hours", "state_retention", salts=2)
+    """The same, with history kept for twelve hours only."""
+    return _asof_stream(spark, sf_dir, "12 hours", "state_retention")

@@ -16,6 +16,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One store per join partition instead of four.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 STATE_PARTITIONS = "spark.tidemark.state.partitions"
 

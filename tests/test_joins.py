@@ -6,7 +6,7 @@ from helpers import BASE, Feed, at, brute_asof, brute_interval, frame, rows_of
 from pyspark.sql import functions as F
 
 from tidemark import AdmissionError, AsofStream, asof_join, drain, interval_join, replay
-from tidemark.operators.asof import hot_keys
+from tidemark.operators.skew import hot_hashes
 
 LEFT, RIGHT = "l_key bigint, l_ts timestamp_ntz, l_id bigint", "r_key bigint, r_ts timestamp_ntz, r_id bigint"
 ON = [("l_key", "r_key")]
@@ -20,16 +20,17 @@ def crafted(seed, n=120, keys=4, span=400):
     return side(), side()
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed, hot_share", [(0, 1), (1, 0.01), (2, 0.01)])
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full", "anti"])
-def test_interval_join_equals_brute_force(spark, how, seed):
+def test_interval_join_equals_brute_force(spark, how, seed, hot_share):
     left, right = crafted(seed)
     pairs = brute_interval(left, right, 10)
     lonely_left = {(i, None) for i in range(len(left))} - {(i, None) for i, _ in pairs}
     lonely_right = {(None, j) for j in range(len(right))} - {(None, j) for _, j in pairs}
     expected = {"inner": pairs, "left": pairs | lonely_left, "right": pairs | lonely_right,
                 "full": pairs | lonely_left | lonely_right, "anti": {(i,) for i, _ in lonely_left}}[how]
-    got = interval_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts", "10 seconds", how)
+    got = interval_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts", "10 seconds", how,
+                        hot_share=hot_share)
     assert rows_of(got, *(["l_id"] if how == "anti" else ["l_id", "r_id"])) == sorted(expected, key=repr)
 
 
@@ -47,6 +48,20 @@ def test_rows_before_1970_and_without_time(spark):
     assert rows_of(got, "l_id", "r_id") == [(0, 0), (1, None), (None, 1)]
 
 
+@pytest.mark.parametrize("how, salts", [("inner", (3, 2)), ("left", (4, 1)), ("anti", (3, 1)), ("right", (1, 3))])
+def test_salting_changes_nothing(spark, how, salts):
+    left, right = crafted(7)
+    join = lambda **more: rows_of(interval_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts",
+                                                "10 seconds", how, **more))
+    assert join(salts=salts) == join()
+
+
+def test_only_the_kept_side_can_be_salted(spark):
+    left, right = crafted(7)
+    with pytest.raises(ValueError, match="does not keep"):
+        interval_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts", "10 seconds", "left", (1, 2))
+
+
 def test_hot_key_is_spread_by_time(spark):
     hot = frame(spark, [(1, at(i * 60), i) for i in range(500)], LEFT)
     other = frame(spark, [(1, at(i * 60 + 1), i) for i in range(500)], RIGHT)
@@ -92,9 +107,10 @@ def test_asof_ties_and_equal_time(spark):
 
 
 def test_hot_keys_are_found(spark):
-    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("_hash"))
-    assert hot_keys(rows, 0.01) == [-1]
-    assert hot_keys(spark.range(0).withColumnRenamed("id", "_hash"), 0.01) == []
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    minus_one = rows.filter("k = -1").select(F.xxhash64("k")).head()[0]
+    assert hot_hashes(rows, ["k"], 0.01) == [minus_one]
+    assert hot_hashes(spark.range(0), ["id"], 0.01) == []
 
 
 # Streams.

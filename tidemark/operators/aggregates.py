@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.event_time import seconds_of
+from tidemark.functions.event_time import interval, seconds_of
 from tidemark.sources.definitions import HEARTBEAT
 
 
@@ -37,9 +37,7 @@ def keyed(frame: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
 def closed_windows(windows: DataFrame, rows: DataFrame, ts: str, delay: str, width: str, start: str = "window_start") -> DataFrame:
     """The windows of a static ``tumble`` that a stream over the same rows would have emitted.
 
-    The watermark is the greatest event time minus ``delay``, cut to milliseconds; it is one row,
-    joined by broadcast.
+    The watermark is the greatest event time minus ``delay``, cut to milliseconds, as a scalar subquery.
     """
-    mark = rows.agg(F.date_trunc("millisecond", F.max(ts) - F.expr(f"INTERVAL '{seconds_of(delay)}' SECOND")).alias("_mark"))
-    end = F.col(start) + F.expr(f"INTERVAL '{seconds_of(width)}' SECOND")
-    return windows.join(F.broadcast(mark), end <= F.col("_mark"), "left_semi")
+    mark = rows.agg(F.date_trunc("millisecond", F.max(ts) - interval(delay))).scalar()
+    return windows.filter(F.col(start) + interval(width) <= mark)

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.event_time import epoch_seconds, seconds_of
 from tidemark.operators.joins import check_distinct_names, check_join_keys
-
-MAX_HOT_KEYS = 200
+from tidemark.operators.skew import hot_hashes
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
@@ -28,7 +27,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left
     check_distinct_names(left, right)
     tagged = _tagged(left, right, on, left_ts, right_ts, tie)
     keys = [f"_key{i}" for i in range(len(on))]
-    hot = hot_keys(tagged, hot_share)
+    hot = hot_hashes(tagged, keys, hot_share)
     if hot:
         sliced = _sliced(tagged, hot, slices)
         tagged = sliced.unionByName(_seeds(sliced.filter(F.col("_hash").isin(hot)), keys), allowMissingColumns=True)
@@ -46,19 +45,6 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left
                           *[F.col(f"_found.{c}").alias(c) for c in right.columns])
 
 
-def hot_keys(rows: DataFrame, share: float) -> list[int]:
-    """Hashes of keys that hold more than ``share`` of the rows.
-
-    A frequent-items sketch in one pass without a shuffle by key. It decides only where rows are
-    processed, never what is returned.
-    """
-    if not 1 / MAX_HOT_KEYS <= share <= 1:
-        raise ValueError(f"share must lie between {1 / MAX_HOT_KEYS} and 1")
-    top, total = rows.agg(
-        F.expr(f"approx_top_k(_hash, {MAX_HOT_KEYS}, 10000)"), F.count(F.lit(1))).head()
-    return [r["item"] for r in top if r["item"] is not None and r["count"] > share * total]
-
-
 def _tagged(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str, tie: str) -> DataFrame:
     """Both sides in one shape: right rows (side 0) sort before left rows (side 1) of the same time."""
     l_keys = [F.col(l).alias(f"_key{i}") for i, (l, _) in enumerate(on)]

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.event_time import interval, seconds_of, time_bucket
+from tidemark.operators.skew import hot_hashes
 from tidemark.plans.admission import AdmissionError
 
 KEY_TYPES = (T.StringType, T.LongType)
@@ -36,56 +37,120 @@ def check_distinct_names(left: DataFrame, right: DataFrame) -> None:
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
-                  bound: str, how: str = "inner") -> DataFrame:
+                  bound: str, how: str = "inner", salts: tuple[int, int] = (1, 1), hot_share: float = 0.01) -> DataFrame:
     """Join rows whose right event time lies in ``[left_ts, left_ts + bound]``.
 
     All columns of both sides come back (``anti``: only the left ones), so they must have distinct
     names. On streams, rows without a partner appear once the other side's watermark has passed every
     moment a partner could still arrive. NULL keys never match.
+
+    Skew within one key and bucket: on static tables adaptive execution splits both sides of an inner
+    join, but an outer join only on the side it keeps; if a bucket of the other side holds more than
+    ``hot_share`` of its rows, the rows without a partner are therefore found by a time-sliced scan
+    instead. On streams ``salts = (l, r)`` spreads each bucket's left rows over ``l`` and its right rows
+    over ``r`` parts, at the price of as many copies of the other side; only the kept side of an outer
+    join can be spread.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}, got {how!r}")
+    if (how in ("left", "anti") and salts[1] > 1) or (how == "right" and salts[0] > 1) or (how == "full" and salts != (1, 1)):
+        raise ValueError(f"a {how} join cannot spread the rows of the side it does not keep")
     check_join_keys(left, right, on)
     check_distinct_names(left, right)
     names = left.columns + right.columns
-    condition = _condition(on, left_ts, right_ts, bound)
-    if how == "right":
-        visiting, home = _left_visits(left, right, left_ts, right_ts, bound)
-        return visiting.join(home, condition, "right").select(*names)
+    static = not (left.isStreaming or right.isStreaming)
+    spec = (on, left_ts, right_ts, bound)
     if how == "full":
         # Spark's streaming full outer join pairs NULL keys, and only one side of a bucketed join
         # can be kept whole. So: all left rows with their partners, then right rows without one.
-        matched = interval_join(left, right, on, left_ts, right_ts, bound, "left")
-        visiting, home = _left_visits(left, right, left_ts, right_ts, bound)
-        lonely = visiting.join(home, condition, "right").filter(F.col("_left_bucket").isNull())
+        matched = interval_join(left, right, *spec, "left", hot_share=hot_share)
+        if static:
+            return matched.unionByName(_unmatched_right(left, right, *spec), allowMissingColumns=True)
+        visiting, home = _left_visits(left, right, *spec, salts)
+        lonely = visiting.join(home, _condition(*spec), "right").filter(F.col("_left_bucket").isNull())
         return matched.unionByName(lonely.select(*names))
-    home, visiting = _right_visits(left, right, left_ts, right_ts, bound)
+    if static and how == "anti":
+        return _unmatched_left(left, right, *spec)
+    if how == "right":
+        visiting, home = _left_visits(left, right, *spec, salts)
+        if static and hot_hashes(visiting, [*[l for l, _ in on], "_left_bucket"], hot_share):
+            inner = interval_join(left, right, *spec)
+            return inner.unionByName(_unmatched_right(left, right, *spec), allowMissingColumns=True)
+        return visiting.join(home, _condition(*spec), "right").select(*names)
+    home, visiting = _right_visits(left, right, *spec, salts)
+    if how == "inner":
+        return home.join(visiting, _condition(*spec), "inner").select(*names)
+    if static and hot_hashes(visiting, [*[r for _, r in on], "_right_bucket"], hot_share):
+        inner = interval_join(left, right, *spec)
+        return inner.unionByName(_unmatched_left(left, right, *spec), allowMissingColumns=True)
+    matched = home.join(visiting, _condition(*spec), "left")
     if how == "anti":
-        if not (left.isStreaming or right.isStreaming):
-            return home.join(visiting, condition, "left_anti").select(*left.columns)
-        lonely = home.join(visiting, condition, "left").filter(F.col("_right_bucket").isNull())
-        return lonely.select(*left.columns)
-    return home.join(visiting, condition, how).select(*names)
+        return matched.filter(F.col("_right_bucket").isNull()).select(*left.columns)
+    return matched.select(*names)
 
 
 def _condition(on: list[tuple[str, str]], left_ts: str, right_ts: str, bound: str) -> Column:
-    condition = F.col("_left_bucket") == F.col("_right_bucket")
+    condition = (F.col("_left_bucket") == F.col("_right_bucket")) & (F.col("_left_salt") == F.col("_right_salt"))
     for l_key, r_key in on:
         condition = condition & (F.col(l_key) == F.col(r_key))
     return condition & F.col(right_ts).between(F.col(left_ts), F.col(left_ts) + interval(bound))
 
 
-def _right_visits(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, bound: str):
-    seconds = seconds_of(bound)
-    width = 2 * seconds
+def _right_visits(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str, bound: str, salts: tuple[int, int]):
+    width = 2 * seconds_of(bound)
+    left = _salted(left, "_left_salt", salts[0], salts[1], own_first=True)
+    right = _salted(right, "_right_salt", salts[1], salts[0], own_first=False)
     home = left.withColumn("_left_bucket", time_bucket(left_ts, left, width))
-    reach = F.array(time_bucket(right_ts, right, width, -seconds), time_bucket(right_ts, right, width))
+    reach = F.array(time_bucket(right_ts, right, width, -seconds_of(bound)), time_bucket(right_ts, right, width))
     return home, right.withColumn("_right_bucket", F.explode(F.array_distinct(reach)))
 
 
-def _left_visits(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, bound: str):
-    seconds = seconds_of(bound)
-    width = 2 * seconds
-    reach = F.array(time_bucket(left_ts, left, width), time_bucket(left_ts, left, width, seconds))
+def _left_visits(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str, bound: str, salts: tuple[int, int]):
+    width = 2 * seconds_of(bound)
+    left = _salted(left, "_left_salt", salts[0], salts[1], own_first=True)
+    right = _salted(right, "_right_salt", salts[1], salts[0], own_first=False)
+    reach = F.array(time_bucket(left_ts, left, width), time_bucket(left_ts, left, width, seconds_of(bound)))
     visiting = left.withColumn("_left_bucket", F.explode(F.array_distinct(reach)))
     return visiting, right.withColumn("_right_bucket", time_bucket(right_ts, right, width))
+
+
+def _salted(side: DataFrame, name: str, own: int, other: int, own_first: bool) -> DataFrame:
+    """Number the cell(s) of the ``own`` x ``other`` grid a row goes to: its own part, with every part of the other side."""
+    if own == other == 1:
+        return side.withColumn(name, F.lit(0))
+    part = F.pmod(F.xxhash64(*side.columns), F.lit(own)).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.lit(other - 1))) if other > 1 else F.lit(0)
+    parted = side.withColumns({"_part": part}).withColumn("_other", others)
+    cell = F.col("_part") * other + F.col("_other") if own_first else F.col("_other") * own + F.col("_part")
+    return parted.withColumn(name, cell).drop("_part", "_other")
+
+
+def _unmatched_left(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str, bound: str) -> DataFrame:
+    """Static left rows without a partner: those whose next right row is more than ``bound`` away.
+
+    With time mirrored, the next row is the last one before, which the as-of join finds without pairs
+    and with hot keys cut into time slices.
+    """
+    from tidemark.operators.asof import asof_join
+
+    mirrored = left.withColumn("_left_mirror", _mirror(left_ts, left))
+    partners = right.select(*[r for _, r in on], _mirror(right_ts, right).alias("_right_mirror"), F.lit(True).alias("_found"))
+    looked_up = asof_join(mirrored, partners, on, "_left_mirror", "_right_mirror", "_found", retention=bound)
+    return looked_up.filter(F.col("_found").isNull()).select(*left.columns)
+
+
+def _unmatched_right(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str, bound: str) -> DataFrame:
+    """Static right rows without a partner: those whose last left row is more than ``bound`` before."""
+    from tidemark.operators.asof import asof_join
+
+    partners = left.select(*[l for l, _ in on], F.col(left_ts).alias("_left_time"), F.lit(True).alias("_found"))
+    looked_up = asof_join(right, partners, [(r, l) for l, r in on], right_ts, "_left_time", "_found", retention=bound)
+    return looked_up.filter(F.col("_found").isNull()).select(*right.columns)
+
+
+def _mirror(ts: str, side: DataFrame) -> Column:
+    """The moment as far before 1970 as ``ts`` is after, to the microsecond."""
+    if isinstance(side.schema[ts].dataType, T.TimestampType):
+        return F.timestamp_micros(-F.unix_micros(ts))
+    start = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return start - (F.col(ts) - start)

@@ -1,0 +1,20 @@
+"""Finding hot keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_HOT_KEYS = 200
+
+
+def hot_hashes(rows: DataFrame, keys: list[str], share: float) -> list[int]:
+    """Hashes (``xxhash64``) of the keys that hold more than ``share`` of the rows; at most ``1 / share``.
+
+    A frequent-items sketch: one pass over the key columns, no shuffle by key. It decides only where
+    rows are processed, never what is returned.
+    """
+    if not 1 / MAX_HOT_KEYS <= share <= 1:
+        raise ValueError(f"share must lie between {1 / MAX_HOT_KEYS} and 1")
+    top, total = rows.select(F.xxhash64(*keys).alias("_hash")).agg(
+        F.expr(f"approx_top_k(_hash, {MAX_HOT_KEYS}, 10000)"), F.count(F.lit(1))).head()
+    return [r["item"] for r in top if r["item"] is not None and r["count"] > share * total]

@@ -32,6 +32,8 @@ def derive(spark: SparkSession) -> SparkSession:
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.adaptive.enabled", "true")
     session.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Split a skewed join even where that costs another shuffle after it.
+    session.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return session
 
 

@@ -30,7 +30,7 @@ def test_interval_join_equals_brute_force(spark, how, seed, hot_share):
     expected = {"inner": pairs, "left": pairs | lonely_left, "right": pairs | lonely_right,
                 "full": pairs | lonely_left | lonely_right, "anti": {(i,) for i, _ in lonely_left}}[how]
     got = interval_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts", "10 seconds", how,
-                        hot_share=hot_share)
+                        hot_share=hot_share, hot_rows=1)
     assert rows_of(got, *(["l_id"] if how == "anti" else ["l_id", "r_id"])) == sorted(expected, key=repr)
 
 
@@ -94,7 +94,7 @@ def test_bounds_must_be_positive(spark, bound):
 def test_asof_equals_brute_force(spark, seed, retention, hot_share):
     left, right = crafted(seed, keys=3)
     got = asof_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts", "r_id",
-                    f"{retention} seconds" if retention else None, hot_share=hot_share, slices=8)
+                    f"{retention} seconds" if retention else None, hot_share=hot_share, hot_rows=1, slices=8)
     expected = brute_asof([r[:2] for r in left], right, retention)
     assert rows_of(got, "l_id", "r_id") == sorted(((r[2], e) for r, e in zip(left, expected)), key=repr)
 
@@ -109,8 +109,8 @@ def test_asof_ties_and_equal_time(spark):
 def test_hot_keys_are_found(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     minus_one = rows.filter("k = -1").select(F.xxhash64("k")).head()[0]
-    assert hot_hashes(rows, ["k"], 0.01) == [minus_one]
-    assert hot_hashes(spark.range(0), ["id"], 0.01) == []
+    assert hot_hashes(rows, ["k"], 0.01, 1) == [minus_one]
+    assert hot_hashes(rows, ["k"], 0.01, 1001) == hot_hashes(spark.range(0), ["id"], 0.01, 1) == []
 
 
 # Streams.

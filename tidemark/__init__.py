@@ -7,7 +7,7 @@ from tidemark.operators.joins import interval_join
 from tidemark.operators.topk import RunningTopK, top_k
 from tidemark.plans.admission import AdmissionError, check_stream_plan
 from tidemark.sources.conform import conform_or_fail, conform_rows
-from tidemark.sources.definitions import Catalog, EventError, Field, Sink, Source, Stream, Table
+from tidemark.sources.definitions import Catalog, EventError, Field, Sink, Source, Stream, Table, sql_stream
 from tidemark.sources.inline import values
 from tidemark.sources.landing import Writer
 from tidemark.sources.tables import KeyedTable, upsert
@@ -20,5 +20,5 @@ __all__ = [
     "AdmissionError", "AsofStream", "Catalog", "Delivery", "EventError", "Field", "Journal", "KeyedTable", "LateSplit", "Listener",
     "RunningTopK", "Runner", "Sink", "Source", "Stream", "Subscription", "Table", "Writer", "asof_join",
     "check_stream_plan", "closed_windows", "conform_or_fail", "conform_rows", "current_watermark",
-    "drain", "interval_join", "keyed", "per_batch", "replay", "start", "top_k", "tumble", "upsert", "values",
+    "drain", "interval_join", "keyed", "per_batch", "replay", "sql_stream", "start", "top_k", "tumble", "upsert", "values",
 ]

@@ -30,12 +30,11 @@ def interval(span: str | timedelta) -> Column:
 
 
 def epoch_seconds(ts: str, frame: DataFrame) -> Column:
-    """Seconds since 1970 as BIGINT, without going through the session time zone for zone-less columns."""
+    """Whole seconds since 1970, never decreasing with ``ts``; zone-less columns stay clear of the session time zone."""
     column = F.col(ts)
     if isinstance(frame.schema[ts].dataType, T.TimestampType):
         return F.unix_seconds(column)
-    since = column - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return F.floor(since.cast("interval second").cast("decimal(20,6)")).cast("bigint")
+    return (column - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")).cast("interval second").cast("bigint")
 
 
 def time_bucket(ts: str, frame: DataFrame, width: int, shift: int = 0) -> Column:
@@ -56,8 +55,3 @@ def as_wall_clock(frame: DataFrame) -> DataFrame:
 def _retype(frame: DataFrame, kind: type, target: str) -> DataFrame:
     casts = {f.name: F.col(f"`{f.name}`").cast(target) for f in frame.schema if isinstance(f.dataType, kind)}
     return frame.withColumns(casts) if casts else frame
-
-
-def truncated_to_ms(ts: Column) -> Column:
-    """Watermarks are held in milliseconds."""
-    return F.date_trunc("millisecond", ts)

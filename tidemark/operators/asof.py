@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.event_time import epoch_seconds, seconds_of
 from tidemark.operators.joins import check_distinct_names, check_join_keys
-from tidemark.operators.skew import hot_hashes
+from tidemark.operators.skew import HOT_ROWS, hot_hashes
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
-              tie: str, retention: str | None = None, hot_share: float = 0.01, slices: int = 64) -> DataFrame:
+              tie: str, retention: str | None = None, hot_share: float = 0.01, hot_rows: int = HOT_ROWS, slices: int = 256) -> DataFrame:
     """Left outer as-of join of static tables.
 
     Among right rows with the same key and time the greatest ``tie`` wins; a right row at exactly the
@@ -19,15 +19,15 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left
     match nothing.
 
     Both sides are sorted together by key and time and the last right row is carried forward: one
-    shuffle, no candidate pairs. A key with more than ``hot_share`` of all rows would make one sort
-    huge, so such keys (at most ``1 / hot_share`` can exist) are cut into ``slices`` time slices of equal
+    shuffle, no candidate pairs. A key with more than ``hot_share`` of all rows (and ``hot_rows``) would make
+    one sort huge, so such keys (at most ``1 / hot_share`` can exist) are cut into ``slices`` time slices of equal
     row counts, each started with the last right row of the slices before it.
     """
     check_join_keys(left, right, on)
     check_distinct_names(left, right)
     tagged = _tagged(left, right, on, left_ts, right_ts, tie)
     keys = [f"_key{i}" for i in range(len(on))]
-    hot = hot_hashes(tagged, keys, hot_share)
+    hot = hot_hashes(tagged, keys, hot_share, hot_rows)
     if hot:
         sliced = _sliced(tagged, hot, slices)
         tagged = sliced.unionByName(_seeds(sliced.filter(F.col("_hash").isin(hot)), keys), allowMissingColumns=True)

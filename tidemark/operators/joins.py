@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.event_time import interval, seconds_of, time_bucket
-from tidemark.operators.skew import hot_hashes
+from tidemark.operators.skew import HOT_ROWS, hot_hashes
 from tidemark.plans.admission import AdmissionError
 
 KEY_TYPES = (T.StringType, T.LongType)
@@ -37,7 +37,8 @@ def check_distinct_names(left: DataFrame, right: DataFrame) -> None:
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
-                  bound: str, how: str = "inner", salts: tuple[int, int] = (1, 1), hot_share: float = 0.01) -> DataFrame:
+                  bound: str, how: str = "inner", salts: tuple[int, int] = (1, 1), hot_share: float = 0.01,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join rows whose right event time lies in ``[left_ts, left_ts + bound]``.
 
     All columns of both sides come back (``anti``: only the left ones), so they must have distinct
@@ -46,7 +47,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
 
     Skew within one key and bucket: on static tables adaptive execution splits both sides of an inner
     join, but an outer join only on the side it keeps; if a bucket of the other side holds more than
-    ``hot_share`` of its rows, the rows without a partner are therefore found by a time-sliced scan
+    ``hot_share`` of its rows (and ``hot_rows``), the rows without a partner are therefore found by a time-sliced scan
     instead. On streams ``salts = (l, r)`` spreads each bucket's left rows over ``l`` and its right rows
     over ``r`` parts, at the price of as many copies of the other side; only the kept side of an outer
     join can be spread.
@@ -63,7 +64,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
     if how == "full":
         # Spark's streaming full outer join pairs NULL keys, and only one side of a bucketed join
         # can be kept whole. So: all left rows with their partners, then right rows without one.
-        matched = interval_join(left, right, *spec, "left", hot_share=hot_share)
+        matched = interval_join(left, right, *spec, "left", hot_share=hot_share, hot_rows=hot_rows)
         if static:
             return matched.unionByName(_unmatched_right(left, right, *spec), allowMissingColumns=True)
         visiting, home = _left_visits(left, right, *spec, salts)
@@ -73,14 +74,14 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
         return _unmatched_left(left, right, *spec)
     if how == "right":
         visiting, home = _left_visits(left, right, *spec, salts)
-        if static and hot_hashes(visiting, [*[l for l, _ in on], "_left_bucket"], hot_share):
+        if static and hot_hashes(visiting, [*[l for l, _ in on], "_left_bucket"], hot_share, hot_rows):
             inner = interval_join(left, right, *spec)
             return inner.unionByName(_unmatched_right(left, right, *spec), allowMissingColumns=True)
         return visiting.join(home, _condition(*spec), "right").select(*names)
     home, visiting = _right_visits(left, right, *spec, salts)
     if how == "inner":
         return home.join(visiting, _condition(*spec), "inner").select(*names)
-    if static and hot_hashes(visiting, [*[r for _, r in on], "_right_bucket"], hot_share):
+    if static and hot_hashes(visiting, [*[r for _, r in on], "_right_bucket"], hot_share, hot_rows):
         inner = interval_join(left, right, *spec)
         return inner.unionByName(_unmatched_left(left, right, *spec), allowMissingColumns=True)
     matched = home.join(visiting, _condition(*spec), "left")

@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 MAX_HOT_KEYS = 200
+# Fewer rows than this are no burden to one task, whatever their share.
+HOT_ROWS = 1_000_000
 
 
-def hot_hashes(rows: DataFrame, keys: list[str], share: float) -> list[int]:
-    """Hashes (``xxhash64``) of the keys that hold more than ``share`` of the rows; at most ``1 / share``.
+def hot_hashes(rows: DataFrame, keys: list[str], share: float, at_least: int) -> list[int]:
+    """Hashes (``xxhash64``) of the keys that hold more than ``share`` of the rows and ``at_least`` so many.
 
-    A frequent-items sketch: one pass over the key columns, no shuffle by key. It decides only where
-    rows are processed, never what is returned.
+    There are at most ``1 / share`` of them. A frequent-items sketch finds them in one pass over the key
+    columns, without a shuffle by key; ``share=1`` skips it. The answer decides only where rows are
+    processed, never what is returned.
     """
     if not 1 / MAX_HOT_KEYS <= share <= 1:
         raise ValueError(f"share must lie between {1 / MAX_HOT_KEYS} and 1")
+    if share == 1:
+        return []
     top, total = rows.select(F.xxhash64(*keys).alias("_hash")).agg(
         F.expr(f"approx_top_k(_hash, {MAX_HOT_KEYS}, 10000)"), F.count(F.lit(1))).head()
-    return [r["item"] for r in top if r["item"] is not None and r["count"] > share * total]
+    return [r["item"] for r in top if r["item"] is not None and r["count"] > max(share * total, at_least - 1)]

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.event_time import as_instant
 from tidemark.operators.aggregates import closed_windows, keyed, tumble
 from tidemark.operators.topk import RunningTopK, top_k
-from tidemark.registry.base import DELAY, EVENT_COLUMNS, event_catalog, land_in_turn, query
+from tidemark.registry.base import DELAY, EVENT_COLUMNS, event_catalog, id_range, land_in_turn, query
 from tidemark.session import workspace
-from tidemark.sources.definitions import Source, Stream, read_live, result
+from tidemark.sources.definitions import Source, Stream, read_live
 from tidemark.sources.landing import Writer
 from tidemark.streaming.journal import Journal
 from tidemark.streaming.late import LateSplit
-from tidemark.streaming.run import current_watermark, drain, metrics, replay
+from tidemark.streaming.run import drain, metrics, replay
 
 
 def _windows(delay: str | None) -> str:
@@ -112,7 +111,6 @@ def wm_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _delayed_errors(top: int, turn: int):
     """Turn ``turn`` brings its third of the events without errors, and the errors of the third before."""
-    from tidemark.registry.base import id_range
     error = F.col("event_type") == "error"
     return (id_range(top, 3, turn) & ~error) | (id_range(top, 3, turn - 1) & error)
 

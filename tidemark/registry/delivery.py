@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.aggregates import keyed, tumble
 from tidemark.registry.base import event_catalog, land_in_turn, query
 from tidemark.session import workspace
-from tidemark.sources.definitions import EventError, Sink, Stream, read_live
+from tidemark.sources.definitions import EventError, Sink, Stream, read_live, sql_stream
 from tidemark.streaming.journal import Journal, Subscription
 from tidemark.streaming.listener import Delivery, Listener, per_batch
 from tidemark.streaming.run import Runner, drain, replay
@@ -26,10 +26,10 @@ def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT trade_id, t_price FROM (SELECT event_id AS trade_id, value AS t_price FROM events WHERE event_type = 'purchase') WHERE t_price > 100")
 def stream_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream that reads a stream."""
+    """A stream that reads a stream; the second one is given as SQL text."""
     catalog = event_catalog(spark, sf_dir).add(
         Stream("large", ["trades"], lambda t: t.filter("t_price > 100")),
-        Stream("large_prices", ["large"], lambda t: t.select("trade_id", "t_price")))
+        sql_stream("large_prices", ["large"], "SELECT trade_id, t_price FROM large"))
     return replay(catalog.live("large_prices"), workspace(spark, "stream_chain"))
 
 

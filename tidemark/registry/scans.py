@@ -8,7 +8,7 @@ from tidemark.operators.joins import interval_join
 from tidemark.registry.base import EVENT_COLUMNS, event_catalog, land_in_turn, query
 from tidemark.session import derive, workspace
 from tidemark.sources import conform
-from tidemark.sources.definitions import Catalog, Source, Stream, Table, read_live, read_static, result
+from tidemark.sources.definitions import Catalog, Source, Stream, Table, read_live, read_static
 from tidemark.sources.inline import values
 from tidemark.sources.landing import Writer
 from tidemark.sources.tables import KeyedTable
@@ -112,15 +112,14 @@ def conform_rows_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _conformed(spark: SparkSession, sf_dir: str):
     declared = Source("incoming", "id BIGINT NOT NULL, kind VARCHAR NOT NULL, reading DOUBLE, seen_at TIMESTAMP", "")
     kind = F.col("event_type")
-    raw = F.to_json(F.struct(
-        F.col("event_id").alias("id"),
-        F.when(kind != "view", kind).alias("kind"),
-        F.when(kind != "signup", F.col("value")).alias("reading"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("seen_at"),
-        F.when(kind == "error", F.lit(True)).alias("extra")))
-    text_reading = F.regexp_replace(raw, r"\}$", ',"reading":"n/a"}')
-    events = event_catalog(spark, sf_dir).static("events")
-    rows = events.select("event_id", F.when(kind == "signup", text_reading).otherwise(raw).alias("raw"))
+    piece = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    raw = piece(
+        '{"id":', F.col("event_id").cast("string"),
+        F.when(kind != "view", piece(',"kind":"', kind, '"')).otherwise(""),
+        ',"reading":', F.when(kind == "signup", '"n/a"').otherwise(F.col("value").cast("string")),
+        ',"seen_at":"', F.col("ts").cast("string"), '"',
+        F.when(kind == "error", ',"extra":true').otherwise(""), "}")
+    rows = event_catalog(spark, sf_dir).static("events").select("event_id", raw.alias("raw"))
     return conform.conform_rows(rows, declared, keep=("event_id",))
 
 

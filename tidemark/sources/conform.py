@@ -14,10 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.sources.definitions import SCHEMA_MISMATCH, EventError, Field, Relation
 
-INT_RANGE = (-(2 ** 31), 2 ** 31 - 1)
-LONG_RANGE = (-(2 ** 63), 2 ** 63 - 1)
-
-
 @dataclass(frozen=True)
 class Conformed:
     """``checked`` has every row once: the kept columns, the raw text, the declared columns (NULL in a
@@ -35,40 +31,41 @@ def conform_rows(rows: DataFrame, relation: Relation, raw: str = "raw", keep: tu
     are rejects. JSON has one integer kind, so INT is a range check on it, and a number written with
     a point or exponent is a DOUBLE. ``keep`` names columns of ``rows`` passed through to both sides.
     """
+    fields = list(enumerate(relation.fields))
     names = F.array(*[F.lit(f.name) for f in relation.fields])
-    parsed = rows.select(
-        *keep,
-        F.col(raw).alias("_raw"),
-        F.try_parse_json(F.col(raw)).alias("_doc"),
-        F.json_object_keys(F.col(raw)).alias("_keys"),
-    )
-    typed = parsed.withColumns(
-        {_slot(i): F.expr(f"variant_get(_doc, \"$['{f.name}']\", 'variant')") for i, f in enumerate(relation.fields)}
-    ).withColumns(
-        {_kind(i): F.regexp_extract(F.schema_of_variant(F.col(_slot(i))), r"^[A-Z_]+", 0)
-         for i, _ in enumerate(relation.fields)}
-    )
-    unknown = F.try_element_at(F.array_except(F.col("_keys"), names), F.lit(1))
+    typed = rows.select(
+        *keep, F.col(raw).alias("_raw"),
+        # NULL for anything but an object.
+        F.try_variant_get(F.try_parse_json(F.col(raw)), "$", "map<string,variant>").alias("_doc"),
+    ).withColumns({f"_v{i}": F.try_element_at("_doc", F.lit(f.name)) for i, f in fields}
+    ).withColumns({f"_k{i}": F.substring_index(F.schema_of_variant(f"_v{i}"), "(", 1) for i, _ in fields}
+    ).withColumns({f"_x{i}": _value(f, F.col(f"_v{i}"), F.col(f"_k{i}")) for i, f in fields})
+
+    unknown = F.try_element_at(F.array_except(F.map_keys("_doc"), names), F.lit(1))
     faults: list[tuple[Column, Column, str]] = [
-        (F.col("_doc").isNull() | F.col("_keys").isNull(), F.lit(None).cast("string"), "not a JSON object"),
+        (F.col("_doc").isNull(), F.lit(None).cast("string"), "not a JSON object"),
         (unknown.isNotNull(), unknown, "key not present in the source schema"),
     ]
-    for i, f in enumerate(relation.fields):
-        absent = F.col(_kind(i)).isNull() | (F.col(_kind(i)) == "VOID")
+    for i, f in fields:
+        kind = F.col(f"_k{i}")
+        absent = kind.isNull() | (kind == "VOID")
         if not f.nullable:
             faults.append((absent, F.lit(f.name), "null for non-nullable field"))
-        faults.append((~absent & ~F.coalesce(_fits(f, i), F.lit(False)), F.lit(f.name),
-                       f"cannot convert to {f.sql_type}"))
+        fits = kind.isin(*KINDS[f.sql_type]) & F.col(f"_x{i}").isNotNull()
+        faults.append((~absent & ~fits, F.lit(f.name), f"cannot convert to {f.sql_type}"))
     fault = reduce(
         lambda later, this: F.when(this[0], F.struct(this[1].alias("field"), F.lit(this[2]).alias("reason"))).otherwise(later),
         reversed(faults), F.lit(None).cast("struct<field:string,reason:string>"))
-    judged = typed.withColumn("_fault", fault)
-    good = F.col("_fault").isNull()
+    # A one-element explode, because a filter on its output stays above it: pushed below, the filter
+    # would repeat the parsing for every mention of a field.
+    judged = typed.withColumn("_fault", fault).select(
+        *keep, "_raw", F.explode(F.array(F.struct(F.col("_fault"), *[f"_x{i}" for i, _ in fields]))).alias("_row"))
+    good = F.col("_row._fault").isNull()
     checked = judged.select(
         *keep, F.col("_raw").alias("raw"),
-        *[F.when(good, _value(f, i)).alias(f.name) for i, f in enumerate(relation.fields)],
-        F.col("_fault.field").alias("field"), F.when(~good, F.lit(SCHEMA_MISMATCH)).alias("code"),
-        F.col("_fault.reason").alias("reason"))
+        *[F.when(good, F.col(f"_row._x{i}")).alias(f.name) for i, f in fields],
+        F.col("_row._fault.field").alias("field"), F.when(~good, F.lit(SCHEMA_MISMATCH)).alias("code"),
+        F.col("_row._fault.reason").alias("reason"))
     columns = [f.name for f in relation.fields]
     return Conformed(checked, checked.filter("code IS NULL").select(*keep, *columns),
                      checked.filter("code IS NOT NULL").select(*keep, "raw", "field", "code", "reason"))
@@ -107,39 +104,19 @@ def not_null_guard(batch: DataFrame, relation: Relation) -> DataFrame:
     return batch
 
 
-def _slot(i: int) -> str:
-    return f"_v{i}"
-
-
-def _kind(i: int) -> str:
-    return f"_k{i}"
-
-
-def _fits(f: Field, i: int) -> Column:
-    """Whether the JSON value of a present field may be stored in column ``f``."""
-    kind = F.col(_kind(i))
-    whole = F.expr(f"try_variant_get({_slot(i)}, '$', 'decimal(38,0)')")
-    if f.sql_type == "INT":
-        return (kind == "BIGINT") & whole.between(*INT_RANGE)
-    if f.sql_type == "BIGINT":
-        return (kind == "BIGINT") & whole.between(*LONG_RANGE)
-    if f.sql_type in ("FLOAT", "DOUBLE"):
-        return kind.isin("DECIMAL", "DOUBLE", "FLOAT")
-    if f.sql_type == "VARCHAR":
-        return kind == "STRING"
-    if f.sql_type == "BOOLEAN":
-        return kind == "BOOLEAN"
-    # TIMESTAMP as ISO text or as microseconds; BINARY as base64 text.
-    return (kind.isin("STRING", "BIGINT") if f.sql_type == "TIMESTAMP" else kind == "STRING") & _value(f, i).isNotNull()
+# The JSON kinds, as Spark's variants name them, that each column type takes.
+KINDS = {
+    "INT": ["BIGINT"], "BIGINT": ["BIGINT"], "FLOAT": ["DECIMAL", "DOUBLE", "FLOAT"], "DOUBLE": ["DECIMAL", "DOUBLE", "FLOAT"],
+    "VARCHAR": ["STRING"], "BINARY": ["STRING"], "BOOLEAN": ["BOOLEAN"], "TIMESTAMP": ["STRING", "BIGINT"],
+}
 
 
-def _value(f: Field, i: int) -> Column:
-    text = F.expr(f"try_variant_get({_slot(i)}, '$', 'string')")
+def _value(f: Field, value: Column, kind: Column) -> Column:
+    """The JSON value as the column's type, NULL if it cannot be: timestamps as ISO text or microseconds, binary as base64."""
     if f.sql_type == "TIMESTAMP":
-        micros = F.expr(f"timestamp_micros(try_variant_get({_slot(i)}, '$', 'bigint'))")
-        instant = F.when(F.col(_kind(i)) == "BIGINT", micros).otherwise(F.try_to_timestamp(text))
-        return instant.cast("timestamp_ntz")
+        micros = F.timestamp_micros(F.try_variant_get(value, "$", "bigint"))
+        text = F.try_to_timestamp(F.try_variant_get(value, "$", "string"))
+        return F.when(kind == "BIGINT", micros).when(kind == "STRING", text).cast("timestamp_ntz")
     if f.sql_type == "BINARY":
-        return F.try_to_binary(text, F.lit("base64"))
-    target = f.spark_type.simpleString()
-    return F.expr(f"try_variant_get({_slot(i)}, '$', '{target}')")
+        return F.try_to_binary(F.try_variant_get(value, "$", "string"), F.lit("base64"))
+    return F.try_variant_get(value, "$", f.spark_type.simpleString())

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.event_time import as_instant, as_wall_clock, seconds_of
+from tidemark.functions.event_time import as_instant, seconds_of
 from tidemark.session import derive, derive_streaming, is_file
 
 # Declared SQL type -> (Spark type, canonical name in listings).
@@ -157,10 +158,14 @@ class Catalog:
     """Named definitions and the DataFrames they stand for."""
 
     def __init__(self, spark: SparkSession):
+        self._caller = spark
         self.spark = derive(spark)
-        self.streaming = derive_streaming(spark)
         self._entries: dict[str, Relation | Stream | Sink] = {}
 
+    @cached_property
+    def streaming(self) -> SparkSession:
+        return derive_streaming(self._caller)
+
     def add(self, *definitions) -> "Catalog":
         for definition in definitions:
             if definition.name in self._entries:
@@ -209,16 +214,35 @@ class Catalog:
         return read_live(self.streaming, entry)
 
 
+def sql_stream(name: str, inputs: Sequence[str], text: str) -> Stream:
+    """A stream given as Spark SQL over its inputs' names; windows are Spark's ``window(ts, '10 seconds')``."""
+    def build(*frames: DataFrame) -> DataFrame:
+        for input_name, frame in zip(inputs, frames):
+            frame.createOrReplaceTempView(input_name)
+        return frames[0].sparkSession.sql(text)
+    return Stream(name, inputs, build)
+
+
+HEARTBEAT = "_heartbeat"
+
+
 def declared_columns(frame: DataFrame, relation: Relation) -> DataFrame:
     return frame.select(*[F.col(f"`{f.name}`").cast(f.spark_type).alias(f.name) for f in relation.fields])
 
 
-def read_static(spark: SparkSession, relation: Relation) -> DataFrame:
-    """Only the declared columns are read from the files."""
-    return declared_columns(spark.read.parquet(relation.path), relation)
+def _file_schema(relation: Relation) -> T.StructType:
+    """The declared columns as files hold them: nothing is enforced, and a marker may be present."""
+    columns = [T.StructField(f.name, f.spark_type, True) for f in relation.fields]
+    return T.StructType([*columns, T.StructField(HEARTBEAT, T.BooleanType())])
 
 
-HEARTBEAT = "_heartbeat"
+def _data_rows(frame: DataFrame) -> DataFrame:
+    return frame.filter(F.col(HEARTBEAT).isNull()).drop(HEARTBEAT)
+
+
+def read_static(spark: SparkSession, relation: Relation) -> DataFrame:
+    """All rows present now; only the declared columns are read, and no file is opened to learn its schema."""
+    return _data_rows(spark.read.schema(_file_schema(relation)).parquet(relation.path))
 
 
 def read_live(spark: SparkSession, source: Source, heartbeats: bool = False) -> DataFrame:
@@ -227,9 +251,7 @@ def read_live(spark: SparkSession, source: Source, heartbeats: bool = False) ->
     ``heartbeats=True`` keeps the rows that only move the watermark (see ``Writer.watermark``) and
     their marker column; an operator downstream must drop them behind the watermark.
     """
-    schema = T.StructType(source.schema.fields + [T.StructField(HEARTBEAT, T.BooleanType())])
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    reader = spark.readStream.schema(schema).options(**source.options)
+    reader = spark.readStream.schema(_file_schema(source)).options(**source.options)
     folder, _, name = source.path.rstrip("/").rpartition("/")
     if is_file(spark, source.path):
         reader, path = reader.option("pathGlobFilter", name), folder
@@ -238,13 +260,8 @@ def read_live(spark: SparkSession, source: Source, heartbeats: bool = False) ->
     frame = as_instant(reader.parquet(path))
     if not heartbeats:
         # Below the watermark on purpose: a filter above it is pushed here anyway.
-        frame = frame.filter(F.col(HEARTBEAT).isNull()).drop(HEARTBEAT)
+        frame = _data_rows(frame)
     if source.watermark is not None:
         ts, delay = source.watermark
         frame = frame.withWatermark(ts, f"{seconds_of(delay)} seconds")
     return frame
-
-
-def result(frame: DataFrame) -> DataFrame:
-    """A result for the outside: zone-less timestamps, as in the tables."""
-    return as_wall_clock(frame)

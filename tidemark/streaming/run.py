@@ -72,6 +72,7 @@ class Runner:
         self.catalog = catalog
         self.root = root
         self.queries: dict[str, StreamingQuery] = {}
+        self._continuous = False
         self._down = False
 
     def start(self, every: str | None = None) -> dict[str, StreamingQuery]:
@@ -79,6 +80,7 @@ class Runner:
         self._require_up()
         if self.root is None:
             raise EventError(NOT_CHECKPOINTED, "checkpointing is not enabled: give a folder")
+        self._continuous = self._continuous or every is not None
         for sink in self.catalog.of_kind(Sink):
             running = self.queries.get(sink.name)
             if running is None or not running.isActive:
@@ -94,11 +96,7 @@ class Runner:
         """Run every sink over the input present now and wait for all of them."""
         queries = self.start()
         for query in queries.values():
-            query.processAllAvailable() if query.isActive else None
-            if not query.isActive and query.exception() is not None:
-                raise query.exception()
-        for query in queries.values():
-            query.awaitTermination()
+            query.processAllAvailable() if self._continuous else query.awaitTermination()
         return queries
 
     def read(self, sink_name: str) -> DataFrame:

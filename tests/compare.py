@@ -45,6 +45,11 @@ def rows_of(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(body, key=repr)
 
 
+# Spark type -> DuckDB type.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, db, name: str, sf_dir: str) -> str | None:
     """None if Spark and DuckDB agree, else what differs."""
     from tidemark.registry import ORACLE, QUERIES
@@ -56,6 +61,10 @@ def compare(spark, db, name: str, sf_dir: str) -> str | None:
     want_columns, want = rows_of([d[0] for d in relation.description], relation.fetchall())
     if got_columns != want_columns:
         return f"columns {got_columns} != {want_columns}"
+    got_types = {f.name: TYPES[f.dataType.simpleString()] for f in frame.schema}
+    want_types = {d[0]: str(d[1]) for d in relation.description}
+    if got_types != want_types:
+        return f"types {got_types} != {want_types}"
     if got != want:
         extra, missing = set(got) - set(want), set(want) - set(got)
         return f"{len(got)} rows, expected {len(want)}; extra {sorted(extra, key=repr)[:3]}; missing {sorted(missing, key=repr)[:3]}"

@@ -31,9 +31,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left
     if hot:
         sliced = _sliced(tagged, hot, slices)
         tagged = sliced.unionByName(_seeds(sliced.filter(F.col("_hash").isin(hot)), keys), allowMissingColumns=True)
-    else:
-        tagged = tagged.withColumn("_slice", F.lit(0.0))
-    order = Window.partitionBy("_slice", *keys).orderBy("_ts", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+        keys = [*keys, "_slice"]
+    order = Window.partitionBy(*keys).orderBy("_ts", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     carried = F.last("_right", ignorenulls=True).over(order)
     if retention is not None:
         fresh = F.col("_found._at") >= F.col("_ts") - F.expr(f"INTERVAL '{seconds_of(retention)}' SECOND")

@@ -70,8 +70,6 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
         visiting, home = _left_visits(left, right, *spec, salts)
         lonely = visiting.join(home, _condition(*spec), "right").filter(F.col("_left_bucket").isNull())
         return matched.unionByName(lonely.select(*names))
-    if static and how == "anti":
-        return _unmatched_left(left, right, *spec)
     if how == "right":
         visiting, home = _left_visits(left, right, *spec, salts)
         if static and hot_hashes(visiting, [*[l for l, _ in on], "_left_bucket"], hot_share, hot_rows):
@@ -82,8 +80,10 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
     if how == "inner":
         return home.join(visiting, _condition(*spec), "inner").select(*names)
     if static and hot_hashes(visiting, [*[r for _, r in on], "_right_bucket"], hot_share, hot_rows):
-        inner = interval_join(left, right, *spec)
-        return inner.unionByName(_unmatched_left(left, right, *spec), allowMissingColumns=True)
+        lonely = _unmatched_left(left, right, *spec)
+        return lonely if how == "anti" else interval_join(left, right, *spec).unionByName(lonely, allowMissingColumns=True)
+    if static and how == "anti":
+        return home.join(visiting, _condition(*spec), "left_anti").select(*left.columns)
     matched = home.join(visiting, _condition(*spec), "left")
     if how == "anti":
         return matched.filter(F.col("_right_bucket").isNull()).select(*left.columns)

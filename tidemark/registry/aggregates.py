@@ -100,7 +100,7 @@ def wm_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(_hourly(read_live(catalog.streaming, source, heartbeats=True)), root)
 
 
-@query("SELECT 'totals' AS stream, count(*) AS input_rows, epoch_ms(max(ts) - INTERVAL 5 SECOND) AS watermark_ms FROM events")
+@query("SELECT 'totals' AS stream, count(*) AS input_rows, epoch_ms(date_trunc('milliseconds', max(ts) - INTERVAL 5 SECOND)) AS watermark_ms FROM events")
 def wm_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The watermark a query has reached, with the rows it read."""
     catalog = event_catalog(spark, sf_dir)

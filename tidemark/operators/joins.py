@@ -65,11 +65,15 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
         # Spark's streaming full outer join pairs NULL keys, and only one side of a bucketed join
         # can be kept whole. So: all left rows with their partners, then right rows without one.
         matched = interval_join(left, right, *spec, "left", hot_share=hot_share, hot_rows=hot_rows)
-        if static:
-            return matched.unionByName(_unmatched_right(left, right, *spec), allowMissingColumns=True)
         visiting, home = _left_visits(left, right, *spec, salts)
-        lonely = visiting.join(home, _condition(*spec), "right").filter(F.col("_left_bucket").isNull())
-        return matched.unionByName(lonely.select(*names))
+        if not static:
+            lonely = visiting.join(home, _condition(*spec), "right").filter(F.col("_left_bucket").isNull())
+            return matched.unionByName(lonely.select(*names))
+        if hot_hashes(visiting, [*[l for l, _ in on], "_left_bucket"], hot_share, hot_rows):
+            lonely = _unmatched_right(left, right, *spec)
+        else:
+            lonely = home.join(visiting, _condition(*spec), "left_anti").select(*right.columns)
+        return matched.unionByName(lonely, allowMissingColumns=True)
     if how == "right":
         visiting, home = _left_visits(left, right, *spec, salts)
         if static and hot_hashes(visiting, [*[l for l, _ in on], "_left_bucket"], hot_share, hot_rows):

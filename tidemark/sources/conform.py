@@ -7,13 +7,15 @@ passes through Python.
 
 from __future__ import annotations
 
+import re
+from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.sources.definitions import SCHEMA_MISMATCH, EventError, Field, Relation
 
+
 @dataclass(frozen=True)
 class Conformed:
     """``checked`` has every row once: the kept columns, the raw text, the declared columns (NULL in a
@@ -32,30 +34,27 @@ def conform_rows(rows: DataFrame, relation: Relation, raw: str = "raw", keep: tu
     a point or exponent is a DOUBLE. ``keep`` names columns of ``rows`` passed through to both sides.
     """
     fields = list(enumerate(relation.fields))
-    names = F.array(*[F.lit(f.name) for f in relation.fields])
     typed = rows.select(
         *keep, F.col(raw).alias("_raw"),
         # NULL for anything but an object.
         F.try_variant_get(F.try_parse_json(F.col(raw)), "$", "map<string,variant>").alias("_doc"),
-    ).withColumns({f"_v{i}": F.try_element_at("_doc", F.lit(f.name)) for i, f in fields}
-    ).withColumns({f"_k{i}": F.substring_index(F.schema_of_variant(f"_v{i}"), "(", 1) for i, _ in fields}
-    ).withColumns({f"_x{i}": _value(f, F.col(f"_v{i}"), F.col(f"_k{i}")) for i, f in fields})
-
-    unknown = F.try_element_at(F.array_except(F.map_keys("_doc"), names), F.lit(1))
-    faults: list[tuple[Column, Column, str]] = [
-        (F.col("_doc").isNull(), F.lit(None).cast("string"), "not a JSON object"),
-        (unknown.isNotNull(), unknown, "key not present in the source schema"),
-    ]
+    ).selectExpr("*", *[f"try_element_at(_doc, {_quoted(f.name)}) AS _v{i}" for i, f in fields]
+    ).selectExpr("*", *[f"substring_index(schema_of_variant(_v{i}), '(', 1) AS _k{i}" for i, _ in fields]
+    ).selectExpr("*", *[f"{_value(f, i)} AS _x{i}" for i, f in fields])
+
+    declared = ", ".join(_quoted(f.name) for f in relation.fields)
+    unknown = f"try_element_at(array_except(map_keys(_doc), array({declared})), 1)"
+    faults = [("_doc IS NULL", "CAST(NULL AS STRING)", "not a JSON object"),
+              (f"{unknown} IS NOT NULL", unknown, "key not present in the source schema")]
     for i, f in fields:
-        kind = F.col(f"_k{i}")
-        absent = kind.isNull() | (kind == "VOID")
+        absent = f"coalesce(_k{i} = 'VOID', true)"
+        kinds = ", ".join(_quoted(k) for k in KINDS[f.sql_type])
         if not f.nullable:
-            faults.append((absent, F.lit(f.name), "null for non-nullable field"))
-        fits = kind.isin(*KINDS[f.sql_type]) & F.col(f"_x{i}").isNotNull()
-        faults.append((~absent & ~fits, F.lit(f.name), f"cannot convert to {f.sql_type}"))
-    fault = reduce(
-        lambda later, this: F.when(this[0], F.struct(this[1].alias("field"), F.lit(this[2]).alias("reason"))).otherwise(later),
-        reversed(faults), F.lit(None).cast("struct<field:string,reason:string>"))
+            faults.append((absent, _quoted(f.name), "null for non-nullable field"))
+        faults.append((f"NOT {absent} AND NOT (_k{i} IN ({kinds}) AND _x{i} IS NOT NULL)", _quoted(f.name),
+                       f"cannot convert to {f.sql_type}"))
+    fault = F.expr("CASE " + " ".join(
+        f"WHEN {wrong} THEN named_struct('field', {name}, 'reason', {_quoted(reason)})" for wrong, name, reason in faults) + " END")
     # A one-element explode, because a filter on its output stays above it: pushed below, the filter
     # would repeat the parsing for every mention of a field.
     judged = typed.withColumn("_fault", fault).select(
@@ -72,12 +71,26 @@ def conform_rows(rows: DataFrame, relation: Relation, raw: str = "raw", keep: tu
 
 
 def conform_or_fail(rows: DataFrame, relation: Relation, raw: str = "raw") -> DataFrame:
-    """All rows or none: the first reject found fails the batch."""
-    split = conform_rows(rows, relation, raw)
-    bad = split.rejected.select("field", "reason").head(1)
-    if bad:
-        raise EventError(SCHEMA_MISMATCH, bad[0]["reason"], bad[0]["field"])
-    return split.accepted
+    """All rows or none: whatever reads the result fails on the first reject, in the same pass that parses it.
+
+    Run it inside ``rejects_as_errors`` to get the failure as an ``EventError``.
+    """
+    checked = conform_rows(rows, relation, raw).checked
+    message = F.concat(F.lit(f"[{SCHEMA_MISMATCH}] "), "reason", F.lit(" (field '"), F.coalesce("field", F.lit("")), F.lit("')"))
+    passes = F.when(F.col("code").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return checked.filter(passes).select(*[f.name for f in relation.fields])
+
+
+@contextmanager
+def rejects_as_errors():
+    """Turns a Spark failure caused by a bad row into an ``EventError`` with its code and field."""
+    try:
+        yield
+    except Exception as error:
+        found = re.search(rf"\[{SCHEMA_MISMATCH}\] (.*?) \(field '(.*?)'\)", str(error))
+        if found is None:
+            raise
+        raise EventError(SCHEMA_MISMATCH, found[1], found[2] or None) from error
 
 
 def check_batch_schema(batch: DataFrame, relation: Relation) -> None:
@@ -99,7 +112,7 @@ def not_null_guard(batch: DataFrame, relation: Relation) -> DataFrame:
     """Fails the write, inside its tasks, on a NULL in a NOT NULL column; Spark files do not check this."""
     for f in relation.fields:
         if not f.nullable:
-            message = f"{SCHEMA_MISMATCH}: null for non-nullable field '{f.name}'"
+            message = f"[{SCHEMA_MISMATCH}] null for non-nullable field (field '{f.name}')"
             batch = batch.withColumn(f.name, F.coalesce(F.col(f.name), F.raise_error(F.lit(message)).cast(f.spark_type)))
     return batch
 
@@ -111,12 +124,16 @@ KINDS = {
 }
 
 
-def _value(f: Field, value: Column, kind: Column) -> Column:
+def _value(f: Field, i: int) -> str:
     """The JSON value as the column's type, NULL if it cannot be: timestamps as ISO text or microseconds, binary as base64."""
+    get = lambda target: f"try_variant_get(_v{i}, '$', '{target}')"
     if f.sql_type == "TIMESTAMP":
-        micros = F.timestamp_micros(F.try_variant_get(value, "$", "bigint"))
-        text = F.try_to_timestamp(F.try_variant_get(value, "$", "string"))
-        return F.when(kind == "BIGINT", micros).when(kind == "STRING", text).cast("timestamp_ntz")
+        return (f"CAST(CASE _k{i} WHEN 'BIGINT' THEN timestamp_micros({get('bigint')}) "
+                f"WHEN 'STRING' THEN try_to_timestamp({get('string')}) END AS TIMESTAMP_NTZ)")
     if f.sql_type == "BINARY":
-        return F.try_to_binary(F.try_variant_get(value, "$", "string"), F.lit("base64"))
-    return F.try_variant_get(value, "$", f.spark_type.simpleString())
+        return f"try_to_binary({get('string')}, 'base64')"
+    return get(f.spark_type.simpleString())
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

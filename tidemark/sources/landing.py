@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.event_time import as_wall_clock, seconds_of
 from tidemark.session import make_dir
-from tidemark.sources.conform import check_batch_schema, conform_or_fail, not_null_guard
+from tidemark.sources.conform import check_batch_schema, conform_or_fail, not_null_guard, rejects_as_errors
 from tidemark.sources.definitions import HEARTBEAT, WRITER_CLOSED, EventError, Source, declared_columns
 
 
 def append_rows(batch: DataFrame, path: str) -> int:
     """Append ``batch`` to a folder of Parquet files and return the number of rows, counted by the write itself."""
     seen = Observation()
-    batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    with rejects_as_errors():
+        batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
     return int(seen.get["rows"])
 
 
@@ -45,7 +46,7 @@ class Writer:
     def write_json(self, rows: DataFrame, raw: str = "raw") -> int:
         """Append rows given as JSON text; one bad row fails them all."""
         self._require_open()
-        return append_rows(self._storable(conform_or_fail(rows, self.source, raw)), self.source.path)
+        return append_rows(conform_or_fail(rows, self.source, raw), self.source.path)
 
     def buffer(self, batch: DataFrame) -> None:
         """Keep a typed batch for the next ``flush``, which appends everything buffered in one write."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from tidemark.session import committed_numbers
-from tidemark.sources.conform import check_batch_schema, not_null_guard
+from tidemark.sources.conform import check_batch_schema, not_null_guard, rejects_as_errors
 from tidemark.sources.definitions import EventError, QUERY_FAILED, Table, TABLE_NOT_FOUND, declared_columns
 from tidemark.sources.landing import append_rows
 
@@ -82,7 +82,8 @@ class KeyedTable:
         merged = not_null_guard(declared_columns(merged, self.table), self.table)
         seen = Observation()
         target = self._folder(0 if version is None else version + 1)
-        merged.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+        with rejects_as_errors():
+            merged.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
         return int(seen.get["rows"])
 
     def require(self) -> DataFrame:

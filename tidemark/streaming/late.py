@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.event_time import seconds_of
 from tidemark.session import committed_numbers
@@ -26,8 +26,10 @@ class LateSplit:
         self.delay, self.width = seconds_of(delay), seconds_of(width)
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        watermark = self.watermark_before(epoch)
-        late = F.col(self.ts).isNull() | (F.lit(False) if watermark is None else self._window_end() <= F.lit(watermark))
+        late = F.col(self.ts).isNull()
+        closed = self._closed_before(epoch)
+        if closed is not None:
+            late = late | (F.col(self.ts) < F.lit(closed))
         seen = Observation()
         marked = batch.withColumn("late", late).observe(seen, F.max(self.ts).alias("newest"))
         marked.write.mode("overwrite").partitionBy("late").parquet(f"{self.path}/rows/epoch={epoch}")
@@ -54,8 +56,13 @@ class LateSplit:
     def epochs(self) -> list[int]:
         return committed_numbers(self.spark, f"{self.path}/ledger", "n=")
 
-    def _window_end(self) -> Column:
-        return F.window(self.ts, f"{self.width} seconds").end
+    def _closed_before(self, epoch: int) -> datetime | None:
+        """The end of the last window that the watermark before ``epoch`` had closed."""
+        mark = self.watermark_before(epoch)
+        if mark is None:
+            return None
+        start, width = datetime(1970, 1, 1), timedelta(seconds=self.width)
+        return start + (mark - start) // width * width
 
     def rows(self) -> DataFrame:
         """All rows with their ``epoch`` and whether they were ``late``."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 MAX_HOT_KEYS = 200
 # Fewer rows than this are no burden to one task, whatever their share.
-HOT_ROWS = 1_000_000
+HOT_ROWS = 250_000
 
 
 def hot_hashes(rows: DataFrame, keys: list[str], share: float, at_least: int) -> list[int]:

@@ -16,6 +16,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting the rows in state would cost a read before every write.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     # One store per join partition instead of four.
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
@@ -42,11 +44,14 @@ def derive_streaming(spark: SparkSession) -> SparkSession:
 
     The number of state partitions is fixed in a query's checkpoint on its first run, so it is
     taken from the cluster's parallelism (or from ``spark.tidemark.state.partitions``) rather than
-    from whatever ``spark.sql.shuffle.partitions`` the caller uses for static jobs.
+    from whatever ``spark.sql.shuffle.partitions`` the caller uses for static jobs. State store
+    settings that the caller has made are kept.
     """
     session = derive(spark)
+    chosen = spark.conf.getAll
     for key, value in STATE_STORE.items():
-        session.conf.set(key, value)
+        if key not in chosen:
+            session.conf.set(key, value)
     partitions = spark.conf.get(STATE_PARTITIONS, None)
     session.conf.set("spark.sql.shuffle.partitions", partitions or str(spark.sparkContext.defaultParallelism))
     session.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")

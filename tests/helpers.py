@@ -2,8 +2,6 @@
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
-
 from tidemark import Source, Writer
 from tidemark.sources.definitions import read_live
 from tidemark.session import derive_streaming

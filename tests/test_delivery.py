@@ -1,9 +1,10 @@
 import pyarrow as pa
 import pytest
-from helpers import Feed, at, rows_of
+from helpers import Feed, rows_of
 from pyspark.sql import functions as F
 
-from tidemark import Catalog, Delivery, EventError, Journal, Listener, Runner, Sink, Stream, Subscription, drain, keyed, per_batch, start
+from tidemark import (Catalog, Delivery, EventError, Journal, Listener, Runner, Sink, Stream, Subscription, drain, keyed,
+                      per_batch)
 
 
 def test_frames_and_barriers(spark, root):

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.event_time import epoch_seconds, seconds_of
+from tidemark.functions.event_time import epoch_clock, interval
 from tidemark.operators.joins import check_distinct_names, check_join_keys
 from tidemark.operators.skew import HOT_ROWS, hot_hashes
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
-              tie: str, retention: str | None = None, hot_share: float = 0.01, hot_rows: int = HOT_ROWS, slices: int = 256) -> DataFrame:
+              tie: str, retention: str | None = None, hot_share: float = 0.01, hot_rows: int = HOT_ROWS,
+              slices: int = 256) -> DataFrame:
     """Left outer as-of join of static tables.
 
     Among right rows with the same key and time the greatest ``tie`` wins; a right row at exactly the
@@ -35,7 +36,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left
     order = Window.partitionBy(*keys).orderBy("_ts", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     carried = F.last("_right", ignorenulls=True).over(order)
     if retention is not None:
-        fresh = F.col("_found._at") >= F.col("_ts") - F.expr(f"INTERVAL '{seconds_of(retention)}' SECOND")
+        fresh = F.col("_found._at") >= F.col("_ts") - interval(retention)
         found = F.when(fresh, F.col("_found"))
     else:
         found = F.col("_found")
@@ -54,11 +55,11 @@ def _tagged(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str,
     tie_type = right.schema[tie].dataType
     probes = left.select(
         *l_keys, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(None).cast(tie_type).alias("_tie"),
-        F.xxhash64(*[l for l, _ in on]).alias("_hash"), epoch_seconds(left_ts, left).cast("double").alias("_clock"),
+        F.xxhash64(*[l for l, _ in on]).alias("_hash"), epoch_clock(left_ts, left).alias("_clock"),
         F.struct(*left.columns).alias("_left"))
     history = right.filter(usable).select(
         *r_keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"),
-        F.xxhash64(*[r for _, r in on]).alias("_hash"), epoch_seconds(right_ts, right).cast("double").alias("_clock"),
+        F.xxhash64(*[r for _, r in on]).alias("_hash"), epoch_clock(right_ts, right).alias("_clock"),
         F.struct(*right.columns, F.col(right_ts).alias("_at")).alias("_right"))
     return probes.unionByName(history, allowMissingColumns=True)
 

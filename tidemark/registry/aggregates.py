@@ -100,7 +100,8 @@ def wm_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(_hourly(read_live(catalog.streaming, source, heartbeats=True)), root)
 
 
-@query("SELECT 'totals' AS stream, count(*) AS input_rows, epoch_ms(date_trunc('milliseconds', max(ts) - INTERVAL 5 SECOND)) AS watermark_ms FROM events")
+@query("SELECT 'totals' AS stream, count(*) AS input_rows, "
+       "epoch_ms(date_trunc('milliseconds', max(ts) - INTERVAL 5 SECOND)) AS watermark_ms FROM events")
 def wm_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The watermark a query has reached, with the rows it read."""
     catalog = event_catalog(spark, sf_dir)
@@ -115,10 +116,13 @@ def _delayed_errors(top: int, turn: int):
     return (id_range(top, 3, turn) & ~error) | (id_range(top, 3, turn - 1) & error)
 
 
-@query("""WITH landed AS (SELECT *, event_id * 3 // (SELECT max(event_id) + 1 FROM events) + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS epoch FROM events),
-marks AS (SELECT epoch, date_trunc('milliseconds', max(max(ts)) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 5 SECOND) AS mark
+@query("""WITH landed AS (SELECT *, event_id * 3 // (SELECT max(event_id) + 1 FROM events)
+  + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS epoch FROM events),
+marks AS (SELECT epoch, date_trunc('milliseconds',
+  max(max(ts)) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 5 SECOND) AS mark
   FROM landed GROUP BY epoch)
-SELECT event_id, ts, event_type, epoch FROM landed JOIN marks USING (epoch) WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark""")
+SELECT event_id, ts, event_type, epoch FROM landed JOIN marks USING (epoch)
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark""")
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors arrive one turn late; those whose hour has closed by then go to the side output."""
     catalog = event_catalog(spark, sf_dir)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.joins import interval_join
-from tidemark.registry.base import EVENT_COLUMNS, event_catalog, land_in_turn, query
+from tidemark.registry.base import event_catalog, land_in_turn, query
 from tidemark.session import derive, workspace
 from tidemark.sources import conform
-from tidemark.sources.definitions import Catalog, Source, Stream, Table, read_live, read_static
+from tidemark.sources.definitions import Source, Stream, Table, read_live, read_static
 from tidemark.sources.inline import values
 from tidemark.sources.landing import Writer
 from tidemark.sources.tables import KeyedTable
@@ -207,7 +207,8 @@ def derived_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SELECT d.id, d.device FROM (SELECT event_id, user_id FROM events WHERE value > 10) AS d(id, device)")
 
 
-@query("""SELECT * FROM (VALUES ('source', 'events'), ('source', 'all_events')) k(kind, name), (SELECT count(*) AS row_count FROM events)
+@query("""SELECT 'source' AS kind, 'events' AS name, count(*) AS row_count FROM events
+UNION ALL SELECT 'source', 'all_events', count(*) FROM events
 UNION ALL SELECT 'stream', 'trades', count(*) FROM events WHERE event_type = 'purchase'
 UNION ALL SELECT 'stream', 'orders', count(*) FROM events WHERE event_type = 'click'
 UNION ALL SELECT 'stream', 'quotes', count(*) FROM events WHERE event_type = 'view'
@@ -226,7 +227,8 @@ def catalog_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT position, field, type_name, nullable, null_count FROM (VALUES
  (0, 'event_id', 'Int64', false), (1, 'ts', 'Timestamp(us)', false), (2, 'user_id', 'Int64', true),
- (3, 'event_type', 'Utf8', true), (4, 'value', 'Float64', true), (5, 'props', 'Utf8', true)) f(position, field, type_name, nullable)
+ (3, 'event_type', 'Utf8', true), (4, 'value', 'Float64', true), (5, 'props', 'Utf8', true))
+ f(position, field, type_name, nullable)
 JOIN (UNPIVOT (SELECT count(*) - count(event_id) AS event_id, count(*) - count(ts) AS ts, count(*) - count(user_id) AS user_id,
  count(*) - count(event_type) AS event_type, count(*) - count(value) AS value, count(*) - count(props) AS props FROM events)
  ON COLUMNS(*) INTO NAME field VALUE null_count) USING (field)""")

@@ -6,7 +6,7 @@ them never shifts a value.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -29,6 +29,11 @@ def interval(span: str | timedelta) -> Column:
     return F.expr(f"INTERVAL '{seconds_of(span)}' SECOND")
 
 
+def moment(at: datetime) -> Column:
+    """A zone-less timestamp literal; ``lit`` would shift it by the time zone of the driver's machine."""
+    return F.expr(f"TIMESTAMP_NTZ '{at.isoformat(sep=' ')}'")
+
+
 def epoch_seconds(ts: str, frame: DataFrame) -> Column:
     """Whole seconds since 1970, never decreasing with ``ts``; zone-less columns stay clear of the session time zone."""
     column = F.col(ts)

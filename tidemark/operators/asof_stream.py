@@ -14,7 +14,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.functions.event_time import as_wall_clock, interval
+from tidemark.functions.event_time import as_wall_clock, interval, moment
 from tidemark.operators.asof import asof_join
 from tidemark.operators.joins import check_distinct_names, check_join_keys
 from tidemark.plans.admission import WATERMARK_KEY, AdmissionError
@@ -66,7 +66,7 @@ class AsofStream:
         if before is not None:
             left = left.unionByName(self._kept(spark, "open", before[0], self.left_type))
             right = right.unionByName(self._kept(spark, "history", before[0], self.right_type))
-        mark = F.lit(now.mark).cast("timestamp_ntz")
+        mark = F.lit(None).cast("timestamp_ntz") if now.mark is None else moment(now.mark)
         final = F.coalesce(F.col(self.left_ts) < mark, F.lit(False))
         matched = asof_join(left.filter(final), right.filter(F.col(self.right_ts) < mark), self.on, self.left_ts,
                             self.right_ts, self.tie, self.retention)
@@ -104,7 +104,7 @@ class AsofStream:
         """Write the batch down once, so that later passes read only the columns and rows they need."""
         old = before[1] if before is not None else Progress()
         at = F.coalesce(F.col(f"_l.{self.left_ts}"), F.col(f"_r.{self.right_ts}"))
-        late = F.count_if(at.isNull() | F.coalesce(at < F.lit(old.mark).cast("timestamp_ntz"), F.lit(False)))
+        late = F.count_if(at.isNull() if old.mark is None else at.isNull() | (at < moment(old.mark)))
         seen = Observation()
         batch.observe(seen, F.max(f"_l.{self.left_ts}").alias("left_max"), F.max(f"_r.{self.right_ts}").alias("right_max"),
                       late.alias("late")).write.mode("overwrite").partitionBy("_side").parquet(
@@ -125,7 +125,7 @@ class AsofStream:
             rows = rows.filter(F.col(beat).isNull())
         rows = rows.filter(F.col(ts).isNotNull())
         if before is not None and before[1].mark is not None:
-            rows = rows.filter(F.col(ts) >= F.lit(before[1].mark).cast("timestamp_ntz"))
+            rows = rows.filter(F.col(ts) >= moment(before[1].mark))
         return rows
 
     def _kept(self, spark: SparkSession, what: str, epoch: int, schema: T.StructType) -> DataFrame:
@@ -135,7 +135,7 @@ class AsofStream:
         """What later left rows may need: right rows from the watermark on and, per key, the last one before it."""
         if mark is None:
             return right
-        at = F.lit(mark).cast("timestamp_ntz")
+        at = moment(mark)
         ahead = right.filter(F.col(self.right_ts) >= at)
         recent = right.filter((F.col(self.right_ts) < at) & (F.col(self.right_ts) >= at - interval(self.retention)))
         newest = [F.col(self.right_ts).desc(), F.col(self.tie).desc()]

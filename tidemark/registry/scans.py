@@ -243,7 +243,8 @@ def describe_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.join(nulls, "field").select("position", "field", "type_name", "nullable", "null_count")
 
 
-@query("""SELECT 'events' AS source, count(*) AS rows_in, epoch_ms(date_trunc('milliseconds', max(ts) - INTERVAL 5 SECOND)) AS watermark_ms FROM events
+@query("""SELECT 'events' AS source, count(*) AS rows_in,
+  epoch_ms(date_trunc('milliseconds', max(ts) - INTERVAL 5 SECOND)) AS watermark_ms FROM events
 UNION ALL SELECT 'all_events', count(*), NULL FROM events""")
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in and watermark per source."""

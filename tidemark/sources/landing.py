@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tidemark.functions.event_time import as_wall_clock, seconds_of
+from tidemark.functions.event_time import as_wall_clock, moment, seconds_of
 from tidemark.session import make_dir
 from tidemark.sources.conform import check_batch_schema, conform_or_fail, not_null_guard, rejects_as_errors
 from tidemark.sources.definitions import HEARTBEAT, WRITER_CLOSED, EventError, Source, declared_columns
@@ -77,10 +77,9 @@ class Writer:
         if self._watermark_ms is not None and at_ms <= self._watermark_ms:
             return
         ts, delay = self.source.watermark
-        moment = datetime.fromtimestamp(0, timezone.utc).replace(tzinfo=None)
+        event_time = moment(datetime(1970, 1, 1) + timedelta(milliseconds=at_ms, seconds=seconds_of(delay)))
         beat = self.spark.range(1).select(
-            *[(F.lit(moment).cast("timestamp_ntz") + F.expr(f"INTERVAL '{at_ms / 1000 + seconds_of(delay):.3f}' SECOND")
-               if f.name == ts else F.lit(None).cast(f.spark_type)).alias(f.name) for f in self.source.fields],
+            *[(event_time if f.name == ts else F.lit(None).cast(f.spark_type)).alias(f.name) for f in self.source.fields],
             F.lit(True).alias(HEARTBEAT))
         beat.write.mode("append").parquet(self.source.path)
         self._watermark_ms = at_ms

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tidemark.functions.event_time import seconds_of
+from tidemark.functions.event_time import moment, seconds_of
 from tidemark.session import committed_numbers
 
 
@@ -29,7 +29,7 @@ class LateSplit:
         late = F.col(self.ts).isNull()
         closed = self._closed_before(epoch)
         if closed is not None:
-            late = late | (F.col(self.ts) < F.lit(closed))
+            late = late | (F.col(self.ts) < moment(closed))
         seen = Observation()
         marked = batch.withColumn("late", late).observe(seen, F.max(self.ts).alias("newest"))
         marked.write.mode("overwrite").partitionBy("late").parquet(f"{self.path}/rows/epoch={epoch}")

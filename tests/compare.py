@@ -52,8 +52,9 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 
 def compare(spark, db, name: str, sf_dir: str) -> str | None:
     """None if Spark and DuckDB agree, else what differs."""
-    from tidemark.registry import ORACLE, QUERIES
-    frame = QUERIES[name](spark, sf_dir)
+    import __spark_entry__
+    ORACLE = __spark_entry__.oracle_sql()
+    frame = __spark_entry__.queries()[name](spark, sf_dir)
     got_columns, got = rows_of(frame.columns, frame.collect())
     if name not in ORACLE:
         return None if got else "no rows"
@@ -72,11 +73,11 @@ def compare(spark, db, name: str, sf_dir: str) -> str | None:
 
 
 if __name__ == "__main__":
-    from tidemark.registry import QUERIES
+    import __spark_entry__
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark, db = session(), connect(sf)
     bad = 0
-    for query in sys.argv[2:] or list(QUERIES):
+    for query in sys.argv[2:] or list(__spark_entry__.queries()):
         began = time.time()
         try:
             problem = compare(spark, db, query, sf)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import licenses, linededup
+from tidemark.llm import langid, licenses, linededup, quality, secretscan
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,29 @@ def _license_sql() -> str:
     FROM base LEFT JOIN met USING (r)"""
 
 
+@query()
+def op4_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document: fixed patterns, and values in context that are costly to guess."""
+    return secretscan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of each document, learned from three quarters of the labels."""
+    docs, held_out = table(spark, sf_dir, "documents"), langid.id_remainder(F.col("doc_id"), 4) == 2
+    model = quality.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query()
+def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, learned from two thirds of them."""
+    docs, held_out = table(spark, sf_dir, "documents"), langid.id_remainder(F.col("doc_id"), 3) == 1
+    model = langid.learn(docs.where(~held_out))
+    found = langid.predict(docs, model, keep=["doc_id"]).select("row.doc_id", "lang_pred", "score", "ambiguous")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @query(_license_sql())
 def op8_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template notices in each document."""

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import langid, licenses, linededup, quality, secretscan
+from tidemark.llm import langid, licenses, linededup, pieces, quality, secretscan, topk
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +73,12 @@ def op4_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_unigram_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The piece ids of each document, and whether they decode to its text."""
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query()
 def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score of each document, learned from three quarters of the labels."""
@@ -80,6 +87,19 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query("""
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+    ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
+    SELECT * FROM ranked WHERE rank <= 5""")
+def op9_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of each query."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each document, learned from two thirds of them."""

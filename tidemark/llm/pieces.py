@@ -5,8 +5,8 @@ were made for. Blanks become the marker ``▁``, one marker goes in front, and n
 segmentation has the largest sum of scores; a character that is no piece costs the smallest score less 10 and is
 written as the pieces of its bytes; of equal sums the one found from the earlier start wins.
 
-A text is cut before each marker that follows another character. No piece spans such a place (checked when the
-model is read), so the parts' segmentations make up the text's. Parts of a slice that are not yet known are segmented
+A text is cut before each marker that follows another character, and around line ends. No piece spans such a place (checked
+when the model is read), so the parts' segmentations make up the text's. Parts of a slice that are not yet known are segmented
 together in NumPy; results stay in a table of bounded size.
 
 Defined cases: a null text is an empty one, which has no ids; decoding turns markers back into blanks, so a text that holds ``▁``
@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import map_slices, texts
 
 MARK = "▁"
-PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-KNOWN = 300_000  # parts a worker remembers
+PART = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+KNOWN = 400_000  # parts a worker remembers
 LONG = 96  # bytes from which a part is segmented by itself
 
 
@@ -85,9 +85,9 @@ class Pieces:
         size = model.get_piece_size()
         names = [model.id_to_piece(i) for i in range(size)]
         plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-        spans = [names[i] for i in plain if re.search(f"[^{MARK}]{MARK}", names[i])]
+        spans = [names[i] for i in plain if re.search(f"[^{MARK}]{MARK}|\n", names[i])]
         if spans:
-            raise ValueError(f"pieces that go over a marker: {spans[:3]}")
+            raise ValueError(f"pieces that go over a marker or a line: {spans[:3]}")
         self.scores = np.array([model.get_score(i) for i in range(size)], np.float64)
         self.trie = Trie({names[i].encode(): i for i in plain})
         self.bytes = {int(names[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
@@ -126,10 +126,13 @@ class Pieces:
     def _learn(self, parts: list[str]) -> None:
         coded = [p.encode() for p in parts]
         short = [i for i, data in enumerate(coded) if len(data) < LONG]
-        for at in range(0, len(short), 4096):
-            group = short[at:at + 4096]
-            for i, ids in zip(group, self._segment_many([coded[i] for i in group]), strict=True):
-                self.known[parts[i]] = np.array(ids, np.int32).tobytes()
+        for at in range(0, len(short), 8192):
+            group = short[at:at + 8192]
+            flat, ends = self._segment_many([coded[i] for i in group])
+            raw, start = flat.tobytes(), 0
+            for i, end in zip(group, (4 * ends).tolist(), strict=True):
+                self.known[parts[i]] = raw[start:end]
+                start = end
         for i, data in enumerate(coded):
             if len(data) >= LONG:
                 self.known[parts[i]] = np.array(self.segment(data), np.int32).tobytes()
@@ -165,58 +168,65 @@ class Pieces:
             end = start
         return ids[::-1]
 
-    def _segment_many(self, many: list[bytes]) -> list[list[int]]:
-        """Viterbi over short parts at once: position by position, all parts that are still going."""
+    def _segment_many(self, many: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Viterbi over short parts at once, position by position: all ids, and where each part's end."""
         base, check, leaf, scores = self.trie.base, self.trie.check, self.trie.leaf, self.scores
         lengths = np.array([len(d) for d in many])
         n, longest = len(many), int(lengths.max(initial=0))
-        grid = np.frombuffer(b"".join(d.ljust(longest + 1, b"\0") for d in many), np.uint8).reshape(n, longest + 1)
+        grid = np.frombuffer(b"".join([d.ljust(longest, b"\0") for d in many]), np.uint8).reshape(n, longest).T.astype(np.int32)
         starts = (grid & 0xC0) != 0x80
-        best = np.full((n, longest + 1), -np.inf)
-        best[:, 0] = 0
-        back, piece_at = np.zeros((n, longest + 1), np.int32), np.full((n, longest + 1), -1, np.int32)
+        best = np.full((longest + 1, n), -np.inf)
+        best[0] = 0
+        back, piece_at = np.zeros((longest + 1, n), np.int32), np.full((longest + 1, n), -1, np.int32)
         for i in range(longest):
-            rows = np.nonzero((lengths > i) & starts[:, i])[0]
+            rows = np.nonzero((lengths > i) & starts[i])[0]
             if not len(rows):
                 continue
             width = np.ones(len(rows), np.int64)
-            for step in (1, 2, 3):
-                inside = (i + step < lengths[rows]) & (width == step)
-                inside[inside] = ~starts[rows[inside], i + step]
-                width += inside
-            alone = np.zeros(n, bool)
-            end_of_first = np.zeros(n, np.int64)
-            end_of_first[rows] = i + width
+            for step in range(1, min(4, longest - i)):
+                width += (width == step) & (i + step < lengths[rows]) & ~starts[i + step][rows]
+            first_end = np.zeros(n, np.int64)
+            first_end[rows] = i + width
+            alone, sums_here = np.zeros(n, bool), best[i]
             going, state = rows, np.zeros(len(rows), np.int32)
             for j in range(i, longest):
-                following = base[state] + grid[going, j] + 1
-                on = (check[following] == state) & (lengths[going] > j)
+                following = base[state] + grid[j][going] + 1
+                on = check[following] == state
+                if j > i:
+                    on &= lengths[going] > j
                 going, state = going[on], following[on]
                 if not len(going):
                     break
                 piece = leaf[state]
                 has = piece >= 0
-                ended, with_piece = going[has], piece[has]
-                alone[ended] |= end_of_first[ended] == j + 1
-                sums = best[ended, i] + scores[with_piece]
-                better = sums > best[ended, j + 1]
+                ended, piece = going[has], piece[has]
+                alone[ended] |= first_end[ended] == j + 1
+                sums = sums_here[ended] + scores[piece]
+                better = sums > best[j + 1][ended]
                 ended = ended[better]
-                best[ended, j + 1], back[ended, j + 1], piece_at[ended, j + 1] = sums[better], i, with_piece[better]
+                best[j + 1][ended], back[j + 1][ended], piece_at[j + 1][ended] = sums[better], i, piece[better]
             lone = rows[~alone[rows]]
-            ends = end_of_first[lone]
-            sums = best[lone, i] + self.unknown_score
-            better = sums > best[lone, ends]
+            ends = first_end[lone]
+            sums = sums_here[lone] + self.unknown_score
+            better = sums > best[ends, lone]
             lone, ends = lone[better], ends[better]
-            best[lone, ends], back[lone, ends], piece_at[lone, ends] = sums[better], i, -1
-        found, at, back_rows, piece_rows = [], lengths.tolist(), back.tolist(), piece_at.tolist()
-        for row, end in enumerate(at):
-            ids = []
-            while end:
-                start, piece = back_rows[row][end], piece_rows[row][end]
-                ids += [piece] if piece >= 0 else self._fallback(many[row][start:end])[::-1]
-                end = start
-            found.append(ids[::-1])
-        return found
+            best[ends, lone], back[ends, lone], piece_at[ends, lone] = sums[better], i, -1
+        steps, rows, at = [], np.arange(n), lengths.copy()
+        while len(rows):
+            steps.append((rows, piece_at[at, rows]))
+            at = back[at, rows]
+            rows, at = rows[at > 0], at[at > 0]
+        counts = np.bincount(np.concatenate([r for r, _ in steps]), minlength=n)
+        ends = np.cumsum(counts)
+        flat = np.empty(ends[-1], np.int32)
+        for k, (rows, ids) in enumerate(steps):
+            flat[ends[rows] - 1 - k] = ids
+        rest, done = [], 0
+        for row in np.unique(np.searchsorted(ends, np.nonzero(flat < 0)[0], side="right")):  # parts with characters that are no pieces
+            ids = np.array(self.segment(many[row]), np.int32)
+            rest += [flat[done:ends[row] - counts[row]], ids]
+            done, counts[row] = ends[row], len(ids)
+        return np.concatenate([*rest, flat[done:]]), np.cumsum(counts)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

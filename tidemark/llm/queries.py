@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import langid, licenses, linededup, pieces, quality, secretscan, topk
+from tidemark.llm import grammar, langid, licenses, linededup, pieces, quality, secretscan, topk
 from tidemark.llm.common import table
+from tidemark.session import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,6 +68,14 @@ def _license_sql() -> str:
     FROM base LEFT JOIN met USING (r)"""
 
 
+@query()
+def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as grammar-compressed shards and read back."""
+    path = workspace(spark, "shards")
+    grammar.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return grammar.read_shards(spark, path)
+
+
 @query()
 def op4_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document: fixed patterns, and values in context that are costly to guess."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import grammar, langid, licenses, linededup, pieces, quality, secretscan, topk
+from tidemark.llm import decontam, grammar, langid, licenses, linededup, pieces, quality, secretscan, topk
 from tidemark.llm.common import table
 from tidemark.session import workspace
 
@@ -76,6 +76,15 @@ def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read_shards(spark, path)
 
 
+@query()
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items in each document, and the longest stretch in tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", (F.size("found") > 0).alias("contaminated"), F.array_distinct("found.item_id").alias("item_ids"),
+                        F.coalesce(F.array_max("found.tokens"), F.lit(0)).alias("longest"))
+
+
 @query()
 def op4_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document: fixed patterns, and values in context that are costly to guess."""

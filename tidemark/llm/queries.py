@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontam, grammar, langid, licenses, linededup, pieces, quality, secretscan, topk
+from tidemark.llm import decontam, grammar, langid, licenses, linededup, neardup, pieces, quality, secretscan, topk
 from tidemark.llm.common import table
 from tidemark.session import workspace
 
@@ -76,6 +76,12 @@ def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read_shards(spark, path)
 
 
+@query()
+def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of each document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items in each document, and the longest stretch in tokens."""

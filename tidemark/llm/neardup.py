@@ -223,4 +223,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with the smallest ``doc_id``, with the same columns."""
     gone = stash(near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")

@@ -5,11 +5,12 @@ five words (with fewer words, all of them as one). Two documents are linked if `
 
 Equal sets are one class, of which the smallest ``doc_id`` stands for all. Each class has ``HASHES`` minimum hashes.
 ``TREES`` orders of these hashes make a forest: in a tree, classes whose first hashes agree form a region. A region of more
-than ``REGION`` classes is split by one more hash, and so on down its branch, so depth adapts to how crowded the region
-is; within a region every class is compared with every other by the sketch of all its hashes, in one task of bounded
-size. Classes that agree in all hashes, and are still too many, are compared with the smallest of them.
-Pairs whose sketch may come from linked sets (four standard deviations of slack) are candidates: first each class's two best
-are confirmed on the full sets, then all others that lie in different components by then.
+than ``REGION`` classes or ``REGION_SHINGLES`` shingles is split by one more hash, and so on down its branch, so depth adapts to how
+crowded the region is; within a region every class is compared with every other by the sketch of all its hashes, in one task of
+bounded size. Pairs whose sketch may come from linked sets (four standard deviations of slack) are candidates, in the first tree that
+has them together. A second pass brings the texts of the classes with candidates to their regions and confirms candidates on
+the full sets, leaving out pairs that confirmed links connect already; so neither pass makes a row for each pair.
+Classes that agree in all hashes, and are still too many, are compared with the smallest of them.
 
 A linked pair (similarity 0.85 or more) misses all 16 trees at depth 3 with a chance under 3e-7, at depth 4 under 1e-5, at
 depth 6 under 3e-4; a region has to hold thousands of half-similar classes to go that deep.
@@ -31,7 +32,7 @@ from tidemark.llm.components import components
 WORDS, PERCENT = 5, 85
 HASHES, TREES = 256, 16
 DEPTHS = (3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256)
-REGION = 1024
+REGION, REGION_SHINGLES = 1024, 8 << 20
 LEAST_SAME = int(HASHES * 0.85 - 4 * (HASHES * 0.85 * 0.15) ** 0.5)  # of the sketch, four standard deviations below 0.85
 
 _RNG = np.random.default_rng(5)
@@ -92,18 +93,19 @@ def _branch(sig: Column, tree: Column, depth: int) -> Column:
 
 
 def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``branch, rep`` of all regions that fit, and (``a, b``) of what agrees in all hashes and doesn't fit."""
+    """``branch, tree, rep`` of all regions that fit, and (``a, b``) of what agrees in all hashes and doesn't fit."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    rows, fitting = classes.select("rep", "sig", tree), []
+    rows, fitting = classes.select("rep", "size", "sig", tree), []
+    fits = (F.col("classes") <= REGION) & (F.col("shingles") <= REGION_SHINGLES)
     for depth in DEPTHS:
-        branches = rows.select(_branch(F.col("sig"), F.col("tree"), depth).alias("branch"), "rep", "tree")
-        sizes = branches.groupBy("branch").agg(F.count("*").alias("size")).where("size > 1")
-        level = stash(branches.join(sizes, "branch"), f"forest-{depth}")
-        fitting.append(level.where(F.col("size") <= REGION).select("branch", "rep"))
-        crowded = level.where(F.col("size") > REGION)
+        branches = rows.select(_branch(F.col("sig"), F.col("tree"), depth).alias("branch"), "rep", "tree", "size")
+        sizes = branches.groupBy("branch").agg(F.count("*").alias("classes"), F.sum("size").alias("shingles")).where("classes > 1")
+        level = stash(branches.drop("size").join(sizes, "branch"), f"forest-{depth}")
+        fitting.append(level.where(fits).select("branch", "tree", "rep"))
+        crowded = level.where(~fits)
         if crowded.isEmpty():
             break
-        rows = crowded.select("rep", "tree").join(classes, "rep").select("rep", "sig", "tree")
+        rows = crowded.select("rep", "tree").join(classes, "rep").select("rep", "size", "sig", "tree")
     regions = fitting[0]
     for more in fitting[1:]:
         regions = regions.union(more)
@@ -111,77 +113,122 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return regions, crowded.join(heads, "branch").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
 
 
-def _compare(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray):
-    """For each class of a region its partners with a larger id: (id, [(hashes that agree, partner)])."""
-    for i in range(len(ids) - 1):
-        rest = slice(i + 1, None)
-        fit = (np.minimum(sizes[rest], sizes[i]) * 100 >= np.maximum(sizes[rest], sizes[i]) * PERCENT) & (ids[rest] != ids[i])
-        at = np.nonzero(fit)[0]
-        if not len(at):
+def _whole_regions(batches):
+    """Tables of whole regions, from rows sorted by ``branch``; a region may go over several batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        first, final = held[0].column("branch")[0].as_py(), batch.column("branch")[-1].as_py()
+        if first == final:
             continue
-        same = (sketches[rest][at] == sketches[i]).sum(axis=1)
-        good = same >= LEAST_SAME
-        if good.any():
-            yield int(ids[i]), same[good], ids[rest][at[good]]
+        table = pa.Table.from_batches(held)
+        whole = int(np.searchsorted(table.column("branch").to_numpy(), final))
+        yield table.slice(0, whole)
+        held = table.slice(whole).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
 
 
-_PARTNERS = pa.list_(pa.struct([("same", pa.int32()), ("b", pa.int64())]))
+def _cuts(branch: np.ndarray) -> list[tuple[int, int]]:
+    edges = [0, *(np.nonzero(np.diff(branch))[0] + 1).tolist(), len(branch)]
+    return list(zip(edges[:-1], edges[1:], strict=True))
 
 
-def _partners(regions: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, partners``: the classes with a larger id whose sketch is close enough, from all trees."""
-    rows = (regions.join(classes.select("rep", "size", F.substring("sig", 1, HASHES).alias("sketch")), "rep")
-            .repartition("branch").sortWithinPartitions("branch", "rep").select("branch", "rep", "size", "sketch"))
+def _candidates(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, branches: np.ndarray, tree: int) -> list[tuple[int, np.ndarray]]:
+    """For places in a region the later places whose sketch is close enough, unless an earlier tree has the two in a region too."""
+    found = []
+    for i in range(len(ids) - 1):
+        rest = slice(i + 1, None)
+        fit = (np.minimum(sizes[rest], sizes[i]) * 100 >= np.maximum(sizes[rest], sizes[i]) * PERCENT) & (ids[rest] != ids[i])
+        fit &= ~((branches[rest, :tree] == branches[i, :tree]) & (branches[i, :tree] != 0)).any(axis=1)
+        at = np.nonzero(fit)[0] + i + 1
+        at = at[(sketches[at] == sketches[i]).sum(axis=1) >= LEAST_SAME]
+        if len(at):
+            found.append((i, at))
+    return found
+
+
+def _involved(regions: DataFrame, classes: DataFrame) -> DataFrame:
+    """``branch, rep, partners``: the classes of each region that have candidates there, each pair at one of the two, in one tree."""
+    number = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.coalesce(F.try_element_at("by_tree", t), F.lit(0).cast("long")))
+    one = F.when(F.min("branch") == F.max("branch"), F.min("branch")).otherwise(0)  # a rep with several classes may be in two
+    forest = (regions.groupBy("rep", "tree").agg(one.alias("branch")).groupBy("rep")
+              .agg(F.map_from_entries(F.collect_list(F.struct("tree", "branch"))).alias("by_tree")).select("rep", number.alias("branches")))
+    rows = (regions.join(forest, "rep").join(classes.select("rep", "size", F.substring("sig", 1, HASHES).alias("sketch")), "rep")
+            .repartition("branch").sortWithinPartitions("branch", "rep").select("branch", "tree", "rep", "size", "sketch", "branches"))
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-
-        def out(table: pa.Table):
-            branch = table.column("branch").to_numpy()
+        for table in _whole_regions(batches):
+            branch, tree = table.column("branch").to_numpy(), table.column("tree").to_numpy()
             ids, sizes = table.column("rep").to_numpy(), table.column("size").to_numpy()
             sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
-            cuts = np.concatenate([[0], np.nonzero(np.diff(branch))[0] + 1, [len(branch)]])
-            owners, same, partners, ends = [], [], [], [0]
-            for first, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                for owner, s, p in _compare(ids[first:stop], sizes[first:stop], sketches[first:stop]):
-                    owners.append(owner)
-                    same.append(s)
-                    partners.append(p)
-                    ends.append(ends[-1] + len(p))
-            items = pa.StructArray.from_arrays([pa.array(np.concatenate(same).astype(np.int32)), pa.array(np.concatenate(partners))], names=["same", "b"]) if owners else None
-            if owners:
-                yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)], names=["a", "partners"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            branch = table.column("branch").to_numpy()
-            whole = int(np.searchsorted(branch, branch[-1]))  # the last region may go on in the next batch
-            if whole:
-                yield from out(table.slice(0, whole))
-                held = table.slice(whole).combine_chunks().to_batches()
-        if held:
-            yield from out(pa.Table.from_batches(held))
-
-    found = rows.mapInArrow(run, "a long, partners array<struct<same: int, b: bigint>>")
-    return found.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))  # at most TREES * REGION of them
-
-
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+            paths = table.column("branches").combine_chunks().flatten().to_numpy().reshape(-1, TREES)
+            out: dict[tuple[int, int], list[int]] = {}
+            for a, b in _cuts(branch):
+                for i, at in _candidates(ids[a:b], sizes[a:b], sketches[a:b], paths[a:b], int(tree[a])):
+                    key = int(branch[a])
+                    out.setdefault((key, int(ids[a + i])), []).extend(ids[a + at].tolist())
+                    for partner in ids[a + at].tolist():
+                        out.setdefault((key, partner), [])
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([r for _, r in out], pa.int64()),
+                                              pa.array(list(out.values()), pa.list_(pa.int64()))], names=["branch", "rep", "partners"])
+
+    return rows.mapInArrow(run, "branch long, rep long, partners array<bigint>")
+
+
+def _own_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents in ``ids`` (``doc_id``)."""
+    ids = stash(ids.distinct(), "ids")
+    return stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi"), "texts")
+
+
+def _confirm_regions(involved: DataFrame, docs: DataFrame) -> DataFrame:
+    """``a, b``: links between the classes of each region that connect all that are linked there, confirmed on their full sets.
+
+    A candidate pair that other links of the region connect already needs no test, so a region gives fewer links than it has classes.
+    """
+    own = _own_texts(docs, involved.select(F.col("rep").alias("doc_id")))
+    rows = (involved.join(own, F.col("rep") == F.col("doc_id")).repartition("branch").sortWithinPartitions("branch", "rep")
+            .select("branch", "rep", "partners", "text"))
+
+    def run(batches):
+        for table in _whole_regions(batches):
+            ids, partners, bodies = (table.column(c).to_pylist() for c in ("rep", "partners", "text"))
+            left, right = [], []
+            for first, stop in _cuts(table.column("branch").to_numpy()):
+                sets: dict[int, list[np.ndarray]] = {}
+                parent: dict[int, int] = {}
+                for i in range(first, stop):
+                    sets.setdefault(ids[i], []).append(shingles(bodies[i]))
+
+                def find(x: int) -> int:
+                    while parent.setdefault(x, x) != x:
+                        parent[x] = parent[parent[x]]
+                        x = parent[x]
+                    return x
+
+                for i in range(first, stop):
+                    for other in partners[i]:
+                        a, b = find(ids[i]), find(other)
+                        if a != b and any(linked(x, y) for x in sets[ids[i]] for y in sets.get(other, [])):
+                            parent[max(a, b)] = min(a, b)
+                            left.append(ids[i])
+                            right.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _confirm_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (``a, b``) whose full sets are linked."""
-    pairs = stash(pairs, "pairs")
-    ends = stash(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
-    own = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ends, "doc_id", "left_semi"), "texts")
+    own = _own_texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     sides = [own.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")) for side in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
 
     def of(piece):
-        sets: dict[str, np.ndarray] = {}
-        for text in {*texts(piece, "text_a"), *texts(piece, "text_b")}:
-            sets[text] = shingles(text)
-        keep = [linked(sets[x], sets[y]) for x, y in zip(texts(piece, "text_a"), texts(piece, "text_b"), strict=True)]
+        keep = [linked(shingles(x), shingles(y)) for x, y in zip(texts(piece, "text_a"), texts(piece, "text_b"), strict=True)]
         kept = piece.filter(pa.array(keep, pa.bool_()))
         return [kept.column("a"), kept.column("b")]
 
@@ -196,21 +243,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = stash(whole.select("doc_id", "set_id").join(classes.select("set_id", "rep"), "set_id").select("doc_id", "rep"), "members")
 
     regions, alike = _regions(classes)
-    partners = stash(_partners(regions, classes), "partners")
-    best = F.slice(F.sort_array("partners", asc=False), 1, 2)
-    first = partners.select("a", F.explode(best.getField("b")).alias("b")).union(alike)
+    links = _confirm_regions(stash(_involved(stash(regions.distinct(), "regions"), classes), "involved"), docs)
     # A doc_id with several texts is in several classes.
     several = members.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b <> most").select("doc_id", "b")
-    sure = stash(_confirm(first, docs).union(members.join(several, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()), "links")
-    group = stash(components(sure), "first-groups")
-
-    pairs = partners.select("a", F.explode("partners.b").alias("b"))
-    side = [group.select(F.col("vertex").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab"]
-    apart = (pairs.join(side[0], "a", "left").join(side[1], "b", "left")
-             .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
-    tested = first.select("a", "b")
-    links = sure.union(_confirm(apart.join(tested, ["a", "b"], "left_anti"), docs))
-    group = stash(components(links), "groups")
+    same = members.join(several, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    group = stash(components(links.union(same).union(_confirm_pairs(stash(alike, "alike"), docs))), "groups")
 
     named = members.distinct().join(group, F.col("rep") == F.col("vertex"), "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "rep")).alias("component_id"))

@@ -53,7 +53,7 @@ def test_subscription_resumes_lags_and_falls_behind(spark, root):
     assert consumer.poll() is None
     slow = Subscription(journal, 0)
     journal.expire(before=3)
-    with pytest.raises(EventError, match="fell behind by 2 entries") as error:
+    with pytest.raises(EventError, match="2 epochs expired") as error:
         slow.poll()
     assert error.value.code == 500
     with pytest.raises(EventError) as error:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators.aggregates import keyed, tumble
 from tidemark.registry.base import event_catalog, land_in_turn, query
@@ -117,14 +117,30 @@ FROM (SELECT -1::BIGINT AS cursor UNION ALL SELECT epoch FROM e) c LEFT JOIN e O
 def frames_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far behind a consumer is at each position it can have."""
     journal = _journal(spark, sf_dir, "frames_lag", ["event_id"])
-    pending = None
-    for cursor in [-1, *journal.epochs()]:
-        behind = Subscription(journal, cursor).lag()
-        part = journal.barriers().filter(F.col("epoch") > cursor).agg(
-            F.lit(cursor).cast("bigint").alias("cursor"), F.lit(behind).cast("bigint").alias("lag"),
-            F.coalesce(F.sum("row_count"), F.lit(0)).alias("pending_rows"))
-        pending = part if pending is None else pending.unionByName(part)
-    return pending
+    barriers = journal.barriers().select("epoch", "row_count")
+    # A position before the first epoch, and one at each; a row stands for each epoch, so the sum runs over few rows.
+    after = Window.orderBy("cursor").rowsBetween(1, Window.unboundedFollowing)
+    places = barriers.select(F.col("epoch").alias("cursor"), "row_count", F.lit(1).alias("one")).unionByName(
+        spark.range(1).select(F.lit(-1).cast("bigint").alias("cursor"), F.lit(0).cast("bigint").alias("row_count"), F.lit(0).alias("one")))
+    return places.select("cursor", F.coalesce(F.sum("one").over(after), F.lit(0)).cast("bigint").alias("lag"),
+                         F.coalesce(F.sum("row_count").over(after), F.lit(0)).cast("bigint").alias("pending_rows"))
+
+
+@query("SELECT user_id, max(value) AS best FROM events GROUP BY user_id")
+def journal_after_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An updated table read after its old epochs were compacted into a base and dropped."""
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, "journal_after_expiry")
+    journal = Journal(catalog.spark, f"{root}/journal")
+    best = lambda source: keyed(read_live(catalog.streaming, source), ["user_id"], best=F.max("value"))
+
+    def turn(source):
+        drain(best(source), journal, f"{root}/checkpoint", "update")
+        if len(journal.epochs()) == 2:
+            journal.compact(["user_id"])
+            journal.expire(journal.epochs()[-1] + 1, keyed=True)
+    land_in_turn(catalog, root, 3, turn)
+    return journal.latest(["user_id"])
 
 
 class CountingListener(Listener):

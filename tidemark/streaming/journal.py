@@ -66,26 +66,49 @@ class Journal:
         if not epochs:
             raise EventError(SUBSCRIPTION_FAILED, f"nothing has been delivered to {self.path}")
         last = epochs[-1] if through is None else min(through, epochs[-1])
-        rows = self.spark.read.option("basePath", f"{self.path}/data").parquet(f"{self.path}/data")
-        epoch = F.col("epoch").cast("bigint")
-        return rows.withColumn("epoch", epoch).filter((epoch > after) & (epoch <= last))
+        return self._rows([e for e in epochs if after < e <= last] or epochs[-1:]).filter((F.col("epoch") > after) & (F.col("epoch") <= last))
+
+    def _rows(self, epochs: list[int]) -> DataFrame:
+        """Rows of the given epochs; only their folders are listed, and one file tells the schema."""
+        schema = self.spark.read.parquet(f"{self.path}/data/epoch={epochs[-1]}").schema.add("epoch", "long")
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*[f"{self.path}/data/epoch={e}" for e in epochs])
+
+    def _base(self) -> int | None:
+        """The last epoch that a compacted base takes in."""
+        done = committed_numbers(self.spark, f"{self.path}/base", "through=")
+        return done[-1] if done else None
 
     def latest(self, key: list[str]) -> DataFrame:
-        """The newest row per key: what the rows amount to when each epoch holds changed keys."""
-        return latest_per_key(self.batches(), key, [F.col("epoch").desc()]).drop("epoch")
+        """The newest row per key: the compacted base, if there is one, and the epochs after it."""
+        base = self._base()
+        if base is None:
+            return latest_per_key(self.batches(), key, [F.col("epoch").desc()]).drop("epoch")
+        rows = self.spark.read.parquet(f"{self.path}/base/through={base}").withColumn("epoch", F.lit(base).cast("bigint"))
+        newer = [e for e in self.epochs() if e > base]
+        if newer:
+            rows = rows.unionByName(self._rows(newer))
+        return latest_per_key(rows, key, [F.col("epoch").desc()]).drop("epoch")
 
     def newest_epoch(self) -> DataFrame:
         """The rows of the last epoch: the whole result when each epoch holds all of it."""
         last = self.epochs()[-1]
         return self.batches(last - 1, last).drop("epoch")
 
-    def compact(self, key: list[str], path: str) -> None:
-        """Write the newest row per key elsewhere, so that old epochs can be dropped."""
-        self.latest(key).write.mode("overwrite").parquet(path)
-
-    def expire(self, before: int) -> None:
-        """Drop the rows and barriers of epochs below ``before``."""
-        for epoch in [e for e in self.epochs() if e < before]:
+    def compact(self, key: list[str]) -> None:
+        """Write the newest row per key as the base that ``latest`` starts from, so that old epochs can be dropped."""
+        epochs, base = self.epochs(), self._base()
+        if not epochs or base == epochs[-1]:
+            return
+        self.latest(key).write.mode("overwrite").parquet(f"{self.path}/base/through={epochs[-1]}")
+        if base is not None:
+            remove(self.spark, f"{self.path}/base/through={base}")
+
+    def expire(self, before: int, keyed: bool = False) -> None:
+        """Drop the rows and barriers of epochs below ``before``; of a ``keyed`` journal only those that its base takes in."""
+        gone = [e for e in self.epochs() if e < before]
+        if keyed and gone and gone[-1] > (-1 if self._base() is None else self._base()):
+            raise EventError(SUBSCRIPTION_FAILED, f"epoch {gone[-1]} of {self.path} is in no base yet: compact first")
+        for epoch in gone:
             remove(self.spark, f"{self.path}/data/epoch={epoch}")
             remove(self.spark, f"{self.path}/barriers/n={epoch}")
 
@@ -116,7 +139,7 @@ class Subscription:
         missing = pending[0] - self.cursor - 1
         if missing > 0:
             self._closed = True
-            raise EventError(SUBSCRIPTION_FAILED, f"subscription fell behind by {missing} entries")
+            raise EventError(SUBSCRIPTION_FAILED, f"{missing} epochs expired before they were read")
         return self.journal.batches(self.cursor, pending[-1])
 
     def acknowledge(self, through_epoch: int) -> None:

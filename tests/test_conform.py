@@ -5,6 +5,7 @@ import pytest
 from helpers import Feed, at, frame, rows_of
 
 from tidemark import EventError, Source, Writer, conform_or_fail, conform_rows
+from tidemark.session import derive
 from tidemark.sources.conform import rejects_as_errors
 from tidemark.sources.definitions import read_static
 
@@ -46,8 +47,8 @@ def test_nulls_unknown_keys_and_broken_rows(spark):
     split = check(spark, "a BIGINT, b VARCHAR NOT NULL", {"a": 1}, {"a": 1, "b": None}, {"a": 1, "b": "x", "c": 2},
                   "not json", "[1]", {"b": "ok"})
     assert rows_of(split.rejected, "field", "reason") == sorted([
-        ("b", "null for non-nullable field"), ("b", "null for non-nullable field"),
-        ("c", "key not present in the source schema"), (None, "not a JSON object"), (None, "not a JSON object")], key=repr)
+        ("b", "a required column is null"), ("b", "a required column is null"),
+        ("c", "no such column is declared"), (None, "not a JSON object"), (None, "not a JSON object")], key=repr)
     assert rows_of(split.accepted) == [(None, "ok")]
     assert split.checked.count() == 6
 
@@ -62,7 +63,7 @@ def test_one_bad_row_fails_the_batch(spark, root):
         with pytest.raises(EventError):
             writer.write_json(spark.createDataFrame([('{"a": 1}',), ('{"a": "x"}',)], "raw string"))
         assert writer.write_json(spark.createDataFrame([('{"a": 1}',), ('{"a": 2}',)], "raw string")) == 2
-    assert rows_of(spark.read.parquet(declared.path)) == [(1,), (2,)]
+    assert rows_of(read_static(spark, declared)) == [(1,), (2,)]
 
 
 def test_batch_schema_must_match(spark, root):
@@ -72,7 +73,7 @@ def test_batch_schema_must_match(spark, root):
         with pytest.raises(EventError, match=f"'{column}'") as error:
             feed.writer.write(frame(spark, rows, ddl))
         assert error.value.code == 302
-    with pytest.raises(EventError, match="null for non-nullable field .*'b'"):
+    with pytest.raises(EventError, match="a required column is null .*'b'"):
         feed.put((1, None))
     assert not spark.read.schema("a long").parquet(feed.source.path).head(1)
 
@@ -95,3 +96,22 @@ def test_writer_buffers_flushes_and_closes(spark, root):
     assert error.value.code == 301
     assert rows_of(read_static(spark, feed.source), "kind") == [
         ("last",), ("open",), (None,)]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "UTC"])
+def test_instants_are_stored_as_utc_whatever_the_callers_zone(caller, root, zone):
+    spark = caller.newSession()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    declared = Source("seen", "id BIGINT, at TIMESTAMP", f"{root}/seen")
+    texts = ['"2026-03-08T06:30:00Z"', '"2026-03-08T08:30:00.25+02:00"', '"2026-03-08 06:30:00"', '"2026-03-08"', "1772951400000000", "-1", "null"]
+    rows = spark.createDataFrame([(f'{{"id": {i}, "at": {t}}}',) for i, t in enumerate(texts)], "raw string")
+    half = datetime(2026, 3, 8, 6, 30)
+    expected = [half, half.replace(microsecond=250000), half, datetime(2026, 3, 8), half, datetime(1969, 12, 31, 23, 59, 59, 999999), None]
+    with Writer(spark, declared) as writer:
+        writer.write_json(rows)
+        typed = spark.sql("SELECT 10L AS id, TIMESTAMP '2026-11-01T05:30:00Z' AS at UNION ALL SELECT 11, TIMESTAMP '2026-11-01T06:30:00Z'")
+        writer.write(typed)
+    kept = read_static(derive(spark), declared).orderBy("id").collect()
+    assert [r["at"] for r in kept] == [*expected, datetime(2026, 11, 1, 5, 30), datetime(2026, 11, 1, 6, 30)]
+    checked = conform_rows(rows, declared).accepted.orderBy("id").collect()
+    assert [r["at"] for r in checked] == expected

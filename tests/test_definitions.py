@@ -6,16 +6,16 @@ from tidemark.session import derive
 
 
 def source(name="events", **more):
-    return Source(name, "id BIGINT NOT NULL, label VARCHAR, score DOUBLE, active BOOLEAN, ts TIMESTAMP", "/nowhere", **more)
+    return Source(name, "berth BIGINT NOT NULL, vessel VARCHAR, draught DOUBLE, docked BOOLEAN, seen TIMESTAMP", "/nowhere", **more)
 
 
 def test_describe_reports_canonical_type_names(spark):
     catalog = Catalog(spark).add(source())
     assert rows_of(catalog.describe("events"), "field", "type_name", "nullable") == sorted([
-        ("id", "Int64", False), ("label", "Utf8", True), ("score", "Float64", True),
-        ("active", "Boolean", True), ("ts", "Timestamp(us)", True)], key=repr)
+        ("berth", "Int64", False), ("vessel", "Utf8", True), ("draught", "Float64", True),
+        ("docked", "Boolean", True), ("seen", "Timestamp(us)", True)], key=repr)
     assert source().column("missing") is None
-    assert source().column("label").sql_type == "VARCHAR"
+    assert source().column("vessel").sql_type == "VARCHAR"
 
 
 def test_listing_by_kind(spark):
@@ -38,9 +38,9 @@ def test_bad_declarations_are_refused():
     with pytest.raises(ValueError, match="exactly one primary key"):
         Table("t", "a BIGINT", "/nowhere")
     with pytest.raises(ValueError, match="TIMESTAMP"):
-        source(watermark=("id", "5 seconds"))
+        source(watermark=("berth", "5 seconds"))
     with pytest.raises(ValueError, match="positive"):
-        source(watermark=("ts", "-5 seconds"))
+        source(watermark=("seen", "-5 seconds"))
     with pytest.raises(ValueError, match="unknown column type"):
         Source("s", "a DECIMAL", "/nowhere")
     with pytest.raises(ValueError, match="twice"):
@@ -48,9 +48,9 @@ def test_bad_declarations_are_refused():
 
 
 def test_values_are_bigint_and_double_and_keep_nulls(spark):
-    frame = values(spark, "(1, 'sensor_a', 42.0), (2, 'sensor_b', 43.5), (3, NULL, 44.1)", ["id", "device", "value"])
-    assert frame.schema.simpleString() == "struct<id:bigint,device:string,value:double>"
-    assert rows_of(frame) == [(1, "sensor_a", 42.0), (2, "sensor_b", 43.5), (3, None, 44.1)]
+    frame = values(spark, "(70, 'north', 0.5), (71, NULL, 12.25)", ["id", "pier", "depth"])
+    assert frame.schema.simpleString() == "struct<id:bigint,pier:string,depth:double>"
+    assert rows_of(frame) == [(70, "north", 0.5), (71, None, 12.25)]
 
 
 def test_derived_session_leaves_the_caller_alone(caller):

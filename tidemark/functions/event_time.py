@@ -1,7 +1,7 @@
 """Event-time expressions.
 
-Files hold zone-less timestamps; watermarks need instants. Both are read as UTC, so the cast between
-them never shifts a value.
+Files hold zone-less timestamps; watermarks need instants. Both are read as UTC: conversions count microseconds since 1970,
+so they shift no value, whatever time zone the caller's session has.
 """
 
 from __future__ import annotations
@@ -57,14 +57,25 @@ def time_bucket(ts: str, frame: DataFrame, width: int, shift: int = 0) -> Column
 
 def as_instant(frame: DataFrame) -> DataFrame:
     """Zone-less timestamp columns become instants, as ``withWatermark`` requires."""
-    return _retype(frame, T.TimestampNTZType, "timestamp")
+    return _retype(frame, T.TimestampNTZType, utc_instant)
 
 
 def as_wall_clock(frame: DataFrame) -> DataFrame:
     """Instants become zone-less timestamps, the type the tables use."""
-    return _retype(frame, T.TimestampType, "timestamp_ntz")
+    return _retype(frame, T.TimestampType, utc_clock)
 
 
-def _retype(frame: DataFrame, kind: type, target: str) -> DataFrame:
-    casts = {f.name: F.col(f"`{f.name}`").cast(target) for f in frame.schema if isinstance(f.dataType, kind)}
+def utc_clock(instant: str) -> str:
+    """SQL: the UTC date and time of an instant, whatever the session's time zone."""
+    return f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(unix_micros({instant}) AS DECIMAL(20, 0)) / 1000000)"
+
+
+def utc_instant(clock: str) -> str:
+    """SQL: the instant at which UTC shows a zone-less date and time, whatever the session's time zone."""
+    since = f"CAST(({clock}) - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
+    return f"timestamp_micros(CAST(CAST({since} AS DECIMAL(20, 6)) * 1000000 AS BIGINT))"
+
+
+def _retype(frame: DataFrame, kind: type, conversion) -> DataFrame:
+    casts = {f.name: F.expr(conversion(f"`{f.name}`")) for f in frame.schema if isinstance(f.dataType, kind)}
     return frame.withColumns(casts) if casts else frame

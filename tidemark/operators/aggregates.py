@@ -5,33 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.event_time import interval, seconds_of
-from tidemark.sources.definitions import HEARTBEAT
-
-
-def count_rows(frame: DataFrame) -> Column:
-    """``count(*)`` that leaves out rows which only carry a watermark."""
-    if HEARTBEAT in frame.columns:
-        return F.count_if(F.col(HEARTBEAT).isNull())
-    return F.count(F.lit(1))
+from tidemark.sources.definitions import without_heartbeats
 
 
 def tumble(frame: DataFrame, keys: list[str], ts: str, width: str, start: str = "window_start", **aggregates: Column) -> DataFrame:
     """Aggregates per key and fixed window ``[start, start + width)``, windows aligned to 1970.
 
-    On a stream in append mode a window appears once, when the watermark reaches its end. Watermark-only
-    rows reach the aggregate, or they could not move the watermark; windows holding nothing else are dropped.
+    On a stream in append mode a window appears once, when the watermark reaches its end. Rows that only move the watermark
+    are in no window.
     """
-    live_rows = count_rows(frame)
-    grouped = frame.groupBy(*keys, F.window(ts, f"{seconds_of(width)} seconds")).agg(
-        live_rows.alias("_rows"), *[a.alias(name) for name, a in aggregates.items()])
-    if HEARTBEAT in frame.columns:
-        grouped = grouped.filter(F.col("_rows") > 0)
+    grouped = without_heartbeats(frame).groupBy(*keys, F.window(ts, f"{seconds_of(width)} seconds")).agg(
+        *[a.alias(name) for name, a in (aggregates or {"_rows": F.count(F.lit(1))}).items()])
     return grouped.select(*keys, F.col("window.start").alias(start), *aggregates)
 
 
 def keyed(frame: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
     """Continuous aggregate per key."""
-    return frame.groupBy(*keys).agg(*[a.alias(name) for name, a in aggregates.items()])
+    return without_heartbeats(frame).groupBy(*keys).agg(*[a.alias(name) for name, a in aggregates.items()])
 
 
 def closed_windows(windows: DataFrame, rows: DataFrame, ts: str, delay: str, width: str, start: str = "window_start") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.functions.event_time import interval, seconds_of, time_bucket
 from tidemark.operators.skew import HOT_ROWS, hot_hashes
 from tidemark.plans.admission import AdmissionError
+from tidemark.sources.definitions import without_heartbeats
 
 KEY_TYPES = (T.StringType, T.LongType)
 HOWS = ("inner", "left", "right", "full", "anti")
@@ -56,6 +57,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
         raise ValueError(f"how must be one of {HOWS}, got {how!r}")
     if (how in ("left", "anti") and salts[1] > 1) or (how == "right" and salts[0] > 1) or (how == "full" and salts != (1, 1)):
         raise ValueError(f"a {how} join cannot spread the rows of the side it does not keep")
+    left, right = without_heartbeats(left), without_heartbeats(right)
     check_join_keys(left, right, on)
     check_distinct_names(left, right)
     names = left.columns + right.columns

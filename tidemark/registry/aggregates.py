@@ -8,11 +8,11 @@ from tidemark.operators.aggregates import closed_windows, keyed, tumble
 from tidemark.operators.topk import RunningTopK, top_k
 from tidemark.registry.base import DELAY, EVENT_COLUMNS, event_catalog, id_range, land_in_turn, query
 from tidemark.session import workspace
-from tidemark.sources.definitions import Source, Stream, read_live
+from tidemark.sources.definitions import Sink, Source, Stream, read_live
 from tidemark.sources.landing import Writer
 from tidemark.streaming.journal import Journal
 from tidemark.streaming.late import LateSplit
-from tidemark.streaming.run import drain, metrics, replay
+from tidemark.streaming.run import Progress, Runner, drain, replay
 
 
 def _windows(delay: str | None) -> str:
@@ -97,7 +97,28 @@ def wm_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Writer(catalog.spark, source) as writer:
         writer.write(events)
         writer.watermark(end + 2 * 3600 * 1000)
-    return replay(_hourly(read_live(catalog.streaming, source, heartbeats=True)), root)
+    return replay(_hourly(read_live(catalog.streaming, source)), root)
+
+
+@query("SELECT date_trunc('hour', ts) AS window_start, count(*) AS event_count FROM events GROUP BY 1")
+def wm_advance_runner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watermarks given through the catalogue's own path, one of them inside a window that holds data: no row is added."""
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, "wm_advance_runner")
+    source = Source("landed", EVENT_COLUMNS, f"{root}/landed", watermark=("ts", DELAY))
+    catalog.add(source, Stream("hours", ["landed"], lambda e: tumble(e, [], "ts", "1 hour", event_count=F.count(F.lit(1)))),
+                Sink("hours_out", "hours", f"{root}/hours"))
+    events = catalog.static("events")
+    first, end = events.agg(F.min(F.unix_millis(F.col("ts").cast("timestamp"))), F.max(F.unix_millis(F.col("ts").cast("timestamp")))).head()
+    runner = Runner(catalog, f"{root}/run")
+    with Writer(catalog.spark, source) as writer:
+        writer.watermark(first)
+        writer.write(events)
+        writer.watermark(end + 2 * 3600 * 1000)
+    runner.drain()
+    rows = runner.read("hours_out")
+    runner.shutdown()
+    return rows
 
 
 @query("SELECT 'totals' AS stream, count(*) AS input_rows, "
@@ -106,8 +127,11 @@ def wm_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The watermark a query has reached, with the rows it read."""
     catalog = event_catalog(spark, sf_dir)
     root = workspace(spark, "wm_current")
+    progress = Progress(catalog.streaming)
     done = drain(_hourly(catalog.live("events")), f"{root}/out", f"{root}/checkpoint")
-    return metrics({"totals": done}, catalog.spark).select("stream", "input_rows", "watermark_ms")
+    totals = progress.totals({"totals": done}).select("stream", "input_rows", "watermark_ms")
+    progress.close()
+    return totals
 
 
 def _delayed_errors(top: int, turn: int):

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.aggregates import keyed
+from tidemark.operators.aggregates import keyed, tumble
 from tidemark.operators.asof import asof_join
 from tidemark.operators.asof_stream import AsofStream
 from tidemark.operators.joins import interval_join
+from tidemark.plans.admission import AdmissionError, check_stream_plan
 from tidemark.registry.base import event_catalog, query, role
 from tidemark.session import workspace
 from tidemark.sources.definitions import Source, Stream, read_live
+from tidemark.sources.landing import Writer
 from tidemark.streaming.journal import Journal
 from tidemark.streaming.run import drain, replay
 
@@ -112,6 +114,24 @@ def wm_multi_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(catalog.live("matched"), workspace(spark, "wm_multi_input"))
 
 
+@query(_sql("LEFT"))
+def wm_advance_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both inputs of an outer join moved on by their writers, which makes every row without a partner final."""
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, "wm_advance_join")
+    end = catalog.static("all_events").agg(F.unix_millis(F.max("ts").cast("timestamp"))).head()[0]
+    for stream, columns, ts in (("trades", "trade_id BIGINT, t_user BIGINT, t_price DOUBLE, t_ts TIMESTAMP", "t_ts"),
+                                ("orders", "order_id BIGINT, o_user BIGINT, o_price DOUBLE, o_ts TIMESTAMP", "o_ts")):
+        source = Source(f"landed_{stream}", columns, f"{root}/{stream}", watermark=(ts, "5 seconds"))
+        catalog.add(source)
+        with Writer(catalog.spark, source) as writer:
+            writer.write(catalog.static(stream))
+            writer.watermark(end + 24 * 3600 * 1000)
+    catalog.add(Stream("matched", ["landed_trades", "landed_orders"], lambda t, o: interval_join(
+        t, o, [("t_user", "o_user")], "t_ts", "o_ts", BOUND, "left")))
+    return replay(catalog.live("matched"), root)
+
+
 @query(f"""WITH {TRADES}, {ORDERS} SELECT trade_id, order_id, t_band FROM
 (SELECT *, CASE WHEN t_price > 50 THEN 'high' ELSE 'low' END AS t_band FROM t) t
 JOIN (SELECT *, CASE WHEN o_price > 50 THEN 'high' ELSE 'low' END AS o_band FROM o) o ON t_band = o_band AND {ON}""")
@@ -153,15 +173,42 @@ def staged_join_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {TRADES}, {ORDERS}, {QUOTES} SELECT trade_id, order_id, quote_id FROM t JOIN o ON {ON}
 JOIN q ON o_user = q_user AND q_ts BETWEEN o_ts AND o_ts + INTERVAL 6 HOUR""")
-def admission_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A three-way join: not admitted as one stream, so the first join is named and joined again."""
-    root = workspace(spark, "admission_checks")
+def staged_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A three-way join in two stages: the first join is named and joined again."""
+    root = workspace(spark, "staged_three_way")
     catalog, matched = _staged_matches(spark, sf_dir, root)
     chained = interval_join(read_live(catalog.streaming, matched), catalog.live("quotes"), [("o_user", "q_user")],
                             "o_ts", "q_ts", BOUND)
     return replay(chained.select("trade_id", "order_id", "quote_id"), root)
 
 
+@query("""SELECT shape, refused, (SELECT count(*) FROM events WHERE event_type = 'purchase') AS trades FROM (VALUES
+ ('cross join', true), ('no time range', true), ('range open at one end', true), ('no equality key', true), ('no watermark', true),
+ ('sort without limit', true), ('bounded join', false), ('three-way join', false), ('join and windows', false)) s(shape, refused)""")
+def admission_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which shapes of streams are refused before they start."""
+    catalog = event_catalog(spark, sf_dir)
+    t, o, q = (catalog.live(name) for name in ("trades", "orders", "quotes"))
+    bare = catalog.live("all_events").select(F.col("user_id").alias("o_user"), F.col("ts").alias("o_ts"))
+    inside = "o_ts BETWEEN t_ts AND t_ts + INTERVAL 6 HOURS"
+    pairs = interval_join(t, o, [("t_user", "o_user")], "t_ts", "o_ts", BOUND)
+    shapes = {
+        "cross join": t.crossJoin(o), "no time range": t.join(o, F.expr("t_user = o_user")),
+        "range open at one end": t.join(o, F.expr("t_user = o_user AND o_ts >= t_ts")), "no equality key": t.join(o, F.expr(inside)),
+        "no watermark": t.join(bare, F.expr(f"t_user = o_user AND {inside}")), "sort without limit": t.orderBy("t_ts"),
+        "bounded join": pairs, "three-way join": interval_join(pairs, q, [("o_user", "q_user")], "o_ts", "q_ts", BOUND),
+        "join and windows": tumble(pairs, ["t_user"], "o_ts", "1 hour", n=F.count("trade_id"))}
+    rows = []
+    for shape, frame in shapes.items():
+        try:
+            check_stream_plan(frame)
+            rows.append((shape, False))
+        except AdmissionError:
+            rows.append((shape, True))
+    trades = catalog.static("trades").agg(F.count("trade_id")).scalar()
+    return catalog.spark.createDataFrame(rows, "shape string, refused boolean").withColumn("trades", trades)
+
+
 ASOF = "t ASOF LEFT JOIN q ON t_user = q_user AND t_ts >= q_ts"
 ASOF_COLUMNS = "trade_id, t_user, t_price, t_ts, quote_id, q_user, q_price, q_ts"
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.aggregates import tumble
 from tidemark.operators.joins import interval_join
-from tidemark.registry.base import event_catalog, land_in_turn, query
+from tidemark.registry.base import EVENT_COLUMNS, event_catalog, land_in_turn, query
 from tidemark.session import derive, workspace
 from tidemark.sources import conform
-from tidemark.sources.definitions import Source, Stream, Table, read_live, read_static
+from tidemark.sources.definitions import Sink, Source, Stream, Table, read_live, read_static
 from tidemark.sources.inline import values
 from tidemark.sources.landing import Writer
 from tidemark.sources.tables import KeyedTable
-from tidemark.streaming.run import replay, source_metrics
+from tidemark.streaming.run import Runner, replay
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -35,12 +38,12 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT e.event_id, CAST(t.id AS BIGINT) AS id, t.device, CAST(t.value AS DOUBLE) AS value
-FROM events e LEFT JOIN (VALUES (1, 'click', 42.0), (2, 'view', 43.5), (3, NULL, 44.1)) AS t(id, device, value)
+FROM events e LEFT JOIN (VALUES (11, 'click', 0.25), (12, 'purchase', 7.5), (13, NULL, 99.0)) AS t(id, device, value)
 ON e.event_type = t.device""")
 def values_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inline VALUES, NULL kept, looked up for each event. The NULL row matches nothing."""
     events = event_catalog(spark, sf_dir).static("events").select("event_id", "event_type")
-    inline = values(spark, "(1, 'click', 42.0), (2, 'view', 43.5), (3, NULL, 44.1)", ["id", "device", "value"])
+    inline = values(spark, "(11, 'click', 0.25), (12, 'purchase', 7.5), (13, NULL, 99.0)", ["id", "device", "value"])
     return events.join(F.broadcast(inline), F.col("event_type") == F.col("device"), "left").select(
         "event_id", "id", "device", "value")
 
@@ -243,9 +246,23 @@ def describe_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.join(nulls, "field").select("position", "field", "type_name", "nullable", "null_count")
 
 
-@query("""SELECT 'events' AS source, count(*) AS rows_in,
+@query("""SELECT 'hours_out' AS stream, count(*) AS input_rows,
   epoch_ms(date_trunc('milliseconds', max(ts) - INTERVAL 5 SECOND)) AS watermark_ms FROM events
-UNION ALL SELECT 'all_events', count(*), NULL FROM events""")
+UNION ALL SELECT 'ids_out', count(*), NULL FROM events""")
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows in and watermark per source."""
-    return source_metrics(event_catalog(spark, sf_dir))
+    """Rows in and watermark of running streams, over more batches than a query itself remembers."""
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, "stream_metrics")
+    landed = land_in_turn(catalog, root, 4, lambda source: None)
+    one_by_one = {"maxFilesPerTrigger": "1"}
+    catalog.streaming.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    catalog.add(
+        replace(landed, options=one_by_one), Source("plain", EVENT_COLUMNS, landed.path, options=one_by_one),
+        Stream("hours", ["landed"], lambda e: tumble(e, [], "ts", "1 hour", event_count=F.count("event_id"))),
+        Stream("ids", ["plain"], lambda e: e.select("event_id")),
+        Sink("hours_out", "hours", f"{root}/hours"), Sink("ids_out", "ids", f"{root}/ids"))
+    runner = Runner(catalog, f"{root}/run")
+    runner.drain()
+    totals = runner.metrics().select("stream", "input_rows", "watermark_ms")
+    runner.shutdown()
+    return totals

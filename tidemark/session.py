@@ -92,6 +92,13 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(jpath)
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Move a folder to a name that is free; fails if the file system refuses."""
+    jpath, fs = hadoop_path(spark, path)
+    if not fs.rename(jpath, hadoop_path(spark, target)[0]):
+        raise OSError(f"cannot rename {path} to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jpath, fs = hadoop_path(spark, path)
     fs.delete(jpath, True)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidemark.functions.event_time import utc_clock
 from tidemark.sources.definitions import SCHEMA_MISMATCH, EventError, Field, Relation
 
 
@@ -45,14 +46,14 @@ def conform_rows(rows: DataFrame, relation: Relation, raw: str = "raw", keep: tu
     declared = ", ".join(_quoted(f.name) for f in relation.fields)
     unknown = f"try_element_at(array_except(map_keys(_doc), array({declared})), 1)"
     faults = [("_doc IS NULL", "CAST(NULL AS STRING)", "not a JSON object"),
-              (f"{unknown} IS NOT NULL", unknown, "key not present in the source schema")]
+              (f"{unknown} IS NOT NULL", unknown, "no such column is declared")]
     for i, f in fields:
         absent = f"coalesce(_k{i} = 'VOID', true)"
         kinds = ", ".join(_quoted(k) for k in KINDS[f.sql_type])
         if not f.nullable:
-            faults.append((absent, _quoted(f.name), "null for non-nullable field"))
+            faults.append((absent, _quoted(f.name), "a required column is null"))
         faults.append((f"NOT {absent} AND NOT (_k{i} IN ({kinds}) AND _x{i} IS NOT NULL)", _quoted(f.name),
-                       f"cannot convert to {f.sql_type}"))
+                       f"not a value of type {f.sql_type}"))
     fault = F.expr("CASE " + " ".join(
         f"WHEN {wrong} THEN named_struct('field', {name}, 'reason', {_quoted(reason)})" for wrong, name, reason in faults) + " END")
     # A one-element explode, because a filter on its output stays above it: pushed below, the filter
@@ -112,7 +113,7 @@ def not_null_guard(batch: DataFrame, relation: Relation) -> DataFrame:
     """Fails the write, inside its tasks, on a NULL in a NOT NULL column; Spark files do not check this."""
     for f in relation.fields:
         if not f.nullable:
-            message = f"[{SCHEMA_MISMATCH}] null for non-nullable field (field '{f.name}')"
+            message = f"[{SCHEMA_MISMATCH}] a required column is null (field '{f.name}')"
             batch = batch.withColumn(f.name, F.coalesce(F.col(f.name), F.raise_error(F.lit(message)).cast(f.spark_type)))
     return batch
 
@@ -128,8 +129,9 @@ def _value(f: Field, i: int) -> str:
     """The JSON value as the column's type, NULL if it cannot be: timestamps as ISO text or microseconds, binary as base64."""
     get = lambda target: f"try_variant_get(_v{i}, '$', '{target}')"
     if f.sql_type == "TIMESTAMP":
-        return (f"CAST(CASE _k{i} WHEN 'BIGINT' THEN timestamp_micros({get('bigint')}) "
-                f"WHEN 'STRING' THEN try_to_timestamp({get('string')}) END AS TIMESTAMP_NTZ)")
+        text = get("string")  # without a zone it is UTC, also where it is only a date
+        instant = f"coalesce(try_to_timestamp({text} || 'Z'), try_to_timestamp({text} || 'T00:00:00Z'), try_to_timestamp({text}))"
+        return utc_clock(f"CASE _k{i} WHEN 'BIGINT' THEN timestamp_micros({get('bigint')}) WHEN 'STRING' THEN {instant} END")
     if f.sql_type == "BINARY":
         return f"try_to_binary({get('string')}, 'base64')"
     return get(f.spark_type.simpleString())

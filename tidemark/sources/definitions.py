@@ -195,8 +195,11 @@ class Catalog:
 
     def describe(self, name: str) -> DataFrame:
         """Position, name, canonical type and nullability of each declared column."""
-        rows = [(i, f.name, canonical_type_name(f.spark_type), f.nullable)
-                for i, f in enumerate(self.get(name).fields)]
+        entry = self.get(name)
+        if isinstance(entry, Sink):
+            raise EventError(QUERY_FAILED, f"{name!r} is a sink; describe the stream it writes")
+        columns = self.static(name).schema if isinstance(entry, Stream) else entry.schema
+        rows = [(i, f.name, canonical_type_name(f.dataType), f.nullable) for i, f in enumerate(columns)]
         return self.spark.createDataFrame(rows, "position int, field string, type_name string, nullable boolean")
 
     def static(self, name: str) -> DataFrame:
@@ -236,32 +239,43 @@ def _file_schema(relation: Relation) -> T.StructType:
     return T.StructType([*columns, T.StructField(HEARTBEAT, T.BooleanType())])
 
 
-def _data_rows(frame: DataFrame) -> DataFrame:
-    return frame.filter(F.col(HEARTBEAT).isNull()).drop(HEARTBEAT)
+def without_heartbeats(frame: DataFrame) -> DataFrame:
+    """The rows that carry data, dropped behind the watermark, which has then seen all of them.
+
+    A condition Spark takes for non-deterministic stays where it is, and so does every filter above it; pushed below the
+    watermark, it would keep heartbeats from moving event time.
+    """
+    if HEARTBEAT not in frame.columns:
+        return frame
+    return frame.filter(F.col(HEARTBEAT).isNull() | (F.spark_partition_id() < 0)).drop(HEARTBEAT)
 
 
 def read_static(spark: SparkSession, relation: Relation) -> DataFrame:
     """All rows present now; only the declared columns are read, and no file is opened to learn its schema."""
-    return _data_rows(spark.read.schema(_file_schema(relation)).parquet(relation.path))
+    frame = _all_appends(spark, spark.read.schema(_file_schema(relation)), relation.path).parquet(relation.path)
+    return frame.filter(F.col(HEARTBEAT).isNull()).drop(HEARTBEAT)
+
+
+def _all_appends(spark: SparkSession, reader, path: str):
+    """Each append is a folder of its own."""
+    return reader if is_file(spark, path) else reader.option("recursiveFileLookup", "true")
 
 
 def read_live(spark: SparkSession, source: Source, heartbeats: bool = False) -> DataFrame:
     """The source as unbounded input, with its watermark.
 
-    ``heartbeats=True`` keeps the rows that only move the watermark (see ``Writer.watermark``) and
-    their marker column; an operator downstream must drop them behind the watermark.
+    Rows that only move event time (see ``Writer.watermark``) reach the watermark and go no further. ``heartbeats=True`` keeps
+    them and their marker column; an operator downstream must then drop them behind the watermark.
     """
     reader = spark.readStream.schema(_file_schema(source)).options(**source.options)
     folder, _, name = source.path.rstrip("/").rpartition("/")
     if is_file(spark, source.path):
         reader, path = reader.option("pathGlobFilter", name), folder
     else:
-        path = source.path
+        reader, path = reader.option("recursiveFileLookup", "true"), source.path
     frame = as_instant(reader.parquet(path))
-    if not heartbeats:
-        # Below the watermark on purpose: a filter above it is pushed here anyway.
-        frame = _data_rows(frame)
-    if source.watermark is not None:
-        ts, delay = source.watermark
-        frame = frame.withWatermark(ts, f"{seconds_of(delay)} seconds")
-    return frame
+    if source.watermark is None:
+        return frame if heartbeats else frame.filter(F.col(HEARTBEAT).isNull()).drop(HEARTBEAT)
+    ts, delay = source.watermark
+    frame = frame.withWatermark(ts, f"{seconds_of(delay)} seconds")
+    return frame if heartbeats else without_heartbeats(frame)

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.event_time import as_wall_clock, moment, seconds_of
-from tidemark.session import make_dir
+from tidemark.session import make_dir, rename
 from tidemark.sources.conform import check_batch_schema, conform_or_fail, not_null_guard, rejects_as_errors
 from tidemark.sources.definitions import HEARTBEAT, WRITER_CLOSED, EventError, Source, declared_columns
 
 
 def append_rows(batch: DataFrame, path: str) -> int:
-    """Append ``batch`` to a folder of Parquet files and return the number of rows, counted by the write itself."""
-    seen = Observation()
+    """Append ``batch`` to a folder of Parquet files and return the number of rows, counted by the write itself.
+
+    The rows go to a folder that readers skip, which one rename then makes visible as a whole.
+    """
+    seen, name = Observation(), uuid.uuid4().hex
     with rejects_as_errors():
-        batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+        batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/_new-{name}")
+    rename(batch.sparkSession, f"{path}/_new-{name}", f"{path}/rows-{name}")
     return int(seen.get["rows"])
 
 
@@ -81,7 +86,7 @@ class Writer:
         beat = self.spark.range(1).select(
             *[(event_time if f.name == ts else F.lit(None).cast(f.spark_type)).alias(f.name) for f in self.source.fields],
             F.lit(True).alias(HEARTBEAT))
-        beat.write.mode("append").parquet(self.source.path)
+        append_rows(beat, self.source.path)
         self._watermark_ms = at_ms
 
     def current_watermark(self) -> int | None:

@@ -53,7 +53,7 @@ class KeyedTable:
         version = self.version()
         if version is None:
             return self.spark.createDataFrame([], self.table.schema)
-        return declared_columns(self.spark.read.parquet(self._folder(version)), self.table)
+        return declared_columns(self.spark.read.option("recursiveFileLookup", "true").parquet(self._folder(version)), self.table)
 
     def append(self, rows: DataFrame, check_keys: bool = True) -> int:
         """Insert rows whose keys are new; returns the number of rows.
@@ -69,7 +69,13 @@ class KeyedTable:
             if clash:
                 raise EventError(QUERY_FAILED, f"key {clash[0][0]!r} repeats or is present in {self.table.name!r}")
         stored = not_null_guard(declared_columns(rows, self.table), self.table)
-        return append_rows(stored, self._folder(self.version() or 0))
+        version = self.version()
+        if version is not None:
+            return append_rows(stored, self._folder(version))
+        seen = Observation()
+        with rejects_as_errors():
+            stored.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self._folder(0))
+        return int(seen.get["rows"])
 
     def upsert(self, rows: DataFrame, newest_first: list[Column]) -> int:
         """Insert or overwrite by key, last row under ``newest_first`` winning; returns the table's new row count.

@@ -48,7 +48,11 @@ class Delivery:
         self._streams = frame.sparkSession.streams
         self._watch = _Termination(self)
         self._streams.addListener(self._watch)
-        query = start(frame, listener.on_batch, checkpoint, every=every)
+        try:
+            query = start(frame, listener.on_batch, checkpoint, every=every)
+        except Exception:
+            self._streams.removeListener(self._watch)
+            raise
         with self._lock:
             self.query = query
             ended_early = str(query.id) in self._early

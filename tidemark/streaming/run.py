@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.functions.event_time import as_wall_clock
 from tidemark.plans.admission import check_stream_plan
 from tidemark.session import committed_numbers, numbered_files
-from tidemark.sources.definitions import NOT_CHECKPOINTED, SHUT_DOWN, Catalog, EventError, Sink, Source, Stream
+from tidemark.sources.definitions import NOT_CHECKPOINTED, SHUT_DOWN, Catalog, EventError, Sink, Stream
 from tidemark.streaming.journal import Journal
 
 
@@ -47,22 +47,55 @@ def read_output(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 def current_watermark(query: StreamingQuery) -> int | None:
     """The query's last watermark in epoch milliseconds; None before the first one."""
     for progress in reversed(query.recentProgress):
-        text = progress["eventTime"].get("watermark")
-        if text:
-            millis = round(datetime.fromisoformat(text.replace("Z", "+00:00")).timestamp() * 1000)
-            return millis or None
+        if progress["eventTime"].get("watermark"):
+            return _millis(progress["eventTime"]["watermark"])
     return None
 
 
-def metrics(queries: dict[str, StreamingQuery], spark: SparkSession) -> DataFrame:
-    """Per stream: input rows, batches, rows dropped as late, watermark."""
-    rows = []
-    for name, query in queries.items():
-        progress = query.recentProgress
-        dropped = sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
-        rows.append((name, sum(p["numInputRows"] for p in progress), len({p["batchId"] for p in progress}),
-                     dropped, current_watermark(query)))
-    return spark.createDataFrame(rows, "stream string, input_rows long, batches long, dropped_rows long, watermark_ms long")
+class Progress(StreamingQueryListener):
+    """What every batch of a session's queries reported since this began.
+
+    Kept by query and batch, so totals are whole however many batches there are (a query itself remembers only the last
+    ones), and a batch that runs again counts once.
+    """
+
+    def __init__(self, session: SparkSession):
+        self.session = session
+        self._batches: dict[str, dict[int, tuple[int, int, int | None]]] = {}
+        session.streams.addListener(self)
+
+    def onQueryStarted(self, event): ...
+
+    def onQueryIdle(self, event): ...
+
+    def onQueryTerminated(self, event): ...
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        dropped = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+        mark = _millis(progress.eventTime.get("watermark"))
+        self._batches.setdefault(str(progress.id), {})[progress.batchId] = (progress.numInputRows, dropped, mark)
+
+    def totals(self, queries: dict[str, StreamingQuery]) -> DataFrame:
+        """Per stream: input rows, batches, rows dropped as late, watermark. Waits until all reports so far are in."""
+        self.session.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        rows = []
+        for name, query in queries.items():
+            batches = self._batches.get(str(query.id), {})
+            marks = [mark for _, _, mark in batches.values() if mark is not None]
+            rows.append((name, sum(n for n, _, _ in batches.values()), len(batches),
+                         sum(dropped for _, dropped, _ in batches.values()), max(marks, default=None)))
+        return self.session.createDataFrame(
+            rows, "stream string, input_rows long, batches long, dropped_rows long, watermark_ms long")
+
+    def close(self) -> None:
+        self.session.streams.removeListener(self)
+
+
+def _millis(text: str | None) -> int | None:
+    if not text:
+        return None
+    return round(datetime.fromisoformat(text.replace("Z", "+00:00")).timestamp() * 1000) or None
 
 
 class Runner:
@@ -72,6 +105,7 @@ class Runner:
         self.catalog = catalog
         self.root = root
         self.queries: dict[str, StreamingQuery] = {}
+        self._progress: Progress | None = None
         self._continuous = False
         self._down = False
 
@@ -81,6 +115,7 @@ class Runner:
         if self.root is None:
             raise EventError(NOT_CHECKPOINTED, "checkpointing is not enabled: give a folder")
         self._continuous = self._continuous or every is not None
+        self._progress = self._progress or Progress(self.catalog.streaming)
         for sink in self.catalog.of_kind(Sink):
             running = self.queries.get(sink.name)
             if running is None or not running.isActive:
@@ -110,13 +145,18 @@ class Runner:
         return read_output(self.catalog.spark, sink.path, self.catalog.live(sink.stream))
 
     def checkpoint(self) -> int:
-        """Bring every sink up to date and record how far each got under a new, greater id."""
+        """Record how far each sink got under a new, greater id.
+
+        Sinks that are not running are brought up to date first; running ones go on, and what they have committed counts.
+        """
         self._require_up()
         if self.root is None:
             raise EventError(NOT_CHECKPOINTED, "checkpointing is not enabled: give a folder")
         if not self.catalog.of_kind(Stream) or not self.catalog.of_kind(Sink):
             raise EventError(NOT_CHECKPOINTED, "nothing to checkpoint: no derived stream has a sink")
-        self.drain()
+        running = self._continuous and all(query.isActive for query in self.queries.values())
+        if not running:
+            self.drain()
         done = committed_numbers(self.catalog.spark, f"{self.root}/checkpoints", "id=")
         checkpoint_id = (done[-1] if done else 0) + 1
         reached = [(name, _last_batch(self.catalog.spark, f"{self.root}/{name}")) for name in self.queries]
@@ -125,12 +165,15 @@ class Runner:
         return checkpoint_id
 
     def metrics(self) -> DataFrame:
-        return metrics(self.queries, self.catalog.spark)
+        """Totals since this runner first started its sinks."""
+        return (self._progress or Progress(self.catalog.streaming)).totals(self.queries)
 
     def shutdown(self) -> None:
         """Stop everything; any later call fails."""
         for query in self.queries.values():
             query.stop()
+        if self._progress is not None:
+            self._progress.close()
         self._down = True
 
     def _require_up(self) -> None:
@@ -141,21 +184,3 @@ class Runner:
 def _last_batch(spark: SparkSession, checkpoint: str) -> int:
     commits = numbered_files(spark, f"{checkpoint}/commits")
     return commits[-1] if commits else -1
-
-
-def source_metrics(catalog: Catalog) -> DataFrame:
-    """Per source: rows landed, and the watermark they imply in epoch milliseconds."""
-    parts = []
-    for source in catalog.of_kind(Source):
-        rows = catalog.static(source.name)
-        if source.watermark is None:
-            mark = F.lit(None).cast("bigint")
-        else:
-            ts, delay = source.watermark
-            mark = F.unix_millis(F.max(ts).cast("timestamp") - F.expr(f"INTERVAL {delay}"))
-        parts.append(rows.agg(F.count(F.lit(1)).alias("rows_in"), mark.alias("watermark_ms")).select(
-            F.lit(source.name).alias("source"), "rows_in", "watermark_ms"))
-    together = parts[0]
-    for part in parts[1:]:
-        together = together.unionByName(part)
-    return together

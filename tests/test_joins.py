@@ -6,7 +6,6 @@ from helpers import BASE, Feed, at, brute_asof, brute_interval, frame, rows_of
 from pyspark.sql import functions as F
 
 from tidemark import AdmissionError, AsofStream, asof_join, drain, interval_join, replay
-from tidemark.operators.skew import hot_hashes
 
 LEFT, RIGHT = "l_key bigint, l_ts timestamp_ntz, l_id bigint", "r_key bigint, r_ts timestamp_ntz, r_id bigint"
 ON = [("l_key", "r_key")]
@@ -20,17 +19,16 @@ def crafted(seed, n=120, keys=4, span=400):
     return side(), side()
 
 
-@pytest.mark.parametrize("seed, hot_share", [(0, 1), (1, 0.01), (2, 0.01)])
+@pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full", "anti"])
-def test_interval_join_equals_brute_force(spark, how, seed, hot_share):
+def test_interval_join_equals_brute_force(spark, how, seed):
     left, right = crafted(seed)
     pairs = brute_interval(left, right, 10)
     lonely_left = {(i, None) for i in range(len(left))} - {(i, None) for i, _ in pairs}
     lonely_right = {(None, j) for j in range(len(right))} - {(None, j) for _, j in pairs}
     expected = {"inner": pairs, "left": pairs | lonely_left, "right": pairs | lonely_right,
                 "full": pairs | lonely_left | lonely_right, "anti": {(i,) for i, _ in lonely_left}}[how]
-    got = interval_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts", "10 seconds", how,
-                        hot_share=hot_share, hot_rows=1)
+    got = interval_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts", "10 seconds", how)
     assert rows_of(got, *(["l_id"] if how == "anti" else ["l_id", "r_id"])) == sorted(expected, key=repr)
 
 
@@ -90,11 +88,11 @@ def test_bounds_must_be_positive(spark, bound):
 
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("retention", [None, 20])
-@pytest.mark.parametrize("hot_share", [0.01, 1])
-def test_asof_equals_brute_force(spark, seed, retention, hot_share):
+@pytest.mark.parametrize("slice", ["7 seconds", "1 hour"])
+def test_asof_equals_brute_force(spark, seed, retention, slice):
     left, right = crafted(seed, keys=3)
     got = asof_join(frame(spark, left, LEFT), frame(spark, right, RIGHT), ON, "l_ts", "r_ts", "r_id",
-                    f"{retention} seconds" if retention else None, hot_share=hot_share, hot_rows=1, slices=8)
+                    f"{retention} seconds" if retention else None, slice)
     expected = brute_asof([r[:2] for r in left], right, retention)
     assert rows_of(got, "l_id", "r_id") == sorted(((r[2], e) for r, e in zip(left, expected)), key=repr)
 
@@ -106,11 +104,24 @@ def test_asof_ties_and_equal_time(spark):
     assert rows_of(got, "l_id", "r_id") == [(0, 7), (1, None)]
 
 
-def test_hot_keys_are_found(spark):
-    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    minus_one = rows.filter("k = -1").select(F.xxhash64("k")).head()[0]
-    assert hot_hashes(rows, ["k"], 0.01, 1) == [minus_one]
-    assert hot_hashes(rows, ["k"], 0.01, 1001) == hot_hashes(spark.range(0), ["id"], 0.01, 1) == []
+@pytest.mark.parametrize("how", ["left", "full", "anti", "asof"])
+def test_a_key_with_a_third_of_the_rows_is_cut_by_time(spark, how):
+    """No task sorts more than a slice's share of the hot key, and building the plan runs no job."""
+    side = lambda letter: spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias(f"{letter}_key"),
+        (F.expr("TIMESTAMP_NTZ '2026-08-29 10:00:00'") + F.expr("make_dt_interval(0, 0, 0, id)")).alias(f"{letter}_ts"), F.col("id").alias(f"{letter}_id"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    if how == "asof":
+        joined = asof_join(side("l"), side("r"), ON, "l_ts", "r_ts", "r_id", slice="10 minutes")
+    else:
+        joined = interval_join(side("l"), side("r"), ON, "l_ts", "r_ts", "10 seconds", how)
+    assert not tracker.getJobIdsForGroup("plan")
+    spark.sparkContext.setJobGroup("", "")
+    # Each hot row meets itself and the up to three after it within ten seconds; each other row itself.
+    assert joined.count() == {"anti": 0, "asof": 30000}.get(how, 20000 + sum(min(4, 10000 - i) for i in range(10000)))
+    slices = side("l").groupBy("l_key", F.window(F.col("l_ts").cast("timestamp"), "10 minutes")).count().agg(F.max("count")).head()[0]
+    assert slices <= 200
 
 
 # Streams.

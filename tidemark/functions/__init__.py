@@ -1,5 +1,5 @@
 from tidemark.functions.event_time import (
-    as_instant, as_wall_clock, epoch_clock, epoch_seconds, interval, moment, seconds_of, time_bucket)
+    as_instant, as_wall_clock, epoch_seconds, interval, moment, seconds_of, time_bucket)
 
-__all__ = ["as_instant", "as_wall_clock", "epoch_clock", "epoch_seconds", "interval", "moment", "seconds_of",
+__all__ = ["as_instant", "as_wall_clock", "epoch_seconds", "interval", "moment", "seconds_of",
            "time_bucket"]

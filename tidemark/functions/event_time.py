@@ -42,14 +42,6 @@ def epoch_seconds(ts: str, frame: DataFrame) -> Column:
     return (column - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")).cast("interval second").cast("bigint")
 
 
-def epoch_clock(ts: str, frame: DataFrame) -> Column:
-    """Seconds since 1970 with their fraction as DOUBLE, never decreasing with ``ts``."""
-    if isinstance(frame.schema[ts].dataType, T.TimestampType):
-        return F.unix_micros(ts) / F.lit(1e6)
-    since = F.col(ts) - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return since.cast("interval second").cast("decimal(20,6)").cast("double")
-
-
 def time_bucket(ts: str, frame: DataFrame, width: int, shift: int = 0) -> Column:
     """Number of the ``width``-second bucket that holds ``ts`` moved by ``shift`` seconds."""
     return F.floor((epoch_seconds(ts, frame) + F.lit(shift)) / F.lit(width)).cast("bigint")

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.event_time import interval, seconds_of, time_bucket
-from tidemark.operators.skew import HOT_ROWS, hot_hashes
 from tidemark.plans.admission import AdmissionError
 from tidemark.sources.definitions import without_heartbeats
 
@@ -38,18 +37,16 @@ def check_distinct_names(left: DataFrame, right: DataFrame) -> None:
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
-                  bound: str, how: str = "inner", salts: tuple[int, int] = (1, 1), hot_share: float = 0.01,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  bound: str, how: str = "inner", salts: tuple[int, int] = (1, 1)) -> DataFrame:
     """Join rows whose right event time lies in ``[left_ts, left_ts + bound]``.
 
     All columns of both sides come back (``anti``: only the left ones), so they must have distinct
     names. On streams, rows without a partner appear once the other side's watermark has passed every
     moment a partner could still arrive. NULL keys never match.
 
-    Skew within one key and bucket: on static tables adaptive execution splits both sides of an inner
-    join, but an outer join only on the side it keeps; if a bucket of the other side holds more than
-    ``hot_share`` of its rows (and ``hot_rows``), the rows without a partner are therefore found by a time-sliced scan
-    instead. On streams ``salts = (l, r)`` spreads each bucket's left rows over ``l`` and its right rows
+    Skew within one key and bucket: on static tables adaptive execution splits both sides of the inner join, and rows
+    without a partner are found by a scan in slices of time, in which no side is held whole. On streams
+    ``salts = (l, r)`` spreads each bucket's left rows over ``l`` and its right rows
     over ``r`` parts, at the price of as many copies of the other side; only the kept side of an outer
     join can be spread.
     """
@@ -61,35 +58,32 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
     check_join_keys(left, right, on)
     check_distinct_names(left, right)
     names = left.columns + right.columns
-    static = not (left.isStreaming or right.isStreaming)
     spec = (on, left_ts, right_ts, bound)
+    if not (left.isStreaming or right.isStreaming):
+        if how == "anti":
+            return _unmatched_left(left, right, *spec)
+        home, visiting = _right_visits(left, right, *spec, salts)
+        joined = home.join(visiting, _condition(*spec), "inner").select(*names)
+        if how in ("left", "full"):
+            joined = joined.unionByName(_unmatched_left(left, right, *spec), allowMissingColumns=True)
+        if how in ("right", "full"):
+            joined = joined.unionByName(_unmatched_right(left, right, *spec), allowMissingColumns=True)
+        return joined
     if how == "full":
         # Spark's streaming full outer join pairs NULL keys, and only one side of a bucketed join
-        # can be kept whole. So: all left rows with their partners, then right rows without one.
-        matched = interval_join(left, right, *spec, "left", hot_share=hot_share, hot_rows=hot_rows)
-        visiting, home = _left_visits(left, right, *spec, salts)
-        if not static:
-            lonely = visiting.join(home, _condition(*spec), "right").filter(F.col("_left_bucket").isNull())
-            return matched.unionByName(lonely.select(*names))
-        if hot_hashes(visiting, [*[l for l, _ in on], "_left_bucket"], hot_share, hot_rows):
-            lonely = _unmatched_right(left, right, *spec)
-        else:
-            lonely = home.join(visiting, _condition(*spec), "left_anti").select(*right.columns)
-        return matched.unionByName(lonely, allowMissingColumns=True)
+        # can be kept whole. So: all left rows with their partners, then right rows without one, for
+        # which the state needs no more than the left rows' keys and times.
+        matched = interval_join(left, right, *spec, "left")
+        few = left.select(*dict.fromkeys([*[l for l, _ in on], left_ts]))
+        visiting, home = _left_visits(few, right, *spec, salts)
+        lonely = visiting.join(home, _condition(*spec), "right").filter(F.col("_left_bucket").isNull())
+        return matched.unionByName(lonely.select(*right.columns), allowMissingColumns=True)
     if how == "right":
         visiting, home = _left_visits(left, right, *spec, salts)
-        if static and hot_hashes(visiting, [*[l for l, _ in on], "_left_bucket"], hot_share, hot_rows):
-            inner = interval_join(left, right, *spec)
-            return inner.unionByName(_unmatched_right(left, right, *spec), allowMissingColumns=True)
         return visiting.join(home, _condition(*spec), "right").select(*names)
     home, visiting = _right_visits(left, right, *spec, salts)
     if how == "inner":
         return home.join(visiting, _condition(*spec), "inner").select(*names)
-    if static and hot_hashes(visiting, [*[r for _, r in on], "_right_bucket"], hot_share, hot_rows):
-        lonely = _unmatched_left(left, right, *spec)
-        return lonely if how == "anti" else interval_join(left, right, *spec).unionByName(lonely, allowMissingColumns=True)
-    if static and how == "anti":
-        return home.join(visiting, _condition(*spec), "left_anti").select(*left.columns)
     matched = home.join(visiting, _condition(*spec), "left")
     if how == "anti":
         return matched.filter(F.col("_right_bucket").isNull()).select(*left.columns)
@@ -135,14 +129,13 @@ def _salted(side: DataFrame, name: str, own: int, other: int, own_first: bool) -
 def _unmatched_left(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str, bound: str) -> DataFrame:
     """Static left rows without a partner: those whose next right row is more than ``bound`` away.
 
-    With time mirrored, the next row is the last one before, which the as-of join finds without pairs
-    and with hot keys cut into time slices.
+    With time mirrored, the next row is the last one before, which the as-of join finds without pairs, slice by slice.
     """
     from tidemark.operators.asof import asof_join
 
     mirrored = left.withColumn("_left_mirror", _mirror(left_ts, left))
     partners = right.select(*[r for _, r in on], _mirror(right_ts, right).alias("_right_mirror"), F.lit(True).alias("_found"))
-    looked_up = asof_join(mirrored, partners, on, "_left_mirror", "_right_mirror", "_found", retention=bound)
+    looked_up = asof_join(mirrored, partners, on, "_left_mirror", "_right_mirror", "_found", retention=bound, slice=_slice(bound))
     return looked_up.filter(F.col("_found").isNull()).select(*left.columns)
 
 
@@ -151,10 +144,14 @@ def _unmatched_right(left: DataFrame, right: DataFrame, on, left_ts: str, right_
     from tidemark.operators.asof import asof_join
 
     partners = left.select(*[l for l, _ in on], F.col(left_ts).alias("_left_time"), F.lit(True).alias("_found"))
-    looked_up = asof_join(right, partners, [(r, l) for l, r in on], right_ts, "_left_time", "_found", retention=bound)
+    looked_up = asof_join(right, partners, [(r, l) for l, r in on], right_ts, "_left_time", "_found", retention=bound, slice=_slice(bound))
     return looked_up.filter(F.col("_found").isNull()).select(*right.columns)
 
 
+def _slice(bound: str) -> str:
+    return f"{2 * seconds_of(bound)} seconds"
+
+
 def _mirror(ts: str, side: DataFrame) -> Column:
     """The moment as far before 1970 as ``ts`` is after, to the microsecond."""
     if isinstance(side.schema[ts].dataType, T.TimestampType):

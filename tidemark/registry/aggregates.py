@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions.event_time import as_wall_clock
 from tidemark.operators.aggregates import closed_windows, keyed, tumble
 from tidemark.operators.topk import RunningTopK, top_k
 from tidemark.registry.base import DELAY, EVENT_COLUMNS, event_catalog, id_range, land_in_turn, query
@@ -157,6 +160,28 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.late().select("event_id", "ts", "event_type", "epoch")
 
 
+@query("""WITH landed AS (SELECT *, date_trunc('hour', ts) AS window_start, event_id * 3 // (SELECT max(event_id) + 1 FROM events)
+  + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS epoch FROM events),
+marks AS (SELECT epoch, date_trunc('milliseconds',
+  max(max(ts)) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 5 SECOND) AS mark
+  FROM landed GROUP BY epoch),
+judged AS (SELECT window_start, coalesce(window_start + INTERVAL 1 HOUR <= mark, false) AS late FROM landed JOIN marks USING (epoch))
+SELECT 'late' AS part, window_start, count(*) AS event_count FROM judged WHERE late GROUP BY ALL
+UNION ALL SELECT 'counted', window_start, count(*) FROM judged WHERE NOT late AND window_start + INTERVAL 1 HOUR
+  <= (SELECT date_trunc('milliseconds', max(ts) - INTERVAL 5 SECOND) FROM events) GROUP BY ALL""")
+def late_rows_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches back to back in one run: what is not late is counted, and every row is in one of the two."""
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, "late_rows_counted")
+    split = LateSplit(catalog.spark, f"{root}/split", "ts", DELAY, "1 hour")
+    source = land_in_turn(catalog, root, 3, lambda landed: None, _delayed_errors, turns=4)
+    live = read_live(catalog.streaming, replace(source, options={"maxFilesPerTrigger": "1"}))
+    drain(live, split, f"{root}/split_checkpoint")
+    counted = replay(tumble(split.live_on_time(catalog.streaming, as_wall_clock(live).schema), [], "ts", "1 hour", event_count=F.count("event_id")), root)
+    late = tumble(split.late(), [], "ts", "1 hour", event_count=F.count("event_id"))
+    return late.select(F.lit("late").alias("part"), "*").unionByName(counted.select(F.lit("counted").alias("part"), "*"))
+
+
 TOP = "SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 20"
 
 

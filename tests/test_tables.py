@@ -42,6 +42,22 @@ def test_upsert_last_write_wins(spark, metrics):
     assert metrics.version() == 1
 
 
+def test_an_upsert_writes_only_the_buckets_it_touches(spark, metrics):
+    metrics.append(frame(spark, [(i, "a", 1.0) for i in range(500)], DDL))
+    metrics.append(frame(spark, [(i, "b", 2.0) for i in range(500, 600)], DDL))
+    before = set(metrics._manifest(metrics.version()))
+    assert metrics.upsert(frame(spark, [(7, "c", 3.0), (9000, "d", 4.0)], DDL), [F.col("id")]) == 601
+    after = set(metrics._manifest(metrics.version()))
+    assert len(after - before) <= 2 and {data for _, data in after - before} == {2}
+    expected = sorted([(i, "a", 1.0) for i in range(500) if i != 7] + [(i, "b", 2.0) for i in range(500, 600)] + [(7, "c", 3.0), (9000, "d", 4.0)], key=repr)
+    assert rows_of(metrics.read()) == expected
+    metrics.upsert(frame(spark, [(i, "z", 0.0) for i in range(700)], DDL), [F.col("id")])
+    metrics.vacuum()
+    assert metrics.read().count() == 701 and metrics.version() == 3
+    metrics.upsert(frame(spark, [], DDL), [F.col("id")])
+    assert metrics.read().count() == 701
+
+
 def test_a_failed_upsert_leaves_the_table_as_it_was(spark, metrics):
     metrics.append(frame(spark, [(1, "a", 1.0)], DDL))
     broken = frame(spark, [(1, "b", 2.0)], DDL).withColumn("value", F.raise_error(F.lit("boom")).cast("double"))

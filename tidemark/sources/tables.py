@@ -1,17 +1,18 @@
-"""Keyed tables kept as numbered versions of a Parquet folder.
+"""Keyed tables in hash buckets, as numbered versions.
 
-A version counts once Spark's committer has left its ``_SUCCESS`` file, so a reader never sees a
-half-written one and a failed upsert leaves the table as it was.
+A key's bucket is fixed. A version is a manifest of the bucket folders it is made of; a write adds folders for the buckets it
+touches, and then the manifest, which counts once Spark's committer has left its ``_SUCCESS`` file. So a reader never
+sees a half-written version, a failed write leaves the table as it was, and an upsert reads and writes only the buckets of
+the keys it changes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.session import committed_numbers
+from tidemark.session import committed_numbers, hadoop_path, remove
 from tidemark.sources.conform import check_batch_schema, not_null_guard, rejects_as_errors
 from tidemark.sources.definitions import EventError, QUERY_FAILED, Table, TABLE_NOT_FOUND, declared_columns
-from tidemark.sources.landing import append_rows
 
 
 def latest_per_key(rows: DataFrame, key: list[str], newest_first: list[Column]) -> DataFrame:
@@ -29,7 +30,10 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str], newest_first: list[Co
 
     Both join sides have one row per key, so no key is hot.
     """
-    changes = latest_per_key(new.filter(_all_set(key)), key, newest_first).select(*old.columns)
+    return _merged(old, latest_per_key(new.filter(_all_set(key)), key, newest_first).select(*old.columns), key)
+
+
+def _merged(old: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
     return old.join(changes.select(*key), key, "left_anti").unionByName(changes)
 
 
@@ -40,20 +44,21 @@ def _all_set(key: list[str]) -> Column:
     return condition
 
 
+BUCKETS = 64
+MANIFEST = "bucket int, data int"
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, table: Table):
         self.spark = spark
         self.table = table
 
     def version(self) -> int | None:
-        done = committed_numbers(self.spark, self.table.path, "v=")
+        done = committed_numbers(self.spark, f"{self.table.path}/manifests", "v=")
         return done[-1] if done else None
 
     def read(self) -> DataFrame:
-        version = self.version()
-        if version is None:
-            return self.spark.createDataFrame([], self.table.schema)
-        return declared_columns(self.spark.read.option("recursiveFileLookup", "true").parquet(self._folder(version)), self.table)
+        return self._rows(self._manifest(self.version()))
 
     def append(self, rows: DataFrame, check_keys: bool = True) -> int:
         """Insert rows whose keys are new; returns the number of rows.
@@ -61,21 +66,16 @@ class KeyedTable:
         ``check_keys`` looks for keys that repeat or are present already and refuses the insert.
         """
         check_batch_schema(rows, self.table)
-        key = self.table.primary_key
+        key, version = self.table.primary_key, self.version()
         if check_keys:
             repeated = rows.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).select(key)
             present = rows.select(key).join(self.read().select(key), key, "left_semi")
             clash = repeated.unionByName(present).head(1)
             if clash:
                 raise EventError(QUERY_FAILED, f"key {clash[0][0]!r} repeats or is present in {self.table.name!r}")
-        stored = not_null_guard(declared_columns(rows, self.table), self.table)
-        version = self.version()
-        if version is not None:
-            return append_rows(stored, self._folder(version))
-        seen = Observation()
-        with rejects_as_errors():
-            stored.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self._folder(0))
-        return int(seen.get["rows"])
+        target, written = self._write(declared_columns(rows, self.table), version)
+        self._publish(target, self._manifest(version) + [(b, target) for b, _ in written])
+        return sum(n for _, n in written)
 
     def upsert(self, rows: DataFrame, newest_first: list[Column]) -> int:
         """Insert or overwrite by key, last row under ``newest_first`` winning; returns the table's new row count.
@@ -83,14 +83,26 @@ class KeyedTable:
         ``rows`` may carry further columns that only ``newest_first`` uses.
         """
         check_batch_schema(rows.select(*[f.name for f in self.table.fields]), self.table)
-        version = self.version()
-        merged = upsert(self.read(), rows, [self.table.primary_key], newest_first)
-        merged = not_null_guard(declared_columns(merged, self.table), self.table)
-        seen = Observation()
-        target = self._folder(0 if version is None else version + 1)
-        with rejects_as_errors():
-            merged.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-        return int(seen.get["rows"])
+        key, version = [self.table.primary_key], self.version()
+        manifest = self._manifest(version)
+        changes = latest_per_key(rows.filter(_all_set(key)), key, newest_first)
+        # Written once: ranked once, and the buckets it touches are known before any old row is read.
+        staged, touched = self._write(declared_columns(changes, self.table), version, "changes")
+        buckets = {b for b, _ in touched}
+        old = self._rows([entry for entry in manifest if entry[0] in buckets])
+        target, _ = self._write(_merged(old, self._rows([(b, staged) for b in buckets], "changes"), key), version)
+        self._publish(target, [entry for entry in manifest if entry[0] not in buckets] + [(b, target) for b in buckets])
+        remove(self.spark, f"{self.table.path}/changes/v={staged}")
+        return self.read().count()
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Drop the manifests before the last ``keep``, and the bucket folders that none of the kept ones names."""
+        versions = committed_numbers(self.spark, f"{self.table.path}/manifests", "v=")
+        used = {data for v in versions[-keep:] for _, data in self._manifest(v)}
+        for v in versions[:-keep]:
+            remove(self.spark, f"{self.table.path}/manifests/v={v}")
+            if v not in used:
+                remove(self.spark, f"{self.table.path}/data/v={v}")
 
     def require(self) -> DataFrame:
         """The table's rows; a table never written to is an error."""
@@ -98,5 +110,35 @@ class KeyedTable:
             raise EventError(TABLE_NOT_FOUND, f"no table named {self.table.name!r}")
         return self.read()
 
-    def _folder(self, version: int) -> str:
-        return f"{self.table.path}/v={version}"
+    def _manifest(self, version: int | None) -> list[tuple[int, int]]:
+        """(bucket, number of the write that holds it); a row for each bucket and write since its last upsert."""
+        if version is None:
+            return []
+        return [tuple(r) for r in self.spark.read.schema(MANIFEST).parquet(f"{self.table.path}/manifests/v={version}").collect()]
+
+    def _rows(self, manifest: list[tuple[int, int]], kind: str = "data") -> DataFrame:
+        if not manifest:
+            return self.spark.createDataFrame([], self.table.schema)
+        paths = [f"{self.table.path}/{kind}/v={data}/bucket={bucket}" for bucket, data in sorted(manifest)]
+        return declared_columns(self.spark.read.schema(self.table.schema).parquet(*paths), self.table)
+
+    def _write(self, rows: DataFrame, version: int | None, kind: str = "data") -> tuple[int, list[tuple[int, int]]]:
+        """Write rows by bucket; returns the write's number, and rows by bucket."""
+        target = 0 if version is None else version + 1
+        bucket = F.pmod(F.xxhash64(self.table.primary_key), F.lit(BUCKETS)).cast("int")
+        stored = not_null_guard(rows, self.table).withColumn("bucket", bucket)
+        path = f"{self.table.path}/{kind}/v={target}"
+        with rejects_as_errors():
+            stored.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        if not self._has_rows(path):
+            return target, []
+        counts = self.spark.read.schema(self.table.schema.add("bucket", "integer")).parquet(path).groupBy("bucket").count().collect()
+        return target, sorted((r["bucket"], r["count"]) for r in counts)
+
+    def _has_rows(self, path: str) -> bool:
+        jpath, fs = hadoop_path(self.spark, f"{path}/bucket=*")
+        return len(fs.globStatus(jpath) or []) > 0
+
+    def _publish(self, version: int, manifest: list[tuple[int, int]]) -> None:
+        self.spark.createDataFrame(manifest, MANIFEST).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.table.path}/manifests/v={version}")

@@ -3,7 +3,7 @@ import pytest
 from helpers import Feed, rows_of
 from pyspark.sql import functions as F
 
-from tidemark import (Catalog, Delivery, EventError, Journal, Listener, Runner, Sink, Stream, Subscription, drain, keyed,
+from tidemark import (AdmissionError, Catalog, Delivery, EventError, Journal, Listener, Runner, Sink, Stream, Subscription, drain, keyed,
                       per_batch)
 
 
@@ -167,3 +167,39 @@ def test_a_failing_stream_raises(spark, root):
     feed = Feed(spark, root, "s", "a BIGINT").put((1,))
     with pytest.raises(Exception, match="boom"):
         drain(feed.live().withColumn("a", F.raise_error(F.lit("boom")).cast("long")), f"{root}/out", f"{root}/checkpoint")
+
+
+def test_checkpoint_of_running_sinks_does_not_wait_for_input_to_end(spark, root):
+    feed = Feed(spark, root, "s", "a BIGINT").put((1,))
+    runner = Runner(catalogue(spark, feed, root), f"{root}/run")
+    runner.start(every="200 milliseconds")["out"].processAllAvailable()
+    first = runner.checkpoint()
+    feed.put((2,))
+    assert runner.checkpoint() == first + 1
+    runner.queries["out"].processAllAvailable()
+    runner.shutdown()
+
+
+def test_a_refused_stream_leaves_no_listener_behind(spark, root):
+    frame = Feed(spark, root, "s", "a BIGINT").put((1,)).live()
+    listeners = lambda: len(frame.sparkSession.streams._jsqm.listListeners())
+    before = listeners()
+    with pytest.raises(AdmissionError):
+        Delivery(frame.orderBy("a"), Recorder(), f"{root}/checkpoint")
+    assert listeners() == before
+
+
+def test_a_compacted_base_keeps_every_key(spark, root):
+    journal = Journal(spark, f"{root}/journal")
+    for epoch, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 1)]]):
+        journal(spark.createDataFrame(rows, "k string, n int"), epoch)
+        if epoch == 1:
+            with pytest.raises(EventError, match="compact first"):
+                journal.expire(1, keyed=True)
+            journal.compact(["k"])
+            journal.expire(2, keyed=True)
+            assert rows_of(journal.latest(["k"])) == [("a", 2), ("b", 1)]
+    assert rows_of(journal.latest(["k"])) == [("a", 2), ("b", 1), ("c", 1)]
+    journal.compact(["k"])
+    journal.expire(3, keyed=True)
+    assert rows_of(journal.latest(["k"])) == [("a", 2), ("b", 1), ("c", 1)]

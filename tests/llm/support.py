@@ -1,3 +1,5 @@
+"""Inputs the tests share."""
+
 import pytest
 from pyspark.sql import Row, functions as F
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from llm.conftest import documents
+from llm.support import corpus, documents, sf  # noqa: F401
 from tidemark.llm import langid, quality, secretscan
 from tidemark.llm.queries import QUERIES
 

@@ -2,7 +2,7 @@
 
 import random
 
-from llm.conftest import documents
+from llm.support import corpus, documents, sf  # noqa: F401
 from tidemark.llm import neardup
 from tidemark.llm.components import components
 from tidemark.llm.queries import QUERIES

@@ -7,7 +7,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm.conftest import documents
+from llm.support import corpus, documents, sf  # noqa: F401
 from llm.test_models import slow_shares
 from llm.test_neardup import brute
 from llm.test_search import brute_items

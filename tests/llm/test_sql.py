@@ -3,7 +3,7 @@
 import pytest
 from compare import connect, rows_of
 
-from llm.conftest import documents
+from llm.support import corpus, documents, sf  # noqa: F401
 from tidemark.llm import licenses, linededup
 from tidemark.llm.queries import ORACLE, QUERIES
 

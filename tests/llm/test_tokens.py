@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from llm.conftest import documents
+from llm.support import corpus, documents, sf  # noqa: F401
 from tidemark.llm import grammar, pieces
 from tidemark.llm.queries import QUERIES
 from tidemark.session import workspace

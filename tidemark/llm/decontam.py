@@ -121,16 +121,18 @@ class Index:
 FOUND = "array<struct<item_id: bigint, start: bigint, tokens: bigint>>"
 
 
-def _part(docs: DataFrame, index: Index, column: str) -> DataFrame:
-    rows = docs.select(*[docs[c] for c in docs.columns], F.struct(*[docs[c] for c in docs.columns]).alias("_row")).select("_row", "text")
-    kind = rows.schema["_row"].dataType.simpleString()
+def _part(rows: DataFrame, index: Index) -> DataFrame:
+    """``row, found`` with the items of the index added; a text goes to the task once, inside its row."""
+    kind = rows.schema["row"].dataType.simpleString()
     made = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("tokens", pa.int64())]))
 
     def of(piece):
-        found = [[{"item_id": i, "start": s, "tokens": n} for i, s, n in index.found(t)] for t in texts(piece)]
-        return [piece.column("_row"), pa.array(found, made)]
+        row = piece.column("row")
+        found = [[*known, *[{"item_id": i, "start": s, "tokens": n} for i, s, n in index.found(text)]]
+                 for known, text in zip(piece.column("found").to_pylist(), row.field("text").to_pylist(), strict=True)]
+        return [row, pa.array(found, made)]
 
-    return map_slices(rows, f"_row {kind}, {column} {FOUND}", of)
+    return map_slices(rows, f"row {kind}, found {FOUND}", of)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -138,13 +140,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     chars = items.agg(F.sum(F.length("text"))).head()[0] or 0
     parts = -(-chars // PART_CHARS) or 1
-    out = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"), F.array().cast(FOUND).alias("found"))
+    out = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.array().cast(FOUND).alias("found"))
     for part in range(parts):  # one, unless the benchmark is over the size that may be sent to every task
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
-        index = Index([(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()])
-        found = _part(out, index, "more")
-        out = found.select(F.col("_row.row").alias("row"), F.col("_row.text").alias("text"), F.array_union("_row.found", "more").alias("found"))
-    return out.select("row", F.array_sort("found").alias("found"))
+        out = _part(out, Index([(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()]))
+    return out.select("row", F.array_sort(F.array_distinct("found")).alias("found"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -146,13 +146,15 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all) of ``docs`` in ``row``, then ``lang_pred``, ``score`` and ``ambiguous``."""
-    ids = docs.select(F.struct(*[docs[c] for c in keep or docs.columns]).alias("row"), docs["text"].alias("text"))
+    kept = [docs[c] for c in keep or docs.columns]
+    inside = "text" in (keep or docs.columns)  # then the text goes to the task once, inside its row
+    ids = docs.select(F.struct(*kept).alias("row"), *([] if inside else [docs["text"].alias("text")]))
     languages = model.languages
 
     def of(piece: pa.RecordBatch) -> list:
         pred, score = [], []
         for part in slices(piece, max(1 << 17, (1 << 23) // max(8, model.weights.shape[1]))):
-            texts = part.column("text")
+            texts = part.column("row").field("text") if inside else part.column("text")
             shares = model.shares(texts) if languages else np.zeros((len(texts), 1))
             best = shares.argmax(axis=1)
             for i, text in enumerate(texts.to_pylist()):

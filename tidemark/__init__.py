@@ -14,10 +14,10 @@ from tidemark.sources.tables import KeyedTable, upsert
 from tidemark.streaming.journal import Journal, Subscription
 from tidemark.streaming.late import LateSplit
 from tidemark.streaming.listener import Delivery, Listener, per_batch
-from tidemark.streaming.run import Runner, current_watermark, drain, replay, start
+from tidemark.streaming.run import Progress, Runner, current_watermark, drain, replay, start
 
 __all__ = [
-    "AdmissionError", "AsofStream", "Catalog", "Delivery", "EventError", "Field", "Journal", "KeyedTable", "LateSplit", "Listener",
+    "AdmissionError", "AsofStream", "Catalog", "Delivery", "EventError", "Field", "Journal", "KeyedTable", "LateSplit", "Listener", "Progress",
     "RunningTopK", "Runner", "Sink", "Source", "Stream", "Subscription", "Table", "Writer", "asof_join",
     "check_stream_plan", "closed_windows", "conform_or_fail", "conform_rows", "current_watermark",
     "drain", "interval_join", "keyed", "per_batch", "replay", "sql_stream", "start", "top_k", "tumble", "upsert", "values",

@@ -26,7 +26,7 @@ from tidemark.llm.common import map_slices, texts
 
 MARK = "▁"
 PART = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-KNOWN = 400_000  # parts a worker remembers
+KNOWN = 150_000  # parts a worker remembers
 LONG = 96  # bytes from which a part is segmented by itself
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -54,5 +56,10 @@ def _schema(df: DataFrame, ddl: str):
     return StructType.fromDDL(ddl)
 
 
+def worker_store() -> dict:
+    """What a Python worker keeps from task to task; code that is sent by value has no module of its own for it."""
+    return sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__
+
+
 def texts(piece: pa.RecordBatch, column: str = "text") -> list[str | None]:
     return piece.column(column).to_pylist()

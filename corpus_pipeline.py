@@ -5,7 +5,7 @@ A stage takes the session, its predecessor's documents and the folder of the tab
 
 - ``language_id`` drops documents in which no language has half of the belief, and fills in a missing ``lang``;
 - ``line_dedup`` takes boilerplate lines out of the texts and counts ``n_chars`` again;
-- ``near_dedup`` keeps one document of each group of near-duplicates;
+- ``near_dedup`` keeps one document of each group of near-duplicates, linked from a similarity of 0.80 on (``NEAR_PERCENT``);
 - ``decontaminate`` drops documents that hold a benchmark item;
 - ``encode_pieces`` returns the ids of each text and whether they decode to it.
 
@@ -21,6 +21,7 @@ from tidemark.llm import decontam, langid, linededup, neardup, pieces
 from tidemark.llm.common import stash, table
 
 LEAST_BELIEF = 0.5
+NEAR_PERCENT = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.clean_documents(docs)
+    return neardup.clean_documents(docs, NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

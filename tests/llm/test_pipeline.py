@@ -1,5 +1,6 @@
 """The pipeline against a brute-force version, stage by stage on the rows the one before kept."""
 
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -63,3 +64,22 @@ def test_missing_language_is_filled_in(spark, sf):
     docs = documents(spark, [(i, "the cat and the dog", "en", "s") for i in range(30)] + [(99, "the dog and the cat", None, "s"), (100, "1 2 3", "en", "s")])
     out = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, sf).collect()}
     assert out[99] == "en" and 100 not in out
+
+
+def test_near_dedup_at_its_own_threshold(spark, sf):
+    """Near copies from 0.80 to 0.85 go too, and one row stays of repeats and of copies without an id."""
+    rng, rows = random.Random(3), []
+    for d in range(40):
+        words = [f"t{d}w{i}" for i in range(200)]
+        rows.append((2 * d, " ".join(words)))
+        for at in rng.sample(range(8, 190, 14), 3 + d % 6):
+            words[at] += "x"
+        rows.append((2 * d + 1, " ".join(words)))
+    sets = {d: {tuple(t.split()[i:i + 5]) for i in range(196)} for d, t in rows}
+    linked = {d for d in range(1, 80, 2) if 100 * len(sets[d] & sets[d - 1]) >= 80 * len(sets[d] | sets[d - 1])}
+    between = {d for d in linked if 100 * len(sets[d] & sets[d - 1]) < 85 * len(sets[d] | sets[d - 1])}
+    assert between and len(linked) < 40
+    odd = [(0, rows[0][1]), (None, rows[0][1]), (None, "held by no other row"), (None, "held by no other row"), (0, "another text of it"), (None, ""), (None, None)]
+    out = corpus_pipeline.near_dedup(spark, documents(spark, rows + odd), sf).collect()
+    expected = [r for r in rows if r[0] not in linked] + odd[2:3] + odd[4:]
+    assert sorted(((r.doc_id, r.text) for r in out), key=repr) == sorted(expected, key=repr)

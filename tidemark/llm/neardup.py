@@ -1,7 +1,8 @@
 """Near-duplicates: an LSH forest finds candidates, full shingle sets confirm them, connected components group them.
 
 A document's words are its runs of bytes other than ASCII white space, A-Z lower-cased; its set holds the distinct runs of
-five words (with fewer words, all of them as one). Two documents are linked if ``100 * intersection >= 85 * union``.
+five words (with fewer words, all of them as one). Two documents are linked if ``100 * intersection >= percent * union``;
+``percent`` is 85 unless the caller gives another.
 
 Equal sets are one class, of which the smallest ``doc_id`` stands for all. Each class has ``HASHES`` minimum hashes.
 ``TREES`` orders of these hashes make a forest: in a tree, classes whose first hashes agree form a region. A region of more
@@ -33,7 +34,6 @@ WORDS, PERCENT = 5, 85
 HASHES, TREES = 256, 16
 DEPTHS = (3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256)
 REGION, REGION_SHINGLES = 1024, 8 << 20
-LEAST_SAME = int(HASHES * 0.85 - 4 * (HASHES * 0.85 * 0.15) ** 0.5)  # of the sketch, four standard deviations below 0.85
 
 _RNG = np.random.default_rng(5)
 _A = (_RNG.integers(1, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -67,11 +67,17 @@ def signature(found: np.ndarray) -> bytes:
     return least.astype(np.uint8).tobytes() + (least >> np.uint32(8)).astype(np.uint8).tobytes()
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def least_same(percent: int) -> int:
+    """Hashes of the sketch that agree at least, four standard deviations below ``percent``."""
+    share = percent / 100
+    return int(HASHES * share - 4 * (HASHES * share * (1 - share)) ** 0.5)
+
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     if not len(a) or not len(b):
         return False
     shared = len(a) + len(b) - len(np.union1d(a, b))
-    return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
@@ -136,21 +142,22 @@ def _cuts(branch: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
-def _candidates(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, branches: np.ndarray, tree: int) -> list[tuple[int, np.ndarray]]:
+def _candidates(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, branches: np.ndarray, tree: int,
+                percent: int) -> list[tuple[int, np.ndarray]]:
     """For places in a region the later places whose sketch is close enough, unless an earlier tree has the two in a region too."""
-    found = []
+    found, least = [], least_same(percent)
     for i in range(len(ids) - 1):
         rest = slice(i + 1, None)
-        fit = (np.minimum(sizes[rest], sizes[i]) * 100 >= np.maximum(sizes[rest], sizes[i]) * PERCENT) & (ids[rest] != ids[i])
+        fit = (np.minimum(sizes[rest], sizes[i]) * 100 >= np.maximum(sizes[rest], sizes[i]) * percent) & (ids[rest] != ids[i])
         fit &= ~((branches[rest, :tree] == branches[i, :tree]) & (branches[i, :tree] != 0)).any(axis=1)
         at = np.nonzero(fit)[0] + i + 1
-        at = at[(sketches[at] == sketches[i]).sum(axis=1) >= LEAST_SAME]
+        at = at[(sketches[at] == sketches[i]).sum(axis=1) >= least]
         if len(at):
             found.append((i, at))
     return found
 
 
-def _involved(regions: DataFrame, classes: DataFrame) -> DataFrame:
+def _involved(regions: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """``branch, rep, partners``: the classes of each region that have candidates there, each pair at one of the two, in one tree."""
     number = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.coalesce(F.try_element_at("by_tree", t), F.lit(0).cast("long")))
     one = F.when(F.min("branch") == F.max("branch"), F.min("branch")).otherwise(0)  # a rep with several classes may be in two
@@ -167,7 +174,7 @@ def _involved(regions: DataFrame, classes: DataFrame) -> DataFrame:
             paths = table.column("branches").combine_chunks().flatten().to_numpy().reshape(-1, TREES)
             out: dict[tuple[int, int], list[int]] = {}
             for a, b in _cuts(branch):
-                for i, at in _candidates(ids[a:b], sizes[a:b], sketches[a:b], paths[a:b], int(tree[a])):
+                for i, at in _candidates(ids[a:b], sizes[a:b], sketches[a:b], paths[a:b], int(tree[a]), percent):
                     key = int(branch[a])
                     out.setdefault((key, int(ids[a + i])), []).extend(ids[a + at].tolist())
                     for partner in ids[a + at].tolist():
@@ -184,7 +191,7 @@ def _own_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi"), "texts")
 
 
-def _confirm_regions(involved: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm_regions(involved: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """``a, b``: links between the classes of each region that connect all that are linked there, confirmed on their full sets.
 
     A candidate pair that other links of the region connect already needs no test, so a region gives fewer links than it has classes.
@@ -212,7 +219,7 @@ def _confirm_regions(involved: DataFrame, docs: DataFrame) -> DataFrame:
                 for i in range(first, stop):
                     for other in partners[i]:
                         a, b = find(ids[i]), find(other)
-                        if a != b and any(linked(x, y) for x in sets[ids[i]] for y in sets.get(other, [])):
+                        if a != b and any(linked(x, y, percent) for x in sets[ids[i]] for y in sets.get(other, [])):
                             parent[max(a, b)] = min(a, b)
                             left.append(ids[i])
                             right.append(other)
@@ -221,33 +228,33 @@ def _confirm_regions(involved: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _confirm_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm_pairs(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a, b``) whose full sets are linked."""
     own = _own_texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     sides = [own.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")) for side in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
 
     def of(piece):
-        keep = [linked(shingles(x), shingles(y)) for x, y in zip(texts(piece, "text_a"), texts(piece, "text_b"), strict=True)]
+        keep = [linked(shingles(x), shingles(y), percent) for x, y in zip(texts(piece, "text_a"), texts(piece, "text_b"), strict=True)]
         kept = piece.filter(pa.array(keep, pa.bool_()))
         return [kept.column("a"), kept.column("b")]
 
     return map_slices(both, "a long, b long", of)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id, kept``."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per row: ``doc_id, n_shingles, component_id, kept``, where sets of ``percent`` similarity are linked."""
     sets = stash(document_sets(docs), "sets")
     whole = sets.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     classes = stash(whole.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min("sig").alias("sig")), "classes")
     members = stash(whole.select("doc_id", "set_id").join(classes.select("set_id", "rep"), "set_id").select("doc_id", "rep"), "members")
 
     regions, alike = _regions(classes)
-    links = _confirm_regions(stash(_involved(stash(regions.distinct(), "regions"), classes), "involved"), docs)
+    links = _confirm_regions(stash(_involved(stash(regions.distinct(), "regions"), classes, percent), "involved"), docs, percent)
     # A doc_id with several texts is in several classes.
     several = members.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b <> most").select("doc_id", "b")
     same = members.join(several, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    group = stash(components(links.union(same).union(_confirm_pairs(stash(alike, "alike"), docs))), "groups")
+    group = stash(components(links.union(same).union(_confirm_pairs(stash(alike, "alike"), docs, percent))), "groups")
 
     named = members.distinct().join(group, F.col("rep") == F.col("vertex"), "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "rep")).alias("component_id"))
@@ -257,7 +264,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def clean_documents(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest ``doc_id``, with the same columns."""
-    gone = stash(near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+def clean_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of each group, one with the smallest ``doc_id``, with the same columns.
+
+    Each row is a document of its own here, so one row stays of repeats and of copies without a ``doc_id``, and what a row with a
+    repeated ``doc_id`` has alone stays. Empty texts stay.
+    """
+    rows = stash(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), "rows")
+    groups = stash(near_duplicates(rows.select(F.col("number").alias("doc_id"), "row.text"), percent).select("doc_id", "component_id"), "numbered")
+    several = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    copies = groups.join(several, "component_id").join(rows.select(F.col("number").alias("doc_id"), F.col("row.doc_id").cast("long").alias("own"),
+                                                                   F.xxhash64("row.text").alias("tie")), "doc_id")
+    order = F.struct(F.col("own").isNull(), "own", "tie", "doc_id")  # ids first, then none
+    first = copies.groupBy("component_id").agg(F.min_by("doc_id", order).alias("first"))
+    gone = stash(copies.join(first, "component_id").where("doc_id <> first").select(F.col("doc_id").alias("number")), "gone")
+    return rows.join(gone, "number", "left_anti").select("row.*")

@@ -94,3 +94,20 @@ def test_components(spark):
     found = components(spark.createDataFrame(pairs, "a long, b long").repartition(4))
     assert dict(map(tuple, found.collect())) == {v: find(v) for v in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_linked_pairs_in_a_crowd_of_half_similar_texts(spark, monkeypatch):
+    """No region of two classes fits, and most pairs are apart at the greater depths."""
+    rng, rows = random.Random(6), []
+    base = [f"w{i}" for i in range(140)]
+    for d in range(0, 24, 2):
+        words = base + [f"d{d}w{i}" for i in range(60)]
+        rows.append((d, " ".join(words)))
+        for at in rng.sample(range(144, 196, 8), 3):
+            words[at] += "x"
+        rows.append((d + 1, " ".join(words)))
+    expected = brute(rows)
+    assert len({c for _, _, c in expected}) == 12
+    monkeypatch.setattr(neardup, "REGION", 1)
+    monkeypatch.setattr(neardup, "DEPTHS", (3, 4, 24, 256))
+    assert got(neardup.near_duplicates(documents(spark, rows))) == expected

@@ -13,8 +13,12 @@ has them together. A second pass brings the texts of the classes with candidates
 the full sets, leaving out pairs that confirmed links connect already; so neither pass makes a row for each pair.
 Classes that agree in all hashes, and are still too many, are compared with the smallest of them.
 
-A linked pair (similarity 0.85 or more) misses all 16 trees at depth 3 with a chance under 3e-7, at depth 4 under 1e-5, at
-depth 6 under 3e-4; a region has to hold thousands of half-similar classes to go that deep.
+Splitting alone would lose pairs, so the regions that don't fit at the last depth with a miss chance of ``MOST_MISSED`` (crowds: at
+depth 4 for 85, 3 for 80) are then compared whole: their classes are dealt to blocks, two blocks are a tile, and each pair that
+no link connects yet is in one tile. A crowd all of whose classes are connected already has no tiles; the work on another one grows with the square of its classes.
+
+So a linked pair is together in no tree with a chance of 3e-7 (similarity 0.85) where its regions fit at depth 3, and 1e-5
+at depth 4, however crowded they are; for 0.80 it is 1.0e-5, at depth 3.
 
 Defined cases: null and blank texts have empty sets and are linked with nothing; rows with a null ``doc_id`` are linked with nothing and
 kept; rows that repeat a ``doc_id`` are one document with all their texts; other columns are ignored.
@@ -34,6 +38,7 @@ WORDS, PERCENT = 5, 85
 HASHES, TREES = 256, 16
 DEPTHS = (3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256)
 REGION, REGION_SHINGLES = 1024, 8 << 20
+MOST_MISSED = 2e-5  # of linked pairs, by all trees at the depth from which on crowds are compared whole
 
 _RNG = np.random.default_rng(5)
 _A = (_RNG.integers(1, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -98,8 +103,18 @@ def _branch(sig: Column, tree: Column, depth: int) -> Column:
     return F.xxhash64(tree, *[F.substring(plane, start, F.lit(depth)) for plane in planes])
 
 
-def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``branch, tree, rep`` of all regions that fit, and (``a, b``) of what agrees in all hashes and doesn't fit."""
+def missed(percent: int, depth: int) -> float:
+    """The chance that a pair of this similarity is together in no tree at this depth."""
+    return (1 - (percent / 100) ** depth) ** TREES
+
+
+def _regions(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``branch, tree, rep`` of all regions that fit, (``a, b``) of what agrees in all hashes and doesn't fit, and the crowds.
+
+    Crowds are the regions (``branch, tree, rep``) that don't fit at the greatest depth at which few enough linked pairs are missed.
+    """
+    whole = max([d for d in DEPTHS if missed(percent, d) <= MOST_MISSED], default=DEPTHS[0])
+    crowds = None
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rows, fitting = classes.select("rep", "size", "sig", tree), []
     fits = (F.col("classes") <= REGION) & (F.col("shingles") <= REGION_SHINGLES)
@@ -109,6 +124,8 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         level = stash(branches.drop("size").join(sizes, "branch"), f"forest-{depth}")
         fitting.append(level.where(fits).select("branch", "tree", "rep"))
         crowded = level.where(~fits)
+        if crowds is None and depth >= whole:
+            crowds = crowded.select("branch", "tree", "rep")
         if crowded.isEmpty():
             break
         rows = crowded.select("rep", "tree").join(classes, "rep").select("rep", "size", "sig", "tree")
@@ -116,7 +133,8 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     for more in fitting[1:]:
         regions = regions.union(more)
     heads = crowded.groupBy("branch").agg(F.min("rep").alias("b"))
-    return regions, crowded.join(heads, "branch").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    alike = crowded.join(heads, "branch").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    return regions, alike, regions.limit(0) if crowds is None else crowds
 
 
 def _whole_regions(batches):
@@ -142,13 +160,21 @@ def _cuts(branch: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
-def _candidates(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, branches: np.ndarray, tree: int,
+def _candidates(groups: np.ndarray, blocks: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, branches: np.ndarray, tree: int,
                 percent: int) -> list[tuple[int, np.ndarray]]:
-    """For places in a region the later places whose sketch is close enough, unless an earlier tree has the two in a region too."""
+    """For places in a region the later places whose sketch is close enough, unless an earlier tree has the two in a region too.
+
+    Places of one group are linked already. Of two blocks of a crowd only pairs across them count.
+    """
     found, least = [], least_same(percent)
-    for i in range(len(ids) - 1):
+    across = blocks.min() != blocks.max()
+    for i in range(len(groups) - 1):
         rest = slice(i + 1, None)
-        fit = (np.minimum(sizes[rest], sizes[i]) * 100 >= np.maximum(sizes[rest], sizes[i]) * percent) & (ids[rest] != ids[i])
+        fit = (np.minimum(sizes[rest], sizes[i]) * 100 >= np.maximum(sizes[rest], sizes[i]) * percent) & (groups[rest] != groups[i])
+        if across:
+            fit &= blocks[rest] != blocks[i]
+        if not fit.any():
+            continue
         fit &= ~((branches[rest, :tree] == branches[i, :tree]) & (branches[i, :tree] != 0)).any(axis=1)
         at = np.nonzero(fit)[0] + i + 1
         at = at[(sketches[at] == sketches[i]).sum(axis=1) >= least]
@@ -159,22 +185,44 @@ def _candidates(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, branch
 
 def _involved(regions: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """``branch, rep, partners``: the classes of each region that have candidates there, each pair at one of the two, in one tree."""
+    return _compared(_paths(regions).withColumns({"group": F.col("rep"), "block": F.lit(0).cast("long")}), classes, percent)
+
+
+def _involved_crowds(crowds: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """The same for regions that don't fit, in tiles of two blocks of classes, for pairs that ``groups`` doesn't connect already."""
+    named = crowds.join(groups.select(F.col("vertex").alias("rep"), "component"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
+    split = (named.groupBy("branch").agg(F.count("*").alias("n"), F.min("group").alias("least"), F.max("group").alias("most"))
+             .where("least <> most").select("branch", F.ceil(2 * F.col("n") / REGION).alias("blocks")))
+    rows = stash(_paths(named.join(split, "branch").select("branch", "tree", "rep", "group", "blocks").distinct()), "crowds")
+    tiles = (rows.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .withColumn("branch", F.xxhash64("branch", F.least("block", "other"), F.greatest("block", "other"))))
+    return _compared(tiles, classes, percent)
+
+
+def _paths(regions: DataFrame) -> DataFrame:
+    """The rows, with the branch of their class in each tree."""
     number = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.coalesce(F.try_element_at("by_tree", t), F.lit(0).cast("long")))
     one = F.when(F.min("branch") == F.max("branch"), F.min("branch")).otherwise(0)  # a rep with several classes may be in two
     forest = (regions.groupBy("rep", "tree").agg(one.alias("branch")).groupBy("rep")
               .agg(F.map_from_entries(F.collect_list(F.struct("tree", "branch"))).alias("by_tree")).select("rep", number.alias("branches")))
-    rows = (regions.join(forest, "rep").join(classes.select("rep", "size", F.substring("sig", 1, HASHES).alias("sketch")), "rep")
-            .repartition("branch").sortWithinPartitions("branch", "rep").select("branch", "tree", "rep", "size", "sketch", "branches"))
+    return regions.join(forest, "rep")
+
+
+def _compared(regions: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    rows = (regions.join(classes.select("rep", "size", F.substring("sig", 1, HASHES).alias("sketch")), "rep")
+            .repartition("branch").sortWithinPartitions("branch", "rep")
+            .select("branch", "tree", "rep", "group", "block", "size", "sketch", "branches"))
 
     def run(batches):
         for table in _whole_regions(batches):
             branch, tree = table.column("branch").to_numpy(), table.column("tree").to_numpy()
-            ids, sizes = table.column("rep").to_numpy(), table.column("size").to_numpy()
+            ids, sizes, groups, blocks = (table.column(c).to_numpy() for c in ("rep", "size", "group", "block"))
             sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
             paths = table.column("branches").combine_chunks().flatten().to_numpy().reshape(-1, TREES)
             out: dict[tuple[int, int], list[int]] = {}
             for a, b in _cuts(branch):
-                for i, at in _candidates(ids[a:b], sizes[a:b], sketches[a:b], paths[a:b], int(tree[a]), percent):
+                for i, at in _candidates(groups[a:b], blocks[a:b], sizes[a:b], sketches[a:b], paths[a:b], int(tree[a]), percent):
                     key = int(branch[a])
                     out.setdefault((key, int(ids[a + i])), []).extend(ids[a + at].tolist())
                     for partner in ids[a + at].tolist():
@@ -249,12 +297,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = stash(whole.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min("sig").alias("sig")), "classes")
     members = stash(whole.select("doc_id", "set_id").join(classes.select("set_id", "rep"), "set_id").select("doc_id", "rep"), "members")
 
-    regions, alike = _regions(classes)
+    regions, alike, crowds = _regions(classes, percent)
     links = _confirm_regions(stash(_involved(stash(regions.distinct(), "regions"), classes, percent), "involved"), docs, percent)
     # A doc_id with several texts is in several classes.
     several = members.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b <> most").select("doc_id", "b")
     same = members.join(several, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
     group = stash(components(links.union(same).union(_confirm_pairs(stash(alike, "alike"), docs, percent))), "groups")
+    if not crowds.isEmpty():
+        more = stash(_confirm_regions(stash(_involved_crowds(crowds, classes, group, percent), "crowded"), docs, percent), "links")
+        if not more.isEmpty():
+            group = stash(components(more.union(group.select("vertex", "component"))), "groups")
 
     named = members.distinct().join(group, F.col("rep") == F.col("vertex"), "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "rep")).alias("component_id"))

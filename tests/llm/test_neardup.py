@@ -111,3 +111,19 @@ def test_linked_pairs_in_a_crowd_of_half_similar_texts(spark, monkeypatch):
     monkeypatch.setattr(neardup, "REGION", 1)
     monkeypatch.setattr(neardup, "DEPTHS", (3, 4, 24, 256))
     assert got(neardup.near_duplicates(documents(spark, rows))) == expected
+
+
+def test_texts_too_long_for_a_region(spark, monkeypatch):
+    """Two texts with more shingles than a region may have, and a group of them."""
+    rng, rows = random.Random(8), []
+    for d, copies in ((0, 2), (10, 5)):
+        for k in range(copies):
+            words = [f"d{d}w{i}" for i in range(400)]
+            for at in rng.sample(range(8, 390, 8), 2):
+                words[at] += f"x{k}"
+            rows.append((d + k, " ".join(words)))
+    expected = brute(rows)
+    assert {c for _, _, c in expected} == {0, 10}
+    monkeypatch.setattr(neardup, "REGION_SHINGLES", 700)
+    monkeypatch.setattr(neardup, "DEPTHS", (3, 4, 128, 256))
+    assert got(neardup.near_duplicates(documents(spark, rows))) == expected

@@ -15,7 +15,8 @@ Classes that agree in all hashes, and are still too many, are compared with the
 
 Splitting alone would lose pairs, so the regions that don't fit at the last depth with a miss chance of ``MOST_MISSED`` (crowds: at
 depth 4 for 85, 3 for 80) are then compared whole: their classes are dealt to blocks, two blocks are a tile, and each pair that
-no link connects yet is in one tile. A crowd all of whose classes are connected already has no tiles; the work on another one grows with the square of its classes.
+no link connects yet is in one tile. Texts of candidates that have more than ``REGION_SHINGLES`` shingles together are confirmed in
+pairs of pages of at most half of that, or of one longer text; so two texts of any length are compared. A crowd all of whose classes are connected already has no tiles; the work on another one grows with the square of its classes.
 
 So a linked pair is together in no tree with a chance of 3e-7 (similarity 0.85) where its regions fit at depth 3, and 1e-5
 at depth 4, however crowded they are; for 0.80 it is 1.0e-5, at depth 3.
@@ -160,6 +161,12 @@ def _cuts(branch: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
+def _pages(sizes: np.ndarray, involved: np.ndarray) -> np.ndarray:
+    """For each place a page; the involved classes of two pages have ``REGION_SHINGLES`` shingles, or a page's first class is larger."""
+    ends = np.cumsum(np.where(involved, sizes, 0))
+    return ends // (REGION_SHINGLES // 2) if ends[-1] > REGION_SHINGLES else np.zeros(len(sizes), np.int64)
+
+
 def _candidates(groups: np.ndarray, blocks: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, branches: np.ndarray, tree: int,
                 percent: int) -> list[tuple[int, np.ndarray]]:
     """For places in a region the later places whose sketch is close enough, unless an earlier tree has the two in a region too.
@@ -222,11 +229,18 @@ def _compared(regions: DataFrame, classes: DataFrame, percent: int) -> DataFrame
             paths = table.column("branches").combine_chunks().flatten().to_numpy().reshape(-1, TREES)
             out: dict[tuple[int, int], list[int]] = {}
             for a, b in _cuts(branch):
-                for i, at in _candidates(groups[a:b], blocks[a:b], sizes[a:b], sketches[a:b], paths[a:b], int(tree[a]), percent):
-                    key = int(branch[a])
-                    out.setdefault((key, int(ids[a + i])), []).extend(ids[a + at].tolist())
-                    for partner in ids[a + at].tolist():
-                        out.setdefault((key, partner), [])
+                found = _candidates(groups[a:b], blocks[a:b], sizes[a:b], sketches[a:b], paths[a:b], int(tree[a]), percent)
+                involved = np.zeros(b - a, bool)
+                for i, at in found:
+                    involved[i] = involved[at] = True
+                pages = _pages(sizes[a:b], involved)  # texts too long to be confirmed in one task are confirmed page by page
+                for i, at in found:
+                    for k in at.tolist():
+                        key = int(branch[a])
+                        if pages[-1]:
+                            key = xxhash.xxh3_64_intdigest(np.array([key, pages[i], pages[k]], np.int64).tobytes()) - (1 << 63)
+                        out.setdefault((key, int(ids[a + i])), []).append(int(ids[a + k]))
+                        out.setdefault((key, int(ids[a + k])), [])
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([r for _, r in out], pa.int64()),
                                               pa.array(list(out.values()), pa.list_(pa.int64()))], names=["branch", "rep", "partners"])
 

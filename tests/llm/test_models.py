@@ -197,3 +197,13 @@ def test_secrets_of_documents(caller, sf, corpus):
 def test_remainder_of_ids(spark):
     rows = spark.createDataFrame([(i,) for i in (0, 1, 17, -5, 10 ** 12)], "doc_id long").select("doc_id", langid.id_remainder(F.col("doc_id"), 7)).collect()
     assert all(rest == zlib.crc32(str(i).encode()) % 7 for i, rest in rows)
+
+
+def test_values_behind_several_context_words():
+    value = "tR7xK2pQ9zLm"
+    for text in ("Authorization: Bearer ", "the secret password is ", "secret access key: ", "token passphrase: ", "AUTHORIZATION = 'bearer "):
+        assert secretscan.scan(text + value)[1] == [("cost", len(text), len(text) + len(value))], text
+        assert secretscan.scan(text + value)[2] == secretscan.guess_cost(value)
+    assert secretscan.scan("pwd: KxQzWvJtRmPqLs")[1] == [("cost", 5, 19)]
+    for prose in ("the token authentication", "Password requirements.", "secret well-established ingredients", "TOKEN AUTHENTICATION", "secret password"):
+        assert secretscan.scan(prose)[1] == []

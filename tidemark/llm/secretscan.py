@@ -2,8 +2,10 @@
 
 ``guess_cost`` is the decimal logarithm of the guesses that find a value under its cheapest segmentation, by
 dynamic programming: each segment is a common word, a date, a repeat, a keyboard walk or a brute-force character.
-A value with a digit in a credential context (``CONTEXT``) whose cost is at least ``MIN_COST`` is a ``cost`` span, beside the
-patterns' spans; a placeholder such as ``password=changeme123`` is not. A value's segmentation takes time linear in its length, so values of any length are taken whole.
+A value in a credential context (``CONTEXT``) whose cost is at least ``MIN_COST`` is a ``cost`` span, beside the
+patterns' spans; a placeholder such as ``password=changeme123`` is not. A value that is a context word itself gives
+way to the value behind it (``Authorization: Bearer ...``). A value of letters cased as in running text (``PROSE``) is no span whatever it costs,
+because the word list is too small to tell it from prose. A value's segmentation takes time linear in its length, so values of any length are taken whole.
 
 Spans are code points, end exclusive; patterns match left to right without overlap, each kind for itself. A null text
 is an empty one; an empty text has no spans and cost 0; rows that repeat are scanned row by row; other columns are ignored.
@@ -26,9 +28,12 @@ HEX = re.compile("[0-9a-f]{24,}")  # the runs of hex digits that are 24 or longe
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "api")
 
 # Words that announce a credential.
-CONTEXT = re.compile(r"""(?:passphrase|passcode|password|passwd|pwd|secret|token|api[ _-]?key|access[ _-]?key|credentials?|bearer|authorization)["']?(?:\x20*[:=]\x20*|\x20+is(?:\x20*[:=])?\x20*|\x20+)["'`]?([^\s"'`,;<>()]{6,})""", re.I | re.A)
+NAMES = r"(?:passphrase|passcode|password|passwd|pwd|secret|token|api[ _-]?key|access[ _-]?key|credentials?|bearer|authorization)"
+NAME = re.compile(NAMES, re.I | re.A)
+CONTEXT = re.compile(NAMES + r"""["']?(?:\x20*[:=]\x20*|\x20+is(?:\x20*[:=])?\x20*|\x20+)["'`]?([^\s"'`,;<>()]{6,})""", re.I | re.A)
 CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "bearer", "authorization")
 MIN_COST = 10.0
+PROSE = re.compile(r"(?:[^\W\d_]?[^\W\d_A-Z]*|[A-Z]+)(?:[-/’][^\W\d_]?[^\W\d_A-Z]*)*")  # letters cased as in running text
 
 # Frequent password words, most frequent first.
 WORDS = ("password pass admin welcome letmein login master hello secret monkey dragon shadow sunshine princess football "
@@ -154,13 +159,18 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     base, added, highest = base_spans(text), [], 0.0
     low = text.lower()
     if any(hint in low for hint in CONTEXT_HINTS):
-        for m in CONTEXT.finditer(text):
-            start, end = m.span(1)
+        at = 0
+        while m := CONTEXT.search(text, at):
+            start, at = m.span(1)
             value = m.group(1).rstrip(".!?:")
             end = start + len(value)
+            name = NAME.match(text, start)
+            if name and name.end() >= start + len(value.rstrip("=:")):
+                at = start  # a context word itself: the value is behind it
+                continue
             cost = guess_cost(value)
             highest = max(highest, cost)
-            if cost >= MIN_COST and any(map(str.isdigit, value)):
+            if cost >= MIN_COST and not PROSE.fullmatch(value):
                 added.append(("cost", start, end))
     return base, added, highest
 

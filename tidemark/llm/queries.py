@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontam, grammar, langid, licenses, linededup, neardup, pieces, quality, secretscan, topk
+from tidemark.llm import bpe, decontam, grammar, langid, licenses, linededup, neardup, negatives, pieces, quality, secretscan, topk, turns
 from tidemark.llm.common import table
 from tidemark.session import workspace
 
@@ -137,3 +137,38 @@ def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template notices in each document."""
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the byte-level BPE ids of each document and of the text that they decode to."""
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("""
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+        FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+    positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10""")
+def op12_secondary_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, where every seventh label is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op13_weighted_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations: what is wrong with each, and its cheapest repair."""
+    return turns.repair_conversations(turns.damaged(table(spark, sf_dir, "conversations")))

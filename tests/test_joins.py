@@ -1,11 +1,12 @@
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from helpers import BASE, Feed, at, brute_asof, brute_interval, frame, rows_of
 from pyspark.sql import functions as F
 
-from tidemark import AdmissionError, AsofStream, asof_join, drain, interval_join, replay
+from tidemark import AdmissionError, Journal, asof_join, asof_stream, drain, interval_join, replay
+from tidemark.operators.stateful import kept_state
 
 LEFT, RIGHT = "l_key bigint, l_ts timestamp_ntz, l_id bigint", "r_key bigint, r_ts timestamp_ntz, r_id bigint"
 ON = [("l_key", "r_key")]
@@ -151,42 +152,54 @@ def test_unmatched_rows_wait_for_the_other_side(spark, root, how):
     assert ((3, 7) in seen()) == (how != "anti")
 
 
-def test_asof_stream_over_batches_equals_batch(spark, root):
+def drained(frame, root, twice=False):
+    """The output so far of an as-of stream, and its query."""
+    journal = Journal(frame.sparkSession, f"{root}/asof")
+    target = (lambda batch, epoch: (journal(batch, epoch), journal(batch, epoch))) if twice else journal
+    return journal, drain(frame, target, f"{root}/checkpoint")
+
+
+@pytest.mark.parametrize("slices,salts", [(1, 1), (3, 2)])
+def test_asof_stream_over_batches_equals_batch(spark, root, slices, salts):
     """Rows split over turns in time order, with ties, NULL keys and a retention: as the static join."""
     left_rows, right_rows = crafted(5, n=90, span=300)
     left, right = feeds(spark, root)
-    stream = lambda: AsofStream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "30 seconds", f"{root}/asof")
+    stream = lambda: asof_stream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "30 seconds", slices, salts)
     for turn in range(3):
         part = lambda rows: [r for r in rows if at(turn * 100) <= r[1] < at((turn + 1) * 100)]
         left.put(*part(left_rows))
         right.put(*part(right_rows))
-        asof = stream()
-        drain(asof.frame, asof, f"{root}/checkpoint")
-        early = asof.read(spark).agg(F.max("l_ts")).head()[0]
-        mark = asof.progress(spark).agg(F.max("mark")).head()[0]
-        assert early < mark
+        journal, query = drained(stream(), root)
+        mark = datetime.fromisoformat(query.lastProgress["eventTime"]["watermark"].replace("Z", ""))
+        assert journal.batches().agg(F.max("l_ts")).head()[0] < mark
     left.put((1, at(1000), 500))
     right.put((1, at(1000), 500))
-    asof = stream()
-    drain(asof.frame, asof, f"{root}/checkpoint")
+    journal, _ = drained(stream(), root)
     expected = brute_asof([r[:2] for r in left_rows], right_rows, 30)
-    assert rows_of(asof.read(spark), "l_id", "r_id") == sorted(((r[2], e) for r, e in zip(left_rows, expected)), key=repr)
+    assert rows_of(journal.batches().filter("NOT _late"), "l_id", "r_id") == sorted(((r[2], e) for r, e in zip(left_rows, expected)), key=repr)
+    assert journal.batches().filter("_late").count() == 0
+
+
+def test_asof_stream_with_text_ties_and_fractions(spark, root):
+    left = Feed(spark, root, "left", "l_key VARCHAR, l_ts TIMESTAMP, l_id BIGINT", "l_ts")
+    right = Feed(spark, root, "right", "r_key VARCHAR, r_ts TIMESTAMP, tie VARCHAR, price DOUBLE, raw BINARY", "r_ts")
+    left.put(("é", at(10.000001), 1), ("é", at(10), 2), ("é", at(9.999999), 3), ("é", at(60), 9))
+    right.put(("é", at(10.000001), None, 0.1, None), ("é", at(10), "a", float("nan"), bytearray(b"\x00\xff")), ("é", at(10), "b", -0.0, None), ("é", at(60), "z", 1.0, None))
+    out, _ = drained(asof_stream(left.live(), right.live(), ON, "l_ts", "r_ts", "tie", "1 hour"), root)
+    assert rows_of(out.batches(), "l_id", "r_ts", "tie", "price") == [(1, at(10.000001), None, 0.1), (2, at(10), "b", -0.0), (3, None, None, None)]
 
 
-def test_asof_stream_drops_and_counts_late_rows(spark, root):
+def test_asof_stream_returns_late_rows(spark, root):
     left, right = feeds(spark, root)
-    def run():
-        asof = AsofStream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "1 hour", f"{root}/asof")
-        drain(asof.frame, asof, f"{root}/checkpoint")
-        return asof
+    run = lambda: drained(asof_stream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "1 hour"), root)[0]
     left.put((1, at(10), 1), (1, at(100), 2))
     right.put((1, at(5), 1), (1, at(100), 2))
-    assert rows_of(run().read(spark), "l_id", "r_id") == [(1, 1)]
-    left.put((1, at(50), 3), (1, at(200), 4))
-    right.put((1, at(8), 3), (1, at(200), 4), (1, None, 5))
-    asof = run()
-    assert rows_of(asof.read(spark), "l_id", "r_id") == [(1, 1), (2, 2)]
-    assert asof.progress(spark).agg(F.sum("late_rows")).head()[0] == 3
+    assert rows_of(run().batches().filter("NOT _late"), "l_id", "r_id") == [(1, 1)]
+    left.put((1, at(50), 3), (1, at(200), 4), (None, None, 6))
+    right.put((1, at(8), 3), (1, at(200), 4), (1, None, 5), (None, at(8), 7))
+    rows = run().batches()
+    assert rows_of(rows.filter("NOT _late"), "l_id", "r_id") == [(1, 1), (2, 2)]
+    assert rows_of(rows.filter("_late"), "l_id", "r_id") == sorted([(3, None), (6, None), (None, 3), (None, 5)], key=repr)
 
 
 def test_asof_stream_repeats_a_batch_after_a_lost_commit(spark, root):
@@ -194,10 +207,8 @@ def test_asof_stream_repeats_a_batch_after_a_lost_commit(spark, root):
     left, right = feeds(spark, root)
     left.put((1, at(10), 1), (1, at(100), 2))
     right.put((1, at(5), 1), (1, at(100), 2))
-    asof = AsofStream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "1 hour", f"{root}/asof")
-    twice = lambda batch, epoch: (asof(batch, epoch), asof(batch, epoch))
-    drain(asof.frame, twice, f"{root}/checkpoint")
-    assert rows_of(asof.read(spark), "l_id", "r_id") == [(1, 1)]
+    journal, _ = drained(asof_stream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "1 hour"), root, twice=True)
+    assert rows_of(journal.batches(), "l_id", "r_id") == [(1, 1)]
 
 
 def test_asof_stream_heartbeats(spark, root):
@@ -206,6 +217,36 @@ def test_asof_stream_heartbeats(spark, root):
     right.put((1, at(5), 1))
     for feed in (left, right):
         feed.writer.watermark(int((at(60) - BASE.replace(year=1970, month=1, day=1, hour=0)).total_seconds() * 1000))
-    asof = AsofStream(left.live(heartbeats=True), right.live(heartbeats=True), ON, "l_ts", "r_ts", "r_id", "1 hour", f"{root}/asof")
-    drain(asof.frame, asof, f"{root}/checkpoint")
-    assert rows_of(asof.read(spark)) == [(1, at(10), 1, 1, at(5), 1)]
+    journal, _ = drained(asof_stream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "1 hour"), root)
+    assert rows_of(journal.batches().drop("epoch", "_late")) == [(1, at(10), 1, 1, at(5), 1)]
+
+
+def test_asof_stream_leaves_idle_keys_alone_and_forgets_them(spark, root):
+    """Sixty keys, then batches of one of them: only its state is written, and the other keys' state goes when their slice is over."""
+    left, right = feeds(spark, root)
+    left.put(*[(k, at(10), k) for k in range(60)])
+    right.put(*[(k, at(9), k) for k in range(60)])
+    run = lambda: drained(asof_stream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "1 hour"), root)
+    run()
+    for second in (100, 200, 300):
+        left.put((7, at(second), second))
+        right.put((7, at(second), second))
+        journal, query = run()
+        touched = [op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"]]
+        assert max(touched[1:] or touched) < 40 or second == 100  # the sixty keys' own timers fire in the first of these
+    keys = lambda: {r[0] for r in kept_state(spark, f"{root}/checkpoint", "history").select("key._key0").collect()}
+    assert keys() == set(range(60))
+    left.put((7, at(4 * 3600), 1000))
+    right.put((7, at(4 * 3600), 1000))
+    journal, _ = run()
+    assert keys() == {7}
+    assert rows_of(journal.batches(), "l_id", "r_id") == sorted([*((k, k) for k in range(60)), (100, 100), (200, 200), (300, 300)], key=repr)
+
+
+def test_asof_stream_is_refused_without_watermark_or_order(spark, root):
+    left, right = feeds(spark, root)
+    bare = Feed(spark, root, "bare", "r_key BIGINT, r_ts TIMESTAMP, r_id BIGINT")
+    with pytest.raises(AdmissionError):
+        asof_stream(left.live(), bare.live(), ON, "l_ts", "r_ts", "r_id", "1 hour")
+    with pytest.raises(AdmissionError):
+        asof_stream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_ts", "1 hour")

@@ -4,7 +4,7 @@ import pytest
 from helpers import Feed, at, rows_of
 from pyspark.sql import functions as F
 
-from tidemark import Journal, LateSplit, RunningTopK, drain, keyed, tumble
+from tidemark import Journal, RunningTopK, drain, keyed, split_late, tumble
 
 
 def twice(target):
@@ -35,12 +35,13 @@ def test_top_k_repeats_a_batch(spark, root):
 
 def test_late_split_repeats_a_batch_and_keeps_rows_without_time(spark, root):
     feed = Feed(spark, root, "s", "id BIGINT, ts TIMESTAMP", "ts")
-    split = LateSplit(spark, f"{root}/split", "ts", "5 seconds", "10 seconds")
-    for turn in ([(1, at(1)), (2, at(40))], [(3, at(2)), (4, None), (5, at(41))]):
+    journal = Journal(spark, f"{root}/split")
+    for turn in ([(1, at(1)), (2, at(40))], [(3, at(2)), (4, None), (5, at(41)), (6, at(90))]):
         feed.put(*turn)
-        drain(feed.live(), twice(split), f"{root}/checkpoint")
-    assert rows_of(split.late(), "id") == [(3,), (4,)]
-    assert rows_of(split.on_time(), "id") == [(1,), (2,), (5,)]
+        drain(split_late(feed.live(), "ts", "10 seconds", parts=2), twice(journal), f"{root}/checkpoint")
+    assert rows_of(journal.batches().filter("late"), "row.id", "window_start", "event_count") == [(3, at(0), 1), (4, None, 1)]
+    counted = journal.batches().filter("NOT late").groupBy("window_start").agg(F.sum("event_count"))
+    assert rows_of(counted) == [(at(0), 1), (at(40), 2)]
 
 
 def test_a_sink_that_dies_after_writing_is_not_doubled(spark, root):

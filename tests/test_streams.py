@@ -6,8 +6,8 @@ import pytest
 from helpers import Feed, at, frame, rows_of
 from pyspark.sql import functions as F
 
-from tidemark import (AdmissionError, Catalog, LateSplit, Runner, RunningTopK, Sink, Stream, check_stream_plan, closed_windows,
-                      current_watermark, drain, interval_join, keyed, replay, sql_stream, top_k, tumble)
+from tidemark import (AdmissionError, Catalog, Journal, Runner, RunningTopK, Sink, Stream, check_stream_plan, closed_windows,
+                      current_watermark, drain, interval_join, keyed, replay, split_late, sql_stream, top_k, tumble)
 from tidemark.functions.event_time import seconds_of
 from tidemark.sources.definitions import read_live, read_static
 from tidemark.streaming.run import Progress
@@ -90,23 +90,42 @@ def test_totals_are_whole_over_many_batches(spark, root):
 
 
 def test_late_rows_are_what_spark_drops(spark, root):
-    """The side output and Spark's own counter agree, and nothing is lost between them."""
+    """The side output and Spark's own counter agree, and nothing is lost between late and counted rows."""
     feed = Feed(spark, root, "trades", COLUMNS, "ts")
-    split = LateSplit(spark, f"{root}/split", "ts", "5 seconds", "10 seconds")
+    journal = Journal(spark, f"{root}/split")
     dropped = 0
     turns = [[(1, "A", at(1)), (2, "A", at(3))], [(3, "A", at(20))], [(4, "A", at(4)), (5, "A", at(21))],
              [(6, "A", at(5)), (7, "B", at(40)), (8, "C", at(12))], [(9, "A", at(6)), (10, "A", at(29))]]
     for turn in turns:
         feed.put(*turn)
-        drain(feed.live(), split, f"{root}/split_checkpoint")
+        drain(split_late(feed.live(), "ts", "10 seconds"), journal, f"{root}/split_checkpoint")
         query = drain(counts(feed.live()), f"{root}/out", f"{root}/checkpoint")
         dropped += sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
-    assert rows_of(split.late(), "id") == [(10,), (4,), (6,), (9,)]
+    late, counted = journal.batches().filter("late"), journal.batches().filter("NOT late")
+    assert rows_of(late, "row.id") == [(10,), (4,), (6,), (9,)]
     assert dropped == 4
-    assert split.on_time().count() == 6
+    assert rows_of(counted.groupBy("window_start").agg(F.sum("event_count"))) == [(at(0), 2), (at(10), 1), (at(20), 2)]
     assert rows_of(spark.read.parquet(f"{root}/out")) == [("A", at(0), 2), ("A", at(20), 2), ("C", at(10), 1)]
 
 
+def test_late_and_counted_rows_make_up_the_input_back_to_back(spark, root):
+    """Many batches in one run, with late rows in most of them."""
+    rng = random.Random(6)
+    feed = Feed(spark, root, "trades", COLUMNS, "ts")
+    total = 0
+    for turn in range(8):
+        rows = [(i, "A", at(max(0, turn * 20 + rng.randint(-40, 20)))) for i in range(12)]
+        total += len(rows)
+        feed.put(*rows)
+    feed.put((99, "A", at(1000)))
+    feed.source = replace(feed.source, options={"maxFilesPerTrigger": "1"})
+    journal = Journal(spark, f"{root}/split")
+    drain(split_late(feed.live(), "ts", "10 seconds", parts=3), journal, f"{root}/checkpoint")
+    rows = journal.batches()
+    assert rows.agg(F.sum("event_count")).head()[0] == total
+    assert 0 < rows.filter("late").count() < total
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_any_ordered_split_replays_to_the_batch_result(spark, root, seed):
     rng = random.Random(seed)

@@ -1,161 +1,154 @@
-"""As-of join of two streams.
+"""As-of join of two streams, on the engine's keyed state and event-time timers.
 
-Spark has no such streaming operator. Each micro-batch is an ordinary as-of join on Spark: the left rows
-that the watermark has made final, against the new right rows and the history kept from before. What
-crosses batches, the left rows still open and the recent right rows, is a table per epoch in a shared
-folder; running an epoch again rewrites the same files. All of it is sorts and windows inside the JVM,
-so a whole history replayed in one batch costs one as-of join, and hot keys are split as there.
+Rows are grouped by key and slice of event time, a slice being as long as rows are retained (or a part of that). A left row belongs to its own
+slice; a right row to its own and to those that can still see it, in which only the last one of each batch is kept. A timer
+fires when the watermark has passed the first left row that waits, and what has become final then is matched. Right
+rows behind the watermark are reduced to the last one at the same time, and a slice that is over is cleared, so idle keys leave nothing
+behind and cost nothing in between. The engine keeps the watermark, the state and its checkpoints.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import datetime, timedelta
+from bisect import bisect_right
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.event_time import as_wall_clock, interval, moment
-from tidemark.operators.asof import asof_join
+from tidemark.functions.event_time import as_wall_clock, seconds_of
 from tidemark.operators.joins import check_distinct_names, check_join_keys
-from tidemark.plans.admission import WATERMARK_KEY, AdmissionError
-from tidemark.session import committed_numbers, remove
-from tidemark.sources.definitions import HEARTBEAT
-from tidemark.sources.tables import latest_per_key
+from tidemark.operators.stateful import NO_TIME, mark, micros, require_watermark, row_of, row_text
+from tidemark.plans.admission import AdmissionError
+from tidemark.sources.definitions import without_heartbeats
 
-LEDGER = "left_max timestamp_ntz, right_max timestamp_ntz, mark timestamp_ntz, late_rows bigint"
+RIGHT, LEFT, VISITOR = 0, 1, 2
+SENT = ["_side", "_at", "_has_tie", "_number", "_word", "_row"]  # the last columns of a group, which come without their names
+OPEN, HISTORY = "at long, row string", "at long, has_tie int, number long, word string, row string"
 
 
-@dataclass(frozen=True)
-class Progress:
-    """Greatest event times of both sides, the watermark they imply, and the late rows of one epoch."""
+def asof_stream(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str, tie: str,
+                retention: str, slices: int = 1, salts: int = 1) -> DataFrame:
+    """Left rows with the latest right row of their key at or before them that is no older than ``retention``.
 
-    left_max: datetime | None = None
-    right_max: datetime | None = None
-    mark: datetime | None = None
-    late_rows: int = 0
+    Append mode. A left row appears once the smaller of the two watermarks has passed it; among equal times the greatest
+    ``tie`` (BIGINT or VARCHAR) wins. NULL keys match nothing. Rows behind the watermark, or without an event time, take no
+    part and come out at once with ``_late`` true and the other side NULL; right rows with a NULL key are dropped.
 
-
-class AsofStream:
-    """``drain(asof.frame, asof, checkpoint)`` runs it; ``asof.read()`` is the output.
-
-    A left row appears once the smaller of the two watermarks has passed it, with the latest right row
-    of its key at or before it that is no older than ``retention``; among equal times the greatest
-    ``tie`` wins. NULL keys match nothing. Rows that arrive behind the watermark, or
-    without an event time, are dropped and counted.
+    A hot key is spread over ``slices`` parts of the retention, and its left rows over ``salts`` parts; each right row goes to ``salts``
+    times one more than ``slices`` groups.
     """
-
-    def __init__(self, left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left_ts: str, right_ts: str,
-                 tie: str, retention: str, path: str):
-        self.delays = _delay(left, left_ts), _delay(right, right_ts)
-        left, right = (as_wall_clock(side.withColumnsRenamed({HEARTBEAT: f"_{name}{HEARTBEAT}"}))
-                       for side, name in ((left, "left"), (right, "right")))
-        check_join_keys(left, right, on)
-        check_distinct_names(left, right)
-        self.on, self.left_ts, self.right_ts, self.tie = on, left_ts, right_ts, tie
-        self.retention, self.path = retention, path
-        self.left_type, self.right_type = left.schema, right.schema
-        nothing = lambda schema: F.lit(None).cast(schema)
-        self.frame = left.select(F.struct(*left.columns).alias("_l"), nothing(right.schema).alias("_r"), F.lit("left").alias("_side")).unionByName(
-            right.select(nothing(left.schema).alias("_l"), F.struct(*right.columns).alias("_r"), F.lit("right").alias("_side")))
-
-    def __call__(self, batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        before = self._before(spark, epoch)
-        now = self._stage(batch, epoch, before)
-        left, right = self._side(spark, epoch, "left", before), self._side(spark, epoch, "right", before)
-        if before is not None:
-            left = left.unionByName(self._kept(spark, "open", before[0], self.left_type))
-            right = right.unionByName(self._kept(spark, "history", before[0], self.right_type))
-        mark = F.lit(None).cast("timestamp_ntz") if now.mark is None else moment(now.mark)
-        final = F.coalesce(F.col(self.left_ts) < mark, F.lit(False))
-        matched = asof_join(left.filter(final), right.filter(F.col(self.right_ts) < mark), self.on, self.left_ts,
-                            self.right_ts, self.tie, self.retention)
-        self._write(matched.drop(*_beats(matched)), "out", epoch)
-        self._write(left.filter(~final), "open", epoch)
-        self._write(self._history(right, now.mark), "history", epoch)
-        ledger = spark.createDataFrame([(now.left_max, now.right_max, now.mark, now.late_rows)], LEDGER)
-        ledger.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/ledger/n={epoch}")
-        remove(spark, f"{self.path}/staged/epoch={epoch}")
-        if before is not None:
-            for older in [n for n in committed_numbers(spark, f"{self.path}/open", "epoch=") if n < before[0]]:
-                remove(spark, f"{self.path}/open/epoch={older}")
-                remove(spark, f"{self.path}/history/epoch={older}")
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The left rows final so far, with their right rows."""
-        epochs = committed_numbers(spark, f"{self.path}/ledger", "n=")
-        out = T.StructType([f for f in self.left_type.fields + self.right_type.fields if not f.name.endswith(HEARTBEAT)]
-                           + [T.StructField("epoch", T.IntegerType())])
-        rows = spark.read.schema(out).parquet(f"{self.path}/out")
-        return rows.filter(F.col("epoch") <= (epochs[-1] if epochs else -1)).drop("epoch")
-
-    def progress(self, spark: SparkSession) -> DataFrame:
-        """Per epoch: greatest event times, watermark, late rows."""
-        return spark.read.schema(LEDGER + ", n int").parquet(f"{self.path}/ledger")
-
-    def _before(self, spark: SparkSession, epoch: int) -> tuple[int, Progress] | None:
-        earlier = [n for n in committed_numbers(spark, f"{self.path}/ledger", "n=") if n < epoch]
-        if not earlier:
-            return None
-        row = spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/n={earlier[-1]}").head()
-        return earlier[-1], Progress(*row)
-
-    def _stage(self, batch: DataFrame, epoch: int, before) -> Progress:
-        """Write the batch down once, so that later passes read only the columns and rows they need."""
-        old = before[1] if before is not None else Progress()
-        at = F.coalesce(F.col(f"_l.{self.left_ts}"), F.col(f"_r.{self.right_ts}"))
-        late = F.count_if(at.isNull() if old.mark is None else at.isNull() | (at < moment(old.mark)))
-        seen = Observation()
-        batch.observe(seen, F.max(f"_l.{self.left_ts}").alias("left_max"), F.max(f"_r.{self.right_ts}").alias("right_max"),
-                      late.alias("late")).write.mode("overwrite").partitionBy("_side").parquet(
-                          f"{self.path}/staged/epoch={epoch}")
-        left_max = _greatest(old.left_max, seen.get["left_max"])
-        right_max = _greatest(old.right_max, seen.get["right_max"])
-        mark = None
-        if left_max is not None and right_max is not None:
-            mark = min(left_max - timedelta(seconds=self.delays[0]), right_max - timedelta(seconds=self.delays[1]))
-            mark = _greatest(old.mark, mark.replace(microsecond=mark.microsecond // 1000 * 1000))
-        return Progress(left_max, right_max, mark, int(seen.get["late"]))
-
-    def _side(self, spark: SparkSession, epoch: int, side: str, before) -> DataFrame:
-        column, schema, ts = ("_l", self.left_type, self.left_ts) if side == "left" else ("_r", self.right_type, self.right_ts)
-        staged = spark.read.schema(T.StructType([T.StructField(column, schema), T.StructField("_side", T.StringType())]))
-        rows = staged.parquet(f"{self.path}/staged/epoch={epoch}").filter(F.col("_side") == side).select(f"{column}.*")
-        for beat in _beats(rows):
-            rows = rows.filter(F.col(beat).isNull())
-        rows = rows.filter(F.col(ts).isNotNull())
-        if before is not None and before[1].mark is not None:
-            rows = rows.filter(F.col(ts) >= moment(before[1].mark))
-        return rows
-
-    def _kept(self, spark: SparkSession, what: str, epoch: int, schema: T.StructType) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{self.path}/{what}/epoch={epoch}")
-
-    def _history(self, right: DataFrame, mark: datetime | None) -> DataFrame:
-        """What later left rows may need: right rows from the watermark on and, per key, the last one before it."""
-        if mark is None:
-            return right
-        at = moment(mark)
-        ahead = right.filter(F.col(self.right_ts) >= at)
-        recent = right.filter((F.col(self.right_ts) < at) & (F.col(self.right_ts) >= at - interval(self.retention)))
-        newest = [F.col(self.right_ts).desc(), F.col(self.tie).desc()]
-        return ahead.unionByName(latest_per_key(recent, [r for _, r in self.on], newest))
-
-    def _write(self, rows: DataFrame, what: str, epoch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{what}/epoch={epoch}")
-
-
-def _delay(side: DataFrame, ts: str) -> float:
-    """The declared delay of a stream's watermark, in seconds."""
-    declared = side.schema[ts].metadata.get(WATERMARK_KEY)
-    if declared is None:
-        raise AdmissionError(f"an as-of join of streams needs a watermark on {ts}")
-    return declared / 1000
-
-
-def _beats(rows: DataFrame) -> list[str]:
-    return [c for c in rows.columns if c.endswith(HEARTBEAT)]
-
-
-def _greatest(*moments: datetime | None) -> datetime | None:
-    return max((m for m in moments if m is not None), default=None)
+    require_watermark(left, left_ts, "an as-of join of streams")
+    require_watermark(right, right_ts, "an as-of join of streams")
+    left, right = without_heartbeats(left), without_heartbeats(right)
+    check_join_keys(left, right, on)
+    check_distinct_names(left, right)
+    tie_type = right.schema[tie].dataType
+    if not isinstance(tie_type, T.LongType | T.StringType):
+        raise AdmissionError(f"tie-break {tie} must be bigint or string")
+    kept = seconds_of(retention) * 1_000_000
+    width = -(-kept // slices)
+    number, word = (F.col(tie), F.lit("")) if isinstance(tie_type, T.LongType) else (F.lit(0), F.col(tie))
+    own = F.floor(F.col("_at") / width).cast("long")
+    rows = _tagged(left, [l for l, _ in on], left_ts, F.lit(0), F.lit(0), F.lit("")).select(
+        "*", F.lit(LEFT).alias("_side"), own.alias("_slice"), F.pmod(F.xxhash64("_row"), F.lit(salts)).alias("_salt"))
+    for _, r in on:
+        right = right.filter(F.col(r).isNotNull())
+    places = F.transform(F.sequence(F.lit(0), F.lit(slices)), lambda i: F.struct((own + i).alias("slice"), F.when(i == 0, RIGHT).otherwise(VISITOR).alias("side")))
+    places = F.when(F.col("_at") == NO_TIME, F.slice(places, 1, 1)).otherwise(places)
+    visits = _tagged(right, [r for _, r in on], right_ts, F.col(tie).isNotNull().cast("int"), number, word).withColumn("_place", F.explode(places))
+    visits = visits.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    side = F.when((F.col("_place.side") == RIGHT) & (F.col("_salt") > 0), VISITOR).otherwise(F.col("_place.side"))
+    rows = rows.unionByName(visits.select("*", side.alias("_side"), F.col("_place.slice").alias("_slice")).drop("_place"))
+    # A NULL in a group's key would reach Python as another type, so it is a mark of its own.
+    names = [f"_key{i}" for i in range(len(on))]
+    blanks = {n: F.coalesce(n, F.lit("" if rows.schema[n].dataType == T.StringType() else 0)) for n in names}
+    rows = rows.withColumn("_without", sum((F.col(n).isNull().cast("int") * 2 ** i for i, n in enumerate(names)), F.lit(0))).withColumns(blanks)
+    group = [*names, "_without", "_slice", "_salt"]
+    groups = rows.select(*group, mark(), *SENT).groupBy(*group)
+    found = groups.transformWithStateInPandas(_Asof(kept, width), "_left string, _right string, _late boolean", "Append", "EventTime")
+    return found.select(row_of("_left", as_wall_clock(left).schema).alias("_left"), row_of("_right", as_wall_clock(right).schema).alias("_right"),
+                        "_late").select("_left.*", "_right.*", "_late")
+
+
+def _tagged(side: DataFrame, keys: list[str], ts: str, has_tie: Column, number: Column, word: Column) -> DataFrame:
+    clock = as_wall_clock(side.withColumn("_at", micros(ts)))
+    return clock.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_at", has_tie.cast("int").alias("_has_tie"),
+                        F.coalesce(number.cast("long"), F.lit(0)).alias("_number"), F.coalesce(word, F.lit("")).alias("_word"),
+                        row_text(clock.drop("_at")).alias("_row"))
+
+
+class _Asof(StatefulProcessor):
+    """One key's slice: left rows that wait, and the right rows they may still need."""
+
+    def __init__(self, kept: int, width: int):
+        self.kept, self.width = kept, width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", OPEN)
+        self.history = handle.getListState("history", HISTORY)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting, right, visitor, late = [], [], None, []
+        for chunk in rows:
+            for side, at, has_tie, number, word, row in zip(*(chunk.iloc[:, i].tolist() for i in range(-len(SENT), 0)), strict=True):
+                if at < passed:
+                    if side != VISITOR:
+                        late.append((row, None, True) if side == LEFT else (None, row, True))
+                elif side == LEFT:
+                    waiting.append((at, row))
+                else:
+                    entry = (at, has_tie, number, word, row)
+                    if self._own(key, at):
+                        right.append(entry)
+                    else:
+                        visitor = entry if visitor is None else max(visitor, entry)
+        right += [visitor] if visitor is not None else []
+        if waiting:
+            self.open.appendList(waiting)
+        if right:
+            self.history.appendList(right)
+        if waiting or right:
+            self.handle.registerTimer((min(waiting) if waiting else max(right))[0] // 1000)
+        if late:
+            yield _out(late)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        passed, waiting, right = watermark * 1000, sorted(self.open.get()), sorted(tuple(r) for r in self.history.get())
+        final = bisect_right(waiting, passed - 1, key=lambda w: w[0])
+        known = [r[0] for r in right]
+        found = []
+        for at, row in waiting[:final]:
+            place = bisect_right(known, at) - 1
+            found.append((row, right[place][4] if place >= 0 and known[place] >= at - self.kept else None, False))
+        rest, behind = waiting[final:], max(0, bisect_right(known, passed - 1) - 1)
+        if watermark >= self._end(key):
+            rest, behind = [], len(right)
+        _keep(self.open, rest, final)
+        _keep(self.history, right[behind:], behind)
+        if rest or watermark < self._end(key):
+            self.handle.registerTimer(max(rest[0][0] // 1000 if rest else self._end(key), watermark + 1))
+        if found:
+            yield _out(found)
+
+    def _own(self, key, at: int) -> bool:
+        return at // self.width == key[-2]
+
+    def _end(self, key) -> int:
+        return -(-(key[-2] + 1) * self.width // 1000)
+
+    def close(self) -> None: ...
+
+
+def _keep(state, rows: list[tuple], gone: int) -> None:
+    if gone and rows:
+        state.put(rows)
+    elif gone:
+        state.clear()
+
+
+def _out(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["_left", "_right", "_late"])

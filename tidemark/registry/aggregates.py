@@ -14,7 +14,7 @@ from tidemark.session import workspace
 from tidemark.sources.definitions import Sink, Source, Stream, read_live
 from tidemark.sources.landing import Writer
 from tidemark.streaming.journal import Journal
-from tidemark.streaming.late import LateSplit
+from tidemark.streaming.late import split_late
 from tidemark.streaming.run import Progress, Runner, drain, replay
 
 
@@ -143,6 +143,17 @@ def _delayed_errors(top: int, turn: int):
     return (id_range(top, 3, turn) & ~error) | (id_range(top, 3, turn - 1) & error)
 
 
+def _split(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Four turns, a batch each and back to back, through the split; an epoch is a turn."""
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, label)
+    source = land_in_turn(catalog, root, 3, lambda landed: None, _delayed_errors, turns=4)
+    live = read_live(catalog.streaming, replace(source, options={"maxFilesPerTrigger": "1"}))
+    journal = Journal(catalog.spark, f"{root}/split")
+    drain(split_late(live, "ts", "1 hour"), journal, f"{root}/checkpoint")
+    return journal.batches()
+
+
 @query("""WITH landed AS (SELECT *, event_id * 3 // (SELECT max(event_id) + 1 FROM events)
   + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS epoch FROM events),
 marks AS (SELECT epoch, date_trunc('milliseconds',
@@ -152,12 +163,7 @@ SELECT event_id, ts, event_type, epoch FROM landed JOIN marks USING (epoch)
 WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark""")
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors arrive one turn late; those whose hour has closed by then go to the side output."""
-    catalog = event_catalog(spark, sf_dir)
-    root = workspace(spark, "late_rows")
-    split = LateSplit(catalog.spark, f"{root}/split", "ts", DELAY, "1 hour")
-    land_in_turn(catalog, root, 3, lambda source: drain(
-        read_live(catalog.streaming, source), split, f"{root}/checkpoint"), _delayed_errors, turns=4)
-    return split.late().select("event_id", "ts", "event_type", "epoch")
+    return _split(spark, sf_dir, "late_rows").filter("late").select("row.event_id", "row.ts", "row.event_type", "epoch")
 
 
 @query("""WITH landed AS (SELECT *, date_trunc('hour', ts) AS window_start, event_id * 3 // (SELECT max(event_id) + 1 FROM events)
@@ -170,16 +176,9 @@ SELECT 'late' AS part, window_start, count(*) AS event_count FROM judged WHERE l
 UNION ALL SELECT 'counted', window_start, count(*) FROM judged WHERE NOT late AND window_start + INTERVAL 1 HOUR
   <= (SELECT date_trunc('milliseconds', max(ts) - INTERVAL 5 SECOND) FROM events) GROUP BY ALL""")
 def late_rows_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches back to back in one run: what is not late is counted, and every row is in one of the two."""
-    catalog = event_catalog(spark, sf_dir)
-    root = workspace(spark, "late_rows_counted")
-    split = LateSplit(catalog.spark, f"{root}/split", "ts", DELAY, "1 hour")
-    source = land_in_turn(catalog, root, 3, lambda landed: None, _delayed_errors, turns=4)
-    live = read_live(catalog.streaming, replace(source, options={"maxFilesPerTrigger": "1"}))
-    drain(live, split, f"{root}/split_checkpoint")
-    counted = replay(tumble(split.live_on_time(catalog.streaming, as_wall_clock(live).schema), [], "ts", "1 hour", event_count=F.count("event_id")), root)
-    late = tumble(split.late(), [], "ts", "1 hour", event_count=F.count("event_id"))
-    return late.select(F.lit("late").alias("part"), "*").unionByName(counted.select(F.lit("counted").alias("part"), "*"))
+    """What is not late is counted, by the same operator, and every row is in one of the two."""
+    parts = F.when(F.col("late"), "late").otherwise("counted")
+    return _split(spark, sf_dir, "late_rows_counted").groupBy(parts.alias("part"), "window_start").agg(F.sum("event_count").alias("event_count"))
 
 
 TOP = "SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 20"

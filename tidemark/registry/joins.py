@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.aggregates import keyed, tumble
 from tidemark.operators.asof import asof_join
-from tidemark.operators.asof_stream import AsofStream
+from tidemark.operators.asof_stream import asof_stream
 from tidemark.operators.joins import interval_join
+from tidemark.operators.stateful import kept_state
 from tidemark.plans.admission import AdmissionError, check_stream_plan
 from tidemark.registry.base import event_catalog, query, role
 from tidemark.session import workspace
@@ -236,13 +237,10 @@ def asof_left_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "quote_id", retention="6 hours")
 
 
-def _asof_stream(spark: SparkSession, sf_dir: str, retention: str, label: str) -> DataFrame:
+def _asof_stream(spark: SparkSession, sf_dir: str, retention: str, label: str, root: str | None = None) -> DataFrame:
     catalog = event_catalog(spark, sf_dir)
-    root = workspace(spark, label)
-    valued = AsofStream(catalog.live("trades"), catalog.live("quotes"), [("t_user", "q_user")], "t_ts", "q_ts", "quote_id",
-                        retention, root)
-    drain(valued.frame, valued, f"{root}/checkpoint")
-    return valued.read(catalog.spark)
+    valued = asof_stream(catalog.live("trades"), catalog.live("quotes"), [("t_user", "q_user")], "t_ts", "q_ts", "quote_id", retention)
+    return replay(valued, root or workspace(spark, label)).filter("NOT _late").drop("_late")
 
 
 @query(_asof_sql("10 DAY", final=True))
@@ -255,3 +253,20 @@ def asof_left_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, with history kept for twelve hours only."""
     return _asof_stream(spark, sf_dir, "12 hours", "state_retention")
+
+
+@query(f"""WITH {TRADES}, {QUOTES}, m AS (SELECT epoch_ms(date_trunc('milliseconds', least((SELECT max(t_ts) FROM t), (SELECT max(q_ts) FROM q)) - INTERVAL 5 SECOND)) AS mark),
+seen AS (SELECT q_user AS user_id, epoch_ms(q_ts) // 43200000 + visit AS slice FROM q, (VALUES (0), (1)) v(visit) WHERE q_user IS NOT NULL),
+open AS (SELECT t_user AS user_id, epoch_ms(t_ts) // 43200000 AS slice, count(*) AS open_trades FROM t WHERE t_ts >= make_timestamp((SELECT mark FROM m) * 1000) GROUP BY ALL),
+live AS (SELECT DISTINCT user_id, slice FROM seen WHERE (slice + 1) * 43200000 > (SELECT mark FROM m))
+SELECT user_id, slice, live.slice IS NOT NULL AS has_history, coalesce(open_trades, 0) AS open_trades
+FROM live FULL JOIN open USING (user_id, slice)""")
+def state_retention_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the engine's state still holds after that run: half days that a later trade may fall into, and trades that wait."""
+    root = workspace(spark, "state_retention_kept")
+    _asof_stream(spark, sf_dir, "12 hours", "state_retention_kept", root)
+    checkpoint, place = f"{root}/checkpoint", [F.col("key._key0").alias("user_id"), F.col("key._slice").alias("slice")]
+    history = kept_state(spark, checkpoint, "history").groupBy(*place).agg(F.lit(True).alias("has_history"))
+    waiting = kept_state(spark, checkpoint, "open").groupBy(*place).agg(F.count(F.lit(1)).alias("open_trades"))
+    both = history.join(waiting, ["user_id", "slice"], "full")
+    return both.select("user_id", "slice", F.coalesce("has_history", F.lit(False)).alias("has_history"), F.coalesce("open_trades", F.lit(0)).cast("bigint").alias("open_trades"))

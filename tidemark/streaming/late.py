@@ -1,90 +1,75 @@
-"""Late rows as a side output.
+"""Late rows as a side output, from the operator that counts the others.
 
-Spark drops rows that come after their window has closed and only counts them. ``LateSplit`` sorts
-them out before the stateful query: it keeps the greatest event time so far in a ledger, and a
-row is late if its window had closed under the watermark of the batches before its own.
-
-Spark's own rule lags one batch behind that, so a query over the unsplit input may still count a row that is late
-here. Aggregate ``live_on_time`` instead: its rows are all counted there, because the aggregate's watermark is never
-ahead of the ledger's, and with the late ones they make up the input.
+Spark drops rows that come after their window has closed and only says how many. Here one stateful operator asks the engine for
+its watermark: a row whose window that watermark has closed comes out as late, and every other row is counted in the engine's state
+until a timer at the end of its window emits the count. Late and counted rows make up the input.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.event_time import as_instant, moment, seconds_of
-from tidemark.session import committed_numbers
+from tidemark.functions.event_time import as_wall_clock, seconds_of
+from tidemark.operators.stateful import NO_TIME, mark, micros, require_watermark, row_of, row_text
+from tidemark.sources.definitions import without_heartbeats
 
 
-class LateSplit:
-    """For ``foreachBatch``: writes each batch's rows under ``late=true`` or ``late=false`` of its epoch.
+def split_late(frame: DataFrame, ts: str, width: str, parts: int | None = None) -> DataFrame:
+    """``late, window_start, event_count, row``, in append mode.
 
-    Rows without an event time can belong to no window; they are kept under ``late=true``.
+    A late row comes out at once, with its whole ``row`` and a count of 1; a row without an event time can belong to no window and is
+    late, with ``window_start`` NULL. Windows of ``width`` come out when the watermark reaches their end, in up to ``parts`` rows
+    to be added up: a window's rows are dealt over that many groups (the session's shuffle partitions by default), so
+    that no window is one task's.
     """
-
-    def __init__(self, spark: SparkSession, path: str, ts: str, delay: str, width: str):
-        self.spark, self.path, self.ts = spark, path, ts
-        self.delay, self.width = seconds_of(delay), seconds_of(width)
-
-    def __call__(self, batch: DataFrame, epoch: int) -> None:
-        late = F.col(self.ts).isNull()
-        closed = self._closed_before(epoch)
-        if closed is not None:
-            late = late | (F.col(self.ts) < moment(closed))
-        seen = Observation()
-        marked = batch.withColumn("late", late).observe(seen, F.max(self.ts).alias("newest"))
-        marked.write.mode("overwrite").partitionBy("late").parquet(f"{self.path}/rows/epoch={epoch}")
-        newest = max(t for t in (seen.get["newest"], self._newest_before(epoch), datetime.min) if t is not None)
-        self.spark.createDataFrame([(newest,)], "newest timestamp_ntz").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/ledger/n={epoch}")
-
-    def _newest_before(self, epoch: int) -> datetime | None:
-        earlier = [n for n in self.epochs() if n < epoch]
-        if not earlier:
-            return None
-        ledger = self.spark.read.schema("newest timestamp_ntz").parquet(f"{self.path}/ledger/n={earlier[-1]}")
-        newest = ledger.head()["newest"]
-        return None if newest == datetime.min else newest
-
-    def watermark_before(self, epoch: int) -> datetime | None:
-        """The watermark of the batches before ``epoch``, cut to milliseconds, or None."""
-        newest = self._newest_before(epoch)
-        if newest is None:
-            return None
-        mark = newest - timedelta(seconds=self.delay)
-        return mark.replace(microsecond=mark.microsecond // 1000 * 1000)
-
-    def epochs(self) -> list[int]:
-        return committed_numbers(self.spark, f"{self.path}/ledger", "n=")
-
-    def _closed_before(self, epoch: int) -> datetime | None:
-        """The end of the last window that the watermark before ``epoch`` had closed."""
-        mark = self.watermark_before(epoch)
-        if mark is None:
-            return None
-        start, width = datetime(1970, 1, 1), timedelta(seconds=self.width)
-        return start + (mark - start) // width * width
-
-    def rows(self) -> DataFrame:
-        """All rows with their ``epoch`` and whether they were ``late``."""
-        rows = self.spark.read.option("basePath", f"{self.path}/rows").parquet(f"{self.path}/rows")
-        rows = rows.withColumn("epoch", F.col("epoch").cast("bigint")).withColumn("late", F.col("late").cast("boolean"))
-        return rows.filter(F.col("epoch") <= self.epochs()[-1])
-
-    def live_on_time(self, session: SparkSession, schema: StructType) -> DataFrame:
-        """The rows on time as unbounded input, with the watermark the split goes by. ``schema`` is that of the split rows.
-
-        Drain the split first: an epoch that is written again after a failure must not have been read yet.
-        """
-        rows = session.readStream.schema(schema).parquet(f"{self.path}/rows/epoch=*/late=false")
-        return as_instant(rows).withWatermark(self.ts, f"{self.delay} seconds")
-
-    def late(self) -> DataFrame:
-        return self.rows().filter("late").drop("late")
-
-    def on_time(self) -> DataFrame:
-        return self.rows().filter("NOT late").drop("late")
+    require_watermark(frame, ts, "a side output of late rows")
+    frame = without_heartbeats(frame)
+    parts = parts or int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    length = seconds_of(width) * 1_000_000
+    rows = as_wall_clock(frame.withColumn("_at", micros(ts)))
+    schema = rows.drop("_at").schema
+    rows = rows.select("_at", row_text(rows.drop("_at")).alias("_row"))
+    window = F.floor(F.col("_at") / length).cast("long")  # of NO_TIME a window that was over long before 1970
+    groups = rows.select(window.alias("_window"), F.pmod(F.xxhash64("_row"), F.lit(parts)).alias("_part"), mark(), "_row").groupBy("_window", "_part")
+    split = groups.transformWithStateInPandas(_Count(seconds_of(width) * 1000), "late boolean, number long, event_count long, text string", "Append", "EventTime")
+    start = F.expr(f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(number AS DECIMAL(20, 0)) * {seconds_of(width)})")
+    return split.select("late", F.when(F.col("number") != F.floor(F.lit(NO_TIME) / length), start).alias("window_start"), "event_count", row_of("text", schema).alias("row"))
+
+
+class _Count(StatefulProcessor):
+    """One part of a window: its number of rows until the window closes, and the rows that come later."""
+
+    def __init__(self, width: int):
+        self.width = width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "event_count long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if timerValues.getCurrentWatermarkInMs() >= self._end(key):
+            for chunk in rows:
+                yield pd.DataFrame({"late": True, "number": key[0], "event_count": 1, "text": chunk.iloc[:, -1].to_numpy()})
+            return
+        before = self.count.get()
+        if before is None:
+            self.handle.registerTimer(self._end(key) - 1)
+        self.count.update(((before[0] if before else 0) + sum(map(len, rows)),))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if timerValues.getCurrentWatermarkInMs() < self._end(key):
+            self.handle.registerTimer(self._end(key))
+            return
+        count = self.count.get()
+        self.count.clear()
+        if count is not None:
+            yield pd.DataFrame({"late": [False], "number": [key[0]], "event_count": [count[0]], "text": [None]})
+
+    def _end(self, key) -> int:
+        return (key[0] + 1) * self.width
+
+    def close(self) -> None: ...

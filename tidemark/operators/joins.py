@@ -8,7 +8,9 @@ side visits the one or two buckets its partners can be in. A pair meets exactly
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.event_time import interval, seconds_of, time_bucket
 from tidemark.plans.admission import AdmissionError
@@ -47,13 +49,12 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
     Skew within one key and bucket: on static tables adaptive execution splits both sides of the inner join, and rows
     without a partner are found by a scan in slices of time, in which no side is held whole. On streams
     ``salts = (l, r)`` spreads each bucket's left rows over ``l`` and its right rows
-    over ``r`` parts, at the price of as many copies of the other side; only the kept side of an outer
-    join can be spread.
+    over ``r`` parts, at the price of as many copies of the other side. Where that spreads the side an outer join does not keep,
+    a row has a copy in each of that side's parts, and is without a partner if every copy has come out without one; pairs then
+    come from an inner join of their own.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}, got {how!r}")
-    if (how in ("left", "anti") and salts[1] > 1) or (how == "right" and salts[0] > 1) or (how == "full" and salts != (1, 1)):
-        raise ValueError(f"a {how} join cannot spread the rows of the side it does not keep")
     left, right = without_heartbeats(left), without_heartbeats(right)
     check_join_keys(left, right, on)
     check_distinct_names(left, right)
@@ -69,6 +70,20 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
         if how in ("right", "full"):
             joined = joined.unionByName(_unmatched_right(left, right, *spec), allowMissingColumns=True)
         return joined
+    if (how in ("left", "anti") and salts[1] > 1) or (how == "right" and salts[0] > 1) or (how == "full" and salts != (1, 1)):
+        parts = []
+        if how != "anti":
+            home, visiting = _right_visits(left, right, *spec, salts)
+            parts.append(home.join(visiting, _condition(*spec), "inner").select(*names))
+        if how != "right":
+            few = right.select(*dict.fromkeys([*[r for _, r in on], right_ts]))
+            home, visiting = _right_visits(left, few, *spec, salts)
+            parts.append(_in_no_part(home.join(visiting, _condition(*spec), "left"), "_right_bucket", "_left_salt", left, left_ts, 0, salts[1]))
+        if how in ("right", "full"):
+            few = left.select(*dict.fromkeys([*[l for l, _ in on], left_ts]))
+            visiting, home = _left_visits(few, right, *spec, salts)
+            parts.append(_in_no_part(visiting.join(home, _condition(*spec), "right"), "_left_bucket", "_right_salt", right, right_ts, seconds_of(bound), salts[0]))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*(left.columns if how == "anti" else names))
     if how == "full":
         # Spark's streaming full outer join pairs NULL keys, and only one side of a bucketed join
         # can be kept whole. So: all left rows with their partners, then right rows without one, for
@@ -90,6 +105,21 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]],
     return matched.select(*names)
 
 
+def _in_no_part(joined: DataFrame, other_bucket: str, own_salt: str, kept: DataFrame, ts: str, earlier: int, parts: int) -> DataFrame:
+    """Streamed rows that none of their ``parts`` copies found a partner for; repeated rows come back as often as they are.
+
+    The engine moves event time behind a join as slowly as its left side is final, ``bound`` behind the watermark; right rows are final
+    at it, so theirs is set back by as much (``earlier``) while they are counted.
+    """
+    due = (F.col(ts) - F.expr(f"INTERVAL '{earlier}' SECOND")).alias("_due", metadata=kept.schema[ts].metadata)
+    own = [F.col(c).alias(c, metadata={}) if c == ts else F.col(c) for c in kept.columns]
+    rows = joined.filter(F.col(other_bucket).isNull()).select(due, *own, own_salt)
+    lonely = rows.groupBy("_due", *kept.columns).agg(F.collect_set(own_salt).alias("_cells"), F.count(F.lit(1)).alias("_copies"))
+    times = F.explode(F.sequence(F.lit(1), (F.col("_copies") / parts).cast("int")))
+    back = [F.col(c).alias(c, metadata=kept.schema[ts].metadata) if c == ts else F.col(c) for c in kept.columns]
+    return lonely.filter(F.size("_cells") == parts).withColumn("_time", times).select(*back)
+
+
 def _condition(on: list[tuple[str, str]], left_ts: str, right_ts: str, bound: str) -> Column:
     condition = (F.col("_left_bucket") == F.col("_right_bucket")) & (F.col("_left_salt") == F.col("_right_salt"))
     for l_key, r_key in on:
@@ -127,34 +157,33 @@ def _salted(side: DataFrame, name: str, own: int, other: int, own_first: bool) -
 
 
 def _unmatched_left(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str, bound: str) -> DataFrame:
-    """Static left rows without a partner: those whose next right row is more than ``bound`` away.
-
-    With time mirrored, the next row is the last one before, which the as-of join finds without pairs, slice by slice.
-    """
-    from tidemark.operators.asof import asof_join
-
-    mirrored = left.withColumn("_left_mirror", _mirror(left_ts, left))
-    partners = right.select(*[r for _, r in on], _mirror(right_ts, right).alias("_right_mirror"), F.lit(True).alias("_found"))
-    looked_up = asof_join(mirrored, partners, on, "_left_mirror", "_right_mirror", "_found", retention=bound, slice=_slice(bound))
-    return looked_up.filter(F.col("_found").isNull()).select(*left.columns)
+    """Static left rows without a partner: those whose next right row is more than ``bound`` away."""
+    return _unmatched(left, right, on, left_ts, right_ts, seconds_of(bound), -1)
 
 
 def _unmatched_right(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str, bound: str) -> DataFrame:
     """Static right rows without a partner: those whose last left row is more than ``bound`` before."""
-    from tidemark.operators.asof import asof_join
+    return _unmatched(right, left, [(r, l) for l, r in on], right_ts, left_ts, seconds_of(bound), 1)
 
-    partners = left.select(*[l for l, _ in on], F.col(left_ts).alias("_left_time"), F.lit(True).alias("_found"))
-    looked_up = asof_join(right, partners, [(r, l) for l, r in on], right_ts, "_left_time", "_found", retention=bound, slice=_slice(bound))
-    return looked_up.filter(F.col("_found").isNull()).select(*right.columns)
 
+def _unmatched(kept: DataFrame, other: DataFrame, on, kept_ts: str, other_ts: str, bound: int, way: int) -> DataFrame:
+    """Rows of ``kept`` that the nearest row of ``other`` behind them (``way`` 1) or ahead of them (-1) is too far from.
 
-def _slice(bound: str) -> str:
-    return f"{2 * seconds_of(bound)} seconds"
-
-
-def _mirror(ts: str, side: DataFrame) -> Column:
-    """The moment as far before 1970 as ``ts`` is after, to the microsecond."""
-    if isinstance(side.schema[ts].dataType, T.TimestampType):
-        return F.timestamp_micros(-F.unix_micros(ts))
-    start = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return start - (F.col(ts) - start)
+    Rows of both sides are sorted together within key and slice of twice the bound, and the nearest time is carried along. A row of
+    ``other`` goes to its own slice and, if rows of the neighbouring one reach it, to that one too; nothing else crosses slices.
+    """
+    keys = [f"_key{i}" for i in range(len(on))]
+    width = 2 * bound
+    rows = kept.select(*[F.col(k).alias(n) for (k, _), n in zip(on, keys, strict=True)], F.col(kept_ts).alias("_ts"), F.lit(1).alias("_side"),
+                       time_bucket(kept_ts, kept, width).alias("_slice"), F.struct(*kept.columns).alias("_row"))
+    for _, o in on:
+        other = other.filter(F.col(o).isNotNull())
+    places = F.array_distinct(F.array(time_bucket(other_ts, other, width), time_bucket(other_ts, other, width, way * bound)))
+    partners = other.filter(F.col(other_ts).isNotNull()).select(*[F.col(o).alias(n) for (_, o), n in zip(on, keys, strict=True)], F.col(other_ts).alias("_ts"),
+                                                                F.lit(0).alias("_side"), F.explode(places).alias("_slice"), F.col(other_ts).alias("_near"))
+    order = Window.partitionBy(*keys, "_slice").orderBy(F.col("_ts").asc() if way > 0 else F.col("_ts").desc(), "_side")
+    near = F.last("_near", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    scanned = rows.unionByName(partners, allowMissingColumns=True).withColumn("_near", near).filter(F.col("_side") == 1)
+    reach = F.expr(f"INTERVAL '{bound}' SECOND")
+    close = F.col("_near") >= F.col("_ts") - reach if way > 0 else F.col("_near") <= F.col("_ts") + reach
+    return scanned.filter(~F.coalesce(close, F.lit(False))).select("_row.*")

@@ -43,9 +43,9 @@ LEFT_FINAL = "(t_ts + INTERVAL 6 HOUR < (SELECT mark FROM m))"
 RIGHT_FINAL = "(o_ts < (SELECT mark FROM m))"
 
 
-def _joined(spark: SparkSession, sf_dir: str, how: str, live: bool) -> DataFrame:
+def _joined(spark: SparkSession, sf_dir: str, how: str, live: bool, salts: tuple[int, int] = (1, 1)) -> DataFrame:
     catalog = event_catalog(spark, sf_dir).add(Stream("matched", ["trades", "orders"], lambda t, o: interval_join(
-        t, o, [("t_user", "o_user")], "t_ts", "o_ts", BOUND, how)))
+        t, o, [("t_user", "o_user")], "t_ts", "o_ts", BOUND, how, salts)))
     if not live:
         return catalog.static("matched")
     return replay(catalog.live("matched"), workspace(spark, f"interval_join_{how}"))
@@ -80,6 +80,23 @@ def interval_join_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(spark, sf_dir, "anti", live=True)
 
 
+@query(_sql("LEFT", f"WHERE order_id IS NOT NULL OR {LEFT_FINAL}"))
+def interval_join_left_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of a hot key's bucket spread over parts, the side that is not kept too."""
+    return _joined(spark, sf_dir, "left", live=True, salts=(2, 2))
+
+
+@query(_sql("FULL", f"WHERE (trade_id IS NOT NULL AND order_id IS NOT NULL) OR (order_id IS NULL AND {LEFT_FINAL}) "
+                    f"OR (trade_id IS NULL AND {RIGHT_FINAL})"))
+def interval_join_full_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined(spark, sf_dir, "full", live=True, salts=(2, 2))
+
+
+@query(f"WITH {TRADES}, {ORDERS}, {_mark()} SELECT trade_id, t_user, t_price, t_ts FROM t WHERE {ANTI} AND {LEFT_FINAL}")
+def interval_join_anti_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined(spark, sf_dir, "anti", live=True, salts=(1, 3))
+
+
 @query(_sql("INNER"))
 def interval_join_inner_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(spark, sf_dir, "inner", live=False)

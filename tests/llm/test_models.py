@@ -1,12 +1,16 @@
 """Language, quality and secrets: brute force, held-out accuracy and defined cases."""
 
 import hashlib
+import itertools
 import math
+import random
 import re
+import string
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,63 +105,74 @@ def test_quality_defined_cases(spark):
     assert quality.score(documents(spark, []), only).count() == 0
 
 
-def naive_cost(value):
-    """Every segmentation, with the costs of single segments found by other means."""
-    n = len(value)
-    best = [[0.0, False]] + [[math.inf, False] for _ in range(n)]  # cost, ends in brute force
-    free = [math.inf] * (n + 1)  # cost when the last segment is brute force
-    whole = [0.0] + [math.inf] * n
-    low = value.lower()
-    for j in range(1, n + 1):
-        c = math.log10(secretscan._alphabet(value[j - 1]))
-        free[j] = min(free[j - 1] + c, whole[j - 1] + c + secretscan.JOINT)
-        other = math.inf
-        for i in range(j):
-            part, costs = value[i:j], []
-            word = secretscan._word_cost(part, low[i:j])
-            if word is not None and j - i >= 3:
-                costs.append(word)
-            if re.fullmatch(secretscan.DATE, part):
-                costs.append(math.log10(365 * 120))
-            if re.fullmatch(secretscan.YEAR, part):
-                costs.append(math.log10(120))
-            costs += repeats(value, i, j)
-            if j - i >= 3 and walk_end(low, i) == j:
-                moves = [secretscan._step(a, b) for a, b in zip(low[i:], low[i + 1:j])]
-                costs.append(math.log10(47) + math.log10(j - i) + sum(a != b for a, b in zip(moves, moves[1:])) * math.log10(6))
-            for cost in costs:
-                other = min(other, min(whole[i], free[i]) + cost + secretscan.JOINT)
-        whole[j] = min(other, free[j])
-    return min(whole[n], free[n])
-
-
-def repeats(value, i, j):
-    for unit in range(1, secretscan.UNITS + 1):
-        copies = 1
-        while value[i + copies * unit:i + (copies + 1) * unit] == value[i:i + unit]:
-            copies += 1
-        if copies * unit == j - i and copies >= (3 if unit == 1 else 2) and i + unit <= len(value):
-            yield sum(math.log10(secretscan._alphabet(c)) for c in value[i:i + unit]) + math.log10(copies)
-
-
-def walk_end(low, i):
-    while i + 1 < len(low) and secretscan._step(low[i], low[i + 1]) is not None:
-        i += 1
-    return i + 1
-
-
-@pytest.mark.parametrize("value", ["password", "Passw0rd!", "qwerty123", "aaaaaaa", "abcabcabc", "2019-04-13", "x7Gk29qLmZ0", "dragon1999", "31122001x", "correct horse", "zxcvbnm,./", "letmeinletmein", "é1é1é1", "", "7", "sunshineQWERTY!2020"])
-def test_guess_cost_against_naive(value):
-    cost, parts = secretscan.segment(value)
-    assert cost <= naive_cost(value) + 1e-9 and cost >= naive_cost(value) - 2 * secretscan.JOINT - 1e-9
+RANKS = secretscan.word_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+KEYBOARD = {c: (r, k) for r, row in enumerate(("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")) for k, c in enumerate(row)}
+
+
+def least_cost(value, ranks):
+    """The least over all segmentations, from each span's cost by itself."""
+    size = lambda c: 10 if c.isdigit() else 26 if c in string.ascii_letters else 33 if ord(c) < 127 else 100
+    two = math.log10(2)
+
+    def span(part):
+        yield sum(math.log10(size(c)) for c in part)
+        low = part.lower()
+        for spelling, more in ((low, 0), (low.translate(str.maketrans("4@3105$7!", "aaeiosstl")), 2 * two)):
+            if 3 <= len(part) <= 24 and spelling in ranks:
+                upper = [c.isupper() for c in part]
+                once = sum(upper) == 1 and upper[0] or all(upper)
+                yield math.log10(ranks[spelling]) + more + (0 if not any(upper) else two if once else two * (min(sum(upper), len(part) - sum(upper)) + 1))
+                break
+        if re.fullmatch(r"(19|20)\d\d", part):
+            yield math.log10(120)
+        if re.fullmatch(r"(19|20)\d\d([-/._]?)(0[1-9]|1[0-2])\2(0[1-9]|[12]\d|3[01])|(0[1-9]|[12]\d|3[01])([-/._]?)(0[1-9]|1[0-2])\6(19|20)\d\d", part):
+            yield math.log10(365 * 120)
+        for unit in range(1, min(8, len(part) // 2) + 1):
+            if len(part) % unit == 0 and part == part[:unit] * (len(part) // unit) and len(part) // unit >= (3 if unit == 1 else 2):
+                yield sum(math.log10(size(c)) for c in part[:unit]) + 1
+        moves = []
+        for a, b in itertools.pairwise(low):
+            if a.isalnum() and b.isalnum() and abs(ord(a) - ord(b)) == 1:
+                moves.append(("next", ord(b) - ord(a)))
+            elif a in KEYBOARD and b in KEYBOARD:
+                down, over = (KEYBOARD[b][i] - KEYBOARD[a][i] for i in (0, 1))
+                moves.append((down, over) if (down, over) in ((0, 1), (0, -1), (1, 0), (1, -1), (-1, 0), (-1, 1)) else None)
+            else:
+                moves.append(None)
+        if len(part) >= 3 and None not in moves:
+            yield math.log10(47) + 1 + math.log10(6) * sum(a != b for a, b in itertools.pairwise(moves))
+
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        best.append(min(best[i] + min(span(value[i:j])) + two for i in range(j)))
+    return best[-1]
+
+
+VALUES = ["password", "Passw0rd!", "qwerty123", "aaaaaaa", "abcabcabc", "2019-04-13", "x7Gk29qLmZ0", "dragon1999", "31122001x", "correct horse", "zxcvbnm,./",
+          "letmeinletmein", "é1é1é1", "", "7", "sunshineQWERTY!2020", "zxcvbnmaster8812", "asdfghunter9Zk", "aaaaadmin", "bananaaaaa", "qwqwqwqwq", "İstanbul1"]
+
+
+@pytest.mark.parametrize("value", VALUES)
+def test_guess_cost_is_least(value):
+    cost, parts = secretscan.segment(value, RANKS)
+    assert cost == pytest.approx(least_cost(value, RANKS))
     assert "".join(value[s:e] for _, s, e in parts) == value
 
 
+def test_guess_cost_of_random_values_is_least():
+    rng = random.Random(5)
+    pieces = ["qwe", "asdfg", "master", "admin", "1999", "2020-01-31", "aaa", "xyxy", "zxcv", "Pass", "p4ss", "88", "Zk", "é", "-", "monkey", "654321", "ADMIN", "dRaGon"]
+    for _ in range(600):
+        value = "".join(p if rng.random() < 0.8 else p[:rng.randint(1, len(p))] for p in (rng.choice(pieces) for _ in range(rng.randint(1, 5))))[:24]
+        assert secretscan.guess_cost(value, RANKS) == pytest.approx(least_cost(value, RANKS)), value
+
+
 def test_guess_cost_orders_values():
+    cost = lambda value: secretscan.guess_cost(value, RANKS)
     weak = ["password1", "qwertyuiop", "aaaaaaaaaaaaaaaaaaaa", "monkey2010", "abcdefghijklmnop", "changeme", "1234567890"]
     strong = ["x7Gk29qLmZ0a", "b7db7aa4a5fcc78305", "T!9v#qL2&zP0"]
-    assert max(map(secretscan.guess_cost, weak)) < secretscan.MIN_COST <= min(map(secretscan.guess_cost, strong))
-    assert secretscan.guess_cost("q8" * 30000) < 10 and secretscan.guess_cost("".join(str(i * 7919 % 10007) for i in range(8000))) > 1000
+    assert max(map(cost, weak)) < secretscan.MIN_COST <= min(map(cost, strong))
+    assert cost("q8" * 30000) < 10 and cost("".join(str(i * 7919 % 10007) for i in range(8000))) > 1000
 
 
 def brute_base(text):
@@ -174,7 +189,7 @@ SECRETS = [None, "", "password=hunter2x9Qz", "PASSWORD = 'abc'; token: \"1beb58b
 
 def test_secrets(spark):
     rows = list(enumerate(SECRETS)) + [(2, SECRETS[2]), (None, SECRETS[3])]
-    got = sorted((tuple(r) for r in secretscan.find_secrets(documents(spark, rows, spans=1, n_hex=2, max_cost=3)).collect()), key=lambda r: (r[0] is None, r[0]))
+    got = sorted((tuple(r) for r in secretscan.find_secrets(documents(spark, rows, spans=1, n_hex=2, max_cost=3), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).collect()), key=lambda r: (r[0] is None, r[0]))
     assert len(got) == len(rows)
     for (doc_id, text), row in zip(sorted(rows, key=lambda r: (r[0] is None, r[0])), got, strict=True):
         base = brute_base(text or "")
@@ -199,11 +214,14 @@ def test_remainder_of_ids(spark):
     assert all(rest == zlib.crc32(str(i).encode()) % 7 for i, rest in rows)
 
 
-def test_values_behind_several_context_words():
+def test_values_in_context():
     value = "tR7xK2pQ9zLm"
-    for text in ("Authorization: Bearer ", "the secret password is ", "secret access key: ", "token passphrase: ", "AUTHORIZATION = 'bearer "):
-        assert secretscan.scan(text + value)[1] == [("cost", len(text), len(text) + len(value))], text
-        assert secretscan.scan(text + value)[2] == secretscan.guess_cost(value)
-    assert secretscan.scan("pwd: KxQzWvJtRmPqLs")[1] == [("cost", 5, 19)]
-    for prose in ("the token authentication", "Password requirements.", "secret well-established ingredients", "TOKEN AUTHENTICATION", "secret password"):
-        assert secretscan.scan(prose)[1] == []
+    for text in ("Authorization: Bearer ", "the secret password is ", "secret access key: ", "token passphrase: ", "AUTHORIZATION = 'bearer ", "password:\t", "password => ",
+                 "<password>", "pwd\t"):
+        assert secretscan.scan(text + value, RANKS)[1] == [("cost", len(text), len(text) + len(value))], text
+        assert secretscan.scan(text + value, RANKS)[2] == secretscan.guess_cost(value, RANKS)
+    for text, start in (("pwd: KxQzWvJtRmPqLs", 5), ("token JBSWYDPEHPKPXPJKABCDQQ", 6), ("pwd: Kxqzwvjtrmpqlsbd", 5)):
+        assert secretscan.scan(text, RANKS)[1] == [("cost", start, len(text))]
+    for prose in ("the token authentication", "Password requirements.", "secret well-established ingredients", "TOKEN AUTHENTICATION", "secret password", "le secret professionnel"):
+        assert secretscan.scan(prose, RANKS)[1] == []
+

@@ -3,6 +3,7 @@
 A line's ratio is the number of the site's pages that hold it, over the number of the site's pages. Lines
 over the ratio go from every page of the site. Defined cases:
 
+- the ratio decides alone for every line that stands on more than one page (``min_pages``), however small the site;
 - a page counts once for a line it repeats; a line that is dropped goes at every place;
 - blank lines are never boilerplate; lines are equal if they are the same characters;
 - a page without a site stays as it is, and so does one without text (it still counts as a page);
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.common import stash
 
 MAX_PERCENT = 10  # of the site's pages
-MIN_PAGES = 5  # a line on fewer pages is no boilerplate, however small the site
+MIN_PAGES = 2  # a line that stands on one page only is repeated nowhere, whatever its ratio
 
 
 def _key(line: Column) -> Column:

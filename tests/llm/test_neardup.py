@@ -8,7 +8,7 @@ from tidemark.llm.components import components
 from tidemark.llm.queries import QUERIES
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """Per doc_id: (set sizes, smallest linked doc_id), from all pairs of rows."""
     sets = []
     for doc_id, text in rows:
@@ -23,7 +23,7 @@ def brute(rows):
 
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
-            if None not in (a, b) and x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if None not in (a, b) and x and y and 100 * len(x & y) >= percent * len(x | y):
                 low, high = sorted((find(a), find(b)))
                 parent[high] = low
     return sorted(((d, len(s), None if d is None else find(d)) for d, s in sets), key=repr)

@@ -36,7 +36,7 @@ def test_documents(caller, sf):
     model = langid.learn(docs.where(langid.id_remainder(F.col("doc_id"), 3) != 1))
     rows = [r for r in rows if langid.has_letter(r[1]) and slow_shares(model, r[1]).max() >= corpus_pipeline.LEAST_BELIEF]
     rows = brute_lines(rows)
-    groups = {d: c for d, _, c in brute([(r[0], r[1]) for r in rows])}
+    groups = {d: c for d, _, c in brute([(r[0], r[1]) for r in rows], corpus_pipeline.NEAR_PERCENT)}
     rows = [r for r in rows if groups[r[0]] == r[0]]
     items = [tuple(r) for r in caller.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     rows = [r for r in rows if not brute_items(r[1], items)]

@@ -50,8 +50,9 @@ def brute_licenses(text, percent=licenses.MIN_PERCENT):
     places = [(i, label) for label, phrase in licenses.PHRASES.items() for i in range(len(words))
               if words[i:i + len(phrase.split())] == phrase.split()]
     labels, best = {label for _, label in places}, 0.0
-    for line in low.split("\n"):
-        block = set(re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", line))
+    length = max(len(t.split()) for t in licenses.TEMPLATES.values())
+    for start in range(0, max(len(words) - length, 1), length):
+        block = set(words[start:start + 2 * length])
         for name, template in licenses.TEMPLATES.items():
             own = set(template.split())
             if 100 * len(own & block) >= percent * len(own):
@@ -62,6 +63,21 @@ def brute_licenses(text, percent=licenses.MIN_PERCENT):
             ",".join(sorted(labels)), 1.0 if places else best)
 
 
+def test_wrapped_notices(spark):
+    """A notice is found wherever its lines break and wherever in the text it begins."""
+    texts, names = [], []
+    for name, template in licenses.TEMPLATES.items():
+        words = template.split()
+        for before in (0, 1, 20, 21, 22, 43, 44, 100):
+            broken = "".join(w + (" ", "\n * ", "\n\n")[k % 3] for k, w in enumerate(words))
+            texts.append("word " * before + broken + "more " * (before % 7))
+            names.append(name)
+    got = {r.doc_id: r for r in licenses.find_licenses(documents(spark, list(enumerate(texts)))).collect()}
+    assert all(name in got[i].labels.split(",") and got[i].score == 1.0 for i, name in enumerate(names))
+    apart = " ".join(w + " filler" * 9 for w in licenses.TEMPLATES["mit-grant"].split())
+    assert licenses.find_licenses(documents(spark, [(1, apart)])).head().labels == ""
+
+
 def test_licenses_against_brute_force(spark):
     texts = ["Released under the MIT License.", "MIT\nlicense mit LICENSE", "", None, "is released under the MIT", "Licensed under CC BY-NC 4.0.", "a\n" * 3000 + "GNU general public license",
              "Apache License, ver 2.0: under the license licensed version", "permission hereby granted, free of charge, to any person obtaining copy of this software and files",

@@ -1,6 +1,8 @@
 """License texts in documents: phrases, and an exact containment join with license templates.
 
-Words are the runs of ASCII letters (lower-cased), digits and characters beyond ASCII. A block is a line. A block
+Words are the runs of ASCII letters (lower-cased), digits and characters beyond ASCII. A block is a window of words, twice as long as
+the longest template, and one begins after every template's length; so what is as long as a template, or a word longer, lies whole in
+some block, however its lines are wrapped and whatever signs stand between them. A block
 meets a template if at least ``MIN_PERCENT`` percent of the template's distinct words are in it.
 
 The join orders the templates' words by the number of blocks that hold them, over all documents. A block that meets
@@ -45,6 +47,15 @@ def needed(size: int, percent: int) -> int:
     return -(-size * percent // 100)
 
 
+def longest(templates: dict[str, str]) -> int:
+    """The words of the longest template, repeated ones too."""
+    return max((len(text.split()) for text in templates.values()), default=1)
+
+
+def _window_starts(words: Column, length: int) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - length - 1, F.lit(0)), F.lit(length))
+
+
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, BREAK, -1), "")
 
@@ -67,8 +78,8 @@ def _all(tests: list[Column]) -> Column:
 
 def find_licenses(docs: DataFrame, templates: dict[str, str] | None = None, percent: int = MIN_PERCENT) -> DataFrame:
     """Per document: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``."""
-    spark = docs.sparkSession
-    sets = {name: sorted(set(text.split())) for name, text in (TEMPLATES if templates is None else templates).items()}
+    spark, templates = docs.sparkSession, TEMPLATES if templates is None else templates
+    sets, length = {name: sorted(set(text.split())) for name, text in templates.items()}, longest(templates)
     vocabulary = sorted({w for words in sets.values() for w in words})
     known = F.array(*map(F.lit, vocabulary)) if vocabulary else F.array().cast("array<string>")
 
@@ -77,7 +88,7 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] | None = None, perc
     pages = stash(words.select(
         F.monotonically_increasing_id().alias("row_id"), "doc_id", F.size("words").cast("long").alias("n_words"),
         *[_starts(F.col("words"), phrase).alias(label) for label, phrase in PHRASES.items()],
-        F.filter(F.transform(F.split("lowered", "\n", -1), lambda line: F.array_intersect(F.split(line, BREAK, -1), known)),
+        F.filter(F.transform(_window_starts(F.col("words"), length), lambda i: F.array_intersect(F.slice("words", i + 1, 2 * length), known)),
                  lambda block: F.size(block) > 0).alias("blocks")), "license-blocks")
 
     blocks = pages.select("row_id", F.explode("blocks").alias("block"))

@@ -50,14 +50,15 @@ def _license_sql() -> str:
     finds = ", ".join(f"list_filter(range(len(words)), lambda i: {test}) AS {label}" for label, test in starts.items())
     templates = ", ".join(f"('{name}', string_split('{text}', ' '))" for name, text in licenses.TEMPLATES.items())
     own = ", ".join(f"CASE WHEN len({label}) > 0 THEN '{label}' END" for label in starts)
+    length = licenses.longest(licenses.TEMPLATES)
     return f"""
     WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {lowered} AS lowered FROM documents),
     words AS (SELECT r, doc_id, {split.format('lowered')} AS words FROM docs),
     found AS (SELECT r, doc_id, len(words) AS n, {finds} FROM words),
     base AS (SELECT r, doc_id, n, {' || '.join(starts)} AS places, list_filter([{own}], lambda x: x IS NOT NULL) AS own FROM found),
     templates AS (SELECT name, list_distinct(tokens) AS tokens FROM (VALUES {templates}) t(name, tokens)),
-    blocks AS (SELECT r, {split.format('line')} AS block FROM (
-        SELECT r, unnest(string_split(lowered, chr(10))) AS line FROM docs)),
+    blocks AS (SELECT r, list_slice(words, i + 1, i + {2 * length}) AS block FROM (
+        SELECT r, words, unnest(range(0, greatest(len(words) - {length}, 1), {length})) AS i FROM words)),
     met AS (SELECT r, list(DISTINCT name) AS names, max(shared / size) AS best FROM (
         SELECT r, name, len(list_intersect(tokens, block)) AS shared, len(tokens) AS size FROM blocks, templates)
         WHERE shared * 100 >= size * {licenses.MIN_PERCENT} GROUP BY r)
@@ -94,7 +95,7 @@ def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document: fixed patterns, and values in context that are costly to guess."""
-    return secretscan.find_secrets(table(spark, sf_dir, "documents"))
+    return secretscan.find_secrets(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 @query()

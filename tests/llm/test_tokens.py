@@ -1,5 +1,6 @@
 """Token shards, pieces and their edge cases, against the libraries and brute force."""
 
+import itertools
 import random
 import zlib
 
@@ -118,3 +119,44 @@ def test_pieces_of_documents(caller, spark, sf, model, corpus):
     assert [r[1:] for r in out if r[0] in (1, 2)] == [(0, 0, True)] * 2 and (None, 5, 4, True) in out
     assert sorted(r[3] for r in out) == [False] + [True] * 5
     assert pieces.encode_documents(documents(spark, []), PIECE).count() == 0
+
+
+def counted(symbols):
+    """How often each pair can be replaced, the end id left out."""
+    places, last = {}, {}
+    for i, pair in enumerate(itertools.pairwise(symbols)):
+        if grammar.END not in pair and last.get(pair) != i - 1:
+            places[pair] = places.get(pair, 0) + 1
+            last[pair] = i
+    return places
+
+
+def naive_repair(symbols, base):
+    """One pair at a time, the most frequent one, until none stands often enough."""
+    symbols, rules = list(symbols), 0
+    while (places := counted(symbols)) and max(places.values()) >= grammar.LEAST:
+        pair, out, i = max(places, key=places.get), [], 0
+        while i < len(symbols):
+            hit = tuple(symbols[i:i + 2]) == pair
+            out.append(base + rules if hit else symbols[i])
+            i += 2 if hit else 1
+        symbols, rules = out, rules + 1
+    return symbols, rules
+
+
+@pytest.mark.parametrize("seed,per_round", [(1, 4096), (2, 4096), (3, 5), (4, 1)])
+def test_repair_goes_on_until_no_pair_is_frequent(monkeypatch, seed, per_round):
+    monkeypatch.setattr(grammar, "PER_ROUND", per_round)
+    rng = np.random.default_rng(seed)
+    phrases = [rng.integers(2, 40, rng.integers(2, 9)).tolist() for _ in range(12)] + [[7] * 9]
+    documents_ = [[x for k in rng.integers(0, len(phrases), rng.integers(0, 40)) for x in phrases[k]] + [grammar.END] for _ in range(60)]
+    ids, sizes = np.concatenate(documents_).astype(np.uint32), np.array([len(d) for d in documents_])
+    symbols, rules, spans = grammar.compress(ids, sizes, 50)
+    assert max(counted(symbols.tolist()).values(), default=0) < grammar.LEAST
+    expand = {i: [i] for i in range(50)}
+    for k, (a, b) in enumerate(rules.tolist()):
+        expand[50 + k] = expand[a] + expand[b]
+    assert [x for s in symbols.tolist() for x in expand[s]] == ids.tolist()
+    assert [sum(len(expand[s]) for s in part) for part in np.split(symbols, np.cumsum(spans)[:-1])] == sizes.tolist()
+    plain, plain_rules = naive_repair(ids.tolist(), 50)
+    assert len(symbols) + 2 * len(rules) <= 1.25 * (len(plain) + 2 * plain_rules)

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -209,6 +210,24 @@ def test_secrets_of_documents(caller, sf, corpus):
         assert got[doc_id].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
 
 
+def test_stretches_change_nothing(caller, monkeypatch):
+    """A text is scored the same however short the stretches are that it is read in, and a long one takes little memory."""
+    docs = caller.read.parquet(f"{SF}/documents.parquet").where("doc_id < 200")
+    model = langid.learn(docs)
+    column = pa.array([*(r.text for r in docs.select("text").limit(40).collect()), None, "", "a", "ab", "abc", "é"])
+    whole = model.shares(column)
+    for stretch in (7, 1000):
+        monkeypatch.setattr(langid, "STRETCH", stretch)
+        assert np.allclose(model.shares(column), whole, atol=1e-5)
+        assert np.array_equal(langid.learn(docs).weights, model.weights)
+    monkeypatch.undo()
+    long = pa.array(["der Hund the cat " * 2_000_000])
+    tracemalloc.start()
+    model.shares(long)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_remainder_of_ids(spark):
     rows = spark.createDataFrame([(i,) for i in (0, 1, 17, -5, 10 ** 12)], "doc_id long").select("doc_id", langid.id_remainder(F.col("doc_id"), 7)).collect()
     assert all(rest == zlib.crc32(str(i).encode()) % 7 for i, rest in rows)

@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import map_slices, slices
 
+STRETCH = 1 << 18  # bytes whose trigrams are held at once, so that a text of any length takes little more than itself
 BUCKETS = 1 << 14
 PER_LANGUAGE = 1500
 SCALE = 4.0  # of a margin per square root of a trigram
@@ -65,17 +67,37 @@ def codewords(languages: list[str], seed: int = 7) -> np.ndarray:
     return best
 
 
-def _trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all trigrams of the texts one after the other, and each text's first; a text's last two are not its own."""
+def _folded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The folded bytes of the texts one after the other, and each text's first, then the end."""
     filled = pc.fill_null(column, "")
     raw = pc.cast(filled, pa.large_binary())
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
     data = raw.buffers()[2]
     codes = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]]
-    codes = np.append(_FOLD[codes], [32, 32]).astype(np.uint32)
-    mixed = (codes[:-2] * np.uint32(0x9E3779B1)) ^ (codes[1:-1] * np.uint32(0x85EBCA77)) ^ (codes[2:] * np.uint32(0xC2B2AE3D))
-    mixed ^= mixed >> np.uint32(15)
-    return (mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(18), offsets - offsets[0]
+    return _FOLD[codes].astype(np.uint8, copy=False), offsets - offsets[0]
+
+
+def _trigrams(codes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Stretch by stretch of at most ``STRETCH`` bytes: the texts that have trigrams in it, the first trigram of each, all buckets.
+
+    A text's last two bytes begin no trigram; those places have bucket ``BUCKETS``.
+    """
+    ends = np.maximum(starts[:-1], starts[1:] - 2)
+    for a in range(0, len(codes) - 2, STRETCH):
+        b = min(a + STRETCH, len(codes) - 2)
+        part = codes[a:b + 2].astype(np.uint32)
+        mixed = (part[:-2] * np.uint32(0x9E3779B1)) ^ (part[1:-1] * np.uint32(0x85EBCA77)) ^ (part[2:] * np.uint32(0xC2B2AE3D))
+        mixed ^= mixed >> np.uint32(15)
+        buckets = ((mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(18)).astype(np.int32)
+        low, high = np.searchsorted(starts, a, "right") - 1, np.searchsorted(starts, b, "left")
+        texts = np.arange(low, high)
+        for back in (1, 2):
+            last = starts[texts + 1] - back
+            last = last[(last >= starts[texts]) & (last >= a) & (last < b)]
+            buckets[last - a] = BUCKETS
+        texts = texts[(ends[texts] > a) & (starts[texts] < np.minimum(ends[texts], b))]
+        if len(texts):
+            yield texts, np.maximum(starts[texts], a) - a, buckets
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -84,12 +106,13 @@ def _counted(docs: DataFrame) -> DataFrame:
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             for piece in slices(batch):
-                buckets, starts = _trigrams(piece.column("text"))
-                for i, lang in enumerate(piece.column("lang").to_pylist()):
-                    own = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                    np.add.at(own, buckets[starts[i]:max(starts[i], starts[i + 1] - 2)], 1)
+                langs = piece.column("lang").to_pylist()
+                for texts, first, buckets in _trigrams(*_folded(piece.column("text"))):
+                    for i, own in zip(texts, np.split(buckets, first[1:]), strict=True):
+                        before = counts.setdefault(langs[i], np.zeros(BUCKETS + 1, np.int64))
+                        before += np.bincount(own, minlength=BUCKETS + 1)
         for lang, own in counts.items():
-            used = np.nonzero(own)[0]
+            used = np.nonzero(own[:BUCKETS])[0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)), pa.array(own[used])],
                                              names=["lang", "bucket", "n"])
 
@@ -102,24 +125,19 @@ class Model:
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages, self.code = languages, codewords(languages)
         chances = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True) if len(languages) else counts
-        self.weights = np.zeros((BUCKETS, self.code.shape[1]), np.float32)
+        self.weights = np.zeros((BUCKETS + 1, self.code.shape[1]), np.float32)  # the last for places without a trigram
         for bit in range(self.code.shape[1]):
             ones = self.code[:, bit] > 0
-            self.weights[:, bit] = np.log(chances[ones].mean(axis=0) / chances[~ones].mean(axis=0))
+            self.weights[:BUCKETS, bit] = np.log(chances[ones].mean(axis=0) / chances[~ones].mean(axis=0))
 
     def shares(self, column: pa.Array) -> np.ndarray:
         """For each text the languages' shares of belief, by loss-weighted decoding."""
-        buckets, starts = _trigrams(column)
-        gathered = self.weights[buckets]
+        codes, starts = _folded(column)
         margins = np.zeros((len(column), self.weights.shape[1]))
-        ends = np.maximum(starts[:-1], starts[1:] - 2)
-        for stop in (starts[1:] - 1, starts[1:] - 2):
-            inside = stop >= starts[:-1]
-            gathered[stop[inside]] = 0
-        some = np.nonzero(ends > starts[:-1])[0]
-        if len(some) and self.weights.shape[1]:
-            margins[some] = np.add.reduceat(gathered, starts[some], axis=0)
-            margins[some] *= (SCALE / np.sqrt(ends - starts[:-1])[some])[:, None]
+        for texts, first, buckets in _trigrams(codes, starts) if self.weights.shape[1] else ():
+            margins[texts] += np.add.reduceat(self.weights[buckets], first, axis=0)
+        sizes = np.maximum(starts[1:] - starts[:-1] - 2, 1)
+        margins *= (SCALE / np.sqrt(sizes))[:, None]
         losses = np.logaddexp(0, -margins[:, None, :] * self.code[None, :, :]).sum(axis=2)
         believed = np.exp(-(losses - losses.min(axis=1, keepdims=True)))
         return believed / believed.sum(axis=1, keepdims=True)

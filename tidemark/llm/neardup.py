@@ -338,10 +338,9 @@ def clean_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     rows = stash(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), "rows")
     groups = stash(near_duplicates(rows.select(F.col("number").alias("doc_id"), "row.text"), percent).select("doc_id", "component_id"), "numbered")
-    several = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
-    copies = groups.join(several, "component_id").join(rows.select(F.col("number").alias("doc_id"), F.col("row.doc_id").cast("long").alias("own"),
-                                                                   F.xxhash64("row.text").alias("tie")), "doc_id")
+    keys = rows.select(F.col("number").alias("doc_id"), F.col("row.doc_id").cast("long").alias("own"), F.xxhash64("row.text").alias("tie"))
     order = F.struct(F.col("own").isNull(), "own", "tie", "doc_id")  # ids first, then none
-    first = copies.groupBy("component_id").agg(F.min_by("doc_id", order).alias("first"))
-    gone = stash(copies.join(first, "component_id").where("doc_id <> first").select(F.col("doc_id").alias("number")), "gone")
+    # Each group's first row is found before the shuffle; rows meet on their own numbers, so no group is one task's, however large.
+    first = groups.join(keys, "doc_id").groupBy("component_id").agg(F.min_by("doc_id", order).alias("doc_id")).select("doc_id")
+    gone = stash(groups.join(first, "doc_id", "left_anti").select(F.col("doc_id").alias("number")), "gone")
     return rows.join(gone, "number", "left_anti").select("row.*")

@@ -44,11 +44,16 @@ LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # How byte-level models write a byte: itself where it is a printable sign, else the next sign from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SIGNS = [chr(b) if b in _PRINTED else chr(256 + sum(c not in _PRINTED for c in range(b))) for b in range(256)]
+SIGN_OF = dict(enumerate(BYTE_SIGNS))
 MARK = "\x01"  # a word of its own, whose id no other word has
 
 HEAD = "<4s4I"
 
 
+def _in_signs(word: str) -> str:
+    return word.encode().decode("latin-1").translate(SIGN_OF)
+
+
 class WordEncoder:
     """Ids of whole texts, by the words between blanks and line ends.
 
@@ -79,17 +84,23 @@ class WordEncoder:
         The tokenizer folds case, and makes a single stop or comma after a letter a token of its own. A word of Latin letters is one
         run for the model, so what remains of it goes to the model right away; any other word goes through the whole tokenizer.
         """
-        known, rest, ended, latin = self.known, [], [], LATIN.fullmatch
+        known, rest, ended, latin, raw, split, join = self.known, [], [], LATIN.fullmatch, self.raw, self.split, b"".join
+        if not self.direct:
+            latin = lambda stem: None
+        find, signs = known.get, self.signs
         for word in words:
-            stem, sign = word, ""
-            if word[-1] in ".," and len(word) > 1 and word[-2].isascii() and word[-2].isalpha():
-                stem, sign = word[:-1], word[-1]
-            if self.direct and latin(stem):
+            sign = word[-1]
+            if (sign == "." or sign == ",") and len(word) > 1 and word[-2].isascii() and word[-2].isalpha():
+                stem = word[:-1]
+            else:
+                stem, sign = word, ""
+            if latin(stem):
                 low = stem.lower()
-                ids = known.get(low)
+                ids = find(low)
                 if ids is None:
-                    ids = known[low] = self._model(low)
-                known[word] = ids + self.signs[sign] if sign else ids
+                    symbols = low if low.isascii() else _in_signs(low)
+                    ids = known[low] = join([raw[token.id] for token in split(symbols)])
+                known[word] = ids + signs[sign] if sign else ids
             elif sign:
                 ended.append((word, stem, sign))
                 rest.append(stem)
@@ -100,8 +111,7 @@ class WordEncoder:
             known[word] = known[stem] + self.signs[sign]
 
     def _model(self, word: str) -> bytes:
-        symbols = word if word.isascii() else "".join([BYTE_SIGNS[b] for b in word.encode()])
-        return b"".join([self.raw[token.id] for token in self.split(symbols)])
+        return b"".join([self.raw[token.id] for token in self.split(_in_signs(word))])
 
     def _call(self, words: list[str]) -> None:
         """Encode many words in one call, with a mark of their own between them."""

@@ -37,25 +37,49 @@ def test_missing_table(metrics):
 def test_upsert_last_write_wins(spark, metrics):
     metrics.append(frame(spark, [(1, "a", 1.0), (2, "b", 2.0)], DDL))
     changes = frame(spark, [(2, "b2", 3.0, 1), (2, "b3", 4.0, 2), (3, "c", 5.0, 1)], DDL + ", n int")
-    assert metrics.upsert(changes, [F.col("n").desc()]) == 3
+    assert metrics.upsert(changes, [F.col("n").desc()]) == 2
     assert rows_of(metrics.read()) == [(1, "a", 1.0), (2, "b3", 4.0), (3, "c", 5.0)]
-    assert metrics.version() == 1
 
 
-def test_an_upsert_writes_only_the_buckets_it_touches(spark, metrics):
+def test_an_upsert_into_a_new_table(spark, metrics):
+    changes = frame(spark, [(2, "b", 3.0), (2, "c", 4.0), (None, "d", 5.0)], DDL)
+    assert metrics.upsert(changes, [F.col("value").desc()]) == 1
+    assert rows_of(metrics.require()) == [(2, "c", 4.0)]
+
+
+def test_an_upsert_writes_only_the_slices_it_touches(spark, metrics):
     metrics.append(frame(spark, [(i, "a", 1.0) for i in range(500)], DDL))
     metrics.append(frame(spark, [(i, "b", 2.0) for i in range(500, 600)], DDL))
-    before = set(metrics._manifest(metrics.version()))
-    assert metrics.upsert(frame(spark, [(7, "c", 3.0), (9000, "d", 4.0)], DDL), [F.col("id")]) == 601
-    after = set(metrics._manifest(metrics.version()))
-    assert len(after - before) <= 2 and {data for _, data in after - before} == {2}
+    before = set(metrics.read().inputFiles())
+    assert len(before) <= 2 * metrics.slices()
+    assert metrics.upsert(frame(spark, [(7, "c", 3.0), (9000, "d", 4.0)], DDL), [F.col("id")]) == 2
+    after = set(metrics.read().inputFiles())
+    assert len(after - before) <= 2 and len(after & before) >= len(before) - 4
     expected = sorted([(i, "a", 1.0) for i in range(500) if i != 7] + [(i, "b", 2.0) for i in range(500, 600)] + [(7, "c", 3.0), (9000, "d", 4.0)], key=repr)
     assert rows_of(metrics.read()) == expected
+    assert metrics.upsert(frame(spark, [], DDL), [F.col("id")]) == 0
+    assert set(metrics.read().inputFiles()) == after
     metrics.upsert(frame(spark, [(i, "z", 0.0) for i in range(700)], DDL), [F.col("id")])
-    metrics.vacuum()
-    assert metrics.read().count() == 701 and metrics.version() == 3
-    metrics.upsert(frame(spark, [], DDL), [F.col("id")])
-    assert metrics.read().count() == 701
+    assert metrics.read().count() == 701 and len(metrics.read().inputFiles()) <= metrics.slices()
+
+
+def test_the_number_of_slices_follows_the_size(spark, root):
+    table = KeyedTable(spark, Table("metrics", "id BIGINT NOT NULL, device VARCHAR, value DOUBLE", f"{root}/metrics", "id"), slice_bytes=8 << 10)
+    ids = lambda first, last: spark.range(first, last).select("id", F.sha2(F.col("id").cast("string"), 256).alias("device"), F.rand(1).alias("value"))
+    assert table.append(ids(0, 10)) == 10
+    few = table.slices()
+    assert table.append(ids(10, 3000)) == 2990
+    many = table.slices()
+    assert many >= 4 * few and table.read().count() == 3000 == table.read().select("id").distinct().count()
+    assert table.upsert(ids(2900, 3100), [F.col("id")]) == 200
+    assert table.read().count() == 3100
+    kept = {path.split("slices=")[1].split("/")[0] for path in table.read().inputFiles()}
+    assert kept == {str(table.slices())}
+
+
+def test_a_column_that_names_the_partitions_is_refused(spark, root):
+    with pytest.raises(ValueError, match="key_slice"):
+        KeyedTable(spark, Table("t", "key_slice BIGINT", f"{root}/t", "key_slice"))
 
 
 def test_a_failed_upsert_leaves_the_table_as_it_was(spark, metrics):

@@ -1,14 +1,17 @@
-"""Keyed tables in hash buckets, as numbered versions.
+"""Keyed tables: Parquet partitioned by a hash of the key.
 
-A key's bucket is fixed. A version is a manifest of the bucket folders it is made of; a write adds folders for the buckets it
-touches, and then the manifest, which counts once Spark's committer has left its ``_SUCCESS`` file. So a reader never
-sees a half-written version, a failed write leaves the table as it was, and an upsert reads and writes only the buckets of
-the keys it changes.
+A key's rows are in one slice, and Spark's dynamic partition overwrite replaces the slices that an upsert touches; the others are
+neither read nor written. The number of slices follows the size of the table: a table that has outgrown its slices is
+written once more into more of them. A job that fails leaves the table as it was, because Spark moves files into place only
+when all of them are there; that last step moves one slice after the other, so readers should wait for the writer, and a
+writer that dies within it has to run its upsert again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from tidemark.session import committed_numbers, hadoop_path, remove
 from tidemark.sources.conform import check_batch_schema, not_null_guard, rejects_as_errors
@@ -44,21 +47,32 @@ def _all_set(key: list[str]) -> Column:
     return condition
 
 
-BUCKETS = 64
-MANIFEST = "bucket int, data int"
+SLICE = "key_slice"
+FIRST_SLICES = 8
+SLICE_BYTES = 256 << 20
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, table: Table):
+    """One writer at a time. ``slice_bytes`` is the size a slice should have; slices may reach twice that."""
+
+    def __init__(self, spark: SparkSession, table: Table, slice_bytes: int = SLICE_BYTES):
+        if table.column(SLICE) is not None:
+            raise ValueError(f"{table.name!r} has a column {SLICE!r}, which names the table's partitions")
         self.spark = spark
         self.table = table
+        self.slice_bytes = slice_bytes
 
-    def version(self) -> int | None:
-        done = committed_numbers(self.spark, f"{self.table.path}/manifests", "v=")
+    def slices(self) -> int | None:
+        """How many slices the table has; None before the first write."""
+        done = committed_numbers(self.spark, self.table.path, "slices=")
         return done[-1] if done else None
 
     def read(self) -> DataFrame:
-        return self._rows(self._manifest(self.version()))
+        """The rows present now. An upsert replaces files, so read again after one."""
+        slices = self.slices()
+        if slices is None:
+            return self.spark.createDataFrame([], self.table.schema)
+        return declared_columns(self._stored(self._folder(slices)), self.table)
 
     def append(self, rows: DataFrame, check_keys: bool = True) -> int:
         """Insert rows whose keys are new; returns the number of rows.
@@ -66,79 +80,80 @@ class KeyedTable:
         ``check_keys`` looks for keys that repeat or are present already and refuses the insert.
         """
         check_batch_schema(rows, self.table)
-        key, version = self.table.primary_key, self.version()
+        key, slices = self.table.primary_key, self.slices()
         if check_keys:
-            repeated = rows.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).select(key)
-            present = rows.select(key).join(self.read().select(key), key, "left_semi")
-            clash = repeated.unionByName(present).head(1)
+            clashing = rows.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).select(key)
+            if slices is not None:
+                clashing = clashing.unionByName(rows.select(key).join(self.read().select(key), key, "left_semi"))
+            clash = clashing.head(1)
             if clash:
                 raise EventError(QUERY_FAILED, f"key {clash[0][0]!r} repeats or is present in {self.table.name!r}")
-        target, written = self._write(declared_columns(rows, self.table), version)
-        self._publish(target, self._manifest(version) + [(b, target) for b, _ in written])
-        return sum(n for _, n in written)
+        written = self._write(declared_columns(rows, self.table), slices or FIRST_SLICES, "append" if slices else "overwrite")
+        self._grow()
+        return written
 
     def upsert(self, rows: DataFrame, newest_first: list[Column]) -> int:
-        """Insert or overwrite by key, last row under ``newest_first`` winning; returns the table's new row count.
+        """Insert or overwrite by key, last row under ``newest_first`` winning; returns the number of keys written.
 
         ``rows`` may carry further columns that only ``newest_first`` uses.
         """
         check_batch_schema(rows.select(*[f.name for f in self.table.fields]), self.table)
-        key, version = [self.table.primary_key], self.version()
-        manifest = self._manifest(version)
-        changes = latest_per_key(rows.filter(_all_set(key)), key, newest_first)
-        # Written once: ranked once, and the buckets it touches are known before any old row is read.
-        staged, touched = self._write(declared_columns(changes, self.table), version, "changes")
-        buckets = {b for b, _ in touched}
-        old = self._rows([entry for entry in manifest if entry[0] in buckets])
-        target, _ = self._write(_merged(old, self._rows([(b, staged) for b in buckets], "changes"), key), version)
-        self._publish(target, [entry for entry in manifest if entry[0] not in buckets] + [(b, target) for b in buckets])
-        remove(self.spark, f"{self.table.path}/changes/v={staged}")
-        return self.read().count()
-
-    def vacuum(self, keep: int = 1) -> None:
-        """Drop the manifests before the last ``keep``, and the bucket folders that none of the kept ones names."""
-        versions = committed_numbers(self.spark, f"{self.table.path}/manifests", "v=")
-        used = {data for v in versions[-keep:] for _, data in self._manifest(v)}
-        for v in versions[:-keep]:
-            remove(self.spark, f"{self.table.path}/manifests/v={v}")
-            if v not in used:
-                remove(self.spark, f"{self.table.path}/data/v={v}")
+        key, slices = [self.table.primary_key], self.slices()
+        changes = declared_columns(latest_per_key(rows.filter(_all_set(key)), key, newest_first), self.table)
+        if slices is None:
+            written = self._write(changes, FIRST_SLICES, "overwrite")
+        else:
+            # Ranked once: the slices that are touched must be known before any old row is read.
+            staged = f"{self.table.path}/_changes-{uuid.uuid4().hex}"
+            written = self._write(changes, slices, "overwrite", staged)
+            touched = self._present(staged)
+            if touched:
+                old = self._stored(self._folder(slices)).filter(F.col(SLICE).isin(touched))
+                merged = _merged(declared_columns(old, self.table), declared_columns(self._stored(staged), self.table), key)
+                self._write(merged, slices, "replace")
+            remove(self.spark, staged)
+        self._grow()
+        return written
 
     def require(self) -> DataFrame:
         """The table's rows; a table never written to is an error."""
-        if self.version() is None:
+        if self.slices() is None:
             raise EventError(TABLE_NOT_FOUND, f"no table named {self.table.name!r}")
         return self.read()
 
-    def _manifest(self, version: int | None) -> list[tuple[int, int]]:
-        """(bucket, number of the write that holds it); a row for each bucket and write since its last upsert."""
-        if version is None:
-            return []
-        return [tuple(r) for r in self.spark.read.schema(MANIFEST).parquet(f"{self.table.path}/manifests/v={version}").collect()]
+    def _folder(self, slices: int) -> str:
+        return f"{self.table.path}/slices={slices}"
 
-    def _rows(self, manifest: list[tuple[int, int]], kind: str = "data") -> DataFrame:
-        if not manifest:
-            return self.spark.createDataFrame([], self.table.schema)
-        paths = [f"{self.table.path}/{kind}/v={data}/bucket={bucket}" for bucket, data in sorted(manifest)]
-        return declared_columns(self.spark.read.schema(self.table.schema).parquet(*paths), self.table)
-
-    def _write(self, rows: DataFrame, version: int | None, kind: str = "data") -> tuple[int, list[tuple[int, int]]]:
-        """Write rows by bucket; returns the write's number, and rows by bucket."""
-        target = 0 if version is None else version + 1
-        bucket = F.pmod(F.xxhash64(self.table.primary_key), F.lit(BUCKETS)).cast("int")
-        stored = not_null_guard(rows, self.table).withColumn("bucket", bucket)
-        path = f"{self.table.path}/{kind}/v={target}"
+    def _stored(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(self.table.schema.add(SLICE, "integer")).parquet(folder)
+
+    def _present(self, folder: str) -> list[int]:
+        jpath, fs = hadoop_path(self.spark, f"{folder}/{SLICE}=*")
+        return [int(status.getPath().getName().partition("=")[2]) for status in (fs.globStatus(jpath) or [])]
+
+    def _write(self, rows: DataFrame, slices: int, how: str, folder: str | None = None) -> int:
+        """Write rows by slice; returns how many. ``replace`` overwrites the slices that ``rows`` has rows for.
+
+        Rows of a slice are brought together before, as many to a file as adaptive execution puts into a partition.
+        """
+        seen = Observation()
+        number = F.pmod(F.xxhash64(self.table.primary_key), F.lit(slices)).cast("int")
+        stored = not_null_guard(rows, self.table).withColumn(SLICE, number).hint("rebalance", SLICE)
+        writer = stored.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append" if how == "append" else "overwrite")
         with rejects_as_errors():
-            stored.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        if not self._has_rows(path):
-            return target, []
-        counts = self.spark.read.schema(self.table.schema.add("bucket", "integer")).parquet(path).groupBy("bucket").count().collect()
-        return target, sorted((r["bucket"], r["count"]) for r in counts)
-
-    def _has_rows(self, path: str) -> bool:
-        jpath, fs = hadoop_path(self.spark, f"{path}/bucket=*")
-        return len(fs.globStatus(jpath) or []) > 0
-
-    def _publish(self, version: int, manifest: list[tuple[int, int]]) -> None:
-        self.spark.createDataFrame(manifest, MANIFEST).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.table.path}/manifests/v={version}")
+            writer.option("partitionOverwriteMode", "dynamic" if how == "replace" else "static").partitionBy(SLICE).parquet(
+                folder or self._folder(slices))
+        return int(seen.get["rows"])
+
+    def _grow(self) -> None:
+        """Bring a table over twice its slices' size into as many slices as it needs: at least twice as many, so that
+        all such rewrites together cost no more than the writes that made the table."""
+        numbers = committed_numbers(self.spark, self.table.path, "slices=")
+        for old in numbers[:-1]:
+            remove(self.spark, self._folder(old))
+        jpath, fs = hadoop_path(self.spark, self._folder(numbers[-1]))
+        needed = -(-fs.getContentSummary(jpath).getLength() // self.slice_bytes)
+        if needed <= 2 * numbers[-1]:
+            return
+        self._write(self.read(), 1 << (needed - 1).bit_length(), "overwrite")
+        remove(self.spark, self._folder(numbers[-1]))

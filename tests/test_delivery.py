@@ -117,7 +117,8 @@ def test_checkpoint_ids_grow_and_no_row_comes_twice(spark, root):
     again = Runner(catalogue(spark, feed, root), f"{root}/run")  # as after a restart
     assert again.checkpoint() == 3
     assert rows_of(again.read("out")) == [(1,), (2,)]
-    assert rows_of(again.metrics(), "stream", "input_rows") == [("out", 1)]
+    assert rows_of(again.metrics(), "stream", "input_rows") == [("out", 2)]
+    assert rows_of(again.source_metrics()) == [("out", "s", 2)]
 
 
 @pytest.mark.parametrize("mode", ["update", "complete"])
@@ -203,3 +204,94 @@ def test_a_compacted_base_keeps_every_key(spark, root):
     journal.compact(["k"])
     journal.expire(3, keyed=True)
     assert rows_of(journal.latest(["k"])) == [("a", 2), ("b", 1), ("c", 1)]
+
+
+def test_a_named_consumer_goes_on_where_it_ended(spark, root):
+    journal = Journal(spark, f"{root}/journal")
+    for epoch in range(3):
+        journal(spark.createDataFrame([(epoch,)], "a long"), epoch)
+    Subscription(journal, name="one").acknowledge(0)
+    again = Subscription(journal, name="one")
+    assert again.lag() == 2 and rows_of(again.poll(), "a") == [(1,), (2,)]
+    assert Subscription(journal, name="two").lag() == Subscription(journal).lag() == 3
+    again.acknowledge(2)
+    again.acknowledge(1)
+    assert Subscription(journal, name="one").poll() is None
+    with pytest.raises(ValueError, match="name"):
+        Subscription(journal, name="../one")
+
+
+def test_a_consumer_lost_before_the_acknowledgement_gets_its_epoch_again(spark, root):
+    journal, seen = Journal(spark, f"{root}/journal"), []
+
+    def write(rows, epoch):
+        seen.append((epoch, rows_of(rows)))
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+    for epoch, rows in enumerate([[(1,)], [(2,)], [], [(3,)]]):
+        journal(spark.createDataFrame(rows, "a long"), epoch)
+    with pytest.raises(RuntimeError):
+        Subscription(journal, name="c").consume(write)
+    assert Subscription(journal, name="c").consume(write) == 3
+    assert seen == [(0, [(1,)]), (1, [(2,)]), (1, [(2,)]), (3, [(3,)])]
+    assert Subscription(journal, name="c").consume(write) == 0
+
+
+def test_reading_an_updated_sink_costs_the_same_after_fifty_batches(spark, root):
+    journal = Journal(spark, f"{root}/journal", ["k"], compact_every=8)
+    files = []
+    for epoch in range(50):
+        journal(spark.createDataFrame([(epoch % 3, epoch)], "k int, n int").coalesce(1), epoch)
+        files.append(len(journal.latest(["k"]).inputFiles()))
+    assert max(files) <= 12 and max(files[-8:]) <= max(files[:16])
+    assert rows_of(journal.latest(["k"])) == [(0, 48), (1, 49), (2, 47)]
+    # An earlier state comes from the last base before it, or from the epochs themselves.
+    assert rows_of(journal.latest(["k"], 45)) == [(0, 45), (1, 43), (2, 44)]
+    assert rows_of(journal.latest(["k"], 4)) == [(0, 3), (1, 4), (2, 2)]
+    journal.expire(40, keyed=True)
+    assert rows_of(journal.latest(["k"])) == [(0, 48), (1, 49), (2, 47)]
+    with pytest.raises(EventError, match="expired") as error:
+        journal.latest(["k"], 4)
+    assert error.value.code == 500
+
+
+@pytest.mark.parametrize("mode", ["append", "update", "complete"])
+def test_a_sink_read_as_of_a_checkpoint(spark, root, mode):
+    feed = Feed(spark, root, "s", "a BIGINT").put((1,), (2,))
+    runner = Runner(catalogue(spark, feed, root, mode), f"{root}/run")
+    first = runner.checkpoint()
+    feed.put((2,))
+    runner.drain()
+    again = Runner(catalogue(spark, feed, root, mode), f"{root}/run")
+    second = again.checkpoint()
+    before, after = ([(1,), (2,)], [(1,), (2,), (2,)]) if mode == "append" else ([(1, 1), (2, 1)], [(1, 1), (2, 2)])
+    assert rows_of(again.read("out", first)) == before
+    assert rows_of(again.read("out", second)) == rows_of(again.read("out")) == after
+    with pytest.raises(EventError, match="no checkpoint") as error:
+        again.read("out", 99)
+    assert error.value.code == 900
+
+
+def test_totals_by_source_over_a_restart_in_bounded_memory(spark, root):
+    one, two = (Feed(spark, root, name, "a BIGINT") for name in ("one", "two"))
+    def runner():
+        return Runner(Catalog(spark).add(one.source, two.source, Stream("both", ["one", "two"], lambda l, r: l.unionByName(r)),
+                                         Sink("out", "both", f"{root}/out")), f"{root}/run")
+    for turn in range(3):
+        one.put((turn,))
+        two.put((turn,), (turn,))
+        current = runner()
+        current.drain()
+        assert rows_of(current.source_metrics()) == [("out", "one", turn + 1), ("out", "two", 2 * turn + 2)]
+        assert len(current._progress._totals) == 1
+        current.shutdown()
+
+
+def test_working_folders_are_removed_by_their_owner(spark, tmp_path, monkeypatch):
+    from tidemark import clear_workspaces, session
+    monkeypatch.setattr(session, "_application_folder", lambda _: str(tmp_path))
+    made = session.workspace(spark, "a")
+    spark.range(1).write.parquet(made)
+    assert made.startswith(str(tmp_path)) and session.exists(spark, made)
+    clear_workspaces(spark)
+    assert not session.exists(spark, made)

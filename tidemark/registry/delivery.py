@@ -6,9 +6,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators.aggregates import keyed, tumble
-from tidemark.registry.base import event_catalog, land_in_turn, query
+from tidemark.registry.base import EVENT_COLUMNS, event_catalog, land_in_turn, query
 from tidemark.session import workspace
-from tidemark.sources.definitions import EventError, Sink, Stream, read_live, sql_stream
+from tidemark.sources.definitions import EventError, Sink, Source, Stream, read_live, sql_stream
 from tidemark.streaming.journal import Journal, Subscription
 from tidemark.streaming.listener import Delivery, Listener, per_batch
 from tidemark.streaming.run import Runner, drain, replay
@@ -111,6 +111,36 @@ def frames_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subscription.poll()
 
 
+class _Lost(Exception):
+    """Stands for a consumer that goes away."""
+
+
+@query(f"SELECT event_id, {PART} AS epoch, CASE {PART} WHEN 1 THEN 2 ELSE 1 END AS deliveries FROM events")
+def frames_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named consumer is lost between its own write and the acknowledgement: the next one of that name gets the epoch again."""
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, "frames_consumer")
+    journal = Journal(catalog.spark, f"{root}/journal")
+    deliveries: dict[int, int] = {}
+
+    def copy(rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/copy/epoch={epoch}")
+        deliveries[epoch] = deliveries.get(epoch, 0) + 1
+        if (epoch, deliveries[epoch]) == (1, 1):
+            raise _Lost
+
+    def turn(source):
+        drain(read_live(catalog.streaming, source).select("event_id"), journal, f"{root}/checkpoint")
+        try:
+            Subscription(journal, name="copier").consume(copy)
+        except _Lost:
+            pass
+    land_in_turn(catalog, root, 3, turn)
+    counted = catalog.spark.createDataFrame(list(deliveries.items()), "epoch long, deliveries int")
+    copied = catalog.spark.read.parquet(f"{root}/copy").withColumn("epoch", F.col("epoch").cast("bigint"))
+    return copied.join(counted, "epoch").select("event_id", "epoch", "deliveries")
+
+
 @query(f"""WITH e AS (SELECT {PART} AS epoch, count(*) AS n FROM events GROUP BY 1)
 SELECT c.cursor, count(e.epoch) AS lag, coalesce(sum(e.n), 0)::BIGINT AS pending_rows
 FROM (SELECT -1::BIGINT AS cursor UNION ALL SELECT epoch FROM e) c LEFT JOIN e ON e.epoch > c.cursor GROUP BY c.cursor""")
@@ -198,6 +228,39 @@ def checkpoint_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.spark.createDataFrame(reached, "checkpoint_id long, row_count long")
 
 
+@query(f"""WITH e AS (SELECT event_type, {PART} AS p FROM events), c AS (SELECT DISTINCT p FROM e)
+SELECT c.p + 1 AS checkpoint_id, 'ids_out' AS sink, 'any' AS event_type, count(*) AS row_count FROM c JOIN e ON e.p <= c.p GROUP BY c.p
+UNION ALL SELECT c.p + 1, 'totals_out', e.event_type, count(*) FROM c JOIN e ON e.p <= c.p GROUP BY c.p, e.event_type""")
+def checkpoint_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sinks that take different numbers of batches, read as of each checkpoint after the last one: always the same cut."""
+    catalog = event_catalog(spark, sf_dir)
+    root = workspace(spark, "checkpoint_read")
+    turns, reached = [], []
+
+    def turn(source):
+        turns.append(source)
+        if len(turns) == 1:
+            catalog.add(
+                source, Source("singly", EVENT_COLUMNS, source.path, options={"maxFilesPerTrigger": "1"}),
+                Stream("ids", ["singly"], lambda e: e.select("event_id")),
+                Stream("totals", ["landed"], lambda e: keyed(e, ["event_type"], row_count=F.count(F.lit(1)))),
+                Sink("ids_out", "ids", f"{root}/ids"),
+                Sink("totals_out", "totals", f"{root}/totals", mode="update", key=("event_type",), compact_every=2))
+        if len(turns) % 2 == 0:
+            reached.append(Runner(catalog, f"{root}/run").checkpoint())
+    land_in_turn(catalog, root, 6, turn)
+    runner, cuts = Runner(catalog, f"{root}/run"), []
+    for at in reached:
+        ids = runner.read("ids_out", at).agg(F.count("event_id").alias("row_count")).select(F.lit("any").alias("event_type"), "row_count")
+        totals = runner.read("totals_out", at).select("event_type", "row_count")
+        cuts += [frame.select(F.lit(at).cast("bigint").alias("checkpoint_id"), F.lit(name).alias("sink"), "event_type", "row_count")
+                 for name, frame in (("ids_out", ids), ("totals_out", totals))]
+    together = cuts[0]
+    for cut in cuts[1:]:
+        together = together.unionByName(cut)
+    return together
+
+
 def _sizes(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["batch_rows"])
 

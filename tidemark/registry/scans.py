@@ -266,3 +266,63 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = runner.metrics().select("stream", "input_rows", "watermark_ms")
     runner.shutdown()
     return totals
+
+
+@query("""SELECT event_id, ts, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 18:00:00' AND ts < TIMESTAMP '2024-01-12 06:00:00'""")
+def landing_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A time range of a source that is kept by day: other days' files are not opened."""
+    root = workspace(spark, "landing_by_day")
+    catalog = event_catalog(spark, sf_dir)
+    catalog.add(Source("daily", EVENT_COLUMNS, f"{root}/daily", watermark=("ts", DELAY), by_day=True),
+                Stream("some", ["daily"], lambda e: e.select("event_id", "ts", "value")))
+    events = catalog.static("all_events")
+    with Writer(catalog.spark, catalog.get("daily")) as writer:
+        for turn in range(2):
+            writer.write(events.filter(F.col("event_id") % 2 == turn))
+    return catalog.static("some", datetime(2024, 1, 10, 18), datetime(2024, 1, 12, 6))
+
+
+@query("SELECT date_trunc('day', ts) AS day, count(*) AS event_count FROM events GROUP BY 1")
+def landing_in_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that is kept by day, streamed in batches bounded by bytes; rows by day of what the batches held."""
+    root = workspace(spark, "landing_in_bounded_batches")
+    catalog = event_catalog(spark, sf_dir)
+    daily = Source("daily", EVENT_COLUMNS, f"{root}/daily", watermark=("ts", DELAY), by_day=True,
+                   options={"maxBytesPerTrigger": str(1 << 20)})
+    catalog.add(daily, Stream("times", ["daily"], lambda e: e.select("event_id", "ts")), Sink("times_out", "times", f"{root}/times"))
+    with Writer(catalog.spark, daily) as writer:
+        writer.write(catalog.static("all_events"))
+    runner = Runner(catalog, f"{root}/run")
+    runner.drain()
+    return runner.read("times_out").groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(
+        F.count(F.lit(1)).alias("event_count"))
+
+
+@query("""SELECT 'both_out' AS stream, 'landed' AS source, count(*) AS input_rows FROM events
+UNION ALL SELECT 'both_out', 'clicks', count(*) FROM events WHERE event_type = 'click'
+UNION ALL SELECT 'ids_out', 'landed', count(*) FROM events""")
+def stream_metrics_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in by stream and source, from the second of two runners that each took half of the turns."""
+    root = workspace(spark, "stream_metrics_restart")
+    clicks = Source("clicks", EVENT_COLUMNS, f"{root}/clicks")
+    landing, turns, totals = event_catalog(spark, sf_dir), [], []
+
+    def turn(source):
+        turns.append(source)
+        click = landing.static("all_events").filter(F.col("event_type") == "click")
+        with Writer(landing.spark, clicks) as writer:
+            writer.write(click.filter(F.col("event_id") % 4 == len(turns) - 1))
+        if len(turns) % 2:
+            return
+        catalog = event_catalog(spark, sf_dir).add(
+            source, clicks,
+            Stream("both", ["landed", "clicks"], lambda e, c: e.select("event_id").unionByName(c.select("event_id"))),
+            Stream("ids", ["landed"], lambda e: e.select("event_id")),
+            Sink("both_out", "both", f"{root}/both"), Sink("ids_out", "ids", f"{root}/ids"))
+        runner = Runner(catalog, f"{root}/run")
+        runner.drain()
+        totals.append(runner.source_metrics())
+        runner.shutdown()
+    land_in_turn(landing, root, 4, turn)
+    return totals[-1]

@@ -61,14 +61,32 @@ def derive_streaming(spark: SparkSession) -> SparkSession:
 def workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where the setting is missing and Spark itself is local.
+    A machine-local folder is used only where the setting is missing and Spark itself is local. Results are read from these
+    folders lazily; ``clear_workspaces`` removes them.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_workspaces(spark: SparkSession) -> None:
+    """Remove every working folder that this Spark application has made, when all results taken from it have been read.
+
+    Folders of other applications stay, also those of one that has been lost; each application's are in one folder,
+    ``tidemark/<application id>`` below ``spark.checkpoint.dir``.
+    """
+    remove(spark, _application_folder(spark))
+
+
+_local_base: dict[str, str] = {}
+
+
+def _application_folder(spark: SparkSession) -> str:
+    application, base = spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+        base = _local_base.setdefault(application, "") or tempfile.mkdtemp(prefix="tidemark-")
+        _local_base[application] = base
+    return f"{base.rstrip('/')}/tidemark/{application}"
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -104,6 +122,25 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of the driver's own, such as a position; the folder is made where it is missing."""
+    jpath, fs = hadoop_path(spark, path)
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jpath, fs = hadoop_path(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def committed_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Numbers ``n`` of the ``<prefix><n>`` folders below ``path`` whose write was committed, in order."""
     return _numbers(spark, f"{path}/{prefix}*/_SUCCESS", lambda p: p.getParent().getName()[len(prefix):])

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.event_time import as_instant, seconds_of
+from tidemark.functions.event_time import as_instant, moment, seconds_of
 from tidemark.session import derive, derive_streaming, is_file
 
 # Declared SQL type -> (Spark type, canonical name in listings).
@@ -38,6 +39,10 @@ NOT_CHECKPOINTED = 900
 SHUT_DOWN = 901
 
 
+# Names of the folders below a source that is kept by day.
+APPEND, DAY = "append", "event_day"
+
+
 class EventError(Exception):
     """A failure with the numeric code of its class and, for bad rows, the field at fault."""
 
@@ -109,10 +114,15 @@ class Relation:
 
 @dataclass(frozen=True)
 class Source(Relation):
-    """Append-only input. ``watermark`` is ``(event-time column, allowed delay)``."""
+    """Append-only input. ``watermark`` is ``(event-time column, allowed delay)``.
+
+    ``options`` go to Spark's file stream: ``maxFilesPerTrigger`` and ``maxBytesPerTrigger`` bound a batch. With ``by_day`` each
+    append is partitioned by the day of its event time, and ``Catalog.static`` over a time range opens those days' files only.
+    """
 
     watermark: tuple[str, str] | None = None
     options: dict = field(default_factory=dict)
+    by_day: bool = False
 
     def __post_init__(self):
         super().__post_init__()
@@ -122,6 +132,8 @@ class Source(Relation):
             declared = self.column(ts)
             if declared is None or declared.sql_type != "TIMESTAMP":
                 raise ValueError(f"{self.name!r} needs a TIMESTAMP column {ts!r} for its watermark")
+        if self.by_day and (self.watermark is None or self.column(DAY) is not None):
+            raise ValueError(f"{self.name!r} needs a watermark, and no column {DAY!r}, to be kept by day")
 
 
 @dataclass(frozen=True)
@@ -145,13 +157,17 @@ class Stream:
 
 @dataclass(frozen=True)
 class Sink:
-    """Where a stream is written: a folder and ``append`` or ``update`` output."""
+    """Where a stream is written: a folder and ``append``, ``update`` or ``complete`` output.
+
+    An updated sink compacts itself after every ``compact_every`` batches.
+    """
 
     name: str
     stream: str
     path: str
     mode: str = "append"
     key: tuple[str, ...] = ()
+    compact_every: int = 16
 
 
 class Catalog:
@@ -202,12 +218,13 @@ class Catalog:
         rows = [(i, f.name, canonical_type_name(f.dataType), f.nullable) for i, f in enumerate(columns)]
         return self.spark.createDataFrame(rows, "position int, field string, type_name string, nullable boolean")
 
-    def static(self, name: str) -> DataFrame:
-        """The definition over all rows present now."""
+    def static(self, name: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        """The definition over all rows present now, or over its sources' rows with ``since <= event time < until`` (either may
+        be missing; naive UTC wall clock). Rows of sources without event time are all taken in."""
         entry = self.get(name)
         if isinstance(entry, Stream):
-            return entry.build(*[self.static(i) for i in entry.inputs])
-        return read_static(self.spark, entry)
+            return entry.build(*[self.static(i, since, until) for i in entry.inputs])
+        return read_static(self.spark, entry, since, until)
 
     def live(self, name: str) -> DataFrame:
         """The definition over unbounded input."""
@@ -250,12 +267,31 @@ def without_heartbeats(frame: DataFrame) -> DataFrame:
     return frame.filter(F.col(HEARTBEAT).isNull() | (F.spark_partition_id() < 0)).drop(HEARTBEAT)
 
 
-def read_static(spark: SparkSession, relation: Relation) -> DataFrame:
-    """All rows present now; only the declared columns are read, and no file is opened to learn its schema."""
-    frame = _all_appends(spark, spark.read.schema(_file_schema(relation)), relation.path).parquet(relation.path)
+def read_static(spark: SparkSession, relation: Relation, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    """All rows present now; only the declared columns are read, and no file is opened to learn its schema.
+
+    A time range reaches the file scan, and, where the source is kept by day, the choice of folders.
+    """
+    bounded = (since is not None or until is not None) and isinstance(relation, Source) and relation.watermark is not None
+    if bounded and relation.by_day:
+        schema = _file_schema(relation).add(APPEND, "string").add(DAY, "date")
+        frame = _within(spark.read.schema(schema).parquet(relation.path), F.col(DAY), since and F.lit(since.date()),
+                        until and F.lit(until.date()), inclusive=True).drop(DAY, APPEND)
+    else:
+        frame = _all_appends(spark, spark.read.schema(_file_schema(relation)), relation.path).parquet(relation.path)
+    if bounded:
+        frame = _within(frame, F.col(f"`{relation.watermark[0]}`"), since and moment(since), until and moment(until))
     return frame.filter(F.col(HEARTBEAT).isNull()).drop(HEARTBEAT)
 
 
+def _within(frame: DataFrame, at: Column, since: Column | None, until: Column | None, inclusive: bool = False) -> DataFrame:
+    if since is not None:
+        frame = frame.filter(at >= since)
+    if until is not None:
+        frame = frame.filter(at <= until if inclusive else at < until)
+    return frame
+
+
 def _all_appends(spark: SparkSession, reader, path: str):
     """Each append is a folder of its own."""
     return reader if is_file(spark, path) else reader.option("recursiveFileLookup", "true")

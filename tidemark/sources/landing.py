@@ -10,18 +10,22 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tidemark.functions.event_time import as_wall_clock, moment, seconds_of
 from tidemark.session import make_dir, rename
 from tidemark.sources.conform import check_batch_schema, conform_or_fail, not_null_guard, rejects_as_errors
-from tidemark.sources.definitions import HEARTBEAT, WRITER_CLOSED, EventError, Source, declared_columns
+from tidemark.sources.definitions import APPEND, DAY, HEARTBEAT, WRITER_CLOSED, EventError, Source, declared_columns
 
 
-def append_rows(batch: DataFrame, path: str) -> int:
+def append_rows(batch: DataFrame, path: str, day_of: str | None = None) -> int:
     """Append ``batch`` to a folder of Parquet files and return the number of rows, counted by the write itself.
 
-    The rows go to a folder that readers skip, which one rename then makes visible as a whole.
+    The rows go to a folder that readers skip, which one rename then makes visible as a whole. With ``day_of``, an event-time
+    column, they are partitioned by its day; a day's rows are brought together before, so that small days make one file.
     """
     seen, name = Observation(), uuid.uuid4().hex
+    if day_of is not None:
+        batch = batch.withColumn(DAY, F.to_date(f"`{day_of}`")).hint("rebalance", DAY)
+    writer = batch.observe(seen, F.count(F.lit(1)).alias("rows")).write
     with rejects_as_errors():
-        batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/_new-{name}")
-    rename(batch.sparkSession, f"{path}/_new-{name}", f"{path}/rows-{name}")
+        (writer if day_of is None else writer.partitionBy(DAY)).parquet(f"{path}/_new-{name}")
+    rename(batch.sparkSession, f"{path}/_new-{name}", f"{path}/{'rows-' if day_of is None else f'{APPEND}='}{name}")
     return int(seen.get["rows"])
 
 
@@ -46,12 +50,12 @@ class Writer:
         """Append a typed batch now; its columns and types must be the declared ones."""
         self._require_open()
         check_batch_schema(batch, self.source)
-        return append_rows(self._storable(batch), self.source.path)
+        return self._append(self._storable(batch))
 
     def write_json(self, rows: DataFrame, raw: str = "raw") -> int:
         """Append rows given as JSON text; one bad row fails them all."""
         self._require_open()
-        return append_rows(conform_or_fail(rows, self.source, raw), self.source.path)
+        return self._append(conform_or_fail(rows, self.source, raw))
 
     def buffer(self, batch: DataFrame) -> None:
         """Keep a typed batch for the next ``flush``, which appends everything buffered in one write."""
@@ -67,7 +71,7 @@ class Writer:
         together = pending[0]
         for batch in pending[1:]:
             together = together.unionByName(batch)
-        return append_rows(together, self.source.path)
+        return self._append(together)
 
     def watermark(self, at: int | datetime) -> None:
         """Move event time to ``at`` (epoch milliseconds or an aware datetime) without data.
@@ -86,7 +90,7 @@ class Writer:
         beat = self.spark.range(1).select(
             *[(event_time if f.name == ts else F.lit(None).cast(f.spark_type)).alias(f.name) for f in self.source.fields],
             F.lit(True).alias(HEARTBEAT))
-        append_rows(beat, self.source.path)
+        self._append(beat)
         self._watermark_ms = at_ms
 
     def current_watermark(self) -> int | None:
@@ -100,6 +104,9 @@ class Writer:
             self.flush()
             self._closed = True
 
+    def _append(self, rows: DataFrame) -> int:
+        return append_rows(rows, self.source.path, self.source.watermark[0] if self.source.by_day else None)
+
     def _storable(self, batch: DataFrame) -> DataFrame:
         return not_null_guard(declared_columns(as_wall_clock(batch), self.source), self.source)
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
+from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.functions.event_time import as_wall_clock
 from tidemark.plans.admission import check_stream_plan
-from tidemark.session import committed_numbers, numbered_files
-from tidemark.sources.definitions import NOT_CHECKPOINTED, SHUT_DOWN, Catalog, EventError, Sink, Stream
+from tidemark.session import committed_numbers, numbered_files, read_text, remove, write_text
+from tidemark.sources.definitions import NOT_CHECKPOINTED, SHUT_DOWN, Catalog, EventError, Sink, Source, Stream
 from tidemark.streaming.journal import Journal
 
 
@@ -53,15 +55,18 @@ def current_watermark(query: StreamingQuery) -> int | None:
 
 
 class Progress(StreamingQueryListener):
-    """What every batch of a session's queries reported since this began.
+    """Running totals of what the batches of a session's queries reported.
 
-    Kept by query and batch, so totals are whole however many batches there are (a query itself remembers only the last
-    ones), and a batch that runs again counts once.
+    One record a query, whatever the number of batches: sums, and the last batch they hold, so that a batch which reports
+    again counts once. With a ``folder`` the record is also kept there, one small JSON file a query after each batch (the last two
+    stay), under the id that a query keeps over restarts; totals then go on where they ended. A report comes after its
+    batch has been committed: a driver lost between the two leaves that one batch out.
     """
 
-    def __init__(self, session: SparkSession):
+    def __init__(self, session: SparkSession, folder: str | None = None):
         self.session = session
-        self._batches: dict[str, dict[int, tuple[int, int, int | None]]] = {}
+        self.folder = folder
+        self._totals: dict[str, dict] = {}
         session.streams.addListener(self)
 
     def onQueryStarted(self, event): ...
@@ -72,26 +77,74 @@ class Progress(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         progress = event.progress
-        dropped = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+        query = str(progress.id)
+        total = self._record(query)
+        if progress.batchId <= total["last_batch"]:
+            return
         mark = _millis(progress.eventTime.get("watermark"))
-        self._batches.setdefault(str(progress.id), {})[progress.batchId] = (progress.numInputRows, dropped, mark)
+        total["last_batch"] = progress.batchId
+        total["batches"] += 1
+        total["input_rows"] += progress.numInputRows
+        total["dropped_rows"] += sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+        total["watermark_ms"] = max(filter(None, (total["watermark_ms"], mark)), default=None)
+        for source in progress.sources:
+            folder = _folder_of(source.description)
+            total["sources"][folder] = total["sources"].get(folder, 0) + source.numInputRows
+        if self.folder:
+            self._keep(query, total)
+
+    def _record(self, query: str) -> dict:
+        if query not in self._totals:
+            self._totals[query] = (self.folder and self._kept(query)) or {
+                "last_batch": -1, "batches": 0, "input_rows": 0, "dropped_rows": 0, "watermark_ms": None, "sources": {}}
+        return self._totals[query]
+
+    def _kept(self, query: str) -> dict | None:
+        """The newest record that was written whole."""
+        for batch in reversed(numbered_files(self.session, f"{self.folder}/{query}")):
+            try:
+                return json.loads(read_text(self.session, f"{self.folder}/{query}/{batch}"))
+            except ValueError:
+                continue
+        return None
 
-    def totals(self, queries: dict[str, StreamingQuery]) -> DataFrame:
-        """Per stream: input rows, batches, rows dropped as late, watermark. Waits until all reports so far are in."""
+    def _keep(self, query: str, total: dict) -> None:
+        write_text(self.session, f"{self.folder}/{query}/{total['last_batch']}", json.dumps(total))
+        for old in numbered_files(self.session, f"{self.folder}/{query}")[:-2]:
+            remove(self.session, f"{self.folder}/{query}/{old}")
+
+    def _records(self, queries: dict[str, str]) -> list[tuple[str, dict]]:
+        """Waits until all reports so far are in."""
         self.session.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
-        rows = []
-        for name, query in queries.items():
-            batches = self._batches.get(str(query.id), {})
-            marks = [mark for _, _, mark in batches.values() if mark is not None]
-            rows.append((name, sum(n for n, _, _ in batches.values()), len(batches),
-                         sum(dropped for _, dropped, _ in batches.values()), max(marks, default=None)))
+        return [(name, self._record(query)) for name, query in queries.items()]
+
+    def totals(self, queries: dict[str, StreamingQuery]) -> DataFrame:
+        """Per stream: input rows, batches, rows dropped as late, watermark."""
+        rows = [(name, r["input_rows"], r["batches"], r["dropped_rows"], r["watermark_ms"])
+                for name, r in self._records({name: str(query.id) for name, query in queries.items()})]
         return self.session.createDataFrame(
             rows, "stream string, input_rows long, batches long, dropped_rows long, watermark_ms long")
 
+    def by_source(self, queries: dict[str, StreamingQuery]) -> DataFrame:
+        """Per stream and folder it reads: input rows."""
+        rows = [(name, folder, n) for name, r in self._records({name: str(query.id) for name, query in queries.items()})
+                for folder, n in r["sources"].items()]
+        return self.session.createDataFrame(rows, "stream string, folder string, input_rows long")
+
     def close(self) -> None:
         self.session.streams.removeListener(self)
 
 
+def _folder_of(description: str) -> str:
+    """The folder in a file source's description, ``FileStreamSource[file:/a/b]``, without its scheme."""
+    inner = description.partition("[")[2].rpartition("]")[0] or description
+    return plain_path(inner)
+
+
+def plain_path(path: str) -> str:
+    return "/" + urlsplit(path).path.strip("/")
+
+
 def _millis(text: str | None) -> int | None:
     if not text:
         return None
@@ -115,7 +168,7 @@ class Runner:
         if self.root is None:
             raise EventError(NOT_CHECKPOINTED, "checkpointing is not enabled: give a folder")
         self._continuous = self._continuous or every is not None
-        self._progress = self._progress or Progress(self.catalog.streaming)
+        self._reports()
         for sink in self.catalog.of_kind(Sink):
             running = self.queries.get(sink.name)
             if running is None or not running.isActive:
@@ -123,9 +176,10 @@ class Runner:
         return self.queries
 
     def _start(self, sink: Sink, every: str | None) -> StreamingQuery:
-        frame = self.catalog.live(sink.stream)
-        target = Journal(self.catalog.spark, sink.path) if sink.mode != "append" else sink.path
-        return start(frame, target, f"{self.root}/{sink.name}", sink.mode, every)
+        return start(self.catalog.live(sink.stream), self._journal(sink), f"{self.root}/{sink.name}", sink.mode, every)
+
+    def _journal(self, sink: Sink) -> Journal:
+        return Journal(self.catalog.spark, sink.path, list(sink.key) if sink.mode == "update" else None, sink.compact_every)
 
     def drain(self) -> dict[str, StreamingQuery]:
         """Run every sink over the input present now and wait for all of them."""
@@ -134,15 +188,33 @@ class Runner:
             query.processAllAvailable() if self._continuous else query.awaitTermination()
         return queries
 
-    def read(self, sink_name: str) -> DataFrame:
-        """A sink's table: all rows of an appended one, the latest row per key of an updated one."""
+    def read(self, sink_name: str, at: int | None = None) -> DataFrame:
+        """A sink's table: all rows of an appended one, the latest row per key of an updated one, the last result of a complete one.
+
+        ``at`` is the id of a checkpoint: the table as it was then, so that all sinks read at one id show the same cut.
+        """
         self._require_up()
         sink: Sink = self.catalog.get(sink_name)
+        through = None if at is None else self._reached(at, sink_name)
+        journal, schema = self._journal(sink), lambda: as_wall_clock(self.catalog.live(sink.stream)).schema
+        if through == -1:
+            return self.catalog.spark.createDataFrame([], schema())
         if sink.mode == "update":
-            return Journal(self.catalog.spark, sink.path).latest(list(sink.key))
+            return journal.latest(list(sink.key), through)
         if sink.mode == "complete":
-            return Journal(self.catalog.spark, sink.path).newest_epoch()
-        return read_output(self.catalog.spark, sink.path, self.catalog.live(sink.stream))
+            return journal.newest_epoch(through)
+        return journal.appended(schema(), through)
+
+    def _reached(self, checkpoint_id: int, sink_name: str) -> int:
+        """The sink's last batch in a checkpoint."""
+        spark = self.catalog.spark
+        if self.root is None or checkpoint_id not in committed_numbers(spark, f"{self.root}/checkpoints", "id="):
+            raise EventError(NOT_CHECKPOINTED, f"there is no checkpoint {checkpoint_id}")
+        found = spark.read.schema("sink string, batch_id long").parquet(
+            f"{self.root}/checkpoints/id={checkpoint_id}").filter(F.col("sink") == sink_name).head()
+        if found is None:
+            raise EventError(NOT_CHECKPOINTED, f"checkpoint {checkpoint_id} does not hold {sink_name!r}")
+        return found["batch_id"]
 
     def checkpoint(self) -> int:
         """Record how far each sink got under a new, greater id.
@@ -165,8 +237,22 @@ class Runner:
         return checkpoint_id
 
     def metrics(self) -> DataFrame:
-        """Totals since this runner first started its sinks."""
-        return (self._progress or Progress(self.catalog.streaming)).totals(self.queries)
+        """Totals of the started sinks since their first batch, over restarts."""
+        return self._reports().totals(self.queries)
+
+    def source_metrics(self) -> DataFrame:
+        """Input rows per sink and source since the first batch; a folder that several or no sources name is given as such."""
+        names: dict[str, list[str]] = {}
+        for source in self.catalog.of_kind(Source):
+            names.setdefault(plain_path(source.path), []).append(source.name)
+        single = [(folder, found[0]) for folder, found in names.items() if len(found) == 1]
+        rows = self._reports().by_source(self.queries)
+        known = rows.sparkSession.createDataFrame(single, "folder string, source string")
+        return rows.join(known, "folder", "left").select("stream", F.coalesce("source", "folder").alias("source"), "input_rows")
+
+    def _reports(self) -> Progress:
+        self._progress = self._progress or Progress(self.catalog.streaming, self.root and f"{self.root}/metrics")
+        return self._progress
 
     def shutdown(self) -> None:
         """Stop everything; any later call fails."""

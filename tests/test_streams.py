@@ -193,6 +193,10 @@ def test_bounded_join_is_admitted(spark, root):
     left, right = two(spark, root)
     check_stream_plan(left.join(right, F.expr(f"l_key = r_key AND {RANGE}")))
     check_stream_plan(interval_join(left, right, [("l_key", "r_key")], "l_ts", "r_ts", "10 seconds", "full"))
+    pairs = interval_join(left, right, [("l_key", "r_key")], "l_ts", "r_ts", "10 seconds")
+    check_stream_plan(tumble(pairs, ["l_key"], "r_ts", "1 hour", n=F.count("r_key")))
+    third = Feed(spark, root, "q", "q_key BIGINT, q_ts TIMESTAMP", "q_ts").live()
+    check_stream_plan(interval_join(pairs, third, [("r_key", "q_key")], "r_ts", "q_ts", "10 seconds"))
 
 
 @pytest.mark.parametrize("condition, message", [

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.aggregates import keyed, tumble
+from tidemark.operators.aggregates import keyed
 from tidemark.operators.asof import asof_join
 from tidemark.operators.asof_stream import asof_stream
 from tidemark.operators.joins import interval_join
 from tidemark.operators.stateful import kept_state
-from tidemark.plans.admission import AdmissionError, check_stream_plan
+from tidemark.plans.admission import check_stream_plan
 from tidemark.registry.base import event_catalog, query, role
 from tidemark.session import workspace
 from tidemark.sources.definitions import Source, Stream, read_live
@@ -200,31 +200,22 @@ def staged_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(chained.select("trade_id", "order_id", "quote_id"), root)
 
 
-@query("""SELECT shape, refused, (SELECT count(*) FROM events WHERE event_type = 'purchase') AS trades FROM (VALUES
- ('cross join', true), ('no time range', true), ('range open at one end', true), ('no equality key', true), ('no watermark', true),
- ('sort without limit', true), ('bounded join', false), ('three-way join', false), ('join and windows', false)) s(shape, refused)""")
+@query(f"""WITH {TRADES}, {ORDERS}, {QUOTES}, p AS (SELECT t_user, o_user, o_ts, o_price FROM t JOIN o ON {ON})
+SELECT 'bounded join' AS shape, o_user AS device, count(*) AS row_count FROM p GROUP BY o_user
+UNION ALL SELECT 'filtered join', o_user, count(*) FROM p WHERE o_price > 50 GROUP BY o_user
+UNION ALL SELECT 'three-way join', o_user, count(*) FROM p JOIN q ON o_user = q_user AND q_ts BETWEEN o_ts AND o_ts + INTERVAL 6 HOUR
+GROUP BY o_user""")
 def admission_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which shapes of streams are refused before they start."""
-    catalog = event_catalog(spark, sf_dir)
+    """Joins of streams that the check before the start admits, each run as one stream: rows by shape and key."""
+    catalog, root = event_catalog(spark, sf_dir), workspace(spark, "admission_checks")
     t, o, q = (catalog.live(name) for name in ("trades", "orders", "quotes"))
-    bare = catalog.live("all_events").select(F.col("user_id").alias("o_user"), F.col("ts").alias("o_ts"))
-    inside = "o_ts BETWEEN t_ts AND t_ts + INTERVAL 6 HOURS"
     pairs = interval_join(t, o, [("t_user", "o_user")], "t_ts", "o_ts", BOUND)
-    shapes = {
-        "cross join": t.crossJoin(o), "no time range": t.join(o, F.expr("t_user = o_user")),
-        "range open at one end": t.join(o, F.expr("t_user = o_user AND o_ts >= t_ts")), "no equality key": t.join(o, F.expr(inside)),
-        "no watermark": t.join(bare, F.expr(f"t_user = o_user AND {inside}")), "sort without limit": t.orderBy("t_ts"),
-        "bounded join": pairs, "three-way join": interval_join(pairs, q, [("o_user", "q_user")], "o_ts", "q_ts", BOUND),
-        "join and windows": tumble(pairs, ["t_user"], "o_ts", "1 hour", n=F.count("trade_id"))}
-    rows = []
-    for shape, frame in shapes.items():
-        try:
-            check_stream_plan(frame)
-            rows.append((shape, False))
-        except AdmissionError:
-            rows.append((shape, True))
-    trades = catalog.static("trades").agg(F.count("trade_id")).scalar()
-    return catalog.spark.createDataFrame(rows, "shape string, refused boolean").withColumn("trades", trades)
+    shapes = {"bounded join": pairs, "filtered join": pairs.filter("o_price > 50"),
+              "three-way join": interval_join(pairs, q, [("o_user", "q_user")], "o_ts", "q_ts", BOUND)}
+    counted = [replay(check_stream_plan(frame).select("o_user"), f"{root}/{shape.split()[0]}").groupBy(F.col("o_user").alias("device")).agg(
+        F.count(F.lit(1)).alias("row_count")).select(F.lit(shape).alias("shape"), "device", "row_count")
+        for shape, frame in shapes.items()]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
 ASOF = "t ASOF LEFT JOIN q ON t_user = q_user AND t_ts >= q_ts"

@@ -48,7 +48,10 @@ def test_an_upsert_into_a_new_table(spark, metrics):
 
 
 def test_an_upsert_writes_only_the_slices_it_touches(spark, metrics):
+    metrics.slice_bytes = 512
     metrics.append(frame(spark, [(i, "a", 1.0) for i in range(500)], DDL))
+    metrics.slice_bytes = 1 << 30  # no more slices from here on
+    assert metrics.slices() >= 4
     metrics.append(frame(spark, [(i, "b", 2.0) for i in range(500, 600)], DDL))
     before = set(metrics.read().inputFiles())
     assert len(before) <= 2 * metrics.slices()

@@ -42,7 +42,7 @@ def agg_avg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A continuous average per key: three turns of input, each emitting the keys it changed."""
     catalog = event_catalog(spark, sf_dir)
     root = workspace(spark, "agg_avg_by_key")
-    journal = Journal(catalog.spark, f"{root}/averages")
+    journal = Journal(catalog.spark, f"{root}/averages", ["user_id"])
     land_in_turn(catalog, root, 3, lambda source: drain(
         keyed(read_live(catalog.streaming, source), ["user_id"], avg_value=F.avg("value")),
         journal, f"{root}/checkpoint", "update"))
@@ -59,7 +59,7 @@ def incremental_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog = event_catalog(spark, sf_dir)
     root = workspace(spark, "incremental_emit")
     averages = lambda: keyed(catalog.live("all_events"), ["user_id"], avg_value=F.avg("value"))
-    changes, whole = Journal(catalog.spark, f"{root}/changes"), Journal(catalog.spark, f"{root}/whole")
+    changes, whole = Journal(catalog.spark, f"{root}/changes", ["user_id"]), Journal(catalog.spark, f"{root}/whole")
     drain(averages(), changes, f"{root}/changes_checkpoint", "update")
     drain(averages(), whole, f"{root}/whole_checkpoint", "complete")
     on = _rounded(changes.latest(["user_id"])).select(F.lit("on").alias("incremental"), "*")

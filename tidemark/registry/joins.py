@@ -183,7 +183,7 @@ def staged_join_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog, matched = _staged_matches(spark, sf_dir, root)
     totals = keyed(read_live(catalog.streaming, matched), ["o_user"], match_count=F.count(F.lit(1)),
                    avg_diff=F.avg("price_diff"))
-    journal = Journal(catalog.spark, f"{root}/totals")
+    journal = Journal(catalog.spark, f"{root}/totals", ["o_user"])
     drain(totals, journal, f"{root}/totals_checkpoint", "update")
     return journal.latest(["o_user"]).select(
         F.col("o_user").alias("device"), "match_count", F.round("avg_diff", 8).alias("avg_diff"))

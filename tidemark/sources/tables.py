@@ -48,7 +48,7 @@ def _all_set(key: list[str]) -> Column:
 
 
 SLICE = "key_slice"
-FIRST_SLICES = 8
+FIRST_SLICES = 1
 SLICE_BYTES = 256 << 20
 
 

@@ -3,8 +3,8 @@
 A key's rows are in one slice, and Spark's dynamic partition overwrite replaces the slices that an upsert touches; the others are
 neither read nor written. The number of slices follows the size of the table: a table that has outgrown its slices is
 written once more into more of them. A job that fails leaves the table as it was, because Spark moves files into place only
-when all of them are there; that last step moves one slice after the other, so readers should wait for the writer, and a
-writer that dies within it has to run its upsert again.
+when all of them are there. That last step moves one slice after the other: readers should wait for the writer, and a driver
+lost within it can leave slices old or missing.
 """
 
 from __future__ import annotations

@@ -257,6 +257,43 @@ def test_asof_stream_leaves_idle_keys_alone_and_forgets_them(spark, root):
     assert rows_of(journal.batches(), "l_id", "r_id") == sorted([*((k, k) for k in range(60)), (100, 100), (200, 200), (300, 300)], key=repr)
 
 
+def test_asof_stream_whose_keys_share_groups(spark, root):
+    """Over turns as the static join, with ties, NULL keys and late rows, in no more groups than were asked for."""
+    left_rows, right_rows = crafted(5, n=90, span=300)
+    left_rows += [(100 + k, at(10), 1000 + k) for k in range(60)]
+    right_rows += [(100 + k, at(9), 1000 + k) for k in range(60)]
+    left, right = feeds(spark, root)
+    run = lambda: drained(asof_stream(left.live(), right.live(), ON, "l_ts", "r_ts", "r_id", "30 seconds", shared=3), root)[0]
+    groups = lambda: kept_state(spark, f"{root}/checkpoint", "history").select("key").distinct().count()
+    for turn in range(3):
+        part = lambda rows: [r for r in rows if at(turn * 100) <= r[1] < at((turn + 1) * 100)]
+        left.put(*part(left_rows))
+        right.put(*part(right_rows))
+        run()
+        assert 0 < groups() <= 2 * 3 * (100 // 30 + 2)
+    left.put((1, at(1000), 500), (2, at(20), 501))
+    right.put((1, at(1000), 500), (1, None, 502), (None, at(20), 503))
+    rows = run().batches()
+    expected = brute_asof([r[:2] for r in left_rows], right_rows, 30)
+    assert rows_of(rows.filter("NOT _late"), "l_id", "r_id") == sorted(((r[2], e) for r, e in zip(left_rows, expected)), key=repr)
+    assert rows_of(rows.filter("_late"), "l_id", "r_id") == [(501, None), (None, 502)]
+    assert {r[0] for r in kept_state(spark, f"{root}/checkpoint", "history").selectExpr("explode(list_element.keys)").collect()} == {'{"_key0":1}'}
+
+
+@pytest.mark.parametrize("name", ["asof_left_stream", "state_retention_kept"])
+def test_registered_asof_streams_have_groups_that_do_not_grow_with_the_users(caller, root, name, monkeypatch):
+    """As many groups for four times the users, where each slice of each user had been one."""
+    import tidemark.registry.joins as registered
+    events = caller.read.parquet("/root/testdata/sf0.001/events.parquet").filter("event_type IN ('purchase', 'view')")
+    copies = events.crossJoin(caller.range(4).withColumnRenamed("id", "copy"))
+    copies.withColumn("event_id", F.expr("event_id * 4 + copy")).withColumn("user_id", F.expr("user_id * 4 + copy")).drop("copy").write.parquet(f"{root}/events.parquet")
+    monkeypatch.setattr(registered, "SHARED", 2)
+    monkeypatch.setattr(registered, "workspace", lambda _, label: f"{root}/{label}")
+    assert getattr(registered, name)(caller, root).count() > 0
+    kept = kept_state(caller, f"{root}/{name}/checkpoint", "history").select("key").distinct().groupBy("key._slice").count()
+    assert kept.agg(F.max("count")).head()[0] <= 2
+
+
 def test_asof_stream_is_refused_without_watermark_or_order(spark, root):
     left, right = feeds(spark, root)
     bare = Feed(spark, root, "bare", "r_key BIGINT, r_ts TIMESTAMP, r_id BIGINT")

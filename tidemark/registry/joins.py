@@ -245,9 +245,13 @@ def asof_left_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "quote_id", retention="6 hours")
 
 
+SHARED = 256  # groups that the users of a slice are dealt over
+
+
 def _asof_stream(spark: SparkSession, sf_dir: str, retention: str, label: str, root: str | None = None) -> DataFrame:
+    """A user has few events in a slice, so users share groups: as many users as there may be, the groups stay as many."""
     catalog = event_catalog(spark, sf_dir)
-    valued = asof_stream(catalog.live("trades"), catalog.live("quotes"), [("t_user", "q_user")], "t_ts", "q_ts", "quote_id", retention)
+    valued = asof_stream(catalog.live("trades"), catalog.live("quotes"), [("t_user", "q_user")], "t_ts", "q_ts", "quote_id", retention, shared=SHARED)
     return replay(valued, root or workspace(spark, label)).filter("NOT _late").drop("_late")
 
 
@@ -273,8 +277,12 @@ def state_retention_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the engine's state still holds after that run: half days that a later trade may fall into, and trades that wait."""
     root = workspace(spark, "state_retention_kept")
     _asof_stream(spark, sf_dir, "12 hours", "state_retention_kept", root)
-    checkpoint, place = f"{root}/checkpoint", [F.col("key._key0").alias("user_id"), F.col("key._slice").alias("slice")]
-    history = kept_state(spark, checkpoint, "history").groupBy(*place).agg(F.lit(True).alias("has_history"))
-    waiting = kept_state(spark, checkpoint, "open").groupBy(*place).agg(F.count(F.lit(1)).alias("open_trades"))
+
+    def kept(name: str) -> DataFrame:
+        rows = kept_state(spark, f"{root}/checkpoint", name).select(F.explode("list_element.keys").alias("keys"), F.col("key._slice").alias("slice"))
+        return rows.groupBy(F.from_json("keys", "_key0 bigint")["_key0"].alias("user_id"), "slice")
+
+    history = kept("history").agg(F.lit(True).alias("has_history"))
+    waiting = kept("open").agg(F.count(F.lit(1)).alias("open_trades"))
     both = history.join(waiting, ["user_id", "slice"], "full")
     return both.select("user_id", "slice", F.coalesce("has_history", F.lit(False)).alias("has_history"), F.coalesce("open_trades", F.lit(0)).cast("bigint").alias("open_trades"))

@@ -17,7 +17,7 @@ def test_query_equals_sql(caller, db, name):
     assert compare(caller, db, name, SF) is None
 
 
-@pytest.mark.parametrize("name", ["late_rows"])
+@pytest.mark.parametrize("name", ["late_rows", "late_rows_counted"])
 def test_late_rows_of_a_table_in_many_files(caller, db, root, name):
     """A turn that takes several files, in no order of event time, is still one batch."""
     caller.read.parquet(f"{SF}/events.parquet").repartition(5).write.parquet(f"{root}/events.parquet")

@@ -137,7 +137,7 @@ def wm_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _delayed_errors(top: int, turn: int):
     """Turn ``turn`` brings its third of the events without errors, and the errors of the third before."""
-    error = F.col("event_type") == "error"
+    error = F.col("event_type").eqNullSafe("error")  # an event without a type is none, and must not be lost
     return (id_range(top, 3, turn) & ~error) | (id_range(top, 3, turn - 1) & error)
 
 

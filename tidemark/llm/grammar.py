@@ -84,9 +84,7 @@ class WordEncoder:
         The tokenizer folds case, and makes a single stop or comma after a letter a token of its own. A word of Latin letters is one
         run for the model, so what remains of it goes to the model right away; any other word goes through the whole tokenizer.
         """
-        known, rest, ended, latin, raw, split, join = self.known, [], [], LATIN.fullmatch, self.raw, self.split, b"".join
-        if not self.direct:
-            latin = lambda stem: None
+        known, rest, ended, latin, raw, split, join, direct = self.known, [], [], LATIN.fullmatch, self.raw, self.split, b"".join, self.direct
         find, signs = known.get, self.signs
         for word in words:
             sign = word[-1]
@@ -94,12 +92,12 @@ class WordEncoder:
                 stem = word[:-1]
             else:
                 stem, sign = word, ""
-            if latin(stem):
+            plain = stem.isascii() and stem.isalpha()  # quicker to ask than the expression
+            if direct and (plain or latin(stem)):
                 low = stem.lower()
                 ids = find(low)
                 if ids is None:
-                    symbols = low if low.isascii() else _in_signs(low)
-                    ids = known[low] = join([raw[token.id] for token in split(symbols)])
+                    ids = known[low] = join([raw[token.id] for token in split(low if plain else _in_signs(low))])
                 known[word] = ids + signs[sign] if sign else ids
             elif sign:
                 ended.append((word, stem, sign))
@@ -150,15 +148,25 @@ def _slots(keys: np.ndarray) -> np.ndarray:
     return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
 
 
-def _frequent(keys: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that stand ``LEAST`` times or more, most frequent first, and for each place the rank of its pair (their number: none).
+def _slots_at(symbols: np.ndarray, places: np.ndarray | slice, after: np.ndarray | slice) -> np.ndarray:
+    """The hash slots of the pairs that stand at ``places``; ``SLOTS`` for those that are not to be replaced."""
+    left, right = symbols[places], symbols[after]
+    slots = _slots((left.astype(np.uint64) << np.uint64(32)) | right)
+    slots[(left == END) | (right == END)] = SLOTS
+    return slots
 
-    Pairs in slots that are full enough are counted exactly, by sorting. A round takes at most ``PER_ROUND`` of them, and of two in one hash slot the more frequent one; the
+
+def _frequent(symbols: np.ndarray, slots: np.ndarray, filled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that stand ``LEAST`` times or more, most frequent first, the places of those that a round takes, and each place's rank in the pairs.
+
+    Pairs in slots that are full enough, by ``filled``, are counted exactly, by sorting. A round takes at most ``PER_ROUND`` of them, and of two in one hash slot the more frequent one; the
     others wait for the next round. Slot ``SLOTS`` is for places that are not to be replaced.
     """
-    full = np.bincount(slots, minlength=SLOTS + 1) >= LEAST
+    full = filled >= LEAST
     full[SLOTS] = False
-    ordered = np.sort(keys[full[slots]])
+    places = np.nonzero(full[slots])[0]
+    keys = (symbols[places].astype(np.uint64) << np.uint64(32)) | symbols[places + 1]
+    ordered = np.sort(keys)
     starts = np.nonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))[0]
     counts = np.diff(np.append(starts, len(ordered)))
     often = np.nonzero(counts >= LEAST)[0]
@@ -167,67 +175,75 @@ def _frequent(keys: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarr
     own = _slots(pairs)
     holder = np.full(SLOTS + 1, len(pairs), np.int32)
     holder[own[::-1]] = np.arange(len(pairs) - 1, -1, -1)
-    holder[SLOTS] = len(pairs)
-    rank = holder[slots]
+    rank = holder[slots[places]]
     held = np.nonzero(rank < len(pairs))[0]
-    rank[held[pairs[rank[held]] != keys[held]]] = len(pairs)
-    return pairs, rank
+    held = held[pairs[rank[held]] == keys[held]]
+    return pairs, places[held], rank[held]
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (pairs; rule ``k`` is symbol ``base + k``) and each document's number of symbols.
 
-    Rounds go on until no pair stands ``LEAST`` times.
+    Rounds go on until no pair stands ``LEAST`` times. A round looks at the places of frequent pairs only, and gives new slots to the
+    pairs next to what it has replaced.
     """
     symbols = ids.astype(np.uint32)
-    last = np.zeros(len(ids), bool)
-    last[np.cumsum(sizes) - 1] = True
+    ends = np.cumsum(sizes) - 1
+    slots = np.append(_slots_at(symbols, slice(None, -1), slice(1, None)), SLOTS) if len(symbols) else np.empty(0, np.int64)
+    filled = np.bincount(slots, minlength=SLOTS + 1)
     number: dict[int, int] = {}
     while len(symbols) > 1:
-        left, right = symbols[:-1], symbols[1:]
-        keys = (left.astype(np.uint64) << np.uint64(32)) | right
-        slots = _slots(keys)
-        slots[(left == END) | (right == END)] = SLOTS
-        chosen, rank = _frequent(keys, slots)
-        take = rank < len(chosen)
-        take[1:] &= rank[1:] < rank[:-1]  # more frequent than the pairs that overlap it
-        take[:-1] &= rank[:-1] < rank[1:]
-        runs = np.nonzero((left == right) & (rank < len(chosen)))[0]  # aaa overlaps itself: every second one of a run
+        chosen, places, rank = _frequent(symbols, slots, filled)
+        close = np.nonzero(np.diff(places) == 1)[0]
+        before, after = np.full((2, len(places)), len(chosen), np.int32)
+        before[close + 1], after[close] = rank[close], rank[close + 1]
+        take = (rank < before) & (rank < after)  # more frequent than the pairs that overlap it
+        runs = np.nonzero(symbols[places] == symbols[places + 1])[0]  # aaa overlaps itself: every second one of a run
         if len(runs):
-            padded = np.concatenate([[len(chosen)], rank, [len(chosen)]])
-            begun = np.concatenate([[True], np.diff(runs) > 1])
+            begun = np.concatenate([[True], np.diff(places[runs]) > 1])
             ended = np.append(begun[1:], True)
             first = np.maximum.accumulate(np.where(begun, np.arange(len(runs)), 0))
             even = (np.arange(len(runs)) - first) % 2 == 0
-            take[runs] = even & (~begun | (rank[runs] < padded[runs])) & (~ended | (rank[runs] < padded[runs + 2]))
-        where = np.nonzero(take)[0]
+            take[runs] = even & (~begun | (rank[runs] < before[runs])) & (~ended | (rank[runs] < after[runs]))
+        where, rank = places[take], rank[take]
         # A pair that overlaps itself may be counted often and yet have a single place; a rule is for two.
-        used = np.bincount(rank[where], minlength=len(chosen))
-        where = where[used[rank[where]] > 1]
+        used = np.bincount(rank, minlength=len(chosen)) > 1
+        where, rank = where[used[rank]], rank[used[rank]]
         if not len(where):
             break
-        replaced = np.unique(rank[where])
+        replaced = np.nonzero(used)[0]
         code = np.zeros(len(chosen), np.uint32)
         code[replaced] = [number.setdefault(pair, base + len(number)) for pair in chosen[replaced].tolist()]
-        symbols = symbols.copy()
-        symbols[where] = code[rank[where]]
+        symbols[where] = code[rank]
         stay = np.ones(len(symbols), bool)
         stay[where + 1] = False
-        symbols, last = symbols[stay], last[stay]
+        left = ~stay
+        left[where] = left[where[where > 0] - 1] = True
+        np.subtract.at(filled, slots[left], 1)
+        symbols, slots = symbols[stay], slots[stay]
+        ends -= np.searchsorted(where + 1, ends, side="right")
+        where -= np.arange(len(where))  # where the new symbols stand now
+        fresh = np.zeros(len(symbols), bool)
+        fresh[where] = fresh[where[where > 0] - 1] = True
+        fresh[-1] = False
+        near = np.nonzero(fresh)[0]
+        slots[near] = _slots_at(symbols, near, near + 1)
+        slots[-1] = SLOTS
+        np.add.at(filled, slots[near], 1)
     pairs = np.array(list(number), np.uint64)
     pairs = np.column_stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype("<u4").reshape(-1, 2)
-    return symbols, pairs, np.diff(np.concatenate([[0], np.nonzero(last)[0] + 1]))
+    return symbols, pairs, np.diff(np.concatenate([[0], ends + 1]))
 
 
 def pack(doc_ids: list[int | None], coded: list[np.ndarray], base: int) -> bytes:
     sizes = np.array([len(c) for c in coded])
     symbols, rules, spans = compress(np.concatenate(coded), sizes, base)
-    lengths = np.ones(base + len(rules), np.uint64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        lengths[base + k] = lengths[a] + lengths[b]
+    lengths = [1] * base
+    for a, b in rules.tolist():
+        lengths.append(lengths[a] + lengths[b])
     kind = "<u2" if base + len(rules) <= 1 << 16 else "<u4"
     return b"".join([
-        struct.pack(HEAD, b"RPG1", base, len(rules), len(symbols), len(coded)), rules.tobytes(), lengths[base:].astype("<u4").tobytes(),
+        struct.pack(HEAD, b"RPG1", base, len(rules), len(symbols), len(coded)), rules.tobytes(), np.array(lengths[base:], "<u4").tobytes(),
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array([d is None for d in doc_ids], np.uint8).tobytes(),
         np.cumsum(spans).astype("<u8").tobytes(), sizes.astype("<u8").tobytes(), symbols.astype(kind).tobytes()])
 

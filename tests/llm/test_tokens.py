@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -50,6 +51,36 @@ def test_shards_defined_cases(spark, caller, monkeypatch):
     assert grammar.read_shards(spark, empty).count() == 0
 
 
+@pytest.fixture
+def words():
+    with open(WORD, encoding="utf-8") as file:
+        return grammar.WordEncoder(file.read())
+
+
+@pytest.mark.parametrize("most", [0, 1 << 26])
+def test_words_are_encoded_as_by_the_library(words, corpus, monkeypatch, most):
+    monkeypatch.setattr(grammar, "KNOWN_BYTES", most)
+    rng, tokenizer = random.Random(5), Tokenizer.from_file(WORD)
+    letters = "aZéÉÿßœİ .,'!&<|>_1\n\t日\x01\u0308"
+    cases = [t for _, t, _, _ in corpus[:30]] + ODD + ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(300)] + ["", None, " ", "\n"]
+    assert words.direct
+    for kind in (pa.string(), pa.large_string()):
+        for text, ids in zip(cases, words.encode(pa.array(cases, kind)), strict=True):
+            assert ids.tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], text
+
+
+def test_a_run_is_encoded_once(words, monkeypatch):
+    """Words that differ in case or in the signs behind them cost no call of the whole tokenizer and share their letters."""
+    asked, split = [], words.split
+    monkeypatch.setattr(words, "split", lambda run: asked.append(run) or split(run))
+    monkeypatch.setattr(words, "known", {})
+    monkeypatch.setattr(words, "_whole", lambda rest: [] if not rest else pytest.fail(f"by the whole tokenizer: {rest}"))
+    texts = ["quellez quellez, Quellez&&& QUELLEZ*** quellez!? &&&", "Quellez. quellez&&&", "quellez"]
+    got = [ids.tolist() for text in texts for ids in words.encode(pa.array([text]))]
+    assert sorted(asked) == sorted(["quellez", ",", ".", "&&&", "***", "!?"])
+    assert got == [[*Tokenizer.from_file(WORD).encode(text, add_special_tokens=False).ids, 1] for text in texts]
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_grammar_round_trip(seed):
     rng = np.random.default_rng(seed)
@@ -160,3 +191,18 @@ def test_repair_goes_on_until_no_pair_is_frequent(monkeypatch, seed, per_round):
     assert [sum(len(expand[s]) for s in part) for part in np.split(symbols, np.cumsum(spans)[:-1])] == sizes.tolist()
     plain, plain_rules = naive_repair(ids.tolist(), 50)
     assert len(symbols) + 2 * len(rules) <= 1.25 * (len(plain) + 2 * plain_rules)
+
+
+@pytest.mark.parametrize("bits", [4, 18])
+def test_rounds_look_at_few_places(monkeypatch, bits):
+    """The places that all rounds look at together are a few times the ids, however many rounds there are."""
+    monkeypatch.setattr(grammar, "SLOT_BITS", bits)
+    monkeypatch.setattr(grammar, "SLOTS", 1 << bits)
+    rng, looked, frequent = np.random.default_rng(3), [], grammar._frequent
+    monkeypatch.setattr(grammar, "_frequent", lambda keys: looked.append(len(keys)) or frequent(keys))
+    phrases = [rng.integers(2, 400, rng.integers(2, 40)) for _ in range(60)]
+    coded = [np.concatenate([*(part for k in rng.integers(0, 60, 30) for part in (phrases[k], rng.integers(2, 4000, 30))), [grammar.END]]) for _ in range(60)]
+    ids, sizes = np.concatenate(coded).astype(np.uint32), np.array([len(c) for c in coded])
+    symbols, rules, _ = grammar.compress(ids, sizes, 4000)
+    assert max(counted(symbols.tolist()).values()) < grammar.LEAST and len(rules) > 100
+    assert len(looked) >= 8 and (bits < 18 or sum(looked) <= 3 * len(ids))

@@ -19,33 +19,35 @@ special tokens that stand in a text get their ids, as the tokenizer's default is
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import slices, texts, worker_store
+from tidemark.llm.common import slices, worker_store
 
 END = 1
 BLOCK_IDS = 1 << 20
 LEAST = 8  # a pair in a block this often is worth a rule, which takes 12 bytes and saves 2 at each place
 PER_ROUND = 4096
-SLOT_BITS = 20
+SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
-KNOWN = 500_000  # words in a worker's table; it keeps the table before as well
-LONGEST = 64  # characters of a word that is remembered
+ENCODE_BYTES = 16 << 20  # texts whose different words are looked for at once
+KNOWN_BYTES = 64 << 20  # of runs that a worker remembers
+ENTRY_BYTES = 100  # that a run takes besides its letters
 
-LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+RUNS = r"\A(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<signs>[!-/:-@\[-`{-~]*)\z"  # Latin letters, and ASCII signs behind them
 # How byte-level models write a byte: itself where it is a printable sign, else the next sign from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SIGNS = [chr(b) if b in _PRINTED else chr(256 + sum(c not in _PRINTED for c in range(b))) for b in range(256)]
 SIGN_OF = dict(enumerate(BYTE_SIGNS))
 MARK = "\x01"  # a word of its own, whose id no other word has
+PROBES = [("the", ""), ("Straße", "."), ("ÉTÉ", ","), ("ñandú", "&&&"), ("zzyzx", "."), ("internationalisation", "!?"), ("", "..."), ("don", "'"), ("a", "<|")]
 
 HEAD = "<4s4I"
 
@@ -58,181 +60,180 @@ class WordEncoder:
     """Ids of whole texts, by the words between blanks and line ends.
 
     For the given tokenizer no token, and nothing that decides on tokens, goes over white space, and white space has none itself;
-    so the ids of a text are those of its words, each encoded by the library.
+    so the ids of a text are those of its words. Arrow cuts a slice of texts into words and finds the different ones, the library
+    encodes those, and Arrow puts their ids together again.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}  # what was known before the table was last begun anew
+        self.known: dict[str, bytes] = {}
+        self.held = 0
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         if len(mark) != 1:
             raise ValueError("the tokenizer has no single id for the mark between words")
         self.mark = mark[0]
-        whole = lambda word: np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         self.split = self.tokenizer.model.tokenize
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.raw = [struct.pack("<I", i) for i in range(size)]
-        self.signs = {"": b"", ".": whole("."), ",": whole(",")}
-        self.direct = all(self._model(w.lower()) == whole(w) for w in ("the", "Straße", "ÉTÉ", "ñandú", "zzyzx", "internationalisation"))
+        self.raw = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+        self.direct = all(b"".join(self._runs([run.lower() for run in runs])) == self._lone("".join(runs)) for runs in PROBES)
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """The ids of runs of letters or of signs, which go to the tokenizer's model right away. They are remembered."""
+        known, raw, split, join = self.known, self.raw, self.split, b"".join
+        coded = list(map(known.get, runs))
+        for k in [k for k, ids in enumerate(coded) if ids is None]:
+            run = runs[k]
+            known[run] = coded[k] = join([raw[token.id] for token in split(run if run.isascii() else _in_signs(run))]) if run else b""
+            self.held += len(run) + ENTRY_BYTES
+        if self.held > KNOWN_BYTES:
+            self.known, self.held = dict(zip(runs, coded, strict=True)), sum(map(len, runs)) + ENTRY_BYTES * len(runs)
+        return coded
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words that are not known yet.
+    def _lone(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-        The tokenizer folds case, and makes a single stop or comma after a letter a token of its own. A word of Latin letters is one
-        run for the model, so what remains of it goes to the model right away; any other word goes through the whole tokenizer.
-        """
-        known, rest, ended, latin, raw, split, join, direct = self.known, [], [], LATIN.fullmatch, self.raw, self.split, b"".join, self.direct
-        find, signs = known.get, self.signs
-        for word in words:
-            sign = word[-1]
-            if (sign == "." or sign == ",") and len(word) > 1 and word[-2].isascii() and word[-2].isalpha():
-                stem = word[:-1]
-            else:
-                stem, sign = word, ""
-            plain = stem.isascii() and stem.isalpha()  # quicker to ask than the expression
-            if direct and (plain or latin(stem)):
-                low = stem.lower()
-                ids = find(low)
-                if ids is None:
-                    ids = known[low] = join([raw[token.id] for token in split(low if plain else _in_signs(low))])
-                known[word] = ids + signs[sign] if sign else ids
-            elif sign:
-                ended.append((word, stem, sign))
-                rest.append(stem)
-            else:
-                rest.append(word)
-        self._call([w for w in set(rest) if w not in known])
-        for word, stem, sign in ended:
-            known[word] = known[stem] + self.signs[sign]
-
-    def _model(self, word: str) -> bytes:
-        return b"".join([self.raw[token.id] for token in self.split(_in_signs(word))])
-
-    def _call(self, words: list[str]) -> None:
-        """Encode many words in one call, with a mark of their own between them."""
-        lone = [w for w in words if MARK in w]
-        words = [w for w in words if MARK not in w]
-        for at in range(0, len(words), 2000):
-            group = words[at:at + 2000]
-            coded = self.tokenizer.encode_batch_fast([f" {MARK} ".join([*group, ""])], add_special_tokens=False)
-            ids = np.array(coded[0].ids, "<u4")
+    def _whole(self, words: list[str]) -> list[bytes]:
+        """The ids of words by the whole tokenizer: many in one call, with a mark of their own between them."""
+        coded, plain = {}, [w for w in words if MARK not in w]
+        for at in range(0, len(plain), 2000):
+            group = plain[at:at + 2000]
+            found = self.tokenizer.encode_batch_fast([f" {MARK} ".join([*group, ""])], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<u4")
             raw, start = ids.tobytes(), 0
             for word, end in zip(group, (4 * np.nonzero(ids == self.mark)[0]).tolist(), strict=True):
-                self.known[word] = raw[start:end]
+                coded[word] = raw[start:end]
                 start = end + 4
-        for word in lone:
-            self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, many: list[str | None]) -> list[np.ndarray]:
-        split = [(text or "").replace("\n", " ").split(" ") for text in many]
-        words = set().union(*split)
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > KNOWN:
-            self.older, self.known, new = self.known, {"": b""}, words - {""}
-        again = new.intersection(self.older)
-        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
-        new = list(new.difference(again))
-        self._learn(new)
-        end, known = np.array([END], "<u4").tobytes(), self.known.__getitem__
-        coded = [np.frombuffer(b"".join(map(known, own)) + end, "<u4") for own in split]
-        for word in [w for w in new if len(w) > LONGEST]:
-            for part in (word, word.lower(), word[:-1], word[:-1].lower()):
-                self.known.pop(part, None)
-        return coded
-
-
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
-
+        return [coded[w] if w in coded else self._lone(w) for w in words]
 
-def _slots_at(symbols: np.ndarray, places: np.ndarray | slice, after: np.ndarray | slice) -> np.ndarray:
-    """The hash slots of the pairs that stand at ``places``; ``SLOTS`` for those that are not to be replaced."""
-    left, right = symbols[places], symbols[after]
-    slots = _slots((left.astype(np.uint64) << np.uint64(32)) | right)
-    slots[(left == END) | (right == END)] = SLOTS
-    return slots
+    def _words(self, words: pa.Array) -> pa.Array:
+        """The ids of different words.
 
-
-def _frequent(symbols: np.ndarray, slots: np.ndarray, filled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs that stand ``LEAST`` times or more, most frequent first, the places of those that a round takes, and each place's rank in the pairs.
-
-    Pairs in slots that are full enough, by ``filled``, are counted exactly, by sorting. A round takes at most ``PER_ROUND`` of them, and of two in one hash slot the more frequent one; the
-    others wait for the next round. Slot ``SLOTS`` is for places that are not to be replaced.
+        The tokenizer folds case, and cuts between letters and signs. So Latin letters with ASCII signs behind them are two runs
+        for the model; any other word goes through the whole tokenizer.
+        """
+        cut = pc.extract_regex(words, RUNS)
+        plain = cut.is_valid().to_numpy(zero_copy_only=False) if self.direct else np.zeros(len(words), bool)
+        others = self._whole(words.filter(pa.array(~plain)).to_numpy(zero_copy_only=False).tolist())
+        stems, signs = cut.filter(pa.array(plain)).flatten()
+        runs = pa.concat_arrays([pc.utf8_lower(stems), signs]).dictionary_encode()
+        coded = pa.array(self._runs(runs.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(runs.indices)
+        joined = pc.binary_join_element_wise(coded.slice(0, len(stems)), coded.slice(len(stems)), pa.scalar(b"", pa.large_binary()))
+        order = np.empty(len(words), np.int64)
+        order[plain], order[~plain] = np.arange(len(stems)), np.arange(len(stems), len(words))
+        return pa.concat_arrays([joined, pa.array(others, pa.large_binary())]).take(pa.array(order))
+
+    def encode(self, many: pa.Array) -> list[np.ndarray]:
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(many, ""), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        end = pa.array([np.array([END], "<u4").tobytes()], pa.large_binary())
+        table = pa.concat_arrays([self._words(words.dictionary), end])
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        coded = table.take(pa.array(np.insert(words.indices.to_numpy(), ends, len(table) - 1)))  # a document's end is a word
+        _, offsets, ids = coded.buffers()
+        stops = np.frombuffer(offsets, np.int64)[ends + np.arange(1, len(ends) + 1)] // 4
+        return np.split(np.frombuffer(ids, "<u4", stops[-1]), stops[:-1])
+
+
+def _frequent(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that stand ``LEAST`` times or more, most frequent first; which ``keys`` have a rank among them, and their ranks.
+
+    Of two pairs in one hash slot the more frequent one has the rank. The other's places come with it, as places of a pair past the last.
     """
-    full = filled >= LEAST
-    full[SLOTS] = False
-    places = np.nonzero(full[slots])[0]
-    keys = (symbols[places].astype(np.uint64) << np.uint64(32)) | symbols[places + 1]
+    slots, full = _slots(keys), slice(None)
+    if len(keys) > SLOTS:  # only what is in slots that are full enough needs to be sorted
+        full = np.nonzero((np.bincount(slots, minlength=SLOTS) >= LEAST)[slots])[0]
+        keys, slots = keys[full], slots[full]
     ordered = np.sort(keys)
     starts = np.nonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))[0]
     counts = np.diff(np.append(starts, len(ordered)))
     often = np.nonzero(counts >= LEAST)[0]
-    often = often[np.argsort(-counts[often], kind="stable")][:PER_ROUND]
+    often = often[np.argsort(-counts[often], kind="stable")]
     pairs = ordered[starts[often]]
-    own = _slots(pairs)
-    holder = np.full(SLOTS + 1, len(pairs), np.int32)
-    holder[own[::-1]] = np.arange(len(pairs) - 1, -1, -1)
-    rank = holder[slots[places]]
-    held = np.nonzero(rank < len(pairs))[0]
-    held = held[pairs[rank[held]] == keys[held]]
-    return pairs, places[held], rank[held]
+    holder = np.full(SLOTS, -1, np.int32)
+    holder[_slots(pairs)[::-1]] = np.arange(len(pairs) - 1, -1, -1)
+    rank = holder[slots]
+    held = np.nonzero(rank >= 0)[0]
+    rank, keys = rank[held], keys[held]
+    rank[pairs[rank] != keys] = len(pairs)
+    return pairs, held if isinstance(full, slice) else full[held], rank
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    slots = keys * np.uint64(0x9E3779B97F4A7C15)
+    slots >>= np.uint64(64 - SLOT_BITS)
+    return slots.view(np.int64)
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (pairs; rule ``k`` is symbol ``base + k``) and each document's number of symbols.
 
-    Rounds go on until no pair stands ``LEAST`` times. A round looks at the places of frequent pairs only, and gives new slots to the
-    pairs next to what it has replaced.
+    Symbols keep their places until the end, and ``after`` and ``before`` lead to the next ones that are left. The first round looks at all places, the
+    others at those of frequent pairs and those next to what has just been replaced. Only a rule that is used again can add to a pair that is no longer
+    looked at: when no frequent pair is left, all places of such rules are looked at once more.
     """
-    symbols = ids.astype(np.uint32)
-    ends = np.cumsum(sizes) - 1
-    slots = np.append(_slots_at(symbols, slice(None, -1), slice(1, None)), SLOTS) if len(symbols) else np.empty(0, np.int64)
-    filled = np.bincount(slots, minlength=SLOTS + 1)
+    symbols = np.append(ids, END).astype(np.uint32)  # the last one is for places before the first and after the last
+    last = len(symbols) - 1
+    after, before = np.arange(1, last + 2), np.arange(-1, last)
+    after[last] = before[0] = last
+    stops = np.nonzero(symbols == END)[0]
+    gone, look = np.zeros(last + 1, bool), np.ones(last + 1, bool)
     number: dict[int, int] = {}
-    while len(symbols) > 1:
-        chosen, places, rank = _frequent(symbols, slots, filled)
-        close = np.nonzero(np.diff(places) == 1)[0]
-        before, after = np.full((2, len(places)), len(chosen), np.int32)
-        before[close + 1], after[close] = rank[close], rank[close + 1]
-        take = (rank < before) & (rank < after)  # more frequent than the pairs that overlap it
-        runs = np.nonzero(symbols[places] == symbols[places + 1])[0]  # aaa overlaps itself: every second one of a run
-        if len(runs):
-            begun = np.concatenate([[True], np.diff(places[runs]) > 1])
-            ended = np.append(begun[1:], True)
-            first = np.maximum.accumulate(np.where(begun, np.arange(len(runs)), 0))
-            even = (np.arange(len(runs)) - first) % 2 == 0
-            take[runs] = even & (~begun | (rank[runs] < before[runs])) & (~ended | (rank[runs] < after[runs]))
-        where, rank = places[take], rank[take]
-        # A pair that overlaps itself may be counted often and yet have a single place; a rule is for two.
-        used = np.bincount(rank, minlength=len(chosen)) > 1
-        where, rank = where[used[rank]], rank[used[rank]]
-        if not len(where):
+    again: set[int] = set()
+    while True:
+        look[stops] = look[before[stops]] = False
+        places = np.nonzero(look)[0]
+        keys = symbols[places].astype(np.uint64)
+        keys <<= np.uint64(32)
+        keys |= symbols[after[places]]
+        pairs, held, rank = _frequent(keys)
+        look[places] = False
+        look[places[held]] = True
+        chosen = np.nonzero(rank < min(PER_ROUND, len(pairs)))[0]
+        where, dead, rank, pairs = _taken(places[held[chosen]], after, rank[chosen], pairs[:PER_ROUND])
+        if len(where):
+            used, rules = np.nonzero(np.bincount(rank, minlength=len(pairs)))[0], base + len(number)
+            codes = [number.setdefault(pair, base + len(number)) for pair in pairs[used].tolist()]
+            again.update([code for code in codes if code < rules])
+            code = np.zeros(len(pairs), np.uint32)
+            code[used] = codes
+            symbols[where] = code[rank]
+            following = after[dead]
+            after[where], before[following] = following, where
+            gone[dead] = True
+            look[where] = look[before[where]] = True
+            look[dead] = False
+        elif again:
+            marked = np.zeros(base + len(number), bool)
+            marked[list(again)] = True
+            again.clear()
+            met = np.nonzero(marked[symbols] & ~gone)[0]
+            look[met] = look[before[met]] = True
+        else:
             break
-        replaced = np.nonzero(used)[0]
-        code = np.zeros(len(chosen), np.uint32)
-        code[replaced] = [number.setdefault(pair, base + len(number)) for pair in chosen[replaced].tolist()]
-        symbols[where] = code[rank]
-        stay = np.ones(len(symbols), bool)
-        stay[where + 1] = False
-        left = ~stay
-        left[where] = left[where[where > 0] - 1] = True
-        np.subtract.at(filled, slots[left], 1)
-        symbols, slots = symbols[stay], slots[stay]
-        ends -= np.searchsorted(where + 1, ends, side="right")
-        where -= np.arange(len(where))  # where the new symbols stand now
-        fresh = np.zeros(len(symbols), bool)
-        fresh[where] = fresh[where[where > 0] - 1] = True
-        fresh[-1] = False
-        near = np.nonzero(fresh)[0]
-        slots[near] = _slots_at(symbols, near, near + 1)
-        slots[-1] = SLOTS
-        np.add.at(filled, slots[near], 1)
+    kept = np.nonzero(~gone[:-1])[0]
     pairs = np.array(list(number), np.uint64)
     pairs = np.column_stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype("<u4").reshape(-1, 2)
-    return symbols, pairs, np.diff(np.concatenate([[0], ends + 1]))
+    return symbols[kept], pairs, np.diff(np.concatenate([[0], np.searchsorted(kept, np.cumsum(sizes) - 1) + 1]))
+
+
+def _taken(places: np.ndarray, after: np.ndarray, rank: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The places that a round replaces, those of their second symbols, the ranks of their pairs, and the pairs."""
+    dead = after[places]
+    close = np.nonzero(dead[:-1] == places[1:])[0]
+    left, right = np.full((2, len(places)), len(pairs), np.int32)
+    left[close + 1], right[close] = rank[close], rank[close + 1]
+    take = (rank < left) & (rank < right)  # more frequent than the pairs that overlap it
+    runs = np.nonzero((pairs >> np.uint64(32) == pairs & np.uint64(0xFFFFFFFF))[rank])[0]  # aaa overlaps itself: every second one of a run
+    if len(runs):
+        begun = np.concatenate([[True], dead[runs[:-1]] != places[runs[1:]]])
+        ended = np.append(begun[1:], True)
+        first = np.maximum.accumulate(np.where(begun, np.arange(len(runs)), 0))
+        even = (np.arange(len(runs)) - first) % 2 == 0
+        take[runs] = even & (~begun | (rank[runs] < left[runs])) & (~ended | (rank[runs] < right[runs]))
+    # A pair that overlaps itself may be counted often and yet have a single place; a rule is for two.
+    take &= (np.bincount(rank[take], minlength=len(pairs)) > 1)[rank]
+    return places[take], dead[take], rank[take], pairs
 
 
 def pack(doc_ids: list[int | None], coded: list[np.ndarray], base: int) -> bytes:
@@ -337,8 +338,8 @@ def write_shards(docs: DataFrame, tokenizer_file: str, path: str, base: int | No
                 ("part", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())]))
 
         for batch in batches:
-            for piece in slices(batch):
-                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts(piece)), strict=True):
+            for piece in slices(batch, ENCODE_BYTES):
+                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(piece.column("text")), strict=True):
                     held.append(ids)
                     doc_ids.append(doc_id)
                     size += len(ids)
